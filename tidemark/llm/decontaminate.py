@@ -27,27 +27,33 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), WHITE), "")
 
 
-def _starts(column: str, shingle: int) -> Column:
-    return F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(column) - (shingle - 1)))
+def _with(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` bound to a lambda variable, so that it is computed once a row however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def shingle_hashes(column: str, shingle: int = SHINGLE_WORDS) -> Column:
-    """Hash of each shingle of an array column of word hashes; fewer words: one of the whole sequence."""
-    whole = F.array(F.xxhash64(F.col(column)))
-    each = F.transform(_starts(column, shingle), lambda i: F.xxhash64(*(F.get(F.col(column), i + (k - 1)) for k in range(shingle))))
-    return F.when(F.size(column) >= shingle, each).when(F.size(column) > 0, whole).otherwise(F.array().cast("array<long>"))
+def _starts(parts: Column, shingle: int) -> Column:
+    return F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(parts) - shingle))
 
 
-def shingle_texts_of(text: str, shingle: int) -> Column:
-    """The distinct shingles of a text column, as texts."""
-    parts = words(F.col(text))
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(parts) - (shingle - 1)))
-    return F.when(F.size(parts) > 0, F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(parts, i, shingle), " ")))).otherwise(F.array().cast("array<string>"))
+def shingle_hashes(text: Column, shingle: int = SHINGLE_WORDS) -> Column:
+    """Hash of each word shingle of a text; fewer words: one of the whole sequence; none: null."""
 
+    def of(hashes: Column) -> Column:
+        each = F.transform(_starts(hashes, shingle), lambda i: F.xxhash64(*(F.get(hashes, i + k) for k in range(shingle))))
+        return F.when(F.size(hashes) >= shingle, each).when(F.size(hashes) > 0, F.array(F.xxhash64(hashes)))
 
-def _hashed(frame: DataFrame) -> DataFrame:
-    """Add the hashes of the words of ``text`` as ``w``."""
-    return frame.withColumn("w", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)))
+    return _with(F.transform(words(text), lambda w: F.xxhash64(w)), of)
+
+
+def shingle_texts(text: Column, shingle: int = SHINGLE_WORDS) -> Column:
+    """The distinct word shingles of a text; none: null."""
+
+    def of(parts: Column) -> Column:
+        each = F.transform(_starts(parts, shingle), lambda i: F.array_join(F.slice(parts, i + 1, shingle), " "))
+        return F.when(F.size(parts) > 0, F.array_distinct(each))
+
+    return _with(words(text), of)
 
 
 def item_sketches(items: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE_WORDS) -> DataFrame:
@@ -56,7 +62,7 @@ def item_sketches(items: DataFrame, threshold: float = THRESHOLD, shingle: int =
     A size partition holds the items of 2^c to 2^(c+1) - 1 distinct shingles;
     its sketch size follows from its upper bound.
     """
-    sets = _hashed(items).select("item_key", F.array_sort(F.array_distinct(shingle_hashes("w", shingle))).alias("hashes")).withColumn("n_item", F.size("hashes"))
+    sets = items.select("item_key", F.array_sort(F.array_distinct(shingle_hashes(F.col("text"), shingle))).alias("hashes")).withColumn("n_item", F.size("hashes"))
     upper = F.pow(F.lit(2.0), F.floor(F.log2("n_item")) + 1) - 1
     sized = sets.where("n_item > 0").withColumn("sketch_size", (upper - F.ceil(upper * threshold) + 1).cast("int"))
     return sized.select("item_key", "n_item", F.ceil(F.col("n_item") * threshold).cast("int").alias("need"), F.explode(F.slice("hashes", F.lit(1), F.least("sketch_size", "n_item"))).alias("h"))
@@ -80,15 +86,14 @@ def contained_items(
     sketches = materialize(item_sketches(wanted, threshold, shingle), "sketches")
     probes = bounded_broadcast(sketches, sketches.count(), broadcast_rows)
 
-    shingled = _hashed(named).select("doc_id", "text_hash", shingle_hashes("w", shingle).alias("hashes"))
-    sized = shingled.select("doc_id", "text_hash", F.size("hashes").alias("n_doc"), F.explode("hashes").alias("h"))
-    candidates = materialize(sized.join(probes, (sized["h"] == probes["h"]) & (F.col("n_doc") >= F.col("need"))).select("doc_id", "text_hash", "item_key", "n_item", "need").distinct(), "candidates")
+    shingled = named.select("doc_id", "text_hash", F.explode(shingle_hashes(F.col("text"), shingle)).alias("h"))
+    candidates = materialize(shingled.join(probes, "h").select("doc_id", "text_hash", "item_key", "n_item", "need").distinct(), "candidates")
 
-    exact_items = wanted.select("item_key", "item_id", F.explode(shingle_texts_of("text", shingle)).alias("shingle"))
+    exact_items = wanted.select("item_key", "item_id", F.explode(shingle_texts(F.col("text"), shingle)).alias("shingle"))
     exact_items = materialize(exact_items, "item-shingles")
     of_items = bounded_broadcast(exact_items, exact_items.count(), broadcast_rows)
     texts = named.join(candidates.select(F.col("doc_id").alias("c_id"), F.col("text_hash").alias("c_hash")).distinct(), F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("text_hash") == F.col("c_hash")), "left_semi").distinct()
-    theirs = texts.select("doc_id", "text_hash", F.explode(shingle_texts_of("text", shingle)).alias("shingle"))
+    theirs = texts.select("doc_id", "text_hash", F.explode(shingle_texts(F.col("text"), shingle)).alias("shingle"))
     found = theirs.join(of_items, "shingle").groupBy("doc_id", "text_hash", "item_key", "item_id").agg(F.count(F.lit(1)).alias("n_found"))
     c = candidates.select(F.col("doc_id").alias("c_id"), F.col("text_hash").alias("c_hash"), F.col("item_key").alias("c_item"), "n_item", "need")
     verified = found.join(c, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("text_hash") == F.col("c_hash")) & (F.col("item_key") == F.col("c_item"))).where("n_found >= need")

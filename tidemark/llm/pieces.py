@@ -12,7 +12,9 @@ one path over any prefix survives, and it is the encoding by merges.
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
+from os.path import commonprefix
 
 import numpy as np
 import pandas as pd
@@ -27,7 +29,7 @@ MARK = "▁"
 #: A run of marks and what follows it up to the next mark: no piece reaches across.
 MARKED_WORD = re.compile(f"{MARK}+[^{MARK}]*|^[^{MARK}]+")
 #: Words that a worker remembers between batches, at most.
-MEMORY = 300_000
+MEMORY = 600_000
 
 
 class Pieces:
@@ -49,10 +51,18 @@ class Pieces:
             elif not (model.is_control(number) or model.is_unknown(number)):
                 self.ids[name] = number
                 self.rank[name] = -model.get_score(number)
-        self.longest = max(map(len, self.ids))
         self.letters = {c for c in self.ids if len(c) == 1}
-        self._meets: dict[tuple[str, str], bool] = {}
-        self._runs: dict[int, list[str]] = {}
+        #: Lengths of the pieces that end in two given letters, the longest first.
+        self.lengths: dict[str, list[int]] = {}
+        #: Neighbouring letters of some piece. No merge joins any others, so words can be cut there.
+        self.joined: set[str] = set()
+        for name in self.ids:
+            self.joined.update(map("".join, zip(name, name[1:], strict=False)))
+            if len(name) > 1:
+                self.lengths.setdefault(name[-2:], []).append(len(name))
+        self.lengths = {end: sorted(set(n), reverse=True) for end, n in self.lengths.items()}
+        self.run = max(len(name) for name in self.ids if not name.strip(MARK))
+        self._meets: dict[int, bool] = {}
 
     def merged(self, symbols: list[str]) -> list[str]:
         """Merge the best ranked neighbours, the leftmost of equals, until none is left."""
@@ -62,60 +72,67 @@ class Pieces:
                 return symbols
             symbols = [*symbols[: best[1]], symbols[best[1]] + symbols[best[1] + 1], *symbols[best[1] + 2 :]]
 
-    def meets(self, left: str, right: str) -> bool:
+    def meets(self, left: int, right: int) -> bool:
         """Whether merging the letters of two pieces gives these two pieces again."""
-        found = self._meets.get((left, right))
+        key = left << 32 | right
+        found = self._meets.get(key)
         if found is None:
-            found = self._meets[left, right] = self.merged(list(left + right)) == [left, right]
-            if len(self._meets) > 10 * MEMORY:
+            a, b = self.names[left], self.names[right]
+            if len(self._meets) > 5 * MEMORY:
                 self._meets.clear()
+            found = self._meets[key] = self.merged(list(a + b)) == [a, b]
         return found
 
     def blanks(self, n: int) -> list[str]:
         """Pieces of a run of marks: their ranks are all equal, so the leftmost grows to the longest before the next begins."""
-        longest = max(len(p) for p in self.ids if not p.strip(MARK))
-        return [MARK * longest] * (n // longest) + self.merged([MARK] * (n % longest))
+        return [MARK * self.run] * (n // self.run) + self.merged([MARK] * (n % self.run))
 
     def forward(self, words: list[str]):
         """Yield (word, ids) for ``words``, which must be sorted; each holds known letters only."""
-        previous, last, start = "", [""], [0]
-        ids, meets, longest = self.ids, self.meets, self.longest
+        previous, last, start = "", [0], [0]
+        ids, meets, known, lengths = self.ids, self.meets, self._meets, self.lengths
         for word in words:
-            shared = 0
-            for a, b in zip(previous, word, strict=False):
-                if a != b:
-                    break
-                shared += 1
+            shared = len(commonprefix((previous, word)))
             del last[shared + 1 :], start[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for begin in range(max(0, end - longest), end):
-                    piece = word[begin:end]
-                    if piece in ids and (not begin or meets(last[begin], piece)):
+                for n in lengths.get(word[end - 2 : end], ()) if end > 1 else ():
+                    begin = end - n
+                    if begin < 0:
+                        continue
+                    piece = ids.get(word[begin:end])
+                    if piece is not None:
+                        if begin:
+                            fits = known.get(last[begin] << 32 | piece)
+                            if fits is None:
+                                fits = meets(last[begin], piece)
+                            if not fits:
+                                continue
                         last.append(piece)
                         start.append(begin)
                         break
+                else:
+                    last.append(ids[word[end - 1]])
+                    start.append(end - 1)
             at, out = len(word), []
             while at:
-                out.append(ids[last[at]])
+                out.append(last[at])
                 at = start[at]
+            out.reverse()
             previous = word
-            yield word, out[::-1]
+            yield word, out
 
     def split(self, marked: str) -> list[tuple[bool, str]]:
-        """Cut a marked word at letters outside the vocabulary: (known, part)."""
-        if self.letters.issuperset(marked):
-            return [(True, marked)]
-        out: list[tuple[bool, str]] = []
-        for letter in marked:
-            known = letter in self.letters
-            if out and out[-1][0] == known:
-                out[-1] = (known, out[-1][1] + letter)
-            else:
-                out.append((known, letter))
+        """Cut a marked word where no piece can reach across: (in the vocabulary, part)."""
+        joined, letters, out, at = self.joined, self.letters, [], 0
+        for i in range(1, len(marked)):
+            if marked[i - 1 : i + 1] not in joined:
+                out.append((marked[at] in letters, marked[at:i]))
+                at = i
+        out.append((marked[at] in letters, marked[at:]))
         return out
 
-    def encode_words(self, words: list[str]) -> dict[str, np.ndarray]:
-        """Ids of each distinct marked word."""
+    def encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of each distinct marked word, as the bytes of their 32-bit integers."""
         parts = {w: self._parts(w) for w in words}
         states = dict(self.forward(sorted({p for found in parts.values() for kind, p in found if kind == "word"})))
         out = {}
@@ -128,7 +145,7 @@ class Pieces:
                     ids += [self.ids[p] for p in self.blanks(len(part))]
                 else:
                     ids += [self.bytes[b] for b in part.encode("utf-8", "surrogatepass")]
-            out[word] = np.array(ids, dtype=np.int32)
+            out[word] = array("i", ids).tobytes()
         return out
 
     def _parts(self, word: str) -> list[tuple[str, str]]:
@@ -176,7 +193,7 @@ def marked_words(text: str | None) -> list[str]:
     return MARKED_WORD.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
-_remembered: dict[str, np.ndarray] = {}
+_remembered: dict[str, bytes] = {}
 
 
 def encode_texts(texts: list[str | None], pieces: Pieces) -> list[np.ndarray]:
@@ -187,7 +204,7 @@ def encode_texts(texts: list[str | None], pieces: Pieces) -> list[np.ndarray]:
         _remembered.clear()
         new = {w for words in split for w in words}
     _remembered.update(pieces.encode_words(list(new)))
-    return [np.concatenate([_remembered[w] for w in words]) if words else np.zeros(0, dtype=np.int32) for words in split]
+    return [np.frombuffer(b"".join(map(_remembered.__getitem__, words)), dtype=np.int32) for words in split]
 
 
 #: Texts that are encoded together, by their total letters.

@@ -7,8 +7,43 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
-from .common import table
+from . import decontaminate, pieces, pii, quality, simhash
+from .common import fold_remainder, table
+
+
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_item", "n_found", "containment")
+
+
+#: The same pairs by comparing all shingles of all texts.
+OP2_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(list_transform(range(1, greatest(1, len(w) - 4) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM d WHERE len(w) > 0)),
+bs AS (SELECT DISTINCT item_id, s FROM (SELECT item_id, unnest(list_transform(range(1, greatest(1, len(w) - 4) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM b WHERE len(w) > 0)),
+n AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY item_id),
+f AS (SELECT doc_id, item_id, count(*) AS n_found FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_item, n_found, n_found / n_item AS containment FROM f JOIN n USING (item_id) WHERE n_found >= ceil(n_item * 0.8)
+"""
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score_quality(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", (fold_remainder("doc_id", quality.FOLDS) == 0).alias("held_out"), "score", (F.col("score") >= quality.KEEP_SCORE).cast("int").alias("predicted"))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    coded = pieces.decode(pieces.encode(docs))
+    marks = F.regexp_replace("text", pieces.MARK, " ")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), (F.col("decoded") == marks).alias("round_trip"))
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +52,9 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_simhash_near_dedup": op7_simhash_near_dedup}
+    found = (op2_benchmark_decontamination, op3_quality_classifier, op4_pii, op6_sentencepiece, op7_simhash_near_dedup)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_benchmark_decontamination": OP2_SQL}
