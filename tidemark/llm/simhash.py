@@ -15,6 +15,7 @@ from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -134,6 +135,17 @@ def _signed(bits: int) -> int:
     return bits - (1 << 64) if bits >> 63 else bits
 
 
+def component_labels(marked: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(fp, root, component_id) of each distinct fingerprint of the written table ``marked`` (doc_id, fp)."""
+    classes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    roots = materialize(connected_components(near_pairs(classes, max_bits)), "roots")
+    linked = roots.join(classes, roots["node"] == classes["fp"])
+    smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    moved = roots.join(smallest, "root").select(F.col("node").alias("fp"), "root", "component_id")
+    labels = classes.join(moved, "fp", "left")
+    return materialize(labels.select("fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")), "labels")
+
+
 def simhash_components(docs: DataFrame, max_bits: int = MAX_BITS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row (doc_id, fp, component_id) per row of ``docs``.
 
@@ -145,10 +157,28 @@ def simhash_components(docs: DataFrame, max_bits: int = MAX_BITS, id_column: str
     paired with one another.
     """
     marked = materialize(fingerprints(docs, id_column, text_column), "fingerprints")
-    classes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    roots = materialize(connected_components(near_pairs(classes, max_bits)), "roots")
-    linked = roots.join(classes, roots["node"] == classes["fp"])
-    smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    moved = roots.join(smallest, "root").select(F.col("node").alias("fp"), "component_id")
-    labels = materialize(classes.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")), "labels")
-    return marked.join(labels, "fp", "left").select("doc_id", "fp", "component_id")
+    return marked.join(component_labels(marked, max_bits), "fp", "left").select("doc_id", "fp", "component_id")
+
+
+def _fingerprint_series(texts: pd.Series) -> pd.Series:
+    return pd.Series(np.array([fingerprint(t) for t in texts], dtype="<u8").view("<i8"))
+
+
+def keep_one(docs: DataFrame, max_bits: int = MAX_BITS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with one row of each near-duplicate component: that of its smallest id.
+
+    All columns stay as they were. Of several rows with that id (repeated
+    rows, or a component of null ids only) the one with the smallest text hash
+    stays.
+    """
+    packed = materialize(docs.select(F.struct("*").alias("row"), F.col(id_column).cast("long").alias("doc_id"), F.pandas_udf(_fingerprint_series, "long")(F.col(text_column).cast("string")).alias("fp")), "marked")
+    marked = packed.select("doc_id", "fp")
+    labels = component_labels(marked, max_bits)
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    kept = packed.join(labels, "fp").where(first)
+    crowded = materialize(marked.join(labels, "fp").where(first).groupBy("root").count().where("count > 1").select("root"), "crowded")
+    if crowded.isEmpty():
+        return kept.select("row.*")
+    alone = kept.join(crowded, "root", "left_anti").select("row")
+    chosen = kept.join(crowded, "root", "left_semi").groupBy("root").agg(F.min_by("row", F.xxhash64(f"row.{text_column}")).alias("row")).select("row")
+    return alone.unionByName(chosen).select("row.*")
