@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pieces, pii, quality, simhash, token_counts
+from . import ctw, decontaminate, pieces, pii, quality, simhash, token_counts
 from .common import fold_remainder, table
 
 
@@ -51,12 +51,16 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_ctw_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_benchmark_decontamination, op3_quality_classifier, op4_pii, op6_sentencepiece, op7_simhash_near_dedup, op10_token_counts)
+    found = (op2_benchmark_decontamination, op3_quality_classifier, op4_pii, op6_sentencepiece, op7_simhash_near_dedup, op8_ctw_scores, op10_token_counts)
     return {f.__name__: f for f in found}
 
 
