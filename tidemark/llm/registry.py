@@ -7,10 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ctw, decontaminate, pieces, pii, quality, simhash, token_counts
+from . import ctw, decontaminate, embedding_dedup, pieces, pii, quality, simhash, token_counts, url_filter
 from .common import fold_remainder, table
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list holds the pages that are published through tracked feed links, under whatever address they are met."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, pages.where(F.contains("url", F.lit("utm_source="))).select("url"))
+
+
+OP1_SQL = r"""
+WITH r AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+c AS (SELECT *, regexp_replace(host, '^www\.', '') || regexp_replace(path, '(\.html|/)+$', '') AS canon FROM h),
+rules(verdict, rule_host, rule_path) AS (VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('allow', 'net', '/de/'), ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')),
+fit AS (SELECT DISTINCT c.host, c.path, rule_host || rule_path AS rule, verdict FROM c JOIN rules ON (c.host = rule_host OR ends_with(c.host, '.' || rule_host)) AND starts_with(c.path, rule_path)),
+won AS (SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict FROM fit GROUP BY host, path),
+listed AS (SELECT DISTINCT canon FROM c WHERE contains(url, 'utm_source=') AND canon <> '')
+SELECT page_id, c.host, c.path, won.rule, coalesce(won.verdict, CASE WHEN l.canon IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, won.rule IS NULL AND l.canon IS NOT NULL AS listed
+FROM c LEFT JOIN won ON c.host = won.host AND c.path = won.path LEFT JOIN listed l ON c.canon = l.canon
+"""
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "n_item", "n_found", "containment")
@@ -55,14 +74,18 @@ def op8_ctw_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score_texts(table(spark, sf_dir, "documents"))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_benchmark_decontamination, op3_quality_classifier, op4_pii, op6_sentencepiece, op7_simhash_near_dedup, op8_ctw_scores, op10_token_counts)
+    found = (op1_url_filter, op2_benchmark_decontamination, op3_quality_classifier, op4_pii, op6_sentencepiece, op7_simhash_near_dedup, op8_ctw_scores, op9_embedding_near_dedup, op10_token_counts)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_benchmark_decontamination": OP2_SQL}
+    return {"op1_url_filter": OP1_SQL, "op2_benchmark_decontamination": OP2_SQL}
