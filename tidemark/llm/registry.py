@@ -11,10 +11,14 @@ from . import ctw, decontaminate, embedding_dedup, pieces, pii, quality, simhash
 from .common import fold_remainder, table
 
 
+#: Sites whose pages make up the list of op1.
+SPAM_SITES = r"://([^/?#]*\.)?(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\."
+
+
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The list holds the pages that are published through tracked feed links, under whatever address they are met."""
+    """The list holds the pages of the spam sites, which are then found under whatever address they are met."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return url_filter.judge(pages, pages.where(F.contains("url", F.lit("utm_source="))).select("url"))
+    return url_filter.judge(pages, pages.where(F.col("url").rlike(SPAM_SITES)).select("url"))
 
 
 OP1_SQL = r"""
@@ -24,7 +28,7 @@ c AS (SELECT *, regexp_replace(host, '^www\.', '') || regexp_replace(path, '(\.h
 rules(verdict, rule_host, rule_path) AS (VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('allow', 'net', '/de/'), ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')),
 fit AS (SELECT DISTINCT c.host, c.path, rule_host || rule_path AS rule, verdict FROM c JOIN rules ON (c.host = rule_host OR ends_with(c.host, '.' || rule_host)) AND starts_with(c.path, rule_path)),
 won AS (SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict FROM fit GROUP BY host, path),
-listed AS (SELECT DISTINCT canon FROM c WHERE contains(url, 'utm_source=') AND canon <> '')
+listed AS (SELECT DISTINCT canon FROM c WHERE regexp_matches(url, '://([^/?#]*\.)?(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.') AND canon <> '')
 SELECT page_id, c.host, c.path, won.rule, coalesce(won.verdict, CASE WHEN l.canon IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, won.rule IS NULL AND l.canon IS NOT NULL AS listed
 FROM c LEFT JOIN won ON c.host = won.host AND c.path = won.path LEFT JOIN listed l ON c.canon = l.canon
 """
