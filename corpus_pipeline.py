@@ -37,7 +37,7 @@ def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def sentencepiece_coding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the text that they stand for."""
-    return pieces.decode(pieces.encode(docs))
+    return pieces.encode_and_decode(docs)
 
 
 STAGES = [

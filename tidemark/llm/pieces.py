@@ -17,19 +17,20 @@ from functools import lru_cache
 from os.path import commonprefix
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: A run of marks and what follows it up to the next mark: no piece reaches across.
 MARKED_WORD = re.compile(f"{MARK}+[^{MARK}]*|^[^{MARK}]+")
 #: Words that a worker remembers between batches, at most.
-MEMORY = 600_000
+MEMORY = 150_000
 
 
 class Pieces:
@@ -211,40 +212,44 @@ def encode_texts(texts: list[str | None], pieces: Pieces) -> list[np.ndarray]:
 CHUNK_LETTERS = 2_000_000
 
 
-def chunks(texts: list):
+def chunks(sizes: list[int | None]):
+    """(start, end) of runs of neighbours that are worked on together."""
     start = total = 0
-    for at, text in enumerate(texts):
-        total += len(text or "")
+    for at, size in enumerate(sizes):
+        total += size or 0
         if total >= CHUNK_LETTERS:
             yield start, at + 1
             start, total = at + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
-def encoder(model: str = MODEL):
-    """A pandas UDF from text to its ids; null for null."""
+def _lists(ids: list[np.ndarray | None]) -> pa.Array:
+    sizes = np.array([0 if i is None else len(i) for i in ids], dtype=np.int32)
+    flat = np.concatenate([np.zeros(0, dtype=np.int32), *(i for i in ids if i is not None)])
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, pa.array(flat), mask=pa.array([i is None for i in ids], pa.bool_()))
 
-    @F.pandas_udf("array<int>")
-    def encode(texts: pd.Series) -> pd.Series:
-        pieces, out, every = vocabulary(model), [], list(texts)
-        for start, end in chunks(every):
-            part = every[start:end]
-            out += [None if t is None else ids for t, ids in zip(part, encode_texts(part, pieces), strict=True)]
-        return pd.Series(out, dtype=object)
 
-    return encode
+def _mapped(docs: DataFrame, column: str, added: dict[str, T.DataType], work) -> DataFrame:
+    """``docs`` with the columns that ``work`` makes of slices of ``column``, a few texts at a time."""
+    base = docs.drop(*(n for n in added if n != column))
+    schema = T.StructType([*base.schema.fields, *(T.StructField(n, t) for n, t in added.items())])
 
+    def rows(batches):
+        for batch in batches:
+            values = batch.column(column)
+            sizes = values.value_lengths() if pa.types.is_list(values.type) else pa.compute.binary_length(values)
+            for start, end in chunks(sizes.to_pylist()):
+                part = batch.slice(start, end - start)
+                made = work(part.column(column))
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], [*batch.schema.names, *added])
 
-def decoder(model: str = MODEL):
-    """A pandas UDF from ids to their text; null for null."""
+    return base.mapInArrow(rows, schema)
 
-    @F.pandas_udf("string")
-    def decode(ids: pd.Series) -> pd.Series:
-        pieces = vocabulary(model)
-        return pd.Series([None if i is None else pieces.decode(np.asarray(i)) for i in ids], dtype=object)
 
-    return decode
+def _text_column(docs: DataFrame, column: str) -> DataFrame:
+    return docs if isinstance(docs.schema[column].dataType, T.StringType) else docs.withColumn(column, F.col(column).cast("string"))
 
 
 def encode(docs: DataFrame, text_column: str = "text", name: str = "ids", model: str = MODEL) -> DataFrame:
@@ -253,13 +258,34 @@ def encode(docs: DataFrame, text_column: str = "text", name: str = "ids", model:
     Null texts have null ids, empty texts no ids. A column called ``name`` is
     replaced, the others and repeated rows stay.
     """
-    return docs.withColumn(name, encoder(model)(F.col(text_column).cast("string")))
+
+    def work(column):
+        texts = column.to_pylist()
+        return [_lists([None if t is None else i for t, i in zip(texts, encode_texts(texts, vocabulary(model)), strict=True)])]
+
+    return _mapped(_text_column(docs, text_column), text_column, {name: T.ArrayType(T.IntegerType())}, work)
 
 
 def decode(docs: DataFrame, ids_column: str = "ids", name: str = "decoded", model: str = MODEL) -> DataFrame:
-    """``docs`` with the text that the ids stand for in a column ``name``.
+    """``docs`` with the text that the ids stand for in a column ``name``; null for null.
 
     The inverse of ``encode``, but for marks that were in the text already:
     they come back as blanks.
     """
-    return docs.withColumn(name, decoder(model)(F.col(ids_column)))
+
+    def work(column):
+        pieces = vocabulary(model)
+        return [pa.array([None if i is None else pieces.decode(np.array(i, dtype=np.int32)) for i in column.to_pylist()], pa.string())]
+
+    return _mapped(docs, ids_column, {name: T.StringType()}, work)
+
+
+def encode_and_decode(docs: DataFrame, text_column: str = "text", ids_name: str = "ids", decoded_name: str = "decoded", model: str = MODEL) -> DataFrame:
+    """``encode`` and then ``decode``, in one pass through the workers."""
+
+    def work(column):
+        pieces, texts = vocabulary(model), column.to_pylist()
+        ids = [None if t is None else i for t, i in zip(texts, encode_texts(texts, pieces), strict=True)]
+        return [_lists(ids), pa.array([None if i is None else pieces.decode(i) for i in ids], pa.string())]
+
+    return _mapped(_text_column(docs, text_column), text_column, {ids_name: T.ArrayType(T.IntegerType()), decoded_name: T.StringType()}, work)

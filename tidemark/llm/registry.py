@@ -64,7 +64,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    coded = pieces.decode(pieces.encode(docs))
+    coded = pieces.encode_and_decode(docs)
     marks = F.regexp_replace("text", pieces.MARK, " ")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), (F.col("decoded") == marks).alias("round_trip"))
 
