@@ -1,4 +1,4 @@
-"""The reference's own queries by name, with their DuckDB SQL."""
+"""The snapshot queries by name, with their DuckDB SQL."""
 
 from __future__ import annotations
 
@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import posting_queries
+
+MODULES = (posting_queries,)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: query for module in MODULES for name, query in module.queries().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for module in MODULES for name, sql in module.oracle_sql().items()}
