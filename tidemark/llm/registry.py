@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ctw, decontaminate, embedding_dedup, pieces, pii, quality, simhash, token_counts, url_filter
+from . import ctw, decontaminate, embedding_dedup, pieces, pii, quality, simhash, token_counts, token_files, url_filter
 from .common import fold_remainder, table
 
 
@@ -62,6 +62,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(table(spark, sf_dir, "documents"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.read(token_files.write(table(spark, sf_dir, "documents")))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     coded = pieces.encode_and_decode(docs)
@@ -87,7 +91,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_url_filter, op2_benchmark_decontamination, op3_quality_classifier, op4_pii, op6_sentencepiece, op7_simhash_near_dedup, op8_ctw_scores, op9_embedding_near_dedup, op10_token_counts)
+    found = (op1_url_filter, op2_benchmark_decontamination, op3_quality_classifier, op4_pii, op5_token_files, op6_sentencepiece, op7_simhash_near_dedup, op8_ctw_scores, op9_embedding_near_dedup, op10_token_counts)
     return {f.__name__: f for f in found}
 
 
