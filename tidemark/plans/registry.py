@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import posting_queries
+from . import derived_queries, posting_queries
 
-MODULES = (posting_queries,)
+MODULES = (posting_queries, derived_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
