@@ -59,3 +59,26 @@ def bounded_broadcast(df: DataFrame, rows: int, bound: int = BROADCAST_ROWS) ->
 def fold_remainder(id_column: str, modulus: int):
     """crc32 of the id written as text, modulo ``modulus`` (null ids: as the empty text)."""
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+class Recent:
+    """A bounded memory of words and their codes in two generations.
+
+    What is asked for again moves to the young generation, so frequent words
+    stay and rare ones are forgotten: at most twice ``bound`` are held.
+    """
+
+    def __init__(self, bound: int):
+        self.bound = bound
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def table(self, words: set[str], make) -> dict[str, bytes]:
+        """Codes of all ``words``; ``make`` gives those of a list of words that are not held."""
+        young, old = self.young, self.old
+        found = {w: young.get(w) or old.get(w) for w in words}
+        found.update(make([w for w, code in found.items() if code is None]))
+        young.update(found)
+        if len(young) > self.bound:
+            self.old, self.young = young, {}
+        return found

@@ -25,12 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import Recent
+
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: A run of marks and what follows it up to the next mark: no piece reaches across.
 MARKED_WORD = re.compile(f"{MARK}+[^{MARK}]*|^[^{MARK}]+")
-#: Words that a worker remembers between batches, at most.
-MEMORY = 150_000
+#: Words that a worker remembers between batches: at most twice as many.
+MEMORY = 200_000
 
 
 class Pieces:
@@ -194,22 +196,18 @@ def marked_words(text: str | None) -> list[str]:
     return MARKED_WORD.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
-_remembered: dict[str, bytes] = {}
+_recent = Recent(MEMORY)
 
 
 def encode_texts(texts: list[str | None], pieces: Pieces) -> list[np.ndarray]:
-    """Ids of each text; distinct words are encoded once, and remembered up to a bound."""
+    """Ids of each text; every distinct word is encoded once, and remembered while it is frequent."""
     split = [marked_words(t) for t in texts]
-    new = {w for words in split for w in words if w not in _remembered}
-    if len(_remembered) + len(new) > MEMORY:
-        _remembered.clear()
-        new = {w for words in split for w in words}
-    _remembered.update(pieces.encode_words(list(new)))
-    return [np.frombuffer(b"".join(map(_remembered.__getitem__, words)), dtype=np.int32) for words in split]
+    table = _recent.table({w for words in split for w in words}, pieces.encode_words)
+    return [np.frombuffer(b"".join(map(table.__getitem__, words)), dtype=np.int32) for words in split]
 
 
 #: Texts that are encoded together, by their total letters.
-CHUNK_LETTERS = 2_000_000
+CHUNK_LETTERS = 4_000_000
 
 
 def chunks(sizes: list[int | None]):
