@@ -1,206 +1,224 @@
 """Adaptive context-mixing range coder for token ids, many blocks in step.
 
-Every block starts from a fresh model and is coded on its own. A token is
-first compared with the id that followed the last two ids before (order 2),
-then with the one that followed the last id (order 1). The chance of a match
-is mixed, by weights that the block learns, from counters of how either order
-and the candidate's own frequency (order 0) did before. What neither order
-predicts is coded by order-0 frequencies, four bits at a time. The same model
-code drives encoder and decoder. Blocks are rows of numpy arrays, so one step
-handles one token of each of hundreds of blocks.
+Every block starts from a fresh model and is coded on its own. Three
+predictions of the next id share the range: order 2 and order 1 each name the
+id that followed the last two ids, or the last id, before; order 0 gives every
+id that the block has seen a share by its count, and the rest to new ids. The
+shares of the orders are mixing weights that the block learns, by how sure
+either candidate is and whether they agree. Candidates follow every id; counts
+and weights are renewed each time that the history has doubled. The same model
+code drives encoder and decoder. Blocks are columns of numpy arrays, so one
+step handles one token of each of a thousand blocks.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-MASK = np.int64(0xFFFFFFFF)
-TOP, BOTTOM = np.int64(1 << 24), np.int64(1 << 16)
-ORDER_1, ORDER_2, COUNTS = 1 << 11, 1 << 12, 1 << 11
-#: Contexts of the four nibbles: none, the first, the first two, the first three folded.
-NIBBLES = (0, 1, 17, 273)
-FOLDED = 1024
-PROBABILITY_BITS = 12
+#: Shares of a prediction are out of this.
+TOTAL_BITS = 20
+TOTAL = 1 << TOTAL_BITS
+#: What order 0 always keeps.
+LEAST = TOTAL >> 5
+#: Ids are below this; new ones are written as they are.
+ID_BITS = 16
+WORD = np.int64(0xFFFF)
+#: The range stays between these, so that one word a step is enough to widen it.
+FLOOR, CEILING = np.int64(1 << 32), np.int64(1 << 48)
+ORDER_1, ORDER_2 = 1 << 10, 1 << 11
+#: Lengths of history at which counts and weights are renewed.
+RENEWALS = (0, 16, 32, 64, 128, 256, 512, 1024)
 
-_odds = (np.arange(4096) + 0.5) / 4096
-#: ln(p / (1 - p)) of a 12-bit probability, in 1/256, and back.
-STRETCH = np.rint(256 * np.log(_odds / (1 - _odds))).astype(np.int64)
-SQUASH = np.clip(np.rint(4096 / (1 + np.exp(-(np.arange(4096) - 2048) / 256))), 1, 4095).astype(np.int64)
+
+def _priors() -> tuple[np.ndarray, np.ndarray]:
+    """Weights of order 2 and order 1, in 64ths, before anything is learnt.
+
+    A context is (state of order 2) * 6 + (state of order 1) * 2 + (both agree);
+    states are 0 no candidate, 1 a candidate, 2 one that was right when last asked.
+    """
+    two, one = np.zeros(18, np.int64), np.zeros(18, np.int64)
+    for context in range(18):
+        state_2, state_1, agree = context // 6, context // 2 % 3, context % 2
+        two[context] = (0, 16, 40)[state_2] + 6 * (agree and state_2 > 0)
+        one[context] = 0 if agree else ((0, 8, 20) if state_2 == 0 else (0, 4, 10))[state_1]
+    return two, one
+
+
+PRIOR_2, PRIOR_1 = _priors()
+CONTEXTS = len(PRIOR_2)
 
 
 class Encoder:
     decoding = False
 
     def __init__(self, lanes: int, longest: int):
-        self.low, self.range = np.zeros(lanes, np.int64), np.full(lanes, MASK)
-        self.out, self.at = np.zeros((lanes, 4 * longest + 64), np.uint8), np.zeros(lanes, np.int64)
-
-    def _settle(self, lanes, low, span):
-        while True:
-            same = (low ^ ((low + span) & MASK)) < TOP
-            short = ~same & (span < BOTTOM)
-            move = np.flatnonzero(same | short)
-            if not len(move):
-                break
-            span = np.where(short, -low & (BOTTOM - 1), span)
-            self.out[lanes[move], self.at[lanes[move]]] = low[move] >> 24
-            self.at[lanes[move]] += 1
-            low[move] = (low[move] << 8) & MASK
-            span[move] = (span[move] << 8) & MASK
-        self.low[lanes], self.range[lanes] = low, span
-
-    def code(self, lanes, below, size, total):
-        unit = self.range[lanes] // total
-        self._settle(lanes, (self.low[lanes] + below * unit) & MASK, size * unit)
-
-    def binary(self, lanes, p, bits):
-        """Code ``bits``, each one with the probability ``p`` / 4096 of being 1."""
-        self.code(lanes, np.where(bits, 0, p), np.where(bits, p, 4096 - p), 4096)
-        return bits
-
-    def symbol(self, lanes, frequencies, symbols):
-        ends = np.cumsum(frequencies, axis=1)
-        row = np.arange(len(lanes))
-        size = frequencies[row, symbols]
-        self.code(lanes, ends[row, symbols] - size, size, ends[:, -1])
-        return symbols
+        self.low, self.range = np.zeros(lanes, np.int64), np.full(lanes, CEILING)
+        self.width = 2 * longest + 3
+        self.out, self.at = np.zeros(lanes * self.width, np.int32), np.arange(lanes) * self.width
+
+    def _widen(self, lanes):
+        # The word may hold a carry, which ``finish`` moves to the words before it.
+        low = self.low[lanes]
+        at = self.at[lanes]
+        self.out[at] = low >> 32
+        self.at[lanes] = at + 1
+        self.low[lanes] = (low & 0xFFFFFFFF) << 16
+        self.range[lanes] <<= 16
+
+    def code(self, n, unit, below, size):
+        """Code the share from ``below``, of ``size`` / TOTAL, in the first ``n`` lanes."""
+        self.low[:n] += below * unit
+        span = self.range[:n] = size * unit
+        self._widen(np.flatnonzero(span < FLOOR))
+
+    def raw(self, lanes, ids):
+        unit = self.range[lanes] >> ID_BITS
+        self.low[lanes] += ids * unit
+        self.range[lanes] = unit
+        self._widen(lanes[unit < FLOOR])
+        return ids
 
     def finish(self) -> list[bytes]:
-        for _ in range(4):
-            self.out[np.arange(len(self.at)), self.at] = self.low >> 24
+        for shift in (32, 16, 0):
+            self.out[self.at] = (self.low >> shift) & (0x1FFFF if shift == 32 else 0xFFFF)
             self.at += 1
-            self.low = (self.low << 8) & MASK
-        return [self.out[i, :n].tobytes() for i, n in enumerate(self.at)]
+        words = self.out.reshape(len(self.at), -1)
+        while (carry := words >> 16).any():
+            words &= 0xFFFF
+            words[:, :-1] += carry[:, 1:]
+        ends = self.at - np.arange(len(self.at)) * self.width
+        return [row[:end].astype(">u2").tobytes() for row, end in zip(words, ends, strict=True)]
 
 
 class Decoder:
     decoding = True
 
     def __init__(self, payloads: list[bytes]):
-        lanes = len(payloads)
-        self.low, self.range = np.zeros(lanes, np.int64), np.full(lanes, MASK)
-        self.data = np.zeros((lanes, max(map(len, payloads)) + 8), np.uint8)
+        lanes, self.width = len(payloads), max(map(len, payloads)) // 2 + 1
+        data = np.zeros((lanes, self.width), np.int64)
         for i, p in enumerate(payloads):
-            self.data[i, : len(p)] = np.frombuffer(p, np.uint8)
-        self.word = self.data[:, :4].astype(np.int64) @ np.array([1 << 24, 1 << 16, 1 << 8, 1])
-        self.at = np.full(lanes, 4)
-
-    def _place(self, lanes, total):
-        self.unit = self.range[lanes] // total
-        return np.minimum(((self.word[lanes] - self.low[lanes]) & MASK) // self.unit, total - 1)
-
-    def _take(self, lanes, below, size):
-        low, span, word = (self.low[lanes] + below * self.unit) & MASK, size * self.unit, self.word[lanes]
-        while True:
-            same = (low ^ ((low + span) & MASK)) < TOP
-            short = ~same & (span < BOTTOM)
-            move = np.flatnonzero(same | short)
-            if not len(move):
-                break
-            span = np.where(short, -low & (BOTTOM - 1), span)
-            word[move] = ((word[move] << 8) & MASK) | self.data[lanes[move], np.minimum(self.at[lanes[move]], self.data.shape[1] - 1)]
-            self.at[lanes[move]] += 1
-            low[move] = (low[move] << 8) & MASK
-            span[move] = (span[move] << 8) & MASK
-        self.low[lanes], self.range[lanes], self.word[lanes] = low, span, word
-
-    def binary(self, lanes, p, _):
-        bits = self._place(lanes, 4096) < p
-        self._take(lanes, np.where(bits, 0, p), np.where(bits, p, 4096 - p))
-        return bits
-
-    def symbol(self, lanes, frequencies, _):
-        ends = np.cumsum(frequencies, axis=1)
-        place = self._place(lanes, ends[:, -1])
-        symbols = (ends <= place[:, None]).sum(axis=1)
-        row = np.arange(len(lanes))
-        size = frequencies[row, symbols]
-        self._take(lanes, ends[row, symbols] - size, size)
-        return symbols
-
-
-class Matches:
-    """Mixed chance that a candidate is the next id, for one of the two orders."""
-
-    def __init__(self, lanes: int):
-        self.counters = np.full((3, lanes, 64), 2048, np.int64)
-        self.weights = np.full((3, lanes), 1 << 14, np.int64)
-
-    def predict(self, lanes, contexts):
-        at = [self.counters[i][lanes, c] for i, c in enumerate(contexts)]
-        self.inputs = np.stack([STRETCH[a] for a in at])
-        self.mix = (self.weights[:, lanes] * self.inputs).sum(axis=0) >> 15
-        return SQUASH[np.clip(self.mix + 2048, 0, 4095)]
-
-    def learn(self, lanes, contexts, p, bits):
-        goal = np.where(bits, 4095, 0)
-        for i, c in enumerate(contexts):
-            old = self.counters[i][lanes, c]
-            self.counters[i][lanes, c] = np.clip(old + ((goal - old) >> 5), 1, 4094)
-        self.weights[:, lanes] += (self.inputs * (goal - p) + 4096) >> 13
+            data[i, : len(p) // 2] = np.frombuffer(p, ">u2")
+        self.range = np.full(lanes, CEILING)
+        #: How far the written number lies above the range's lower end.
+        self.above = data[:, 0] << 32 | data[:, 1] << 16 | data[:, 2]
+        self.data, self.at, self.last = data.ravel(), np.arange(lanes) * self.width + 3, lanes * self.width - 1
+
+    def _widen(self, lanes):
+        at = self.at[lanes]
+        self.above[lanes] = self.above[lanes] << 16 | self.data[np.minimum(at, self.last)]
+        self.at[lanes] = at + 1
+        self.range[lanes] <<= 16
+
+    def place(self, n, unit):
+        # Exact: both are below 2^53 and the quotient's distance from a whole number is over its rounding.
+        return np.minimum((self.above[:n] / unit).astype(np.int64), TOTAL - 1)
+
+    def code(self, n, unit, below, size):
+        self.above[:n] -= below * unit
+        span = self.range[:n] = size * unit
+        self._widen(np.flatnonzero(span < FLOOR))
+
+    def raw(self, lanes, _):
+        unit = self.range[lanes] >> ID_BITS
+        ids = np.minimum(self.above[lanes] // unit, WORD)
+        self.above[lanes] -= ids * unit
+        self.range[lanes] = unit
+        self._widen(lanes[unit < FLOOR])
+        return ids
+
+
+class History:
+    """Order 0 and the mixing weights, as of a renewal.
+
+    Ids seen so far are sorted, and each place knows where the run of its id
+    starts and ends; the place after the last stands for a new id.
+    """
+
+    def __init__(self, seen: np.ndarray, counts: np.ndarray):
+        lanes, self.size = seen.shape
+        size, place = self.size, np.arange(self.size, dtype=np.int32)
+        self.seen = np.sort(seen, axis=1)
+        starts = np.ones(seen.shape, bool)
+        starts[:, 1:] = self.seen[:, 1:] != self.seen[:, :-1]
+        self.ids, self.left, self.right = (np.full((lanes, size + 1), fill, np.int32) for fill in (0, size, size))
+        self.ids[:, :size] = self.seen
+        np.maximum.accumulate(np.where(starts, place, 0), axis=1, out=self.left[:, :size])
+        ends = np.where(starts[:, 1:], place[1:], np.int32(size))
+        self.right[:, : size - 1] = np.minimum.accumulate(ends[:, ::-1], axis=1)[:, ::-1] if size else 0
+        self.row = np.arange(lanes) * (size + 1)
+        self.spread = np.maximum(1, size + starts.sum(axis=1))
+        self.ids, self.left, self.right = self.ids.ravel(), self.left.ravel(), self.right.ravel()
+        asked = 16 * counts.sum(axis=2) + 64
+        self.weight_1 = ((16 * counts[:, :, 1] + PRIOR_1) * (TOTAL - LEAST) // asked).ravel()
+        self.weight_2 = ((16 * counts[:, :, 2] + PRIOR_2) * (TOTAL - LEAST) // asked).ravel()
+
+    def places(self, ids: np.ndarray) -> np.ndarray:
+        """Where each of ``ids`` (steps, lanes) stands among those seen; new ones after the last."""
+        found = np.empty(ids.shape[::-1], np.int32)
+        place = np.full(1 << ID_BITS, self.size, np.int32)
+        for lane, asked in enumerate(np.ascontiguousarray(ids.T)):
+            seen = self.seen[lane]
+            place[seen] = self.left[lane * (self.size + 1) :][: self.size]
+            found[lane] = place[asked]
+            place[seen] = self.size
+        return np.ascontiguousarray(found.T)
 
 
 def run(coder, lengths: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-    """Code blocks in step; ``lengths`` fall, ``ids`` is (lanes, longest) when encoding. Returns the ids."""
+    """Code blocks in step; ``lengths`` fall, ``ids`` is (longest, lanes) when encoding. Returns the ids."""
     lanes, longest = len(lengths), int(lengths[0])
-    out = np.zeros((lanes, longest), np.int64)
-    first, second = np.zeros((lanes, ORDER_1), np.int32), np.zeros((lanes, ORDER_2), np.int32)
-    seen = np.zeros((lanes, COUNTS), np.uint8)
-    frequencies = np.ones((lanes, NIBBLES[-1] + FOLDED, 16), np.uint16)
-    by_two, by_one = Matches(lanes), Matches(lanes)
-    one, two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-    every = np.arange(lanes)
+    out = np.zeros((longest, lanes), np.int64)
+    outcomes = np.zeros((longest, lanes), np.int16)
+    first, second = np.zeros(lanes * ORDER_1, np.int32), np.zeros(lanes * ORDER_2, np.int32)
+    counts = np.zeros((lanes, CONTEXTS, 3), np.int64)
+    row_1, row_2, row_c = (np.arange(lanes) * size for size in (ORDER_1, ORDER_2, CONTEXTS))
+    one = two = np.zeros(lanes, np.int64)
+    live = np.searchsorted(-lengths, -np.arange(longest))
+    renewed = 0
     for step in range(longest):
-        n = int(np.searchsorted(-lengths, -step))
-        live = every[:n]
-        slot_1 = one[:n] % ORDER_1
-        slot_2 = (one[:n] * 40503 + two[:n] * 30011 & 0xFFFFFF) >> 7 & (ORDER_2 - 1)
-        kept_1, kept_2 = first[live, slot_1].astype(np.int64), second[live, slot_2].astype(np.int64)
-        guess_1, sure_1 = (kept_1 & 0x1FFFF) - 1, kept_1 >> 17
-        guess_2, sure_2 = (kept_2 & 0x1FFFF) - 1, kept_2 >> 17
-        agree = guess_1 == guess_2
-        token = ids[:n, step] if ids is not None else np.zeros(n, np.int64)
-        found = np.zeros(n, bool)
-
-        has = np.flatnonzero(guess_2 >= 0)
-        if len(has):
-            common = np.minimum(seen[has, guess_2[has] % COUNTS], 15).astype(np.int64)
-            contexts = (sure_2[has], sure_1[has] * 2 + agree[has], common * 2 + agree[has])
-            p = by_two.predict(has, contexts)
-            hit = coder.binary(has, p, token[has] == guess_2[has])
-            by_two.learn(has, contexts, p, hit)
-            token[has[hit]] = guess_2[has[hit]]
-            found[has[hit]] = True
-        has = np.flatnonzero((guess_1 >= 0) & ~found & ~(agree & (guess_2 >= 0)))
-        if len(has):
-            common = np.minimum(seen[has, guess_1[has] % COUNTS], 15).astype(np.int64)
-            contexts = (sure_1[has], sure_2[has] * 2 + (guess_2[has] >= 0), common)
-            p = by_one.predict(has, contexts)
-            hit = coder.binary(has, p, token[has] == guess_1[has])
-            by_one.learn(has, contexts, p, hit)
-            token[has[hit]] = guess_1[has[hit]]
-            found[has[hit]] = True
-        rest = np.flatnonzero(~found)
-        if len(rest):
-            prefix = np.zeros(len(rest), np.int64)
-            for level, start in enumerate(NIBBLES):
-                context = start + (prefix if level < 3 else prefix * 2654435761 % (1 << 32) >> 22)
-                rows = frequencies[rest, context].astype(np.int64)
-                nibble = coder.symbol(rest, rows, token[rest] >> (12 - 4 * level) & 15)
-                prefix = prefix << 4 | nibble
-                frequencies[rest, context, nibble] += 32
-                full = np.flatnonzero(rows.sum(axis=1) > 16000)
-                if len(full):
-                    frequencies[rest[full], context[full]] = (frequencies[rest[full], context[full]] >> 1) + 1
-            token[rest] = prefix
-
-        first[live, slot_1] = np.where(guess_1 == token, np.minimum(sure_1 + 1, 31), 0) << 17 | (token + 1)
-        second[live, slot_2] = np.where(guess_2 == token, np.minimum(sure_2 + 1, 31), 0) << 17 | (token + 1)
-        place = token % COUNTS
-        count = seen[live, place]
-        seen[live, place] = count + (count < 255)
-        two[:n], one[:n] = one[:n], token
-        out[:n, step] = token
+        n = int(live[step])
+        if step in RENEWALS:
+            keys = outcomes[renewed:step, :n] + row_c[:n] * 3
+            counts[:n] += np.bincount(keys.ravel(), minlength=n * CONTEXTS * 3).reshape(n, CONTEXTS, 3)
+            history, renewed = History(out[:step, :n].T.astype(np.uint16), counts[:n]), step
+            if ids is not None:
+                until = min((r for r in RENEWALS if r > step), default=longest)
+                places = history.places(ids[step:until, :n])
+        slot_1 = row_1[:n] + (one[:n] & (ORDER_1 - 1))
+        slot_2 = row_2[:n] + ((one[:n] * 40503 + two[:n] * 30011 >> 5) & (ORDER_2 - 1))
+        kept_1, kept_2 = first[slot_1], second[slot_2]
+        guess_1, guess_2 = (kept_1 >> 1) - 1, (kept_2 >> 1) - 1
+        context = ((kept_2 > 0) + (kept_2 & 1)) * 6 + ((kept_1 > 0) + (kept_1 & 1)) * 2 + (guess_1 == guess_2)
+        at = row_c[:n] + context
+        weight_2 = history.weight_2[at]
+        weight_1 = history.weight_1[at]
+        both = weight_2 + weight_1
+        each = (TOTAL - both) // history.spread[:n]
+        unit = coder.range[:n] >> TOTAL_BITS
+        if ids is not None:
+            token = ids[step, :n].copy()
+            is_2, is_1 = token == guess_2, token == guess_1
+            place = places[step - renewed, :n]
+            row = history.row[:n] + place
+        else:
+            value = coder.place(n, unit)
+            is_2, is_1 = value < weight_2, value < both
+            place = np.clip((value - both) // each, 0, history.size)
+            row = history.row[:n] + place
+            token = np.where(is_2, guess_2, np.where(is_1, guess_1, history.ids[row]))
+        left = history.left[row]
+        below, size = both + left * each, (history.right[row] - left) * each
+        new = np.flatnonzero((place == history.size) & ~(is_1 | is_2))
+        size[new] = TOTAL - below[new]
+        below = np.where(is_2, 0, np.where(is_1, weight_2, below))
+        coder.code(n, unit, below, np.where(is_2, weight_2, np.where(is_1, weight_1, size)))
+        if len(new):
+            token[new] = coder.raw(new, token[new])
+        outcomes[step, :n] = context * 3 + np.where(is_2, 2, is_1)
+        first[slot_1] = (token + 1) << 1 | (guess_1 == token)
+        second[slot_2] = (token + 1) << 1 | (guess_2 == token)
+        two, one = one, token
+        out[step, :n] = token
     return out
 
 
@@ -210,10 +228,12 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         return []
     order = np.argsort([-len(b) for b in blocks], kind="stable")
     lengths = np.array([len(blocks[i]) for i in order])
-    ids = np.zeros((len(blocks), max(1, lengths[0])), np.int64)
+    ids = np.zeros((lengths[0], len(blocks)), np.int64)
     for lane, i in enumerate(order):
-        ids[lane, : len(blocks[i])] = blocks[i]
-    coder = Encoder(len(blocks), ids.shape[1])
+        ids[: len(blocks[i]), lane] = blocks[i]
+    if ids.size and ids.max() >> ID_BITS:
+        raise ValueError("ids must be below 65,536")
+    coder = Encoder(len(blocks), len(ids))
     run(coder, lengths, ids)
     done = coder.finish()
     out: list[bytes] = [b""] * len(blocks)
@@ -227,7 +247,7 @@ def decode_blocks(payloads: list[bytes], lengths: list[int]) -> list[np.ndarray]
     if not payloads:
         return []
     order = np.argsort([-n for n in lengths], kind="stable")
-    found = run(Decoder([payloads[i] for i in order]), np.array([lengths[i] for i in order]), None)
+    found = run(Decoder([payloads[i] for i in order]), np.array([lengths[i] for i in order]), None).T
     out: list[np.ndarray] = [found[0]] * len(payloads)
     for lane, i in enumerate(order):
         out[i] = found[lane, : lengths[i]]

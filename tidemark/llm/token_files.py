@@ -26,9 +26,9 @@ from .range_coder import decode_blocks, encode_blocks
 
 MODEL = "word_bpe_49k.json"
 END_ID = 2
-BLOCK_IDS = 4096
+BLOCK_IDS = 2048
 #: Blocks that are coded in step, so a task holds this many blocks of ids at most.
-LANES = 512
+LANES = 1024
 #: Words that a worker remembers: at most twice as many.
 MEMORY = 200_000
 FILE = "shard int, block long, doc_ids array<long>, doc_ends array<int>, n_ids int, checksum long, payload binary"
