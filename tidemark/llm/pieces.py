@@ -210,12 +210,12 @@ def encode_texts(texts: list[str | None], pieces: Pieces) -> list[np.ndarray]:
 CHUNK_LETTERS = 4_000_000
 
 
-def chunks(sizes: list[int | None]):
-    """(start, end) of runs of neighbours that are worked on together."""
+def chunks(sizes: list[int | None], most: int = CHUNK_LETTERS):
+    """(start, end) of runs of neighbours that are worked on together, cut once they reach ``most``."""
     start = total = 0
     for at, size in enumerate(sizes):
         total += size or 0
-        if total >= CHUNK_LETTERS:
+        if total >= most:
             yield start, at + 1
             start, total = at + 1, 0
     if start < len(sizes):

@@ -16,6 +16,7 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,9 @@ MODEL = "word_bpe_49k.json"
 END_ID = 2
 BLOCK_IDS = 2048
 #: Blocks that are coded in step, so a task holds this many blocks of ids at most.
-LANES = 1024
+LANES = 512
+#: Texts that are cut into words together, by their total bytes.
+CHUNK_BYTES = 1_000_000
 #: Words that a worker remembers: at most twice as many.
 MEMORY = 200_000
 FILE = "shard int, block long, doc_ids array<long>, doc_ends array<int>, n_ids int, checksum long, payload binary"
@@ -85,9 +88,10 @@ def _encode(model: str):
             return pa.RecordBatch.from_pydict(rows, schema=shape)
 
         for batch in batches:
-            names, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for start, end in chunks(list(map(len, texts))):
-                for doc, ids in zip(names[start:end], token_ids(texts[start:end], model), strict=True):
+            names = batch.column(0).to_pylist()
+            for start, end in chunks(pc.binary_length(batch.column(1)).to_pylist(), CHUNK_BYTES):
+                texts = [t or "" for t in batch.column(1).slice(start, end - start).to_pylist()]
+                for doc, ids in zip(names[start:end], token_ids(texts, model), strict=True):
                     parts.append(ids)
                     held += len(ids)
                     ends.append((doc, held))
