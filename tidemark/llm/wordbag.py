@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 #: Most words that the broadcast head of a word table may have.
-HEAD_WORDS = 100_000
+HEAD_WORDS = 200_000
 #: Rows that leave a Python worker together.
 ROWS_AT_ONCE = 200_000
 
