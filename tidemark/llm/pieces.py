@@ -54,6 +54,8 @@ class Pieces:
             elif not (model.is_control(number) or model.is_unknown(number)):
                 self.ids[name] = number
                 self.rank[name] = -model.get_score(number)
+        self.is_byte = np.zeros(len(self.names), dtype=bool)
+        self.is_byte[list(self.byte_of)] = True
         self.letters = {c for c in self.ids if len(c) == 1}
         #: Lengths of the pieces that end in two given letters, the longest first.
         self.lengths: dict[str, list[int]] = {}
@@ -135,8 +137,8 @@ class Pieces:
         return out
 
     def encode_words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of each distinct marked word, as the bytes of their 32-bit integers."""
-        parts = {w: self._parts(w) for w in words}
+        """Ids of each distinct word, given without its first mark, as the bytes of their 32-bit integers."""
+        parts = {w: self._parts(MARK + w) for w in words}
         states = dict(self.forward(sorted({p for found in parts.values() for kind, p in found if kind == "word"})))
         out = {}
         for word, found in parts.items():
@@ -171,6 +173,8 @@ class Pieces:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text that ids stand for, without the mark put before it."""
+        if not self.is_byte[ids].any():
+            return "".join(map(self.names.__getitem__, ids.tolist()))[1:].replace(MARK, " ")
         out, raw = [], bytearray()
         for number in ids.tolist():
             byte = self.byte_of.get(number)
@@ -191,9 +195,13 @@ def vocabulary(name: str) -> Pieces:
     return Pieces(public_tokenizers.path(name))
 
 
-def marked_words(text: str | None) -> list[str]:
-    """The marked words of a text in order; an empty text has none."""
-    return MARKED_WORD.findall(MARK + text.replace(" ", MARK)) if text else []
+def pre_tokens(text: str | None) -> list[str]:
+    """The marked words of a text in order, each without its first mark; an empty text has none."""
+    if not text:
+        return []
+    if "  " in text or MARK in text or text[0] == " " or text[-1] == " ":
+        return [w[1:] for w in MARKED_WORD.findall(MARK + text.replace(" ", MARK))]
+    return text.split(" ")
 
 
 _recent = Recent(MEMORY)
@@ -201,7 +209,7 @@ _recent = Recent(MEMORY)
 
 def encode_texts(texts: list[str | None], pieces: Pieces) -> list[np.ndarray]:
     """Ids of each text; every distinct word is encoded once, and remembered while it is frequent."""
-    split = [marked_words(t) for t in texts]
+    split = [pre_tokens(t) for t in texts]
     table = _recent.table({w for words in split for w in words}, pieces.encode_words)
     return [np.frombuffer(b"".join(map(table.__getitem__, words)), dtype=np.int32) for words in split]
 

@@ -11,24 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
-from .pieces import MARK, MARKED_WORD, MODEL
+from .pieces import MODEL, pre_tokens
 from .wordbag import HEAD_WORDS, frequencies, keyed, sum_by_row, totals, with_sums
 
 LIMIT = 4096
 
 
-def pre_tokens(text: str) -> list[str]:
-    """Runs of marks with the word after them, each without its first mark, which the library puts back.
-
-    No piece of the vocabulary reaches across, so counts add up.
-    """
-    if not text:
-        return []
-    if "  " in text or MARK in text or text[0] == " " or text[-1] == " ":
-        return [w[1:] for w in MARKED_WORD.findall(MARK + text.replace(" ", MARK))]
-    return text.split(" ")
-
-
 @lru_cache(maxsize=2)
 def library(model: str) -> sentencepiece.SentencePieceProcessor:
     return sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(model))
