@@ -79,5 +79,89 @@ def test_branches_cut_at_any_size(spark, monkeypatch):
     assert all(a[:5] == b[:5] and abs(a[6] - b[6]) < 1e-9 for a, b in zip(whole, cut, strict=True))
 
 
+def plain_across(rows):
+    """Scores by brute force, contexts running through the whole text."""
+
+    def stream(text):
+        raw = b"".join(w + b" " for w in (text or "").encode().lower().split()) + b"\n"
+        padded = bytes(DEPTH - 1) + b" " + raw
+        for i, byte in enumerate(raw):
+            for left in range(7, -1, -1):
+                yield padded[i : i + DEPTH][::-1], 1 << 7 - left | byte >> left + 1, byte >> left & 1
+
+    counts, children, memo = defaultdict(lambda: [0, 0]), defaultdict(set), {}
+    for d, text in rows:
+        use = d is not None and zlib.crc32(str(d).encode()) % 10 != 0
+        for context, node, bit in stream(text):
+            for k in range(DEPTH + 1):
+                counts[context[:k], node][bit] += use
+                if k:
+                    children[context[: k - 1], node].add(context[:k])
+
+    def weighted(context, node):
+        if (context, node) not in memo:
+            own, below = kt(*counts[context, node]), sum(weighted(c, node) for c in children[context, node])
+            memo[context, node] = own if len(context) == DEPTH else math.log(0.5) + max(own, below) + math.log1p(math.exp(-abs(own - below)))
+        return memo[context, node]
+
+    def one(context, node, k=0):
+        zeros, ones = counts[context[:k], node]
+        own = (ones + 0.5) / (zeros + ones + 1)
+        stop = 1 if k == DEPTH else 0.5 * math.exp(kt(zeros, ones) - weighted(context[:k], node))
+        return stop * own + (1 - stop) * one(context, node, k + 1) if k < DEPTH else own
+
+    for d, text in rows:
+        every = [math.log10(p if bit else 1 - p) for c, node, bit in stream(text) for p in [one(c, node)]]
+        yield d, sum(every), -sum(every) / math.log10(2) / (len(every) / 8)
+
+
+def test_scores_across_words_match_a_plain_context_tree(spark, monkeypatch):
+    rows = [r for r in ROWS if r[0] != 6] + [(i, f"Some words {i} and some more wordy words{i % 3} ünd") for i in range(30, 60)]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    want, bounded = sorted(plain_across(rows), key=key), {r.doc_id: r for r in ctw.score_texts(documents(spark, rows), depth=DEPTH).collect()}
+    for head, together in ((ctw.HEAD_GRAMS, 1 << 20), (20, 1 << 20), (0, 7)):
+        monkeypatch.setattr(ctw, "BYTES_AT_ONCE", together)
+        found = ctw.score_texts(documents(spark, rows), depth=DEPTH, head_words=3, across_words=True, head_grams=head).collect()
+        for got, (d, score, bits) in zip(sorted(found, key=lambda r: key((r.doc_id, r.score))), want, strict=True):
+            assert got.doc_id == d and abs(got.score - score) < 1e-6 and abs(got.bits_per_byte - bits) < 1e-6
+            if d is not None and d > 2:
+                assert got[1:5] == bounded[d][1:5] and abs(got.base_score - bounded[d].base_score) < 1e-6
+
+
+def test_word_order_changes_the_score_of_the_query(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    fluent = " ".join(["the cat sat on the mat and saw the dog run"] * 5)
+    shuffled = " ".join(sorted(fluent.split()))
+    documents(spark, [*((i, fluent) for i in range(1, 60)), (100, fluent), (101, shuffled)]).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in entry.queries()["op8_ctw_scores"](spark, str(tmp_path)).collect()}
+    assert abs(found[100].base_score - found[101].base_score) < 1e-6
+    assert found[100].score > found[101].score + 1
+
+
+def test_counts_are_the_same_however_many_are_held(spark, monkeypatch):
+    from collections import Counter
+
+    import pyarrow as pa
+
+    texts = [f"word{i % 5} and more{i % 3} of it" for i in range(50)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([i % 4 > 0 for i in range(50)])], ["text", "trains"])
+    sums = []
+    for held, together in ((1 << 22, 1 << 20), (30, 64)):
+        monkeypatch.setattr(ctw, "COUNTS_HELD", held)
+        monkeypatch.setattr(ctw, "BYTES_AT_ONCE", together)
+        n, total = Counter(), Counter()
+        for out in ctw._text_gram_counts(6)([batch]):
+            for gram, a, b in zip(*(c.to_pylist() for c in out.columns), strict=True):
+                n[gram] += a
+                total[gram] += b
+        sums.append((n, total))
+    assert sums[0] == sums[1] and sum(sums[0][1].values()) == sum(len(t) + 2 for t in texts)
+
+
+def test_empty_table_across_words(spark):
+    assert ctw.score_texts(documents(spark, []), across_words=True).count() == 0
+
+
 def test_empty_table(spark):
     assert ctw.score_texts(documents(spark, [])).count() == 0

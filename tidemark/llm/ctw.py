@@ -13,7 +13,13 @@ Counts start from the distinct training words, weighted by how often they
 occur. The tree is cut below its second level: what hangs from one pair of
 nearest bytes is in one partition, where numpy adds up the levels and, in a
 second pass, carries the weights down; the levels above are grouped sums of a
-size that the bytes bound. Texts are scored through their words.
+size that the bytes bound.
+
+By default a context stops at the blank before the word, and texts are scored
+through their words. With ``across_words`` the bytes before a byte are those of
+the text, words joined by one blank each, through to its beginning. Its grams
+are counted text by text and looked up position by position: the frequent ones
+in a broadcast table of bounded size, the rest joined by shuffle.
 """
 
 from __future__ import annotations
@@ -27,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold_remainder, materialize
-from .wordbag import HEAD_WORDS, NO_ID, frequencies, keyed, sum_by_row, with_sums, written_totals
+from .wordbag import HEAD_WORDS, KEY, NO_ID, frequencies, head_of, keyed, sum_by_row, with_sums, written_totals
 
 DEPTH = 6
 #: Nearest bytes by which the tree is partitioned.
@@ -39,6 +45,12 @@ BLANK = 0x20
 #: The end of a text, coded as a byte that no word has.
 END = b"\n"
 SMOOTHING = 0.1
+#: Most grams that the broadcast head of the gram table may have.
+HEAD_GRAMS = 2_000_000
+#: Bytes of text that are turned into grams together.
+BYTES_AT_ONCE = 1 << 20
+#: Distinct grams that a task adds up before it hands them on.
+COUNTS_HELD = 1 << 22
 
 
 def tokens(text: str) -> list[bytes]:
@@ -60,6 +72,128 @@ def word_grams(words: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.n
     return owner, gram << 8 | flat[at]
 
 
+def text_grams(texts: list[str], depth: int = DEPTH):
+    """Arrays (number of the text, gram) for the coded bytes of each text, its words' blanks and its end included; about ``BYTES_AT_ONCE`` together."""
+    before = bytes(depth - 1) + bytes([BLANK])
+    group, first, size = [], 0, 0
+    for at, text in enumerate(texts):
+        group.append(before + b"".join(w + bytes([BLANK]) for w in tokens(text)) + END)
+        size += len(group[-1])
+        if size >= BYTES_AT_ONCE or at == len(texts) - 1:
+            lengths = np.fromiter(map(len, group), dtype=np.int64, count=len(group))
+            flat, owner = np.frombuffer(b"".join(group), dtype=np.uint8), np.repeat(np.arange(first, at + 1, dtype=np.int32), lengths)
+            is_coded = np.ones(len(flat), dtype=bool)
+            is_coded[((np.cumsum(lengths) - lengths)[:, None] + np.arange(depth)).ravel()] = False
+            for start in range(depth, len(flat), BYTES_AT_ONCE):
+                end = min(start + BYTES_AT_ONCE, len(flat))
+                bytes_ = flat[start - depth : end].astype(np.int64)
+                gram = np.zeros(end - start, dtype=np.int64)
+                for back in range(depth, -1, -1):
+                    gram = gram << 8 | bytes_[depth - back : len(bytes_) - back]
+                # The context's nearest byte is lowest, and the coded byte below it.
+                yield owner[start:end][is_coded[start:end]], gram[is_coded[start:end]]
+            group, first, size = [], at + 1, 0
+
+
+def _text_gram_counts(depth: int):
+    """(gram, n, total) of the texts of a partition, n being the count in training texts."""
+
+    def added(parts):
+        grams, n, total = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(grams, kind="stable")
+        grams = grams[order]
+        starts = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
+        return grams[starts], np.add.reduceat(n[order], starts), np.add.reduceat(total[order], starts)
+
+    def packed(parts):
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in added(parts)], ["gram", "n", "total"])
+
+    def rows(batches):
+        held: list = []
+        for batch in batches:
+            trains = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            for owner, grams in text_grams(batch.column(0).to_pylist(), depth):
+                once, total = np.unique(grams << 1 | trains[owner], return_counts=True)
+                held.append((once >> 1, total * (once & 1), total))
+                # Like sizes are added up together, so a gram is sorted a logarithmic number of times.
+                while len(held) > 1 and len(held[-2][0]) < 2 * len(held[-1][0]):
+                    held[-2:] = [added(held[-2:])]
+                if sum(len(h[0]) for h in held) > COUNTS_HELD:
+                    yield packed(held)
+                    held = []
+        if held:
+            yield packed(held)
+
+    return rows
+
+
+class GramTable:
+    """Scores of grams by a table with one slot a hash; those that lost their slot are found by bisection.
+
+    ``grams`` come in rising order of frequency: of those with one hash the last has the slot.
+    """
+
+    def __init__(self, grams: np.ndarray, scores: np.ndarray):
+        self.shift = np.uint64(64 - max(1, int(2 * len(grams)).bit_length()))
+        self.keys = np.full(1 << 64 - int(self.shift), -1, dtype=np.int64)
+        self.values = np.zeros(len(self.keys))
+        slots = self.slots(grams)
+        self.keys[slots] = grams
+        kept = self.keys[slots] == grams
+        self.values[slots[kept]] = scores[kept]
+        lost = np.flatnonzero(~kept)
+        lost = lost[np.argsort(grams[lost])]
+        self.more, self.more_values = np.append(grams[lost], np.int64(2**63 - 1)), np.append(scores[lost], 0.0)
+
+    def slots(self, grams: np.ndarray) -> np.ndarray:
+        return ((grams.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def look_up(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores, 0 where there is none, and the places of those without."""
+        slots = self.slots(grams)
+        scores = self.values[slots]
+        missed = np.flatnonzero(self.keys[slots] != grams)
+        at = np.searchsorted(self.more, grams[missed])
+        scores[missed] = self.more_values[at]
+        absent = self.more[at] != grams[missed]
+        scores[missed[absent]] = 0.0
+        return scores, missed[absent]
+
+
+def _text_sums(depth: int, head):
+    """Of rows (own_id, text_hash, text): one row with the head's sum and the number of coded bytes a text, and one row for each gram that the head lacks."""
+
+    def rows(batches):
+        table = None
+        for batch in batches:
+            table = table or GramTable(*head.value)
+            n = batch.num_rows
+            sums, coded = np.zeros(n), np.zeros(n, dtype=np.int64)
+            for owner, grams in text_grams(batch.column(2).to_pylist(), depth):
+                scores, absent = table.look_up(grams)
+                sums += np.bincount(owner, weights=scores, minlength=n)
+                coded += np.bincount(owner, minlength=n)
+                if len(absent):
+                    at = pa.array(owner[absent])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(grams[absent]), pa.nulls(len(absent), pa.float64()), pa.nulls(len(absent), pa.int64())], [*KEY, "gram", "score", "coded"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.nulls(n, pa.int64()), pa.array(sums), pa.array(coded)], [*KEY, "gram", "score", "coded"])
+
+    return rows
+
+
+def sums_across_words(rows: DataFrame, trains: Column, depth: int, head_grams: int) -> DataFrame:
+    """(own_id, text_hash, score, coded) by contexts that run through the whole text; one row or more for each row of ``rows``."""
+    counted = rows.select("text", trains.alias("trains")).mapInArrow(_text_gram_counts(depth), "gram long, n long, total long")
+    grams = materialize(counted.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("total").alias("total")), "grams")
+    scores = materialize(gram_scores(grams, depth), "gram-scores")
+    head = head_of(grams, bound=head_grams, steps=8).select("gram", "total").join(scores, "gram").toArrow()
+    order = np.argsort(head.column("total").to_numpy(), kind="stable")
+    head = rows.sparkSession.sparkContext.broadcast((head.column("gram").to_numpy()[order], head.column("log10p").to_numpy()[order]))
+    found = materialize(rows.select(*KEY, "text").mapInArrow(_text_sums(depth, head), "own_id long, text_hash long, gram long, score double, coded long"), "text-sums")
+    rest = found.where("gram is not null").select(*KEY, "gram").join(scores, "gram").groupBy(*KEY).agg(F.sum("log10p").alias("score"))
+    return found.where("gram is null").select(*KEY, "score", "coded").unionByName(rest.withColumn("coded", F.lit(0).cast("long")))
+
+
 def _gram_counts(depth: int):
     def rows(batches):
         for batch in batches:
@@ -221,13 +355,16 @@ def gram_scores(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
     return both.repartition(parts, branch).mapInArrow(_score_rows(depth), "gram long, log10p double")
 
 
-def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", depth: int = DEPTH, folds: int = FOLDS, head_words: int = HEAD_WORDS) -> DataFrame:
+def score_texts(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", depth: int = DEPTH, folds: int = FOLDS, head_words: int = HEAD_WORDS, across_words: bool = False, head_grams: int = HEAD_GRAMS
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     Training rows are those whose crc32(id as text) modulo ``folds`` is not 0;
     rows with a null id are held out. ``base_score`` is the smoothed unigram
-    log10 probability and ``score`` that of the context tree; both cover the
-    text's words and its end. ``bits_per_byte`` spreads ``score`` over the
+    log10 probability and ``score`` that of the context tree, whose contexts
+    end at the word's beginning or, ``across_words``, at the text's; both cover
+    the text's words and its end. ``bits_per_byte`` spreads ``score`` over the
     coded bytes. Null texts count as empty, which have the end only. Repeated
     rows count and stay; other columns are ignored.
     """
@@ -236,23 +373,29 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     bags = frequencies(rows, tokens, "binary")
     words = written_totals(bags, "words", {"train": F.when(trains, F.col("n")).otherwise(0)})
     ends = rows.agg(F.count(F.lit(1)).alias("total"), F.coalesce(F.sum(trains.cast("long")), F.lit(0)).alias("train")).select(F.lit(END).alias("word"), "total", "train")
-    words = materialize(words.unionByName(ends).withColumn("word_id", F.xxhash64("word")), "words")
-
-    grams = materialize(words.select("word", "train").mapInArrow(_gram_counts(depth), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    scores = materialize(gram_scores(grams, depth), "gram-scores")
-    spelt = words.select("word", "word_id").mapInArrow(_words_to_grams(depth), "word_id long, gram long")
-    word_scores = materialize(spelt.join(scores, "gram").groupBy("word_id").agg(F.sum("log10p").alias("log10p")), "word-scores")
-
-    sums = words.agg(F.sum("train").alias("tokens"), F.sum((F.col("train") > 0).cast("long")).alias("distinct")).first()
+    sums = words.unionByName(ends).agg(F.sum("train").alias("tokens"), F.sum((F.col("train") > 0).cast("long")).alias("distinct")).first()
     n, below = sums["tokens"] or 0, (sums["tokens"] or 0) + SMOOTHING * ((sums["distinct"] or 0) + 1)
     base = F.log10((F.col("train") + SMOOTHING) / F.lit(below))
-    full = materialize(words.join(word_scores, "word_id").select("word", "total", "log10p", base.alias("base"), (F.col("train") > 0).cast("long").alias("known"), (F.octet_length("word") + 1).cast("long").alias("coded")), "scored-words")
-    end = full.where(F.col("word") == F.lit(END)).first()
-
-    values = {"n_tokens": F.col("n"), "n_known": F.col("n") * F.col("known"), "base_score": F.col("n") * F.col("base"), "score": F.col("n") * F.col("log10p"), "coded": F.col("n") * F.col("coded")}
-    added = with_sums(rows, sum_by_row(bags, full.where(F.col("word") != F.lit(END)), values, head_words), list(values), {"held_out": ~trains})
-    if end is None:
-        end = {"known": 0, "base": 0.0, "log10p": 0.0}
+    known = (F.col("train") > 0).cast("long")
+    values = {"n_tokens": F.col("n"), "n_known": F.col("n") * F.col("known"), "base_score": F.col("n") * F.col("base")}
+    if across_words:
+        full = words.select("word", "total", base.alias("base"), known.alias("known"))
+        end = ends.select(base.alias("base"), known.alias("known"), F.lit(0.0).alias("log10p"), F.lit(0).alias("coded")).first()
+        of_words = sum_by_row(bags, full, values, head_words).withColumns({"score": F.lit(0.0), "coded": F.lit(0).cast("long")})
+        of_texts = sums_across_words(rows, trains, depth, head_grams).withColumns({"n_tokens": F.lit(0).cast("long"), "n_known": F.lit(0).cast("long"), "base_score": F.lit(0.0)})
+        each = of_words.unionByName(of_texts).groupBy(*KEY).agg(*(F.sum(c).alias(c) for c in (*values, "score", "coded")))
+        added = with_sums(rows, each, [*values, "score", "coded"], {"held_out": ~trains})
+    else:
+        words = materialize(words.unionByName(ends).withColumn("word_id", F.xxhash64("word")), "words")
+        grams = materialize(words.select("word", "train").mapInArrow(_gram_counts(depth), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
+        scores = materialize(gram_scores(grams, depth), "gram-scores")
+        spelt = words.select("word", "word_id").mapInArrow(_words_to_grams(depth), "word_id long, gram long")
+        word_scores = materialize(spelt.join(scores, "gram").groupBy("word_id").agg(F.sum("log10p").alias("log10p")), "word-scores")
+        full = materialize(words.join(word_scores, "word_id").select("word", "total", "log10p", base.alias("base"), known.alias("known"), (F.octet_length("word") + 1).cast("long").alias("coded")), "scored-words")
+        end = full.where(F.col("word") == F.lit(END)).first()
+        values |= {"score": F.col("n") * F.col("log10p"), "coded": F.col("n") * F.col("coded")}
+        added = with_sums(rows, sum_by_row(bags, full.where(F.col("word") != F.lit(END)), values, head_words), list(values), {"held_out": ~trains})
+        end = {"known": end["known"], "base": end["base"], "log10p": end["log10p"], "coded": end["coded"] - 1} if end else {"known": 0, "base": 0.0, "log10p": 0.0, "coded": 1}
     score = F.col("score") + end["log10p"]
     return added.select(
         "doc_id",
@@ -262,5 +405,5 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base_score") + end["base"]).alias("base_score"),
         score.alias("score"),
-        (-score / math.log10(2) / (F.col("coded") + 1)).alias("bits_per_byte"),
+        (-score / math.log10(2) / (F.col("coded") + end["coded"])).alias("bits_per_byte"),
     )

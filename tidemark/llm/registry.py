@@ -79,7 +79,7 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_ctw_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ctw.score_texts(table(spark, sf_dir, "documents"))
+    return ctw.score_texts(table(spark, sf_dir, "documents"), across_words=True)
 
 
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

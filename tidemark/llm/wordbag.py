@@ -75,20 +75,22 @@ def with_sums(rows: DataFrame, sums: DataFrame, names: list[str], keep: dict[str
     return opened.drop("copy")
 
 
-def head_of(words: DataFrame, weight: str = "total", bound: int = HEAD_WORDS) -> DataFrame:
+def head_of(words: DataFrame, weight: str = "total", bound: int = HEAD_WORDS, steps: int = 1) -> DataFrame:
     """The most frequent words of the written table ``words``, at most ``bound`` of them.
 
-    The threshold comes from a histogram of the weights over powers of two:
-    the words of all classes that fit together within the bound.
+    The threshold comes from a histogram of the weights over powers of two,
+    each in ``steps`` classes: the words of all classes that fit together
+    within the bound.
     """
-    classes = words.groupBy(F.floor(F.log2(weight)).alias("power")).count().collect()
+    power = F.floor(F.log2(weight) * steps)
+    classes = words.groupBy(power.alias("power")).count().collect()
     total, least = 0, None
     for row in sorted(classes, reverse=True):
         total += row["count"]
         if total > bound:
             break
         least = row["power"]
-    return words.where(F.floor(F.log2(weight)) >= least) if least is not None else words.limit(0)
+    return words.where(power >= least) if least is not None else words.limit(0)
 
 
 def sum_by_row(bags: DataFrame, words: DataFrame, values: dict[str, Column], bound: int = HEAD_WORDS) -> DataFrame:
