@@ -66,3 +66,14 @@ def test_messages_raise_a_repeated_token():
     model.weights[0, 3] = 4
     p = pii.marginals(graph, model)
     assert p[0, 3] > 0.9 and (p[1:, 3] > 0.25).all() and p[1, 3] >= p[3, 3]
+
+
+def test_candidates_in_a_row_keep_their_links_to_earlier_mentions():
+    text = "+1 (407) 555-7710 was called, then +1 (407) 555-7710"
+    tokens = lambda t, g: [(t[g.spans[a][1] : g.spans[a][2]], t[g.spans[b][1] : g.spans[b][2]]) for a, b in g.skip]
+    assert tokens(text, pii.graph([text])) == [("555-7710", "555-7710")]
+    text = "jo@x.org ann@y.org wrote, so did jo@x.org ann@y.org ann@y.org"
+    found = pii.graph([text])
+    # The last two are neighbours with one key: their chain link stands for the skip link.
+    assert tokens(text, found) == [("jo@x.org", "jo@x.org"), ("ann@y.org", "ann@y.org")]
+    assert (3, 4) in map(tuple, found.chain) and (3, 4) not in map(tuple, found.skip)

@@ -147,11 +147,12 @@ def graph(texts: list[str]) -> Graph:
         for start, end in candidates(text):
             node = len(spans)
             token = text[start:end]
-            if spans and spans[-1][0] == doc and start - spans[-1][2] == 1:
+            follows = bool(spans) and spans[-1][0] == doc and start - spans[-1][2] == 1
+            if follows:
                 chain.append((node - 1, node))
             for key in similarity_keys(token):
-                # Each mention is linked to the one before it, so a token repeated n times has n - 1 links.
-                if key in last and (node - 1, node) not in chain[-1:]:
+                # Each mention is linked to the one before it, so a token repeated n times has n - 1 links, chain links included.
+                if key in last and not (follows and last[key] == node - 1):
                     skip.append((last[key], node))
                 last[key] = node
             spans.append((doc, start, end))
