@@ -77,3 +77,14 @@ def test_candidates_in_a_row_keep_their_links_to_earlier_mentions():
     # The last two are neighbours with one key: their chain link stands for the skip link.
     assert tokens(text, found) == [("jo@x.org", "jo@x.org"), ("ann@y.org", "ann@y.org")]
     assert (3, 4) in map(tuple, found.chain) and (3, 4) not in map(tuple, found.skip)
+
+
+def test_training_sees_the_whole_text(spark, monkeypatch):
+    text = " and ".join(f"{i:05d}" for i in range(3000)) + " then late@end.org"
+    seen = []
+    monkeypatch.setattr(pii, "fit", lambda texts: seen.append(texts))
+    pii.train(documents(spark, [(1, text)]), runs=10_000)
+    pii.train(documents(spark, [(1, text)]), runs=100)
+    assert "late@end.org" in seen[0][0] and len(seen[0][0].split(" . ")) == 3001
+    few = seen[1][0].split(" . ")
+    assert len(few) == 100 and few == sorted(few) and few[-1] > "02000"
