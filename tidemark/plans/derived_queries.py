@@ -255,8 +255,7 @@ def stream_fold(spark, sf_dir):
 
 def stream_dedupe(spark, sf_dir):
     path = f"{_shared(spark)}/stream-{uuid.uuid4().hex}"
-    events = _events_stream(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-    fold.run_to(fold.keep_first(events, ["user_id", "event_type"], "ts", "60 days").select("user_id", "event_type"), f"{path}/table", "append", f"{path}/state")
+    fold.run_to(fold.keep_first_ever(_events_stream(spark, sf_dir), ["user_id", "event_type"]).select("user_id", "event_type"), f"{path}/table", "append", f"{path}/state")
     return spark.read.parquet(f"{path}/table").select("user_id", "event_type")
 
 

@@ -28,6 +28,11 @@ def keep_first(stream: DataFrame, key: list[str], time: str, delay: str) -> Data
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(key)
 
 
+def keep_first_ever(stream: DataFrame, key: list[str]) -> DataFrame:
+    """One entry per key over all time; no key is forgotten, so the state grows with the keys."""
+    return stream.dropDuplicates(key)
+
+
 def tumbling(stream: DataFrame, time: str, width: str, delay: str, keys: list[str], start: str | None = None) -> DataFrame:
     """Counts per window; Monday weeks are ``7 days`` from ``4 days``."""
     window = F.window(time, width, width, start) if start else F.window(time, width)
