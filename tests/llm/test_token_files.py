@@ -1,5 +1,6 @@
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -16,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.lists(st.sampled_from([0, 1, 2, 5, 7, 300, 49151, 65535]), max_size=80), max_size=6))
+@given(st.lists(st.lists(st.sampled_from([0, 1, 2, 5, 7, 300, 49151, 65535]), max_size=200), max_size=6))
 def test_coder_round_trip(blocks):
     arrays = [np.array(b, dtype="<u4") for b in blocks]
     back = range_coder.decode_blocks(range_coder.encode_blocks(arrays), list(map(len, arrays)))
@@ -25,13 +26,38 @@ def test_coder_round_trip(blocks):
 
 def test_coder_on_long_and_skewed_blocks():
     rng = np.random.default_rng(1)
-    blocks = [rng.integers(0, 1 << 16, 3000), np.zeros(5000, np.int64), rng.zipf(1.3, 4000) % 49152, np.tile([5, 9, 5, 11], 700), np.full(2500, 65535)]
+    blocks = [rng.integers(0, 1 << 16, 2000), np.zeros(2048, np.int64), rng.zipf(1.3, 2048) % 49152, np.tile([5, 9, 5, 11], 500), np.full(1500, 65535), np.arange(2048)]
     coded = range_coder.encode_blocks(blocks)
     assert all((a == b).all() for a, b in zip(range_coder.decode_blocks(coded, list(map(len, blocks))), blocks, strict=True))
-    assert len(coded[1]) < 400 and len(coded[3]) < 800 and len(coded[2]) < 2 * 4000
+    assert len(coded[1]) < 300 and len(coded[3]) < 500 and len(coded[2]) < 1.6 * 2048
     assert range_coder.encode_blocks([blocks[3]]) == [coded[3]]  # blocks don't depend on their neighbours
     with pytest.raises(ValueError):
         range_coder.encode_blocks([np.array([1 << 16])])
+    with pytest.raises(ValueError):
+        range_coder.encode_blocks([np.zeros(range_coder.LONGEST + 1, np.int64)])
+
+
+def test_bits_of_an_id():
+    """Text is coded in fewer bits than its ids' own frequencies would take in the block alone."""
+    texts = [t for (t,) in duckdb.sql(f"SELECT text FROM '{SF}/documents.parquet' WHERE text <> ''").fetchall()]
+    stream = np.concatenate(token_files.token_ids(texts))
+    blocks = [stream[i : i + token_files.BLOCK_IDS] for i in range(0, len(stream), token_files.BLOCK_IDS)]
+    bits = 8 * sum(map(len, range_coder.encode_blocks(blocks)))
+    assert bits / len(stream) < 8.6
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.binary(max_size=40), max_size=6))
+def test_joined_crc(parts):
+    assert token_files.joined_crc([(len(p), zlib.crc32(p)) for p in parts]) == zlib.crc32(b"".join(parts))
+
+
+def test_words_that_hold_the_mark():
+    library = Tokenizer.from_file(public_tokenizers.path(token_files.MODEL))
+    new = ["plain", "a\x01b", "\x01", "", "x\ty", "<|endoftext|>", "don't", "e\u0301"]
+    for part in (new, ["plain", "", "x\ty", "<|endoftext|>", "\u0301e"]):
+        found = token_files._encoded(part, token_files.MODEL)
+        assert {w: np.frombuffer(c, "<u4").tolist() for w, c in found.items()} == {w: library.encode(w, add_special_tokens=False).ids for w in part}
 
 
 def expected(rows):

@@ -1,14 +1,16 @@
 """Adaptive context-mixing range coder for token ids, many blocks in step.
 
 Every block starts from a fresh model and is coded on its own. Three
-predictions of the next id share the range: order 2 and order 1 each name the
-id that followed the last two ids, or the last id, before; order 0 gives every
-id that the block has seen a share by its count, and the rest to new ids. The
-shares of the orders are mixing weights that the block learns, by how sure
-either candidate is and whether they agree. Candidates follow every id; counts
-and weights are renewed each time that the history has doubled. The same model
+predictions of the next id share the range. Order 2 holds the last two ids
+that followed the last two ids, order 1 the last four that followed the last
+id; each gives an id the share of its places among them. Order 0 gives every
+id of the block so far a share by its count, and the rest to new ids. How much
+of the range each order has is learnt, by how many and how different ids the
+orders hold. All counts, weights and candidates are renewed after every id.
+
+Inside a block ids are numbered by first appearance, from 1. The same model
 code drives encoder and decoder. Blocks are columns of numpy arrays, so one
-step handles one token of each of a thousand blocks.
+step handles one id of each of a thousand blocks.
 """
 
 from __future__ import annotations
@@ -18,39 +20,45 @@ import numpy as np
 #: Shares of a prediction are out of this.
 TOTAL_BITS = 20
 TOTAL = 1 << TOTAL_BITS
-#: What order 0 always keeps.
-LEAST = TOTAL >> 5
 #: Ids are below this; new ones are written as they are.
 ID_BITS = 16
 WORD = np.int64(0xFFFF)
-#: The range stays between these, so that one word a step is enough to widen it.
+#: The range stays above the floor, so that one word a step is enough to widen it.
 FLOOR, CEILING = np.int64(1 << 32), np.int64(1 << 48)
-ORDER_1, ORDER_2 = 1 << 10, 1 << 11
-#: Lengths of history at which counts and weights are renewed.
-RENEWALS = (0, 16, 32, 64, 128, 256, 512, 1024)
-
-
-def _priors() -> tuple[np.ndarray, np.ndarray]:
-    """Weights of order 2 and order 1, in 64ths, before anything is learnt.
-
-    A context is (state of order 2) * 6 + (state of order 1) * 2 + (both agree);
-    states are 0 no candidate, 1 a candidate, 2 one that was right when last asked.
+#: Ids of a block at most.
+LONGEST = 2048
+#: What order 0 always keeps: 16 for every count and every new id, which the widening needs.
+LEAST = 17 * (2 * LONGEST + 1)
+#: Slots of order 2; each knows the two ids that it is for.
+SLOTS = 2048
+#: Four numbers below 2^15 share an integer: one in each, their top bits, all bits but those.
+EACH, HIGH, REST = np.uint64(0x0001000100010001), np.uint64(0x8000800080008000), np.uint64(0x7FFF7FFF7FFF7FFF)
+LOW16, ONE, B4, B15, B16 = np.uint64(0xFFFF), np.uint64(1), np.uint64(4), np.uint64(15), np.uint64(16)
+STEPS = np.arange(LONGEST // 16, dtype=np.int16)[:, None]
+
+
+def _priors() -> np.ndarray:
+    """Counts of order 0, order 1, order 2 and all before anything is learnt.
+
+    A context is ((state of order 2) * 2 + agreement) * 10 + (state of order 1).
+    The state of order 2 is its ids, 3 for two different ones; that of order 1
+    its ids, and 5 more if the last two are the same; they agree if the last
+    id that either holds is the same.
     """
-    two, one = np.zeros(18, np.int64), np.zeros(18, np.int64)
-    for context in range(18):
-        state_2, state_1, agree = context // 6, context // 2 % 3, context % 2
-        two[context] = (0, 16, 40)[state_2] + 6 * (agree and state_2 > 0)
-        one[context] = 0 if agree else ((0, 8, 20) if state_2 == 0 else (0, 4, 10))[state_1]
-    return two, one
+    found = np.zeros((80, 4), np.float32)
+    for context in range(80):
+        state_2, agree, state_1 = context // 20, context // 10 % 2, context % 10
+        two = (0, 2.0, 3.0, 2.0)[state_2] + (agree and state_2 > 0)
+        one = 0 if state_1 % 5 == 0 else (0.5 if state_1 < 5 else 2.0) * (6 - two) / 8
+        found[context] = (6 - two - one, one, two, 6)
+    return found
 
 
-PRIOR_2, PRIOR_1 = _priors()
-CONTEXTS = len(PRIOR_2)
+PRIORS = _priors()
+CONTEXTS = len(PRIORS)
 
 
 class Encoder:
-    decoding = False
-
     def __init__(self, lanes: int, longest: int):
         self.low, self.range = np.zeros(lanes, np.int64), np.full(lanes, CEILING)
         self.width = 2 * longest + 3
@@ -91,16 +99,15 @@ class Encoder:
 
 
 class Decoder:
-    decoding = True
-
     def __init__(self, payloads: list[bytes]):
         lanes, self.width = len(payloads), max(map(len, payloads)) // 2 + 1
-        data = np.zeros((lanes, self.width), np.int64)
+        data = np.zeros((lanes, self.width), np.uint16)
         for i, p in enumerate(payloads):
             data[i, : len(p) // 2] = np.frombuffer(p, ">u2")
         self.range = np.full(lanes, CEILING)
+        start = data[:, :3].astype(np.int64)
         #: How far the written number lies above the range's lower end.
-        self.above = data[:, 0] << 32 | data[:, 1] << 16 | data[:, 2]
+        self.above = start[:, 0] << 32 | start[:, 1] << 16 | start[:, 2]
         self.data, self.at, self.last = data.ravel(), np.arange(lanes) * self.width + 3, lanes * self.width - 1
 
     def _widen(self, lanes):
@@ -127,114 +134,182 @@ class Decoder:
         return ids
 
 
-class History:
-    """Order 0 and the mixing weights, as of a renewal.
+class Counts:
+    """Order 0: how often each id of a block occurred, with the sums before it.
 
-    Ids seen so far are sorted, and each place knows where the run of its id
-    starts and ends; the place after the last stands for a new id.
+    Sums before every 16 ids are kept as rows of lanes; inside, four counts of
+    four ids each share an integer, and so do the four ids' own counts.
     """
 
-    def __init__(self, seen: np.ndarray, counts: np.ndarray):
-        lanes, self.size = seen.shape
-        size, place = self.size, np.arange(self.size, dtype=np.int32)
-        self.seen = np.sort(seen, axis=1)
-        starts = np.ones(seen.shape, bool)
-        starts[:, 1:] = self.seen[:, 1:] != self.seen[:, :-1]
-        self.ids, self.left, self.right = (np.full((lanes, size + 1), fill, np.int32) for fill in (0, size, size))
-        self.ids[:, :size] = self.seen
-        np.maximum.accumulate(np.where(starts, place, 0), axis=1, out=self.left[:, :size])
-        ends = np.where(starts[:, 1:], place[1:], np.int32(size))
-        self.right[:, : size - 1] = np.minimum.accumulate(ends[:, ::-1], axis=1)[:, ::-1] if size else 0
-        self.row = np.arange(lanes) * (size + 1)
-        self.spread = np.maximum(1, size + starts.sum(axis=1))
-        self.ids, self.left, self.right = self.ids.ravel(), self.left.ravel(), self.right.ravel()
-        asked = 16 * counts.sum(axis=2) + 64
-        self.weight_1 = ((16 * counts[:, :, 1] + PRIOR_1) * (TOTAL - LEAST) // asked).ravel()
-        self.weight_2 = ((16 * counts[:, :, 2] + PRIOR_2) * (TOTAL - LEAST) // asked).ravel()
-
-    def places(self, ids: np.ndarray) -> np.ndarray:
-        """Where each of ``ids`` (steps, lanes) stands among those seen; new ones after the last."""
-        found = np.empty(ids.shape[::-1], np.int32)
-        place = np.full(1 << ID_BITS, self.size, np.int32)
-        for lane, asked in enumerate(np.ascontiguousarray(ids.T)):
-            seen = self.seen[lane]
-            place[seen] = self.left[lane * (self.size + 1) :][: self.size]
-            found[lane] = place[asked]
-            place[seen] = self.size
-        return np.ascontiguousarray(found.T)
-
-
-def run(coder, lengths: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-    """Code blocks in step; ``lengths`` fall, ``ids`` is (longest, lanes) when encoding. Returns the ids."""
+    def __init__(self, lanes: int):
+        self.width = (lanes + 7) & ~7
+        self.sums = np.zeros((LONGEST // 16, self.width), np.int16)
+        self.fours, self.ones = np.zeros(lanes * (LONGEST // 16), np.uint64), np.zeros(lanes * (LONGEST // 4), np.uint64)
+        self.lane = np.arange(lanes)
+        self.row_16, self.row_4 = self.lane * (LONGEST // 16), self.lane * (LONGEST // 4)
+        self.used = 1
+
+    def find(self, n: int, value: np.ndarray) -> np.ndarray:
+        """The id whose share of all counts holds ``value``."""
+        wide = np.zeros((n + 7) & ~7, np.int16)
+        wide[:n] = value
+        reached = self.sums[: self.used, : len(wide)] <= wide
+        # Eight lanes of bytes are added at once; there are at most 128 rows.
+        group = np.add.reduce(reached.view(np.uint64), axis=0).view(np.uint8)[:n].astype(np.int64) - 1
+        rest = value - self.sums.take(group * self.width + self.lane[:n])
+        x = group
+        for counts, row in ((self.fours, self.row_16), (self.ones, self.row_4)):
+            sums = counts.take(row[:n] + x) * EACH
+            place = np.bitwise_count((rest.view(np.uint64) * EACH | HIGH) - sums & HIGH)
+            x = (x << 2) + place
+            rest = rest - (((sums << B16) >> (place.astype(np.uint64) << B4)) & LOW16).view(np.int64)
+        return x + 1
+
+    def share(self, n: int, x: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
+        """(sum before, count) of id ``x`` of each lane, which holds ``total`` ids; then it counts once more."""
+        place = x - 1
+        group = place >> 4
+        if (used := int(group.max()) + 1) > self.used:
+            self.sums[self.used : used] = total
+            self.used = used
+        below = self.sums.take(group * self.width + self.lane[:n]).astype(np.int64)
+        for counts, row, inside in ((self.fours, self.row_16, place >> 2), (self.ones, self.row_4, place)):
+            at = row[:n] + (inside >> 2)
+            kept = counts.take(at)
+            shift = (inside & 3).view(np.uint64) << B4
+            below += (((kept * EACH << B16) >> shift) & LOW16).view(np.int64)
+            counts[at] = kept + (ONE << shift)
+        self.sums[: self.used, :n] += (STEPS[: self.used] > group.astype(np.int16)).view(np.int8)
+        return below, ((kept >> shift) & LOW16).view(np.int64)
+
+
+def _equal(packed: np.ndarray, each: np.ndarray) -> np.ndarray:
+    """The top bit of those of four packed numbers that equal the other's."""
+    return ~((packed ^ each) + REST) & HIGH
+
+
+def run(coder, lengths: np.ndarray, names: np.ndarray, ids: np.ndarray | None = None) -> np.ndarray:
+    """Code blocks in step; ``lengths`` fall.
+
+    ``ids`` is (longest, lanes) of ids numbered by first appearance when
+    encoding, and ``names`` (lanes, LONGEST + 1) the real ids of the numbers,
+    which a decoder fills. Returns the numbered ids.
+    """
+    decoding = ids is None
     lanes, longest = len(lengths), int(lengths[0])
-    out = np.zeros((longest, lanes), np.int64)
-    outcomes = np.zeros((longest, lanes), np.int16)
-    first, second = np.zeros(lanes * ORDER_1, np.int32), np.zeros(lanes * ORDER_2, np.int32)
-    counts = np.zeros((lanes, CONTEXTS, 3), np.int64)
-    row_1, row_2, row_c = (np.arange(lanes) * size for size in (ORDER_1, ORDER_2, CONTEXTS))
+    out = np.zeros((longest, lanes), np.int16) if decoding else ids
+    counts = Counts(lanes)
+    first, second = np.zeros(lanes * (LONGEST + 1), np.uint64), np.zeros(lanes * SLOTS, np.int64)
+    learnt = np.tile(PRIORS, (lanes, 1))
+    tally = learnt.ravel()
+    row_1, row_2, row_c = (np.arange(lanes) * size for size in (LONGEST + 1, SLOTS, CONTEXTS))
+    distinct = np.zeros(lanes, np.int64)
     one = two = np.zeros(lanes, np.int64)
     live = np.searchsorted(-lengths, -np.arange(longest))
-    renewed = 0
     for step in range(longest):
         n = int(live[step])
-        if step in RENEWALS:
-            keys = outcomes[renewed:step, :n] + row_c[:n] * 3
-            counts[:n] += np.bincount(keys.ravel(), minlength=n * CONTEXTS * 3).reshape(n, CONTEXTS, 3)
-            history, renewed = History(out[:step, :n].T.astype(np.uint16), counts[:n]), step
-            if ids is not None:
-                until = min((r for r in RENEWALS if r > step), default=longest)
-                places = history.places(ids[step:until, :n])
-        slot_1 = row_1[:n] + (one[:n] & (ORDER_1 - 1))
-        slot_2 = row_2[:n] + ((one[:n] * 40503 + two[:n] * 30011 >> 5) & (ORDER_2 - 1))
-        kept_1, kept_2 = first[slot_1], second[slot_2]
-        guess_1, guess_2 = (kept_1 >> 1) - 1, (kept_2 >> 1) - 1
-        context = ((kept_2 > 0) + (kept_2 & 1)) * 6 + ((kept_1 > 0) + (kept_1 & 1)) * 2 + (guess_1 == guess_2)
-        at = row_c[:n] + context
-        weight_2 = history.weight_2[at]
-        weight_1 = history.weight_1[at]
-        both = weight_2 + weight_1
-        each = (TOTAL - both) // history.spread[:n]
+        one, two = one[:n], two[:n]
+        # What the orders hold; order 1 leaves out what order 2 has.
+        slot_1 = row_1[:n] + one
+        kept_1 = first.take(slot_1)
+        pair = one << 16 | two
+        slot_2 = row_2[:n] + ((one * 1229 ^ two * 2377) & (SLOTS - 1))
+        kept_2 = second.take(slot_2)
+        kept_2 *= (kept_2 >> 32) == pair
+        a, b = kept_2 & 0xFFFF, (kept_2 >> 16) & 0xFFFF
+        out_of_1 = _equal(kept_1, a.view(np.uint64) * EACH) | _equal(kept_1, b.view(np.uint64) * EACH)
+        after = kept_1 & ~((out_of_1 >> B15) * LOW16)
+        n_1 = np.bitwise_count(after + REST & HIGH)
+        has_a, has_b = a > 0, b > 0
+        n_2 = has_a.view(np.uint8) + has_b.view(np.uint8)
+        latest = after & LOW16
+        repeats = (latest == (after >> B16 & LOW16)) & (latest > 0)
+        agree = (kept_1 & LOW16).view(np.int64) == a
+        at = row_c[:n] + ((n_2 + (has_b & (a != b))) * 20 + (agree & has_a) * np.uint8(10) + n_1 + repeats * np.uint8(5))
+        # How they share the range.
+        known = learnt.take(at, axis=0)
+        scale = (TOTAL - LEAST) / known[:, 3].astype(np.float64)
+        unit_2 = (known[:, 2] * scale / np.maximum(n_2, 1)).astype(np.int64)
+        unit_1 = (known[:, 1] * scale / np.maximum(n_1, 1)).astype(np.int64)
+        below_1 = unit_2 * n_2
+        below_0 = below_1 + unit_1 * n_1
+        known_ids = distinct[:n]
+        each = ((TOTAL - below_0) / (known_ids + (step + 1))).astype(np.int64)
         unit = coder.range[:n] >> TOTAL_BITS
-        if ids is not None:
-            token = ids[step, :n].copy()
-            is_2, is_1 = token == guess_2, token == guess_1
-            place = places[step - renewed, :n]
-            row = history.row[:n] + place
-        else:
+        if decoding:
             value = coder.place(n, unit)
-            is_2, is_1 = value < weight_2, value < both
-            place = np.clip((value - both) // each, 0, history.size)
-            row = history.row[:n] + place
-            token = np.where(is_2, guess_2, np.where(is_1, guess_1, history.ids[row]))
-        left = history.left[row]
-        below, size = both + left * each, (history.right[row] - left) * each
-        new = np.flatnonzero((place == history.size) & ~(is_1 | is_2))
+            count = (np.maximum(value - below_0, 0) / each).astype(np.int64)
+            x = known_ids + 1
+            if step:
+                x = np.where(count >= step, x, counts.find(n, np.minimum(count, step - 1)))
+            held = np.flatnonzero(value < below_0)
+            if len(held):
+                asked, start = value[held], below_1[held]
+                in_order = np.sort(after[held].view(np.uint16).reshape(-1, 4), axis=1).ravel()
+                place = 4 - n_1[held] + (np.maximum(asked - start, 0) / np.maximum(unit_1[held], 1)).astype(np.int64)
+                by_1 = in_order[4 * np.arange(len(held)) + np.minimum(place, 3)]
+                x[held] = np.where(asked >= start, by_1, np.where(asked < unit_2[held], a[held], b[held]))
+            out[step, :n] = x
+        else:
+            x = ids[step, :n].astype(np.int64)
+        # Where the id lies.
+        spread = x.view(np.uint64) * EACH
+        is_a = x == a
+        times_2, times_1 = is_a.view(np.uint8) + (x == b), np.bitwise_count(_equal(after, spread))
+        is_new = x > known_ids
+        below, size = counts.share(n, x, step)
+        below = below * each + below_0
+        size *= each
+        lane = np.flatnonzero(times_1)
+        fewer = np.bitwise_count((spread[lane] - EACH | HIGH) - after[lane] & HIGH) + n_1[lane] - np.uint8(4)
+        below[lane] = below_1[lane] + unit_1[lane] * fewer
+        size[lane] = unit_1[lane] * times_1[lane]
+        lane = np.flatnonzero(times_2)
+        below[lane] = np.where(is_a[lane], 0, unit_2[lane])
+        size[lane] = unit_2[lane] * times_2[lane]
+        new = np.flatnonzero(is_new)
+        below[new] = step * each[new] + below_0[new]
         size[new] = TOTAL - below[new]
-        below = np.where(is_2, 0, np.where(is_1, weight_2, below))
-        coder.code(n, unit, below, np.where(is_2, weight_2, np.where(is_1, weight_1, size)))
+        coder.code(n, unit, below, size)
         if len(new):
-            token[new] = coder.raw(new, token[new])
-        outcomes[step, :n] = context * 3 + np.where(is_2, 2, is_1)
-        first[slot_1] = (token + 1) << 1 | (guess_1 == token)
-        second[slot_2] = (token + 1) << 1 | (guess_2 == token)
-        two, one = one, token
-        out[step, :n] = token
+            names[new, x[new]] = coder.raw(new, names[new, x[new]])
+            distinct[new] += 1
+        # What is learnt from it.
+        at *= 4
+        tally[at + 3] += 1
+        at += (times_2 > 0) * np.uint8(2) + (times_1 > 0)
+        tally[at] += 1
+        first[slot_1] = kept_1 << B16 | x.view(np.uint64)
+        second[slot_2] = pair << 32 | a << 16 | x
+        two, one = one, x
     return out
 
 
+def _numbered(block: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids numbered by first appearance, the real ids in that order); ``first`` is scratch space."""
+    place = np.arange(len(block))
+    first[block[::-1]] = place[::-1]
+    found = first[block]
+    starts = found == place
+    return np.cumsum(starts)[found], block[starts]
+
+
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """Code each block of ids below 65,536 on its own; all of them in step."""
+    """Code each block of at most ``LONGEST`` ids below 65,536 on its own; all of them in step."""
     if not blocks:
         return []
+    if any(len(b) > LONGEST or (len(b) and b.max() >> ID_BITS) for b in blocks):
+        raise ValueError(f"a block has at most {LONGEST} ids, all below 65,536")
     order = np.argsort([-len(b) for b in blocks], kind="stable")
     lengths = np.array([len(blocks[i]) for i in order])
-    ids = np.zeros((lengths[0], len(blocks)), np.int64)
+    ids, names = np.zeros((lengths[0], len(blocks)), np.int16), np.zeros((len(blocks), LONGEST + 1), np.int64)
+    scratch = np.zeros(1 << ID_BITS, np.int64)
     for lane, i in enumerate(order):
-        ids[: len(blocks[i]), lane] = blocks[i]
-    if ids.size and ids.max() >> ID_BITS:
-        raise ValueError("ids must be below 65,536")
+        numbered, real = _numbered(blocks[i], scratch)
+        ids[: len(numbered), lane] = numbered
+        names[lane, 1 : len(real) + 1] = real
     coder = Encoder(len(blocks), len(ids))
-    run(coder, lengths, ids)
+    run(coder, lengths, names, ids)
     done = coder.finish()
     out: list[bytes] = [b""] * len(blocks)
     for lane, i in enumerate(order):
@@ -247,8 +322,9 @@ def decode_blocks(payloads: list[bytes], lengths: list[int]) -> list[np.ndarray]
     if not payloads:
         return []
     order = np.argsort([-n for n in lengths], kind="stable")
-    found = run(Decoder([payloads[i] for i in order]), np.array([lengths[i] for i in order]), None).T
-    out: list[np.ndarray] = [found[0]] * len(payloads)
+    names = np.zeros((len(payloads), LONGEST + 1), np.int64)
+    found = run(Decoder([payloads[i] for i in order]), np.array([lengths[i] for i in order]), names).T
+    out: list[np.ndarray] = [names[0]] * len(payloads)
     for lane, i in enumerate(order):
-        out[i] = found[lane, : lengths[i]]
+        out[i] = names[lane][found[lane, : lengths[i]]]
     return out

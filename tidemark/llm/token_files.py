@@ -1,15 +1,17 @@
 """Token-id files: documents in ascending id order, their ids range-coded in checked blocks.
 
-The table of blocks is the file: rows (shard, block, doc_ids, doc_ends, n_ids,
-checksum, payload), sorted by shard and block within one file a shard. Shards
-hold consecutive ranges of document ids; a block holds ``BLOCK_IDS`` ids of
-its shard's stream, the last one fewer, and the documents that end in it with
-the place where they end. A block is decoded on its own and its checksum
-verified.
+The table of blocks is the file: rows (shard, block, first_doc, doc_ids,
+doc_ends, starts, n_ids, checksum, payload), sorted by shard and block within one file
+a shard. Shards hold consecutive ranges of document ids; a block holds
+``BLOCK_IDS`` ids of its shard's stream, the last one fewer, the documents that
+end in it with the place where they end, how many of the shard ended before,
+and whether its first id starts a document. A block is decoded and its checksum verified wherever its row lies:
+documents that cross blocks give parts, which are put together by their key.
 """
 
 from __future__ import annotations
 
+import os
 import zlib
 from functools import lru_cache
 
@@ -29,18 +31,23 @@ MODEL = "word_bpe_49k.json"
 END_ID = 2
 BLOCK_IDS = 2048
 #: Blocks that are coded in step, so a task holds this many blocks of ids at most.
-LANES = 512
+LANES = 2048
+#: Stands between words that are encoded together; words that hold it are encoded on their own.
+MARK = "\x01"
+#: Words that are encoded together.
+TOGETHER = 2000
 #: Texts that are cut into words together, by their total bytes.
 CHUNK_BYTES = 1_000_000
 #: Words that a worker remembers: at most twice as many.
 MEMORY = 200_000
-FILE = "shard int, block long, doc_ids array<long>, doc_ends array<int>, n_ids int, checksum long, payload binary"
+FILE = "shard int, block long, first_doc long, doc_ids array<long>, doc_ends array<int>, starts boolean, n_ids int, checksum long, payload binary"
 
 _recent = Recent(MEMORY)
 
 
 @lru_cache(maxsize=2)
 def library(model: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(public_tokenizers.path(model))
@@ -51,36 +58,54 @@ def words(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
-def token_ids(texts: list[str], model: str = MODEL) -> list[np.ndarray]:
-    """Ids of each text and the end id; every distinct word is encoded once, and remembered while it is frequent."""
+def _encoded(new: list[str], model: str) -> dict[str, bytes]:
+    """Ids of words, as bytes: the library gets many at once, with marks between them."""
+    mark = library(model).encode(MARK, add_special_tokens=False).ids
+    out: dict[str, bytes] = {}
+    for start in range(0, len(new), TOGETHER):
+        part = new[start : start + TOGETHER]
+        ids = np.array(library(model).encode_batch_fast([f" {MARK} ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+        at = np.flatnonzero(ids == mark[0]) if len(mark) == 1 else ()
+        if len(at) == len(part) - 1:
+            raw = ids.tobytes()
+            out.update(zip(part, map(raw.__getitem__, map(slice, [0, *(4 * at + 4).tolist()], [*(4 * at).tolist(), len(raw)])), strict=True))
+        else:
+            for word, found in zip(part, library(model).encode_batch_fast(part, add_special_tokens=False), strict=True):
+                out[word] = np.array(found.ids, dtype="<u4").tobytes()
+    return out
 
-    def encoded(new: list[str]) -> dict[str, bytes]:
-        return {w: np.array(found.ids, dtype="<u4").tobytes() for w, found in zip(new, library(model).encode_batch_fast(new, add_special_tokens=False), strict=True)}
 
+def token_ids(texts: list[str], model: str = MODEL) -> list[np.ndarray]:
+    """Ids of each text and the end id; every distinct word is encoded once, and remembered while it is frequent."""
     split = [words(t) for t in texts]
-    table = _recent.table({w for parts in split for w in parts}, encoded)
+    table = _recent.table(set().union(*split), lambda new: _encoded(new, model))
     end = END_ID.to_bytes(4, "little")
     return [np.frombuffer(b"".join(map(table.__getitem__, parts)) + end, dtype="<u4") for parts in split]
 
 
 def _encode(model: str):
     def blocks(batches):
-        shard, block = TaskContext.get().partitionId(), 0
+        shard, block, ended, fresh = TaskContext.get().partitionId(), 0, 0, True
         parts: list[np.ndarray] = []
         held = 0  # ids in ``parts``
         ends: list[tuple[int | None, int]] = []  # documents that end in them, and where
 
         def cut(last: bool):
-            nonlocal block, parts, held, ends
+            nonlocal block, ended, fresh, parts, held, ends
             stream = np.concatenate(parts) if parts else np.zeros(0, dtype="<u4")
             whole = len(stream) if last else len(stream) // BLOCK_IDS * BLOCK_IDS
             pieces = [stream[i : i + BLOCK_IDS] for i in range(0, whole, BLOCK_IDS)]
             documents: list[list] = [[] for _ in pieces]
             for doc, at in (e for e in ends if e[1] <= whole):
                 documents[(at - 1) // BLOCK_IDS].append((doc, (at - 1) % BLOCK_IDS + 1))
+            before = ended + np.cumsum([0, *map(len, documents)])
+            ended = int(before[-1])
+            # A block starts with a new document if one ended with the last id of the block before.
+            filled = [fresh, *(bool(d) and d[-1][1] == BLOCK_IDS for d in documents)]
+            starts, fresh = filled[:-1], filled[-1]
             rows = {
-                "shard": [shard] * len(pieces), "block": list(range(block, block + len(pieces))), "doc_ids": [[d for d, _ in x] for x in documents], "doc_ends": [[e for _, e in x] for x in documents],
-                "n_ids": list(map(len, pieces)), "checksum": [zlib.crc32(p.tobytes()) for p in pieces], "payload": encode_blocks(pieces),
+                "shard": [shard] * len(pieces), "block": list(range(block, block + len(pieces))), "first_doc": before[:-1].tolist(), "doc_ids": [[d for d, _ in x] for x in documents], "doc_ends": [[e for _, e in x] for x in documents],
+                "starts": starts, "n_ids": list(map(len, pieces)), "checksum": [zlib.crc32(p.tobytes()) for p in pieces], "payload": encode_blocks(pieces),
             }
             block += len(pieces)
             parts, held = [stream[whole:]], len(stream) - whole
@@ -100,7 +125,7 @@ def _encode(model: str):
         if held:
             yield cut(True)
 
-    shape = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("doc_ends", pa.list_(pa.int32())), ("n_ids", pa.int32()), ("checksum", pa.int64()), ("payload", pa.binary())])
+    shape = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("first_doc", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("doc_ends", pa.list_(pa.int32())), ("starts", pa.bool_()), ("n_ids", pa.int32()), ("checksum", pa.int64()), ("payload", pa.binary())])
     return blocks
 
 
@@ -116,39 +141,79 @@ def write(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     return materialize(ordered.mapInArrow(_encode(model), FILE), "token-file")
 
 
+DIGEST = ["doc_id", "start", "n_tokens", "ids_crc32"]
+PARTS = "shard int, ordinal long, block long, whole boolean, doc_id long, start long, n_tokens long, ids_crc32 long"
+
+
 def _decode(offsets: dict[int, int]):
-    def documents(batches):
-        shard, done, crc, size = None, 0, 0, 0
+    def parts(batches):
         for batch in batches:
             rows = batch.to_pylist()
             for first in range(0, len(rows), LANES):
-                part = rows[first : first + LANES]
-                out: dict[str, list] = {"doc_id": [], "start": [], "n_tokens": [], "ids_crc32": []}
-                for row, ids in zip(part, decode_blocks([r["payload"] for r in part], [r["n_ids"] for r in part]), strict=True):
+                some = rows[first : first + LANES]
+                out: list[tuple] = []
+                for row, ids in zip(some, decode_blocks([r["payload"] for r in some], [r["n_ids"] for r in some]), strict=True):
                     raw = ids.astype("<u4").tobytes()
                     if zlib.crc32(raw) != row["checksum"]:
                         raise ValueError(f"block {row['block']} of shard {row['shard']} is damaged")
-                    if row["shard"] != shard:
-                        shard, done, crc, size = row["shard"], offsets[row["shard"]], 0, 0
-                    at = 0
-                    for doc, end in zip(row["doc_ids"], row["doc_ends"], strict=True):
-                        crc, size = zlib.crc32(raw[4 * at : 4 * end], crc), size + end - at
-                        for name, value in zip(out, (doc, done, size, crc), strict=True):
-                            out[name].append(value)
-                        done, crc, size, at = done + size, 0, 0, end
-                    crc, size = zlib.crc32(raw[4 * at :], crc), size + row["n_ids"] - at
-                yield pa.RecordBatch.from_pydict(out, schema=shape)
-
-    shape = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
-    return documents
+                    shard, block = row["shard"], row["block"]
+                    at, start, ordinal = 0, offsets[shard] + block * BLOCK_IDS, row["first_doc"]
+                    for doc, end in zip([*row["doc_ids"], None], [*row["doc_ends"], row["n_ids"]], strict=True):
+                        if end > at:
+                            whole = ordinal < row["first_doc"] + len(row["doc_ids"]) and (ordinal > row["first_doc"] or row["starts"])
+                            out.append((shard, ordinal, block, whole, doc, start + at, end - at, zlib.crc32(raw[4 * at : 4 * end])))
+                        at, ordinal = end, ordinal + 1
+                yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*out, strict=True), shape.types, strict=True)], schema=shape)
+
+    shape = pa.schema([("shard", pa.int32()), ("ordinal", pa.int64()), ("block", pa.int64()), ("whole", pa.bool_()), ("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+    return parts
+
+
+def _product(a: int, b: int) -> int:
+    """Product of two polynomials modulo that of CRC-32, bits reversed."""
+    out = 0
+    for bit in range(31, -1, -1):
+        if a >> bit & 1:
+            out ^= b
+        b = b >> 1 ^ (0xEDB88320 if b & 1 else 0)
+    return out
+
+
+def joined_crc(parts: list[tuple[int, int]]) -> int:
+    """CRC-32 of byte strings put together, from the length and CRC-32 of each."""
+    out = 0
+    for size, crc in parts:
+        power, factor = 1 << 23, 1 << 31  # x^8, and 1
+        while size:
+            if size & 1:
+                factor = _product(power, factor)
+            power, size = _product(power, power), size >> 1
+        out = _product(factor, out) ^ crc
+    return out
+
+
+def _put_together(batches):
+    """One row for the ordered parts of each document."""
+    for batch in batches:
+        every = [row["parts"] for row in batch.to_pylist()]
+        sizes = [sum(p["n_tokens"] for p in parts) for parts in every]
+        sums = [joined_crc([(4 * p["n_tokens"], p["ids_crc32"]) for p in parts]) for parts in every]
+        columns = ([parts[-1]["doc_id"] for parts in every], [parts[0]["start"] for parts in every], sizes, sums)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=DIGEST)
 
 
 def read(blocks: DataFrame) -> DataFrame:
-    """One row per document: doc_id, start, n_tokens, ids_crc32, all from the decoded blocks."""
+    """One row per document: doc_id, start, n_tokens, ids_crc32, all from the decoded blocks.
+
+    A document of several blocks is put together from a part of each.
+    """
     sizes = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n")).orderBy("shard").collect()  # one row a shard
     offsets, before = {}, 0
     for row in sizes:
         offsets[row["shard"]] = before
         before += row["n"]
-    gathered = blocks.repartition("shard").sortWithinPartitions("shard", "block")
-    return gathered.mapInArrow(_decode(offsets), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    found = materialize(blocks.mapInArrow(_decode(offsets), PARTS), "token-parts")
+    part = F.struct("block", *DIGEST)
+    crossing = found.where(~F.col("whole")).groupBy("shard", "ordinal").agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    put = crossing.select("parts").mapInArrow(_put_together, ", ".join(f"{c} long" for c in DIGEST))
+    return found.where("whole").select(*DIGEST).unionByName(put)
