@@ -13,70 +13,25 @@ def kt(zeros, ones):
     return math.lgamma(zeros + 0.5) + math.lgamma(ones + 0.5) - math.lgamma(zeros + ones + 1) - math.log(math.pi)
 
 
-def coded(token):
-    raw = token if token == b"\n" else token + b" "
-    before = bytes(DEPTH - 1) + b" "
-    for i, byte in enumerate(raw):
-        context = (before + raw)[i : i + DEPTH][::-1]  # the nearest first
-        for left in range(7, -1, -1):
-            yield context, 1 << 7 - left | byte >> left + 1, byte >> left & 1
-
-
-def plain(rows):
+def plain_base(rows):
+    """Everything but the context tree's score."""
     split = lambda t: [*(t or "").encode().lower().split(), b"\n"]
     trains = [d is not None and zlib.crc32(str(d).encode()) % 10 != 0 for d, _ in rows]
-    train, seen = Counter(), set()
-    for (_, text), use in zip(rows, trains, strict=True):
-        seen.update(split(text))
-        train.update(split(text) if use else [])
-    counts = defaultdict(lambda: [0, 0])
-    children = defaultdict(set)
-    for token in seen:
-        for context, node, bit in coded(token):
-            for d in range(DEPTH + 1):
-                counts[context[:d], node][bit] += train[token]
-                if d:
-                    children[context[: d - 1], node].add(context[:d])
-    memo = {}
-
-    def weighted(context, node):
-        if (context, node) not in memo:
-            own = kt(*counts[context, node])
-            below = sum(weighted(c, node) for c in children[context, node]) if len(context) < DEPTH else 0
-            memo[context, node] = own if len(context) == DEPTH else math.log(0.5) + max(own, below) + math.log1p(math.exp(-abs(own - below)))
-        return memo[context, node]
-
-    def one(context, node, d=0):
-        zeros, ones = counts[context[:d], node]
-        own = (ones + 0.5) / (zeros + ones + 1)
-        if d == DEPTH:
-            return own
-        stop = 0.5 * math.exp(kt(zeros, ones) - weighted(context[:d], node))
-        return stop * own + (1 - stop) * one(context, node, d + 1)
-
-    n, v = sum(train.values()), sum(c > 0 for c in train.values())
-    score = {t: sum(math.log10(p if bit else 1 - p) for c, node, bit in coded(t) for p in [one(c, node)]) for t in seen}
+    train = Counter(w for (_, text), use in zip(rows, trains, strict=True) if use for w in split(text))
+    n, v = sum(train.values()), len(train)
     for (d, text), use in zip(rows, trains, strict=True):
         tokens = split(text)
-        yield d, not use, len(tokens), sum(train[t] > 0 for t in tokens), n, sum(math.log10((train[t] + 0.1) / (n + 0.1 * (v + 1))) for t in tokens), sum(score[t] for t in tokens)
-
-
-def test_scores_match_a_plain_context_tree(spark):
-    rows = [r for r in ROWS if r[0] != 6] + [(i, f"Some words {i} and some more wordy words{i % 3} ünd") for i in range(30, 60)]
-    for head in (ctw.HEAD_WORDS, 3):
-        found = ctw.score_texts(documents(spark, rows), depth=DEPTH, head_words=head).collect()
-        key = lambda r: (r[0] is None, r[0] or 0, r[5])
-        for got, want in zip(sorted(map(tuple, found), key=key), sorted(plain(rows), key=key), strict=True):
-            assert got[:5] == want[:5]
-            assert abs(got[5] - want[5]) < 1e-6 and abs(got[6] - want[6]) < 1e-6
+        yield d, not use, len(tokens), sum(train[t] > 0 for t in tokens), n, sum(math.log10((train[t] + 0.1) / (n + 0.1 * (v + 1))) for t in tokens)
 
 
 def test_branches_cut_at_any_size(spark, monkeypatch):
     rows = [(i, f"word{i} again{i % 7}") for i in range(40)]
     whole = sorted(map(tuple, ctw.score_texts(documents(spark, rows)).collect()))
     monkeypatch.setattr(ctw, "GRAMS_AT_ONCE", 5)
-    cut = sorted(map(tuple, ctw.score_texts(documents(spark, rows)).collect()))
-    assert all(a[:5] == b[:5] and abs(a[6] - b[6]) < 1e-9 for a, b in zip(whole, cut, strict=True))
+    for most in (50, 5, 1):  # the cut is made after 2 bytes and more
+        monkeypatch.setattr(ctw, "BRANCH_GRAMS", most)
+        cut = sorted(map(tuple, ctw.score_texts(documents(spark, rows)).collect()))
+        assert all(a[:5] == b[:5] and abs(a[6] - b[6]) < 1e-9 for a, b in zip(whole, cut, strict=True))
 
 
 def plain_across(rows):
@@ -115,17 +70,24 @@ def plain_across(rows):
         yield d, sum(every), -sum(every) / math.log10(2) / (len(every) / 8)
 
 
-def test_scores_across_words_match_a_plain_context_tree(spark, monkeypatch):
+def test_scores_match_a_plain_context_tree(spark, monkeypatch):
     rows = [r for r in ROWS if r[0] != 6] + [(i, f"Some words {i} and some more wordy words{i % 3} ünd") for i in range(30, 60)]
     key = lambda r: (r[0] is None, r[0] or 0, r[1])
-    want, bounded = sorted(plain_across(rows), key=key), {r.doc_id: r for r in ctw.score_texts(documents(spark, rows), depth=DEPTH).collect()}
+    want = sorted(((d, s, bits, *base[1:]) for (d, s, bits), base in zip(plain_across(rows), plain_base(rows), strict=True)), key=key)
     for head, together in ((ctw.HEAD_GRAMS, 1 << 20), (20, 1 << 20), (0, 7)):
         monkeypatch.setattr(ctw, "BYTES_AT_ONCE", together)
-        found = ctw.score_texts(documents(spark, rows), depth=DEPTH, head_words=3, across_words=True, head_grams=head).collect()
-        for got, (d, score, bits) in zip(sorted(found, key=lambda r: key((r.doc_id, r.score))), want, strict=True):
+        found = ctw.score_texts(documents(spark, rows), depth=DEPTH, head_words=3, head_grams=head).collect()
+        for got, (d, score, bits, *rest) in zip(sorted(found, key=lambda r: key((r.doc_id, r.score))), want, strict=True):
             assert got.doc_id == d and abs(got.score - score) < 1e-6 and abs(got.bits_per_byte - bits) < 1e-6
-            if d is not None and d > 2:
-                assert got[1:5] == bounded[d][1:5] and abs(got.base_score - bounded[d].base_score) < 1e-6
+            assert list(got[1:5]) == rest[:4] and abs(got.base_score - rest[4]) < 1e-6
+
+
+def test_held_out_texts_score_above_the_base(spark):
+    """The tree beats the smoothed unigrams on texts that it did not learn from."""
+    import __spark_entry__ as entry
+
+    held = entry.queries()["op8_ctw_scores"](spark, "/root/testdata/sf0.01").where("held_out").selectExpr("sum(score) AS score", "sum(base_score) AS base").first()
+    assert held.score > held.base
 
 
 def test_word_order_changes_the_score_of_the_query(spark, tmp_path):
@@ -140,8 +102,6 @@ def test_word_order_changes_the_score_of_the_query(spark, tmp_path):
 
 
 def test_counts_are_the_same_however_many_are_held(spark, monkeypatch):
-    from collections import Counter
-
     import pyarrow as pa
 
     texts = [f"word{i % 5} and more{i % 3} of it" for i in range(50)]
@@ -159,9 +119,5 @@ def test_counts_are_the_same_however_many_are_held(spark, monkeypatch):
     assert sums[0] == sums[1] and sum(sums[0][1].values()) == sum(len(t) + 2 for t in texts)
 
 
-def test_empty_table_across_words(spark):
-    assert ctw.score_texts(documents(spark, []), across_words=True).count() == 0
-
-
 def test_empty_table(spark):
     assert ctw.score_texts(documents(spark, [])).count() == 0

@@ -1,25 +1,20 @@
-"""Language-model scores by context-tree weighting over the bytes of words.
-
-A token is coded byte by byte, with a blank after its last byte, and a byte as
-eight binary decisions. The context of a decision is the bits of the byte so
-far and the bytes before it in the word, the nearest first, down to the blank
-before the word. Every context of every depth holds counts of zeros and ones
-and their Krichevsky-Trofimov estimate; a context's weighted probability mixes,
-half and half, its own estimate and the product of its children's. The
-prediction for a decision mixes the estimates of all depths along its context
-path by the weights that this leaves them.
-
-Counts start from the distinct training words, weighted by how often they
-occur. The tree is cut below its second level: what hangs from one pair of
-nearest bytes is in one partition, where numpy adds up the levels and, in a
-second pass, carries the weights down; the levels above are grouped sums of a
-size that the bytes bound.
-
-By default a context stops at the blank before the word, and texts are scored
-through their words. With ``across_words`` the bytes before a byte are those of
-the text, words joined by one blank each, through to its beginning. Its grams
-are counted text by text and looked up position by position: the frequent ones
-in a broadcast table of bounded size, the rest joined by shuffle.
+"""Language-model scores by context-tree weighting over the bytes of texts.
+
+A text is its words with a blank after each and an end, coded byte by byte,
+and a byte as eight binary decisions. The context of a decision is the bits of
+the byte so far and the bytes before it in the text, the nearest first. Every
+context of every depth holds counts of zeros and ones and their
+Krichevsky-Trofimov estimate; a context's weighted probability mixes, half and
+half, its own estimate and the product of its children's. The prediction for a
+decision mixes the estimates of all depths along its context path by the
+weights that this leaves them.
+
+Grams (a byte and its context) are counted text by text. The tree is cut where
+no branch below has more than ``BRANCH_GRAMS`` distinct grams: a branch is in
+one partition, where numpy adds up the levels and, in a second pass, carries
+the weights down; the levels above are grouped sums and joins. The scores are
+looked up position by position: the frequent grams in a broadcast table of
+bounded size, the rest joined by shuffle.
 """
 
 from __future__ import annotations
@@ -36,8 +31,9 @@ from .common import fold_remainder, materialize
 from .wordbag import HEAD_WORDS, KEY, NO_ID, frequencies, head_of, keyed, sum_by_row, with_sums, written_totals
 
 DEPTH = 6
-#: Nearest bytes by which the tree is partitioned.
+#: Nearest bytes by which the tree is partitioned, at least; more where a branch is larger than the bound.
 CUT = 2
+BRANCH_GRAMS = 50_000
 #: Distinct grams in a partition, on average, and those worked on together.
 GRAMS_AT_ONCE = 50_000
 FOLDS = 10
@@ -58,20 +54,6 @@ def tokens(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
-def word_grams(words: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    """For each coded byte the number of its word and its gram: the context's bytes, the nearest lowest, then the byte."""
-    before = bytes(depth - 1) + bytes([BLANK])
-    coded = [w if w == END else w + bytes([BLANK]) for w in words]
-    flat = np.frombuffer(b"".join([before + c for c in coded]), dtype=np.uint8).astype(np.int64)
-    lengths = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
-    owner = np.repeat(np.arange(len(words)), lengths)
-    at = np.arange(len(owner)) + depth * (owner + 1)
-    gram = np.zeros(len(owner), dtype=np.int64)
-    for back in range(depth, 0, -1):
-        gram = gram << 8 | flat[at - back]
-    return owner, gram << 8 | flat[at]
-
-
 def text_grams(texts: list[str], depth: int = DEPTH):
     """Arrays (number of the text, gram) for the coded bytes of each text, its words' blanks and its end included; about ``BYTES_AT_ONCE`` together."""
     before = bytes(depth - 1) + bytes([BLANK])
@@ -194,26 +176,6 @@ def sums_across_words(rows: DataFrame, trains: Column, depth: int, head_grams: i
     return found.where("gram is null").select(*KEY, "score", "coded").unionByName(rest.withColumn("coded", F.lit(0).cast("long")))
 
 
-def _gram_counts(depth: int):
-    def rows(batches):
-        for batch in batches:
-            owner, grams = word_grams(batch.column(0).to_pylist(), depth)
-            weights = batch.column(1).to_numpy(zero_copy_only=False)[owner]
-            once, inverse = np.unique(grams, return_inverse=True)
-            yield pa.RecordBatch.from_arrays([pa.array(once), pa.array(np.bincount(inverse, weights=weights, minlength=len(once)).astype(np.int64))], ["gram", "n"])
-
-    return rows
-
-
-def _words_to_grams(depth: int):
-    def rows(batches):
-        for batch in batches:
-            owner, grams = word_grams(batch.column(0).to_pylist(), depth)
-            yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(owner)), pa.array(grams)], ["word_id", "gram"])
-
-    return rows
-
-
 def log_gamma(x, log=F.log):
     """ln of the gamma function for x >= 0.5, by Stirling's series at x + 8; of columns or, with numpy's ``log``, of arrays."""
     z = x + 8
@@ -231,14 +193,14 @@ def _log_mix(a: Column, b: Column) -> Column:
 
 
 class Branches:
-    """The levels from the deepest to ``CUT`` over some grams, all of them of whole branches.
+    """The levels from the deepest to ``cut`` over some grams, all of them of whole branches.
 
     Level by level: sorted keys (context << 8 | node, node being the bits so
     far after a one), each key's place in the level above, ln of its own and of
     its weighted probability, and the chance of a one.
     """
 
-    def __init__(self, grams: np.ndarray, n: np.ndarray, depth: int):
+    def __init__(self, grams: np.ndarray, n: np.ndarray, depth: int, cut: int):
         left = np.arange(8)
         byte = (grams & 255)[:, None]
         self.bits = byte >> left & 1
@@ -249,7 +211,7 @@ class Branches:
         zeros = np.bincount(self.place, weights=weight, minlength=len(once)) - ones
         own = log_kt(zeros, ones, np.log)
         self.levels = [[once, None, own, own, zeros, ones]]
-        for d in range(depth - 1, CUT - 1, -1):
+        for d in range(depth - 1, cut - 1, -1):
             below, _, _, mixed, zeros, ones = self.levels[-1]
             once, above = np.unique((below >> 8 & (1 << 8 * d) - 1) << 8 | below & 255, return_inverse=True)
             self.levels[-1][1] = above
@@ -258,7 +220,7 @@ class Branches:
             self.levels.append([once, None, own, np.logaddexp(own, children) + math.log(0.5), zeros, ones])
 
     def log10p(self, keys: np.ndarray, sofar: np.ndarray, rest: np.ndarray) -> np.ndarray:
-        """log10 of each gram's chance, given for the keys at ``CUT`` the prediction so far and the weight left."""
+        """log10 of each gram's chance, given for the keys at ``cut`` the prediction so far and the weight left."""
         order = np.argsort(keys)
         at = order[np.searchsorted(keys, self.levels[-1][0], sorter=order)]
         sofar, rest = sofar[at], rest[at]
@@ -273,8 +235,8 @@ class Branches:
         return np.log10(np.where(self.bits == 1, one, 1 - one)).sum(axis=1)
 
 
-def _branch(values: np.ndarray) -> np.ndarray:
-    return values >> 8 & (1 << 8 * CUT) - 1
+def _branch(values: np.ndarray, cut: int) -> np.ndarray:
+    return values >> 8 & (1 << 8 * cut) - 1
 
 
 def _whole_branches(branch: np.ndarray):
@@ -292,22 +254,22 @@ def _columns(batches, n: int) -> list[np.ndarray]:
     return [whole.column(i).to_numpy() for i in range(n)]
 
 
-def _cut_rows(depth: int):
+def _cut_rows(depth: int, cut: int):
     def rows(batches):
         batches = list(batches)
         if not batches:
             return
         grams, n = _columns(batches, 2)
-        order = np.argsort(_branch(grams), kind="stable")
+        order = np.argsort(_branch(grams, cut), kind="stable")
         grams, n = grams[order], n[order]
-        for start, end in _whole_branches(_branch(grams)):
-            keys, _, own, mixed, zeros, ones = Branches(grams[start:end], n[start:end], depth).levels[-1]
+        for start, end in _whole_branches(_branch(grams, cut)):
+            keys, _, own, mixed, zeros, ones = Branches(grams[start:end], n[start:end], depth, cut).levels[-1]
             yield pa.RecordBatch.from_arrays([*map(pa.array, (keys >> 8, (keys & 255).astype(np.int32), zeros, ones, own, mixed))], ["context", "node", "zeros", "ones", "log_own", "log_mixed"])
 
     return rows
 
 
-def _score_rows(depth: int):
+def _score_rows(depth: int, cut: int):
     """Of a partition's grams (sofar = -1) and keys at the cut (n = 0), the grams' scores."""
 
     def rows(batches):
@@ -318,59 +280,74 @@ def _score_rows(depth: int):
         is_key = sofar >= 0
         keys, key_sofar, key_rest = values[is_key], sofar[is_key], rest[is_key]
         grams, n = values[~is_key], n[~is_key]
-        order = np.argsort(_branch(grams), kind="stable")
+        order = np.argsort(_branch(grams, cut), kind="stable")
         grams, n = grams[order], n[order]
-        for start, end in _whole_branches(_branch(grams)):
-            yield pa.RecordBatch.from_arrays([pa.array(grams[start:end]), pa.array(Branches(grams[start:end], n[start:end], depth).log10p(keys, key_sofar, key_rest))], ["gram", "log10p"])
+        for start, end in _whole_branches(_branch(grams, cut)):
+            yield pa.RecordBatch.from_arrays([pa.array(grams[start:end]), pa.array(Branches(grams[start:end], n[start:end], depth, cut).log10p(keys, key_sofar, key_rest))], ["gram", "log10p"])
 
     return rows
 
 
+def _branch_column(cut: int) -> Column:
+    return F.shiftright("gram", 8).bitwiseAND((1 << 8 * cut) - 1)
+
+
+def _cut_of(grams: DataFrame, depth: int) -> tuple[int, int]:
+    """How many grams there are, and the fewest nearest bytes, at least ``CUT``, after which no branch has more than ``BRANCH_GRAMS``."""
+    for cut in range(CUT, depth):
+        sizes = grams.groupBy(_branch_column(cut).alias("branch")).count().agg(F.sum("count").alias("every"), F.max("count").alias("largest")).first()
+        if (sizes["largest"] or 0) <= BRANCH_GRAMS:
+            break
+    return sizes["every"] or 0, cut
+
+
+def _with_parent(here: DataFrame, level: int, above: DataFrame) -> DataFrame:
+    """``here`` with what is left by the level above. Bytes and nodes bound the levels 0 and 1 to 255 and 65,280 rows; deeper ones shuffle."""
+    parents = F.broadcast(above) if level <= 2 else above
+    return here.withColumn("parent", F.col("context").bitwiseAND((1 << 8 * (level - 1)) - 1)).join(parents, ["parent", "node"])
+
+
 def gram_scores(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(gram, log10p) of every gram of the written table ``grams`` (gram, n); grams with n = 0 were never trained on."""
     if depth <= CUT:
         raise ValueError(f"depth must be over {CUT}")
-    parts = max(1, -(-grams.count() // GRAMS_AT_ONCE))
-    branch = F.shiftright("gram", 8).bitwiseAND((1 << 8 * CUT) - 1)
-    levels = [materialize(grams.repartition(parts, branch).mapInArrow(_cut_rows(depth), "context long, node int, zeros double, ones double, log_own double, log_mixed double"), "level")]
+    every, cut = _cut_of(grams, depth)
+    parts = max(1, -(-every // GRAMS_AT_ONCE))
+    branch = _branch_column(cut)
+    levels = [materialize(grams.repartition(parts, branch).mapInArrow(_cut_rows(depth, cut), "context long, node int, zeros double, ones double, log_own double, log_mixed double"), "level")]
     own = log_kt(F.col("zeros"), F.col("ones"))
-    for d in range(CUT - 1, -1, -1):
+    for d in range(cut - 1, -1, -1):
         parents = levels[-1].groupBy(F.col("context").bitwiseAND((1 << 8 * d) - 1).alias("context"), "node").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("log_mixed").alias("log_children"))
         levels.append(materialize(parents.withColumn("log_own", own).withColumn("log_mixed", _log_mix(F.col("log_own"), F.col("log_children"))).drop("log_children"), "level"))
 
     one = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)
     above = None
-    for d in range(CUT):
-        here = levels[CUT - d]
+    for d in range(cut):
+        here = levels[cut - d]
         if above is None:
             here = here.withColumn("rest", F.lit(1.0)).withColumn("sofar", F.lit(0.0))
         else:
-            # Nodes and bytes bound these levels: 255 rows and 65,280.
-            here = here.withColumn("parent", F.col("context").bitwiseAND((1 << 8 * (d - 1)) - 1)).join(F.broadcast(above), ["parent", "node"]).drop("parent")
+            here = _with_parent(here, d, above).drop("parent")
         share = F.col("rest") * F.exp(F.col("log_own") - F.col("log_mixed") + math.log(0.5))
         above = here.select(F.col("context").alias("parent"), "node", (F.col("sofar") + share * one).alias("sofar"), (F.col("rest") - share).alias("rest"))
-    cut = levels[0].withColumn("parent", F.col("context").bitwiseAND((1 << 8 * (CUT - 1)) - 1)).join(F.broadcast(above), ["parent", "node"])
-    keys = cut.select((F.shiftleft("context", 8) + F.col("node")).alias("gram"), F.lit(0).cast("long").alias("n"), "sofar", "rest")
+    keys = _with_parent(levels[0], cut, above).select((F.shiftleft("context", 8) + F.col("node")).alias("gram"), F.lit(0).cast("long").alias("n"), "sofar", "rest")
     both = grams.select("gram", "n", F.lit(-1.0).alias("sofar"), F.lit(0.0).alias("rest")).unionByName(keys)
-    return both.repartition(parts, branch).mapInArrow(_score_rows(depth), "gram long, log10p double")
+    return both.repartition(parts, branch).mapInArrow(_score_rows(depth, cut), "gram long, log10p double")
 
 
-def score_texts(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", depth: int = DEPTH, folds: int = FOLDS, head_words: int = HEAD_WORDS, across_words: bool = False, head_grams: int = HEAD_GRAMS
-) -> DataFrame:
+def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", depth: int = DEPTH, folds: int = FOLDS, head_words: int = HEAD_WORDS, head_grams: int = HEAD_GRAMS) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     Training rows are those whose crc32(id as text) modulo ``folds`` is not 0;
     rows with a null id are held out. ``base_score`` is the smoothed unigram
-    log10 probability and ``score`` that of the context tree, whose contexts
-    end at the word's beginning or, ``across_words``, at the text's; both cover
-    the text's words and its end. ``bits_per_byte`` spreads ``score`` over the
+    log10 probability and ``score`` that of the context tree; both cover the
+    text's words and its end. ``bits_per_byte`` spreads ``score`` over the
     coded bytes. Null texts count as empty, which have the end only. Repeated
     rows count and stay; other columns are ignored.
     """
     rows = keyed(docs, id_column, text_column)
     trains = F.when(F.col("own_id") != NO_ID, fold_remainder("own_id", folds) != 0).otherwise(F.lit(False))
-    bags = frequencies(rows, tokens, "binary")
+    bags = materialize(frequencies(rows, tokens, "binary"), "bags")
     words = written_totals(bags, "words", {"train": F.when(trains, F.col("n")).otherwise(0)})
     ends = rows.agg(F.count(F.lit(1)).alias("total"), F.coalesce(F.sum(trains.cast("long")), F.lit(0)).alias("train")).select(F.lit(END).alias("word"), "total", "train")
     sums = words.unionByName(ends).agg(F.sum("train").alias("tokens"), F.sum((F.col("train") > 0).cast("long")).alias("distinct")).first()
@@ -378,25 +355,13 @@ def score_texts(
     base = F.log10((F.col("train") + SMOOTHING) / F.lit(below))
     known = (F.col("train") > 0).cast("long")
     values = {"n_tokens": F.col("n"), "n_known": F.col("n") * F.col("known"), "base_score": F.col("n") * F.col("base")}
-    if across_words:
-        full = words.select("word", "total", base.alias("base"), known.alias("known"))
-        end = ends.select(base.alias("base"), known.alias("known"), F.lit(0.0).alias("log10p"), F.lit(0).alias("coded")).first()
-        of_words = sum_by_row(bags, full, values, head_words).withColumns({"score": F.lit(0.0), "coded": F.lit(0).cast("long")})
-        of_texts = sums_across_words(rows, trains, depth, head_grams).withColumns({"n_tokens": F.lit(0).cast("long"), "n_known": F.lit(0).cast("long"), "base_score": F.lit(0.0)})
-        each = of_words.unionByName(of_texts).groupBy(*KEY).agg(*(F.sum(c).alias(c) for c in (*values, "score", "coded")))
-        added = with_sums(rows, each, [*values, "score", "coded"], {"held_out": ~trains})
-    else:
-        words = materialize(words.unionByName(ends).withColumn("word_id", F.xxhash64("word")), "words")
-        grams = materialize(words.select("word", "train").mapInArrow(_gram_counts(depth), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-        scores = materialize(gram_scores(grams, depth), "gram-scores")
-        spelt = words.select("word", "word_id").mapInArrow(_words_to_grams(depth), "word_id long, gram long")
-        word_scores = materialize(spelt.join(scores, "gram").groupBy("word_id").agg(F.sum("log10p").alias("log10p")), "word-scores")
-        full = materialize(words.join(word_scores, "word_id").select("word", "total", "log10p", base.alias("base"), known.alias("known"), (F.octet_length("word") + 1).cast("long").alias("coded")), "scored-words")
-        end = full.where(F.col("word") == F.lit(END)).first()
-        values |= {"score": F.col("n") * F.col("log10p"), "coded": F.col("n") * F.col("coded")}
-        added = with_sums(rows, sum_by_row(bags, full.where(F.col("word") != F.lit(END)), values, head_words), list(values), {"held_out": ~trains})
-        end = {"known": end["known"], "base": end["base"], "log10p": end["log10p"], "coded": end["coded"] - 1} if end else {"known": 0, "base": 0.0, "log10p": 0.0, "coded": 1}
-    score = F.col("score") + end["log10p"]
+    end = ends.select(base.alias("base"), known.alias("known")).first()
+    of_words = sum_by_row(bags, words.select("word", "total", base.alias("base"), known.alias("known")), values, head_words)
+    of_words = of_words.withColumns({"score": F.lit(0.0), "coded": F.lit(0).cast("long")})
+    nothing = F.lit(0).cast("long")
+    of_texts = sums_across_words(rows, trains, depth, head_grams).withColumns({"n_tokens": nothing, "n_known": nothing, "base_score": F.lit(0.0)})
+    each = of_words.unionByName(of_texts).groupBy(*KEY).agg(*(F.sum(c).alias(c) for c in (*values, "score", "coded")))
+    added = with_sums(rows, each, [*values, "score", "coded"], {"held_out": ~trains})
     return added.select(
         "doc_id",
         "held_out",
@@ -404,6 +369,6 @@ def score_texts(
         (F.col("n_known") + end["known"]).cast("long").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base_score") + end["base"]).alias("base_score"),
-        score.alias("score"),
-        (-score / math.log10(2) / (F.col("coded") + end["coded"])).alias("bits_per_byte"),
+        "score",
+        (-F.col("score") / math.log10(2) / F.col("coded")).alias("bits_per_byte"),
     )
