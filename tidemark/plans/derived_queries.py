@@ -189,22 +189,6 @@ def date_diff_boundaries(spark, sf_dir):
     return o.select("event_id", C.hour_boundaries(F.col("ts"), later).alias("hours"), C.day_boundaries(F.col("ts"), later).alias("days"), C.second_boundaries(F.col("ts"), later).alias("seconds"))
 
 
-def zero_pad_codes(spark, sf_dir):
-    return read(spark, sf_dir, "customer").select("c_custkey", C.zero_padded(F.col("c_custkey").cast("string"), 3).alias("code"))
-
-
-def uri_classification(spark, sf_dir):
-    return read(spark, sf_dir, "part").select("p_partkey", C.uri_class(F.when(F.col("p_size") < 10, F.concat(F.lit("http://x/esco/occupation/"), "p_partkey")).when(F.col("p_size") < 20, F.concat(F.lit("http://x/esco/isco/C"), "p_size")).when(F.col("p_size") < 30, F.lit("http://x/esco/skill/1")).when(F.col("p_size") < 40, F.lit("")).otherwise(F.lit("other"))).alias("uri_class"))
-
-
-def name_folding(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", F.md5(C.folded_name(F.col("text"))).alias("folded_md5"))
-
-
-def slugs(spark, sf_dir):
-    return read(spark, sf_dir, "part").select("p_partkey", C.slug(F.col("p_name")).alias("slug"))
-
-
 def hmac_pseudonym(spark, sf_dir):
     c = read(spark, sf_dir, "customer")
     return c.select("c_custkey", C.pseudonym_of_id(b"key", F.col("c_name")).alias("of_id"), C.pseudonym_of_source(b"key", F.lit("tpch"), F.col("c_name")).alias("of_source"))
@@ -292,9 +276,6 @@ FROM (SELECT CASE WHEN l_quantity > 10 THEN l_returnflag END AS p, CASE WHEN l_t
     "round_robin_breadth": "SELECT c_custkey, c_nationkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS turn FROM customer",
     "stratified_sample": "SELECT s_nationkey, s_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS nth, count(*) OVER (PARTITION BY s_nationkey) AS n FROM supplier) WHERE nth = n // 2 + 1",
     "date_diff_boundaries": f"SELECT event_id, date_diff('hour', ts, TIMESTAMP '{REFERENCE_TIME}') AS hours, date_diff('day', ts, TIMESTAMP '{REFERENCE_TIME}') AS days, date_diff('second', ts, TIMESTAMP '{REFERENCE_TIME}') AS seconds FROM events",
-    "zero_pad_codes": "SELECT c_custkey, CASE WHEN length(CAST(c_custkey AS VARCHAR)) < 3 THEN lpad(CAST(c_custkey AS VARCHAR), 3, '0') ELSE CAST(c_custkey AS VARCHAR) END AS code FROM customer",
-    "uri_classification": "SELECT p_partkey, CASE WHEN p_size < 10 THEN 'esco_occupation' WHEN p_size < 20 THEN 'isco_group' WHEN p_size < 30 THEN 'esco_skill' WHEN p_size < 40 THEN 'none' ELSE 'national' END AS uri_class FROM part",
-    "slugs": "SELECT p_partkey, left(regexp_replace(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 60) AS slug FROM part",
     "pii_scan": r"""SELECT 'text' AS field, pattern, hits FROM (SELECT unnest([{'pattern': 'email', 'hits': count(*) FILTER (WHERE regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}'))}, {'pattern': 'url', 'hits': count(*) FILTER (WHERE regexp_matches(text, 'https?://'))}, {'pattern': 'phone', 'hits': count(*) FILTER (WHERE regexp_matches(text, '\+[0-9][0-9 ()-]{7,}[0-9]'))}, {'pattern': 'card', 'hits': count(*) FILTER (WHERE regexp_matches(text, '\b[0-9]{16}\b'))}], recursive := true) FROM documents) WHERE hits > 0""",
     "suppression_leaks": with_ctes("SELECT source, scope_id, dimension, value_uri, posting_count FROM dimension_demand WHERE posting_count BETWEEN 1 AND 4"),
     "assertions": "SELECT unnest(['postings_grain', 'skills_grain', 'lifecycle_grain', 'labels_unambiguous', 'closure_vocabulary', 'row_counts', 'incomplete_excluded', 'no_orphans', 'inferred_have_sweeps', 'no_cross_key', 'latest_present', 'mapped_have_codes']) AS assertion, CAST(0 AS BIGINT) AS offending",
@@ -303,7 +284,7 @@ FROM (SELECT CASE WHEN l_quantity > 10 THEN l_returnflag END AS p, CASE WHEN l_t
     "stream_fold": "SELECT user_id, event_id, event_type, ts, entries FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n, count(*) OVER (PARTITION BY user_id) AS entries FROM events) WHERE n = 1",
     "stream_dedupe": "SELECT DISTINCT user_id, event_type FROM events",
 }
-ROWS_ONLY = ("insight_evidence", "name_folding", "hmac_pseudonym")
+ROWS_ONLY = ("insight_evidence", "hmac_pseudonym")
 
 
 def queries() -> dict:
