@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold_remainder, materialize
-from .wordbag import HEAD_WORDS, KEY, NO_ID, frequencies, head_of, keyed, sum_by_row, with_sums, written_totals
+from .wordbag import HEAD_WORDS, KEY, NO_ID, frequencies, head_of, keyed, sums_by_row, with_sums, written_totals
 
 DEPTH = 6
 #: Nearest bytes by which the tree is partitioned, at least; more where a branch is larger than the bound.
@@ -46,7 +46,7 @@ HEAD_GRAMS = 2_000_000
 #: Bytes of text that are turned into grams together.
 BYTES_AT_ONCE = 1 << 20
 #: Distinct grams that a task adds up before it hands them on.
-COUNTS_HELD = 1 << 22
+COUNTS_HELD = 1 << 21
 
 
 def tokens(text: str) -> list[bytes]:
@@ -116,7 +116,7 @@ class GramTable:
     """
 
     def __init__(self, grams: np.ndarray, scores: np.ndarray):
-        self.shift = np.uint64(64 - max(1, int(2 * len(grams)).bit_length()))
+        self.shift = np.uint64(64 - max(1, len(grams).bit_length()))
         self.keys = np.full(1 << 64 - int(self.shift), -1, dtype=np.int64)
         self.values = np.zeros(len(self.keys))
         slots = self.slots(grams)
@@ -347,19 +347,19 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     """
     rows = keyed(docs, id_column, text_column)
     trains = F.when(F.col("own_id") != NO_ID, fold_remainder("own_id", folds) != 0).otherwise(F.lit(False))
-    bags = materialize(frequencies(rows, tokens, "binary"), "bags")
-    words = written_totals(bags, "words", {"train": F.when(trains, F.col("n")).otherwise(0)})
+    words = written_totals(frequencies(rows, tokens, "binary"), "words", {"train": F.when(trains, F.col("n")).otherwise(0)})
     ends = rows.agg(F.count(F.lit(1)).alias("total"), F.coalesce(F.sum(trains.cast("long")), F.lit(0)).alias("train")).select(F.lit(END).alias("word"), "total", "train")
     sums = words.unionByName(ends).agg(F.sum("train").alias("tokens"), F.sum((F.col("train") > 0).cast("long")).alias("distinct")).first()
     n, below = sums["tokens"] or 0, (sums["tokens"] or 0) + SMOOTHING * ((sums["distinct"] or 0) + 1)
     base = F.log10((F.col("train") + SMOOTHING) / F.lit(below))
     known = (F.col("train") > 0).cast("long")
-    values = {"n_tokens": F.col("n"), "n_known": F.col("n") * F.col("known"), "base_score": F.col("n") * F.col("base")}
+    values = ["n_tokens", "n_known", "base_score"]
     end = ends.select(base.alias("base"), known.alias("known")).first()
-    of_words = sum_by_row(bags, words.select("word", "total", base.alias("base"), known.alias("known")), values, head_words)
+    each_word = words.select("word", "total", F.lit(1).alias("n_tokens"), known.alias("n_known"), base.alias("base_score"))
+    of_words = sums_by_row(rows, tokens, each_word, values, "binary", head_words)
     of_words = of_words.withColumns({"score": F.lit(0.0), "coded": F.lit(0).cast("long")})
-    nothing = F.lit(0).cast("long")
-    of_texts = sums_across_words(rows, trains, depth, head_grams).withColumns({"n_tokens": nothing, "n_known": nothing, "base_score": F.lit(0.0)})
+    nothing = F.lit(0.0)
+    of_texts = sums_across_words(rows, trains, depth, head_grams).withColumns({c: nothing for c in values})
     each = of_words.unionByName(of_texts).groupBy(*KEY).agg(*(F.sum(c).alias(c) for c in (*values, "score", "coded")))
     added = with_sums(rows, each, [*values, "score", "coded"], {"held_out": ~trains})
     return added.select(

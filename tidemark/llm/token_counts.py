@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 from .pieces import MODEL, pre_tokens
-from .wordbag import HEAD_WORDS, frequencies, keyed, sum_by_row, totals, with_sums
+from .wordbag import HEAD_WORDS, frequencies, keyed, sums_by_row, totals, with_sums
 
 LIMIT = 4096
 
@@ -43,8 +43,7 @@ def count_tokens(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     ignored.
     """
     rows = keyed(docs, id_column, text_column)
-    bags = frequencies(rows, pre_tokens)
-    words = materialize(piece_counts(totals(bags), model), "piece-counts")
-    counted = sum_by_row(bags, words, {"n_tokens": F.col("n") * F.col("pieces")}, head_words)
+    words = materialize(piece_counts(totals(frequencies(rows, pre_tokens)), model), "piece-counts")
+    counted = sums_by_row(rows, pre_tokens, words, ["pieces"], bound=head_words).withColumnRenamed("pieces", "n_tokens")
     found = with_sums(rows, counted, ["n_tokens"], {"n_bytes": F.octet_length("text").cast("long")}).withColumn("n_tokens", F.col("n_tokens").cast("long"))
     return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

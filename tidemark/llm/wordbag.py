@@ -1,8 +1,10 @@
 """Per-document word frequencies, and a skew-proof join of them with a table of words.
 
 A few words make up a third of any corpus, so a plain shuffle by word sends
-them to one task. Here the frequent words go through a broadcast table of
-bounded size and never shuffle; only the rare rest is joined by shuffle.
+them to one task. Here the frequent words are looked up in a broadcast table,
+bounded in rows and bytes, while a text is cut into words, and never leave the
+task; only the rare rest is joined by shuffle. Both come from one pass over the
+texts.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,8 +21,14 @@ from .common import materialize
 
 #: Most words that the broadcast head of a word table may have.
 HEAD_WORDS = 200_000
+#: And the most bytes of each; longer words are always joined by shuffle.
+HEAD_BYTES = 64
+#: Leads the key of a text's own row among its rare words; no word starts so.
+OWN = " "
 #: Rows that leave a Python worker together.
 ROWS_AT_ONCE = 200_000
+#: Texts that are cut together.
+TEXTS_AT_ONCE = 256
 
 
 #: A document is known by its id and the hash of its text, which any re-read of the input gives again.
@@ -93,20 +102,53 @@ def head_of(words: DataFrame, weight: str = "total", bound: int = HEAD_WORDS, st
     return words.where(power >= least) if least is not None else words.limit(0)
 
 
-def sum_by_row(bags: DataFrame, words: DataFrame, values: dict[str, Column], bound: int = HEAD_WORDS) -> DataFrame:
-    """Per key the sums of ``values`` over its words, each looked up in the written table ``words``.
+def sums_by_row(rows: DataFrame, split: Callable[[str], list], words: DataFrame, columns: list[str], kind: str = "string", bound: int = HEAD_WORDS) -> DataFrame:
+    """Per key the sums over its words of n times each of ``columns`` (double), looked up in the written table ``words``.
 
-    ``values`` are expressions over n and the columns of ``words`` (word,
-    total, ...). Words must all be in the table. The head is joined by
-    broadcast and added up on the map side; the rest is joined by shuffle.
+    ``words`` is (word, total, columns...). Words must all be in the table, and
+    none may start with a blank. Texts without words have sums of zero.
     """
-    head = F.broadcast(head_of(words, bound=bound))
-    sums = [F.sum(v).alias(k) for k, v in values.items()]
-    frequent = bags.join(head, "word").groupBy(*KEY).agg(*sums)
-    rest = bags.join(head.select("word"), "word", "left_anti")
-    rare = rest.join(words, "word").groupBy(*KEY).agg(*sums)
-    again = [F.sum(k).alias(k) for k in values]
-    return frequent.unionByName(rare).groupBy(*KEY).agg(*again)
+    value = pa.string() if kind == "string" else pa.binary()
+    length = F.octet_length("word")
+    table = head_of(words.where(length <= HEAD_BYTES), bound=bound).select("word", *(F.col(c).cast("double") for c in columns)).toArrow()
+    head = rows.sparkSession.sparkContext.broadcast((table.column(0).to_pylist(), np.column_stack([table.column(c).to_numpy() for c in columns]).reshape(-1, len(columns))))
+    shape = pa.schema([("own_id", pa.int64()), ("text_hash", pa.int64()), ("word", value), ("n", pa.int64()), *((c, pa.float64()) for c in columns)])
+
+    def parts(batches):
+        place = values = None
+        for batch in batches:
+            if place is None:
+                known, values = head.value
+                place = {w: i for i, w in enumerate(known)}
+            for first in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                some = batch.slice(first, TEXTS_AT_ONCE)
+                owners, rare, counts, sums = [], [], [], np.zeros((some.num_rows, len(columns)))
+                for at, body in enumerate(some.column(2)):
+                    found = Counter(split(body.as_py()))
+                    places = list(map(place.get, found))
+                    each = np.fromiter(found.values(), np.int64, len(found))
+                    held = np.array([-1 if p is None else p for p in places], np.int64)
+                    sums[at] = each[held >= 0] @ values[held[held >= 0]]
+                    missing = np.flatnonzero(held < 0)
+                    if len(missing):
+                        spelt = list(found)
+                        owners += [at] * len(missing)
+                        rare += [spelt[i] for i in missing]
+                        counts += each[missing].tolist()
+                own = [f"{OWN}{k}" if kind == "string" else f"{OWN}{k}".encode() for k in some.column(1).to_pylist()]
+                yield packed(some, range(some.num_rows), own, [1] * some.num_rows, sums.T)
+                for start in range(0, len(owners), ROWS_AT_ONCE):
+                    end = start + ROWS_AT_ONCE
+                    yield packed(some, owners[start:end], rare[start:end], counts[start:end], [None] * len(columns))
+
+    def packed(batch, owners, spelt, counts, sums):
+        at = pa.array(owners, pa.int32())
+        own = [pa.nulls(len(at), pa.float64()) if c is None else pa.array(c) for c in sums]
+        return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(spelt, value), pa.array(counts, pa.int64()), *own], schema=shape)
+
+    told = rows.select(*KEY, "text").mapInArrow(parts, ", ".join([f"own_id long, text_hash long, word {kind}, n long", *(f"{c} double" for c in columns)]))
+    looked_up = told.join(words.select("word", *(F.col(c).cast("double").alias(f"word_{c}") for c in columns)), "word", "left")
+    return looked_up.groupBy(*KEY).agg(*(F.sum(F.coalesce(c, F.col("n") * F.col(f"word_{c}"))).alias(c) for c in columns))
 
 
 def totals(bags: DataFrame, extra: dict[str, Column] | None = None) -> DataFrame:
