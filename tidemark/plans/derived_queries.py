@@ -67,17 +67,10 @@ def insight_evidence(spark, sf_dir):
 def _candidates(spark, sf_dir):
     """Parts stand for source concepts by type, brands for targets; a size above 45 is an exact relation."""
     parts = read(spark, sf_dir, "part")
-    return parts.where("p_size > 25").select(F.col("p_type").alias("concept"), F.concat(F.lit("urn:"), "p_brand", F.lit(":"), "p_size").alias("target_uri"), F.col("p_brand").alias("target_label"), F.when(F.col("p_size") > 49, "exact").otherwise("close").alias("relation")).distinct()
+    return parts.where("p_size > 25").select(F.col("p_type").alias("concept"), F.concat(F.lit("urn:"), "p_brand", F.lit(":"), "p_size").alias("target_uri"), F.col("p_brand").alias("target_label"), F.when(F.col("p_size") > 49, "exact-match").otherwise("close-match").alias("relation")).distinct()
 
 
-CANDIDATES_SQL = "SELECT DISTINCT p_type AS concept, 'urn:' || p_brand || ':' || p_size AS target_uri, p_brand AS target_label, CASE WHEN p_size > 49 THEN 'exact' ELSE 'close' END AS relation FROM part WHERE p_size > 25"
-
-
-def esco_mapping_rule(spark, sf_dir):
-    rows = read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").alias("concept"))
-    candidates = spark.createDataFrame([("1-URGENT", "u1", "l1", "exact"), ("2-HIGH", "u2", "l2", "close"), ("3-MEDIUM", "u3", "l3", "exact"), ("3-MEDIUM", "u4", "l4", "close"), ("4-NOT SPECIFIED", "u5", "l5", "close"), ("4-NOT SPECIFIED", "u6", "l6", "close")], "concept string, target_uri string, target_label string, relation string")
-    reviews = spark.createDataFrame([("2-HIGH", "u9", "mapped")], "concept string, target_uri string, status string")
-    return mapping.map_concepts(rows, candidates, reviews).select("o_orderkey", "uri", "mapping_status", "mapping_confidence", "mapping_method")
+CANDIDATES_SQL = "SELECT DISTINCT p_type AS concept, 'urn:' || p_brand || ':' || p_size AS target_uri, p_brand AS target_label, CASE WHEN p_size > 49 THEN 'exact-match' ELSE 'close-match' END AS relation FROM part WHERE p_size > 25"
 
 
 def crosswalk_summary(spark, sf_dir):
@@ -93,23 +86,6 @@ def _places(spark, sf_dir):
 PLACES_SQL = "SELECT n_name AS region, c_mktsegment AS place, CAST(floor(c_acctbal / 100) AS BIGINT) AS postcode FROM customer JOIN nation ON c_nationkey = n_nationkey"
 
 
-def region_cascade(spark, sf_dir):
-    c = read(spark, sf_dir, "customer").select("c_custkey", F.lpad(F.col("c_nationkey").cast("string"), 4, "0").alias("municipality"), F.substring("c_mktsegment", 1, 1).alias("region_code"))
-    nations = read(spark, sf_dir, "nation")
-    lookups = {
-        "municipality": nations.where("n_nationkey < 8").select(F.lpad(F.col("n_nationkey").cast("string"), 4, "0").alias("code"), F.concat(F.lit("M"), "n_name").alias("nuts_code")),
-        "prefix": nations.where("n_nationkey BETWEEN 1 AND 9").select(F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("code"), F.concat(F.lit("P"), "n_name").alias("nuts_code")),
-        "region": nations.where("n_nationkey IN (0, 1)").select(F.substring("n_name", 1, 1).alias("code"), F.concat(F.lit("R"), "n_name").alias("nuts_code")),
-    }
-    return mapping.region_cascade(c, lookups)
-
-
-def requirement_mapping_rule(spark, sf_dir):
-    rows = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.nullif("l_returnflag", F.lit("N")).alias("code"))
-    labels = spark.createDataFrame([("A", "accepted")], "code string, label_en string")
-    return mapping.requirement_label(rows, labels, "code")
-
-
 def postcode_regions(spark, sf_dir):
     return mapping.postcode_regions(_places(spark, sf_dir).select(F.col("postcode"), F.col("region").alias("nuts_code")))
 
@@ -251,14 +227,7 @@ ORACLES = {
     "trend_gate": with_ctes("SELECT source, scope_id, a AS first_stock, b AS last_stock, CASE WHEN b > a THEN 'up' WHEN b < a THEN 'down' ELSE 'flat' END AS direction FROM (SELECT f.source, f.scope_id, arg_min(active_postings, bucket_start) AS a, arg_max(active_postings, bucket_start) AS b FROM flows f JOIN (SELECT source, scope_id FROM sweeps GROUP BY 1, 2 HAVING count(*) >= 14 AND date_diff('day', min(observed_at), max(observed_at)) >= 7) e ON e.source = f.source AND e.scope_id = f.scope_id WHERE grain = 'day' AND active_postings IS NOT NULL GROUP BY 1, 2)", FLOWS),
     "gap_densified_axis": with_ctes("SELECT a.source, a.scope_id, a.day, f.openings, f.closures FROM (SELECT source, scope_id, CAST(unnest(range(min(bucket_start), max(bucket_start) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS day FROM flows WHERE grain = 'day' GROUP BY 1, 2) a LEFT JOIN flows f ON f.grain = 'day' AND f.source = a.source AND f.scope_id = a.scope_id AND CAST(f.bucket_start AS DATE) = a.day", FLOWS),
     "gap_markers": with_ctes("SELECT * FROM (SELECT source, scope_id, bucket_start, date_diff('day', lag(bucket_start) OVER (PARTITION BY source, scope_id ORDER BY bucket_start), bucket_start) AS gap_days FROM flows WHERE grain = 'day') WHERE gap_days > 1", FLOWS),
-    "esco_mapping_rule": "SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'u1' WHEN '2-HIGH' THEN 'u9' WHEN '3-MEDIUM' THEN 'u3' END AS uri, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') THEN 'mapped' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'ambiguous' ELSE 'unmapped' END AS mapping_status, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') THEN 'high' END AS mapping_confidence, CASE WHEN o_orderpriority = '2-HIGH' THEN 'manual_review' ELSE 'crosswalk' END AS mapping_method FROM orders",
-    "crosswalk_summary": f"SELECT concept, count(*) AS n, count(*) FILTER (WHERE relation = 'exact') AS n_exact, CASE WHEN bool_or(relation = 'exact') THEN max(CASE WHEN relation = 'exact' THEN target_uri END) ELSE max(target_uri) END AS uri FROM ({CANDIDATES_SQL}) GROUP BY 1",
-    "region_cascade": """SELECT c_custkey, municipality, region_code, coalesce(m.nuts, p.nuts, r.nuts) AS nuts_code, CASE WHEN coalesce(m.nuts, p.nuts, r.nuts) IS NOT NULL THEN 'mapped' ELSE 'unmapped' END AS mapping_status, CASE WHEN m.nuts IS NOT NULL THEN 'municipality' WHEN p.nuts IS NOT NULL THEN 'prefix' WHEN r.nuts IS NOT NULL THEN 'region' ELSE 'none' END AS mapping_method
-FROM (SELECT c_custkey, lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS municipality, left(c_mktsegment, 1) AS region_code FROM customer) c
-LEFT JOIN (SELECT lpad(CAST(n_nationkey AS VARCHAR), 4, '0') AS code, 'M' || n_name AS nuts FROM nation WHERE n_nationkey < 8) m ON m.code = municipality
-LEFT JOIN (SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code, 'P' || n_name AS nuts FROM nation WHERE n_nationkey BETWEEN 1 AND 9) p ON p.code = left(municipality, 2)
-LEFT JOIN (SELECT left(n_name, 1) AS code, 'R' || n_name AS nuts FROM nation WHERE n_nationkey IN (0, 1)) r ON r.code = region_code""",
-    "requirement_mapping_rule": "SELECT l_orderkey, l_linenumber, nullif(l_returnflag, 'N') AS code, CASE l_returnflag WHEN 'N' THEN 'Not stated' WHEN 'A' THEN 'accepted' ELSE 'Unrecognised code' END AS value_label, CASE l_returnflag WHEN 'N' THEN 'not_present' WHEN 'A' THEN 'mapped' ELSE 'unmapped' END AS mapping_status FROM lineitem",
+    "crosswalk_summary": f"SELECT concept, count(*) AS n, count(*) FILTER (WHERE relation = 'exact-match') AS n_exact, CASE WHEN bool_or(relation = 'exact-match') THEN max(CASE WHEN relation = 'exact-match' THEN target_uri END) ELSE max(target_uri) END AS uri FROM ({CANDIDATES_SQL}) GROUP BY 1",
     "postcode_regions": f"SELECT postcode, CASE WHEN count(DISTINCT region) = 1 THEN min(region) END AS nuts_code, CASE WHEN count(DISTINCT region) = 1 THEN 'mapped' ELSE 'ambiguous' END AS mapping_status FROM ({PLACES_SQL}) GROUP BY 1",
     "snapshot_reconcile": "SELECT coalesce(a.user_id, b.user_id) AS user_id, CASE WHEN b.user_id IS NULL THEN 'closed' WHEN a.user_id IS NULL THEN 'added' ELSE 'unchanged' END AS state FROM (SELECT DISTINCT user_id FROM events WHERE day(ts) = 5) a FULL JOIN (SELECT DISTINCT user_id FROM events WHERE day(ts) = 6) b ON a.user_id = b.user_id",
     "log_fold_latest": "SELECT user_id, event_id, event_type, ts, entries FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n, count(*) OVER (PARTITION BY user_id) AS entries FROM events) WHERE n = 1",
