@@ -16,8 +16,17 @@ REQUIREMENTS = ("employment_type", "working_hours_type", "duration")
 SCOPE = ["source", "scope_id"]
 
 
+#: Columns of the latest sweeps, by contract.
+LATEST_COLUMNS = (
+    "source", "scope_id", "partition_id", "sweep_id", "run_id", "observed_at", "started_at", "completed_at", "status", "row_count", "hmac_key_version", "source_version", "licence_reference", "access_method",
+    "approval_status", "expected_country", "freshness_threshold_hours", "coverage_limitations", "reference_hashes", "nuts_version", "jobtech_taxonomy_version", "esco_version",
+)
+#: What a sweep tells about its source.
+PROVENANCE = ("source_version", "licence_reference", "access_method", "approval_status")
+
+
 def latest_sweeps(sweeps: DataFrame) -> DataFrame:
-    return latest_by(sweeps, SCOPE, [F.desc("observed_at"), F.desc("completed_at"), F.desc("sweep_id")])
+    return latest_by(sweeps.select(*LATEST_COLUMNS), SCOPE, [F.desc("observed_at"), F.desc("completed_at"), F.desc("sweep_id")])
 
 
 def _of_latest(rows: DataFrame, latest: DataFrame) -> DataFrame:
@@ -38,7 +47,9 @@ def source_coverage(sweeps: DataFrame, postings: DataFrame, reference_time: Colu
         "observed_at",
         F.col("row_count").alias("expected_rows"),
         "observed_rows",
+        *PROVENANCE,
         "freshness_threshold_hours",
+        "coverage_limitations",
         age.alias("freshness_age_hours"),
         F.when(F.col("freshness_threshold_hours").isNull(), "unknown").when(age > F.col("freshness_threshold_hours"), "stale").otherwise("fresh").alias("freshness_status"),
         F.when(unknown, "unknown_metadata").when((F.col("observed_rows") != F.col("row_count")) | (F.col("wrong_country_rows") > 0), "invalid").otherwise("covered").alias("coverage_status"),
@@ -48,7 +59,8 @@ def source_coverage(sweeps: DataFrame, postings: DataFrame, reference_time: Colu
 def labour_demand(latest: DataFrame, coverage: DataFrame) -> DataFrame:
     """Active postings of the latest sweeps that are covered; a sweep without rows counts zero."""
     facts = coverage.where("coverage_status = 'covered'").select(*SWEEP_KEYS, "freshness_age_hours", "freshness_status", "coverage_status", F.col("observed_rows").alias("active_postings"))
-    return latest.select(*SWEEP_KEYS, F.col("expected_country").alias("country"), "observed_at", "hmac_key_version").join(facts, SWEEP_KEYS)
+    told = ("partition_id", "run_id", "observed_at", "started_at", "completed_at", "status", "hmac_key_version", *PROVENANCE, "coverage_limitations")
+    return latest.select(*SWEEP_KEYS, F.col("expected_country").alias("country"), *told).join(facts, SWEEP_KEYS)
 
 
 def _demand(rows: DataFrame, dimension: str, uri: str, label: str, version: str) -> DataFrame:

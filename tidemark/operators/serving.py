@@ -39,29 +39,66 @@ def leader(demand: DataFrame, dimension: str) -> DataFrame:
     return ranked.where((F.col("place") == 1) & (F.col("runner_up").isNull() | (F.col("posting_count") > F.col("runner_up")))).drop("place")
 
 
-def latest_churn(flows: DataFrame) -> DataFrame:
-    """Openings and closures of the last two day buckets, where neither is suppressed."""
-    days = top_n(flows.where("grain = 'day'"), SCOPE, [F.desc("bucket_start")], 2, "place")
-    pair = days.groupBy(*SCOPE).agg(
-        F.count(F.lit(1)).alias("buckets"), F.bool_or("is_suppressed").alias("hidden"), F.max("bucket_start").alias("bucket_start"),
-        F.max(F.when(F.col("place") == 1, F.col("openings"))).alias("openings"), F.max(F.when(F.col("place") == 1, F.col("closures"))).alias("closures"), F.max(F.when(F.col("place") == 2, F.col("openings"))).alias("openings_before"),
-    )
-    return pair.where((F.col("buckets") == 2) & ~F.col("hidden")).drop("buckets", "hidden")
+def direction(flows: DataFrame) -> DataFrame:
+    """First and last known stock of each scope's day buckets and what became of it, where at least two are known."""
+    known = flows.where("grain = 'day' AND active_postings IS NOT NULL")
+    ends = known.groupBy(*SCOPE).agg(F.count(F.lit(1)).alias("n"), F.min_by("active_postings", "bucket_start").alias("first_stock"), F.max_by("active_postings", "bucket_start").alias("last_stock")).where("n >= 2").drop("n")
+    return ends.withColumn("direction", F.when(F.col("last_stock") > F.col("first_stock"), "rising").when(F.col("last_stock") < F.col("first_stock"), "falling").otherwise("flat"))
 
 
-def trend(flows: DataFrame, frequency: DataFrame) -> DataFrame:
-    """First and last known stock of scopes with enough sweeps over enough days."""
-    enough = frequency.where((F.col("complete_sweeps") >= TREND_SWEEPS) & (F.datediff("last_observed_at", "first_observed_at") >= TREND_DAYS)).select(*SCOPE)
-    known = flows.where("grain = 'day' AND active_postings IS NOT NULL").join(enough, SCOPE)
-    ends = known.groupBy(*SCOPE).agg(F.min_by("active_postings", "bucket_start").alias("first_stock"), F.max_by("active_postings", "bucket_start").alias("last_stock"))
-    return ends.withColumn("direction", F.when(F.col("last_stock") > F.col("first_stock"), "up").when(F.col("last_stock") < F.col("first_stock"), "down").otherwise("flat"))
+#: Orders in which the publisher serves its tables: columns to sort by, falling ones with a minus.
+ORDERS = {
+    "demand": ("-active_postings", "source", "country"),
+    "coverage": ("source", "scope_id", "country", "-observed_at"),
+    "breadth": ("source", "scope_id"),
+    "dimension": ("source", "scope_id", "-posting_count", "dimension", "value_label"),
+    "skill": ("source", "scope_id", "-posting_count", "value_label"),
+    "mapping": ("source", "scope_id", "dimension", "mapping_status"),
+    "requirement": ("source", "scope_id", "dimension", "-posting_count", "value_label", "value_code"),
+    "frequency": ("source", "scope_id"),
+}
+
+
+def in_order(table: DataFrame, name: str) -> DataFrame:
+    """``table`` sorted as it is served; nulls come last either way."""
+    return table.orderBy(*(F.col(c[1:]).desc_nulls_last() if c[0] == "-" else F.col(c).asc_nulls_last() for c in ORDERS[name]))
+
+
+def places(table: DataFrame, name: str, by: list[str]) -> DataFrame:
+    """The place of each row within its group, in the order that the table is served in."""
+    order = [F.col(c[1:]).desc_nulls_last() if c[0] == "-" else F.col(c).asc_nulls_last() for c in ORDERS[name] if c.lstrip("-") not in by]
+    return table.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))
+
+
+def latest_coverage(coverage: DataFrame) -> DataFrame:
+    """The newest sweep's coverage of each scope, by time and then by id."""
+    return top_n(coverage, list(SCOPE), [F.desc("observed_at"), F.desc("sweep_id")], 1)
+
+
+def outcomes_by_status(quality: DataFrame) -> DataFrame:
+    """Mapping outcomes added up over methods, confidences and versions."""
+    return quality.groupBy(*SCOPE, "dimension", "mapping_status").agg(F.sum("outcome_count").cast("long").alias("outcome_count"))
+
+
+def bars(demand: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` regions of each scope with their share of its largest."""
+    top = top_values(demand.where("dimension = 'region'"), n)
+    return top.withColumn("share", F.col("posting_count") / F.max("posting_count").over(Window.partitionBy(*SCOPE)))
+
+
+def scope_groups(demand: DataFrame) -> DataFrame:
+    """Each source with its scopes in serving order: largest first, then by name."""
+    ranked = F.struct((-F.col("active_postings")).alias("n"), "scope_id")
+    grouped = demand.groupBy("source").agg(F.array_sort(F.collect_list(ranked)).alias("ranked"), F.sum("active_postings").alias("active_postings"))
+    return grouped.select("source", F.array_join(F.transform("ranked", lambda r: r["scope_id"]), ",").alias("scopes"), "active_postings")
 
 
 def dense_axis(flows: DataFrame) -> DataFrame:
-    """Day buckets of each scope from first to last; days without a row have nulls."""
-    days = flows.where("grain = 'day'").select(*SCOPE, F.to_date("bucket_start").alias("day"), "openings", "closures")
-    ends = days.groupBy(*SCOPE).agg(F.min("day").alias("a"), F.max("day").alias("b"))
-    return ends.select(*SCOPE, F.explode(F.sequence("a", "b")).alias("day")).join(days, [*SCOPE, "day"], "left")
+    """Buckets of each scope and grain from first to last, in steps of the grain; those without a row have nulls."""
+    rows = flows.select(*SCOPE, "grain", F.to_date("bucket_start").alias("bucket"), "openings", "closures", "active_postings")
+    ends = rows.groupBy(*SCOPE, "grain").agg(F.min("bucket").alias("a"), F.max("bucket").alias("b"))
+    step = F.expr("CASE grain WHEN 'day' THEN sequence(a, b, interval 1 day) WHEN 'week' THEN sequence(a, b, interval 7 days) ELSE sequence(a, b, interval 1 month) END")
+    return ends.select(*SCOPE, "grain", F.explode(step).alias("bucket")).join(rows, [*SCOPE, "grain", "bucket"], "left")
 
 
 def gap_markers(flows: DataFrame) -> DataFrame:

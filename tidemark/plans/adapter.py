@@ -2,8 +2,12 @@
 
 A sweep is a day of one event type and key version, a posting is a user, and
 the number in ``props`` stands for what a source would have told: regions,
-occupations, skills, requirements, and (from 95) a removal. Sweeps of the 9th,
-18th and 27th of a month are failed ones, so that the admission gate has work.
+occupations, skills, requirements, and (from 95) a removal. Sweep ids begin with
+a hash, so they are not in the order of time. On some days of a month sweeps
+fail, or lack their end, a page or a row, so that every condition of the
+admission gate has work; each region of the world is a scope with one sweep
+without rows, every other one of them partial. Postings, sweeps and lifecycles
+are written once a session for each state of the tables, and read by all.
 """
 
 from __future__ import annotations
@@ -16,8 +20,10 @@ from pyspark.sql import functions as F
 from ..operators import events as E
 from ..operators import marts as M
 from ..operators import staging as S
+from ..sources.storage import file_state, written
 
 REFERENCE_TIME = "2024-02-01 12:00:00"
+EMPTY_TIME = "2024-01-20 00:00:00"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,7 +39,7 @@ def band(k, pairs, otherwise):
 
 @dataclass
 class Model:
-    """Inputs and the shared intermediate frames, all lazy."""
+    """Inputs and the shared intermediate tables."""
 
     observations: DataFrame
     manifests: DataFrame
@@ -42,9 +48,10 @@ class Model:
     postings: DataFrame
     skills: DataFrame
     latest: DataFrame
+    lifecycles: DataFrame
 
     def lifecycle(self) -> DataFrame:
-        return E.posting_lifecycle(self.postings, self.sweeps)
+        return self.lifecycles
 
     def coverage(self) -> DataFrame:
         return M.source_coverage(self.sweeps, self.postings, F.lit(REFERENCE_TIME).cast("timestamp_ntz"))
@@ -64,7 +71,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     skill = F.transform(skills, lambda s: F.struct(F.concat(F.lit("urn:skill:"), s).alias("uri"), F.concat(F.lit("skill "), s).alias("label"), F.when(s % 3 == 0, "unmapped").when(s % 5 == 0, "not_present").otherwise("mapped").alias("status"), F.when(s % 2 == 0, "high").otherwise("low").alias("confidence"), F.lit("crosswalk").alias("method")))
     return cells.select(
         F.lit("events").alias("source"), scope.alias("scope_id"), version.alias("key_version"),
-        F.concat_ws("|", scope, version, F.date_format("observed_at", "yyyy-MM-dd")).alias("sweep_id"), "observed_at", user.cast("string").alias("source_id"), "k", "number_of_vacancies", "removed_at",
+        _sweep_id(scope, version, F.date_format("observed_at", "yyyy-MM-dd")).alias("sweep_id"), "observed_at", user.cast("string").alias("source_id"), "k", "number_of_vacancies", "removed_at",
         F.when(k == 50, "DE").otherwise("SE").alias("country"), region.alias("nuts_code"), F.when(k % 4 == 0, F.concat(F.lit("collected "), k % 30)).alias("nuts_label"),
         status.alias("region_mapping_status"), F.when(k < 30, "municipality").otherwise("region").alias("region_mapping_method"), F.lit("2024").alias("nuts_version"),
         F.concat(F.lit("urn:occupation:"), k % 12).alias("esco_occupation_uri"), F.concat(F.lit("occupation "), k % 12).alias("esco_occupation_label"),
@@ -76,13 +83,26 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def manifests(observed: DataFrame) -> DataFrame:
-    counted = observed.groupBy("source", "scope_id", F.col("key_version").alias("hmac_key_version"), "sweep_id", "observed_at").agg(F.count(F.lit(1)).alias("row_count"))
-    failed = F.day("observed_at").isin(9, 18, 27)
-    return counted.select(
-        "*", F.when(failed, "failed").otherwise("complete").alias("status"), F.col("row_count").alias("expected_rows"), F.ceil(F.col("row_count") / 25).alias("expected_pages"), F.ceil(F.col("row_count") / 25).alias("completed_pages"),
-        (F.col("observed_at") + F.expr("interval 1 hour")).alias("completed_at"), F.lit("SE").alias("expected_country"), F.when(F.col("scope_id") != "signup", 48).alias("freshness_threshold_hours"),
-        F.lit("1").alias("source_version"), F.lit("open").alias("licence_reference"), F.lit("api").alias("access_method"), F.lit("approved").alias("approval_status"), F.concat(F.lit("only "), F.col("scope_id")).alias("coverage_limitations"),
+def _sweep_id(*parts):
+    told = F.concat_ws("|", *parts)
+    return F.concat(F.substring(F.md5(told), 1, 6), F.lit("|"), told)
+
+
+def manifests(spark: SparkSession, sf_dir: str, observed: DataFrame) -> DataFrame:
+    """Every sweep's manifest, admitted or not."""
+    counted = observed.groupBy("source", "scope_id", F.col("key_version").alias("hmac_key_version"), "sweep_id", "observed_at").agg(F.count(F.lit(1)).alias("row_count")).withColumn("fails", F.lit(False))
+    empty = read(spark, sf_dir, "region").select(
+        F.lit("events").alias("source"), F.concat(F.lit("empty-"), "r_name").alias("scope_id"), F.lit("v1").alias("hmac_key_version"), _sweep_id(F.lit("empty"), "r_name").alias("sweep_id"), F.lit(EMPTY_TIME).cast("timestamp_ntz").alias("observed_at"),
+        F.lit(0).cast("long").alias("row_count"), (F.col("r_regionkey") % 2 == 1).alias("fails"),
+    )
+    every, day = counted.unionByName(empty), F.day("observed_at")
+    pages = F.ceil(F.col("row_count") / 25)
+    text = {"nuts_version": "2024", "jobtech_taxonomy_version": "30", "esco_version": "1.2.1", "reference_hashes": "geography:1", "source_version": "1", "licence_reference": "open", "access_method": "api", "approval_status": "approved", "expected_country": "SE"}
+    return every.select(
+        *(c for c in every.columns if c != "fails"), F.when(F.col("fails"), "partial").when(day == 9, "failed").otherwise("complete").alias("status"),
+        F.when(day != 12, F.col("row_count") + F.when(day == 21, 1).otherwise(0)).alias("expected_rows"), pages.alias("expected_pages"), (pages - F.when(day == 27, 1).otherwise(0)).alias("completed_pages"),
+        F.when(day != 18, F.col("observed_at") + F.expr("interval 1 hour")).alias("completed_at"), F.col("observed_at").alias("started_at"), F.concat(F.lit("run-"), "sweep_id").alias("run_id"), F.col("sweep_id").alias("partition_id"),
+        F.when(F.col("scope_id") != "signup", 48).alias("freshness_threshold_hours"), F.concat(F.lit("only "), "scope_id").alias("coverage_limitations"), *(F.lit(v).alias(k) for k, v in text.items()),
     )
 
 
@@ -93,44 +113,56 @@ def label_files(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [nations.select(code, F.col("n_name").alias("nuts_label")), nations.select(code, F.concat(F.lit("A "), F.col("n_name")).alias("nuts_label"), F.lit("2024").alias("source_version"))]
 
 
+_written: dict[tuple, Model] = {}
+
+
 def model(spark: SparkSession, sf_dir: str) -> Model:
-    observed = observations(spark, sf_dir)
-    told = manifests(observed)
-    labels = S.nuts_labels(label_files(spark, sf_dir))
-    sweeps = S.admitted(told)
-    postings = S.staged_postings(observed.drop("key_version"), sweeps, labels)
-    return Model(observed, told, labels, sweeps, postings, S.skill_mappings(postings), M.latest_sweeps(sweeps))
+    """The model over the tables in ``sf_dir``; written once for each state of the tables in a session."""
+    key = (spark.sparkContext.applicationId, sf_dir, *(file_state(spark, f"{sf_dir}/{t}.parquet") for t in ("events", "nation", "region")))
+    if key not in _written:
+        observed = written(observations(spark, sf_dir), "observations")
+        told = written(manifests(spark, sf_dir, observed), "manifests")
+        labels = S.nuts_labels(label_files(spark, sf_dir))
+        sweeps = S.admitted(told)
+        postings = written(S.staged_postings(observed.drop("key_version"), sweeps, labels), "postings")
+        lifecycle = written(E.posting_lifecycle(postings, sweeps), "lifecycle")
+        _written[key] = Model(observed, told, labels, sweeps, postings, S.skill_mappings(postings), M.latest_sweeps(sweeps), lifecycle)
+    return _written[key]
 
 
 #: The same in SQL: name of a common table expression to its text. Each may use those before it.
 CTES = {
     "ev": "SELECT ts, user_id, event_type, value, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events",
     "cells": "SELECT event_type, user_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS observed_at, min(k) AS k, max(CAST(floor(value / 100) AS BIGINT)) AS number_of_vacancies, min(CASE WHEN k >= 95 THEN ts END) AS removed_at FROM ev GROUP BY 1, 2, 3",
-    "observed": """SELECT 'events' AS source, event_type AS scope_id, 'v' || (1 + user_id % 2) AS key_version, event_type || '|v' || (1 + user_id % 2) || '|' || strftime(observed_at, '%Y-%m-%d') AS sweep_id, observed_at, CAST(user_id AS VARCHAR) AS source_id, k, number_of_vacancies, removed_at,
+    "observed": """SELECT 'events' AS source, event_type AS scope_id, 'v' || (1 + user_id % 2) AS key_version, substr(md5(event_type || '|v' || (1 + user_id % 2) || '|' || strftime(observed_at, '%Y-%m-%d')), 1, 6) || '|' || event_type || '|v' || (1 + user_id % 2) || '|' || strftime(observed_at, '%Y-%m-%d') AS sweep_id, observed_at, CAST(user_id AS VARCHAR) AS source_id, k, number_of_vacancies, removed_at,
 CASE WHEN k = 50 THEN 'DE' ELSE 'SE' END AS country, 'SE' || (k % 30 + 100) AS nuts_code, CASE WHEN k % 4 = 0 THEN 'collected ' || (k % 30) END AS nuts_label,
 CASE WHEN k < 60 THEN 'mapped' WHEN k < 70 THEN 'unmapped' WHEN k < 80 THEN 'not_present' WHEN k < 90 THEN 'ambiguous' ELSE 'low_confidence' END AS region_mapping_status, CASE WHEN k < 30 THEN 'municipality' ELSE 'region' END AS region_mapping_method, '2024' AS nuts_version,
 'urn:occupation:' || (k % 12) AS esco_occupation_uri, 'occupation ' || (k % 12) AS esco_occupation_label, CASE WHEN k % 3 = 0 THEN 'unmapped' ELSE 'mapped' END AS occupation_mapping_status, CASE WHEN k % 2 = 0 THEN 'high' END AS occupation_mapping_confidence, 'crosswalk' AS occupation_mapping_method, '1.2.1' AS esco_version,
 CAST(k % 3 AS VARCHAR) AS employment_type_code, 'type ' || (k % 3) AS employment_type_label, CASE WHEN k >= 5 THEN 'mapped' END AS employment_type_mapping_status,
 CAST(k % 2 AS VARCHAR) AS working_hours_type_code, 'hours ' || (k % 2) AS working_hours_type_label, CASE WHEN k > 90 THEN 'unmapped' ELSE 'mapped' END AS working_hours_type_mapping_status,
 CASE WHEN k % 5 > 0 THEN CAST(k % 5 AS VARCHAR) END AS duration_code, CASE WHEN k % 5 = 0 THEN 'Not stated' ELSE 'duration ' || (k % 5) END AS duration_label, CASE WHEN k % 5 = 0 THEN 'not_present' ELSE 'mapped' END AS duration_mapping_status FROM cells""",
-    "manifests": """SELECT source, scope_id, key_version AS hmac_key_version, sweep_id, observed_at, count(*) AS row_count, CASE WHEN day(observed_at) IN (9, 18, 27) THEN 'failed' ELSE 'complete' END AS status,
-observed_at + INTERVAL 1 HOUR AS completed_at, 'SE' AS expected_country, CASE WHEN scope_id <> 'signup' THEN 48 END AS freshness_threshold_hours, 'only ' || scope_id AS coverage_limitations FROM observed GROUP BY 1, 2, 3, 4, 5""",
-    "sweeps": "SELECT * FROM manifests WHERE status = 'complete'",
+    "counted": f"""SELECT source, scope_id, key_version AS hmac_key_version, sweep_id, observed_at, count(*) AS row_count, FALSE AS fails FROM observed GROUP BY 1, 2, 3, 4, 5
+UNION ALL SELECT 'events', 'empty-' || r_name, 'v1', substr(md5('empty|' || r_name), 1, 6) || '|empty|' || r_name, TIMESTAMP '{EMPTY_TIME}', 0, r_regionkey % 2 = 1 FROM region""",
+    "manifests": """SELECT source, scope_id, hmac_key_version, sweep_id, observed_at, row_count, CASE WHEN fails THEN 'partial' WHEN day(observed_at) = 9 THEN 'failed' ELSE 'complete' END AS status,
+CASE WHEN day(observed_at) <> 12 THEN row_count + CASE WHEN day(observed_at) = 21 THEN 1 ELSE 0 END END AS expected_rows, CAST(ceil(row_count / 25) AS BIGINT) AS expected_pages, CAST(ceil(row_count / 25) AS BIGINT) - CASE WHEN day(observed_at) = 27 THEN 1 ELSE 0 END AS completed_pages,
+CASE WHEN day(observed_at) <> 18 THEN observed_at + INTERVAL 1 HOUR END AS completed_at, observed_at AS started_at, 'run-' || sweep_id AS run_id, sweep_id AS partition_id, CASE WHEN scope_id <> 'signup' THEN 48 END AS freshness_threshold_hours, 'only ' || scope_id AS coverage_limitations,
+'2024' AS nuts_version, '30' AS jobtech_taxonomy_version, '1.2.1' AS esco_version, 'geography:1' AS reference_hashes, '1' AS source_version, 'open' AS licence_reference, 'api' AS access_method, 'approved' AS approval_status, 'SE' AS expected_country FROM counted""",
+    "sweeps": "SELECT * FROM manifests WHERE status = 'complete' AND completed_at IS NOT NULL AND completed_pages = expected_pages AND row_count = expected_rows",
     "labels": "SELECT nuts_code, min(nuts_label) AS nuts_label FROM (SELECT 'SE' || (n_nationkey + 100) AS nuts_code, n_name AS nuts_label FROM nation UNION ALL SELECT 'SE' || (n_nationkey + 100), 'A ' || n_name FROM nation) GROUP BY 1",
     "postings": "SELECT o.* EXCLUDE (nuts_label, key_version), coalesce(o.nuts_label, l.nuts_label) AS nuts_label, s.hmac_key_version FROM observed o JOIN sweeps s ON o.source = s.source AND o.scope_id = s.scope_id AND o.sweep_id = s.sweep_id AND o.observed_at = s.observed_at LEFT JOIN labels l ON o.nuts_code = l.nuts_code",
     "skill_rows": "SELECT source, scope_id, sweep_id, source_id, esco_version, skill_ordinal, n FROM (SELECT *, k % 10 AS n, CAST(1 AS BIGINT) AS skill_ordinal FROM postings WHERE k % 7 > 1 UNION ALL SELECT *, k % 13 + 10, 2 FROM postings WHERE k % 7 > 1)",
     "skills": "SELECT source, scope_id, sweep_id, source_id, skill_ordinal, 'urn:skill:' || n AS esco_skill_uri, 'skill ' || n AS esco_skill_label, CASE WHEN n % 3 = 0 THEN 'unmapped' WHEN n % 5 = 0 THEN 'not_present' ELSE 'mapped' END AS mapping_status, CASE WHEN n % 2 = 0 THEN 'high' ELSE 'low' END AS mapping_confidence, 'crosswalk' AS mapping_method, esco_version FROM skill_rows",
     "latest": "SELECT * FROM sweeps QUALIFY row_number() OVER (PARTITION BY source, scope_id ORDER BY observed_at DESC, completed_at DESC, sweep_id DESC) = 1",
-    "seen": "SELECT source, scope_id, hmac_key_version, source_id, max(observed_at) AS last_seen_at, max(sweep_id) AS last_seen_sweep_id, min(removed_at) AS removed_at FROM postings GROUP BY 1, 2, 3, 4",
-    "closures": """SELECT p.source, p.scope_id, p.hmac_key_version, p.source_id, CASE WHEN p.removed_at IS NOT NULL THEN p.last_seen_sweep_id ELSE min(s.sweep_id) END AS sweep_id, coalesce(p.removed_at, min(s.observed_at)) AS event_at, 'closure' AS event_type, CASE WHEN p.removed_at IS NOT NULL THEN 'source_reported' ELSE 'inferred_absence' END AS event_basis
+    "seen": "SELECT source, scope_id, hmac_key_version, source_id, max(observed_at) AS last_seen_at, arg_max(sweep_id, observed_at) AS last_seen_sweep_id, min(removed_at) AS removed_at FROM postings GROUP BY 1, 2, 3, 4",
+    "closures": """SELECT p.source, p.scope_id, p.hmac_key_version, p.source_id, CASE WHEN p.removed_at IS NOT NULL THEN p.last_seen_sweep_id ELSE arg_min(s.sweep_id, s.observed_at) END AS sweep_id, coalesce(p.removed_at, min(s.observed_at)) AS event_at, 'closure' AS event_type, CASE WHEN p.removed_at IS NOT NULL THEN 'source_reported' ELSE 'inferred_absence' END AS event_basis
 FROM seen p LEFT JOIN sweeps s ON s.source = p.source AND s.scope_id = p.scope_id AND s.hmac_key_version = p.hmac_key_version AND s.observed_at > p.last_seen_at GROUP BY p.source, p.scope_id, p.hmac_key_version, p.source_id, p.last_seen_sweep_id, p.removed_at HAVING p.removed_at IS NOT NULL OR min(s.observed_at) IS NOT NULL""",
     "posting_events": "SELECT source, scope_id, hmac_key_version, source_id, sweep_id, observed_at AS event_at, 'presence' AS event_type, 'observed' AS event_basis FROM postings UNION ALL SELECT source, scope_id, hmac_key_version, source_id, sweep_id, event_at, event_type, event_basis FROM closures",
     "lifecycle": """SELECT s.*, c.event_at AS closure_at, c.event_basis AS closure_basis, coalesce(c.event_basis, 'active') AS lifecycle_status, c.event_at IS NULL AS is_right_censored, CAST(date_diff('day', s.first_seen_at, coalesce(c.event_at, s.last_seen_at)) AS BIGINT) AS posting_duration_days
-FROM (SELECT source, scope_id, hmac_key_version, source_id, min(observed_at) AS first_seen_at, min(sweep_id) AS first_seen_sweep_id, max(observed_at) AS last_seen_at, max(sweep_id) AS last_seen_sweep_id, count(DISTINCT sweep_id) AS observation_count, arg_max(number_of_vacancies, observed_at) AS advertised_vacancies FROM postings GROUP BY 1, 2, 3, 4) s
+FROM (SELECT source, scope_id, hmac_key_version, source_id, min(observed_at) AS first_seen_at, arg_min(sweep_id, observed_at) AS first_seen_sweep_id, max(observed_at) AS last_seen_at, arg_max(sweep_id, observed_at) AS last_seen_sweep_id, count(DISTINCT sweep_id) AS observation_count, arg_max(number_of_vacancies, observed_at) AS advertised_vacancies FROM postings GROUP BY 1, 2, 3, 4) s
 LEFT JOIN closures c ON c.source = s.source AND c.scope_id = s.scope_id AND c.hmac_key_version = s.hmac_key_version AND c.source_id = s.source_id""",
-    "coverage": f"""SELECT source, scope_id, sweep_id, country, observed_at, expected_rows, observed_rows, freshness_threshold_hours, age AS freshness_age_hours, CASE WHEN freshness_threshold_hours IS NULL THEN 'unknown' WHEN age > freshness_threshold_hours THEN 'stale' ELSE 'fresh' END AS freshness_status,
+    "coverage": f"""SELECT source, scope_id, sweep_id, country, observed_at, expected_rows, observed_rows, source_version, licence_reference, access_method, approval_status, freshness_threshold_hours, coverage_limitations, age AS freshness_age_hours, CASE WHEN freshness_threshold_hours IS NULL THEN 'unknown' WHEN age > freshness_threshold_hours THEN 'stale' ELSE 'fresh' END AS freshness_status,
 CASE WHEN freshness_threshold_hours IS NULL THEN 'unknown_metadata' WHEN observed_rows <> expected_rows OR wrong > 0 THEN 'invalid' ELSE 'covered' END AS coverage_status
-FROM (SELECT s.source, s.scope_id, s.sweep_id, s.expected_country AS country, s.observed_at, s.row_count AS expected_rows, s.freshness_threshold_hours, count(p.source_id) AS observed_rows, count(p.source_id) FILTER (WHERE p.country <> s.expected_country) AS wrong, date_diff('second', s.observed_at, TIMESTAMP '{REFERENCE_TIME}') / 3600.0 AS age
+FROM (SELECT s.source, s.scope_id, s.sweep_id, s.expected_country AS country, s.observed_at, s.row_count AS expected_rows, s.source_version, s.licence_reference, s.access_method, s.approval_status, s.freshness_threshold_hours, s.coverage_limitations, count(p.source_id) AS observed_rows, count(p.source_id) FILTER (WHERE p.country <> s.expected_country) AS wrong, date_diff('second', s.observed_at, TIMESTAMP '{REFERENCE_TIME}') / 3600.0 AS age
 FROM sweeps s LEFT JOIN postings p ON p.source = s.source AND p.scope_id = s.scope_id AND p.sweep_id = s.sweep_id GROUP BY ALL)""",
     "of_latest": "SELECT p.* FROM postings p JOIN latest l ON p.source = l.source AND p.scope_id = l.scope_id AND p.sweep_id = l.sweep_id",
     "latest_skills": "SELECT k.* FROM skills k JOIN latest l ON k.source = l.source AND k.scope_id = l.scope_id AND k.sweep_id = l.sweep_id",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import checks, evaluate, insights, mapping, panel, reconcile, serving
+from ..operators import checks, mapping, panel, reconcile, serving
 from ..operators import events as E
 from ..operators import marts as M
 from ..streaming import fold
@@ -36,15 +36,6 @@ def leader_runner_up(spark, sf_dir):
     return serving.leader(M.dimension_demand(m.postings, m.latest), "occupation")
 
 
-def latest_churn(spark, sf_dir):
-    return serving.latest_churn(_flows(model(spark, sf_dir)))
-
-
-def trend_gate(spark, sf_dir):
-    m = model(spark, sf_dir)
-    return serving.trend(_flows(m), M.collection_frequency(m.sweeps))
-
-
 def gap_densified_axis(spark, sf_dir):
     return serving.dense_axis(_flows(model(spark, sf_dir)))
 
@@ -53,17 +44,6 @@ def gap_markers(spark, sf_dir):
     return serving.gap_markers(_flows(model(spark, sf_dir)))
 
 
-def insight_evidence(spark, sf_dir):
-    m = model(spark, sf_dir)
-    coverage, demand, survival = m.coverage(), M.dimension_demand(m.postings, m.latest), M.posting_survival(m.lifecycle())
-    mapped = M.mapping_coverage(m.postings, m.skills, m.latest)
-    found = insights.every([
-        insights.latest_count(M.labour_demand(m.latest, coverage)), insights.most_requested(demand, mapped, "occupation"), insights.region_concentration(demand),
-        insights.median_duration(survival), insights.freshness_warning(coverage, m.latest), insights.run_state(coverage),
-    ])
-    return found.select("source", "scope_id", "section", "rule", "text", F.size("evidence").alias("facts"))
-
-
 def _candidates(spark, sf_dir):
     """Parts stand for source concepts by type, brands for targets; a size above 45 is an exact relation."""
     parts = read(spark, sf_dir, "part")
@@ -108,11 +88,6 @@ def keep_first_dedupe(spark, sf_dir):
     return reconcile.keep_first(read(spark, sf_dir, "events"), ["user_id", "event_type"], F.struct("ts", "event_id"), ["event_id"])
 
 
-def orphan_anti_join(spark, sf_dir):
-    orders, customers = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer")
-    return customers.join(orders, customers["c_custkey"] == orders["o_custkey"], "left_anti").select("c_custkey", "c_name")
-
-
 def symmetric_difference(spark, sf_dir):
     return reconcile.symmetric_difference(*_halves(spark, sf_dir))
 
@@ -130,17 +105,6 @@ def cadence_abandoned(spark, sf_dir):
     return checks.abandoned(m.latest, F.lit("2024-02-20 00:00:00").cast("timestamp_ntz"))
 
 
-def precision_recall(spark, sf_dir):
-    li = read(spark, sf_dir, "lineitem")
-    reviews = li.select(F.when(F.col("l_quantity") > 10, F.col("l_returnflag")).alias("produced"), F.when(F.col("l_tax") > 0.02, F.when(F.col("l_linestatus") == "F", "A").otherwise("N")).alias("expected"), F.when(F.col("l_discount") > 0.05, "narrower-or-broader").alias("verdict"))
-    return evaluate.precision_recall(reviews)
-
-
-def collision_census(spark, sf_dir):
-    parts = read(spark, sf_dir, "part")
-    return evaluate.collision_census(parts.select(F.col("p_partkey").alias("concept"), F.concat("p_brand", "p_size").alias("target_uri"), F.lit("exact").alias("relation")))
-
-
 def panel_candidates(spark, sf_dir):
     return panel.panel_candidates(_places(spark, sf_dir), 3)
 
@@ -223,23 +187,17 @@ ORACLES = {
     "top25_per_scope": with_ctes("SELECT * FROM (SELECT source, scope_id, dimension, value_uri, value_label, posting_count, row_number() OVER (PARTITION BY source, scope_id, dimension ORDER BY posting_count DESC, value_label NULLS LAST, value_uri NULLS LAST) AS place FROM dimension_demand) WHERE place <= 25"),
     "serving_orders": with_ctes("SELECT source, scope_id, grain, bucket_start, row_number() OVER (PARTITION BY source, scope_id ORDER BY CASE grain WHEN 'day' THEN 0 WHEN 'week' THEN 1 ELSE 2 END, bucket_start) AS place FROM flows", FLOWS),
     "leader_runner_up": with_ctes("SELECT source, scope_id, value_uri, value_label, posting_count, runner_up FROM (SELECT *, row_number() OVER w AS place, lead(posting_count) OVER w AS runner_up FROM dimension_demand WHERE dimension = 'occupation' WINDOW w AS (PARTITION BY source, scope_id ORDER BY posting_count DESC, value_label NULLS LAST, value_uri NULLS LAST)) WHERE place = 1 AND (runner_up IS NULL OR posting_count > runner_up)"),
-    "latest_churn": with_ctes("SELECT source, scope_id, max(bucket_start) AS bucket_start, max(CASE WHEN place = 1 THEN openings END) AS openings, max(CASE WHEN place = 1 THEN closures END) AS closures, max(CASE WHEN place = 2 THEN openings END) AS openings_before FROM (SELECT *, row_number() OVER (PARTITION BY source, scope_id ORDER BY bucket_start DESC) AS place FROM flows WHERE grain = 'day') WHERE place <= 2 GROUP BY 1, 2 HAVING count(*) = 2 AND NOT bool_or(is_suppressed)", FLOWS),
-    "trend_gate": with_ctes("SELECT source, scope_id, a AS first_stock, b AS last_stock, CASE WHEN b > a THEN 'up' WHEN b < a THEN 'down' ELSE 'flat' END AS direction FROM (SELECT f.source, f.scope_id, arg_min(active_postings, bucket_start) AS a, arg_max(active_postings, bucket_start) AS b FROM flows f JOIN (SELECT source, scope_id FROM sweeps GROUP BY 1, 2 HAVING count(*) >= 14 AND date_diff('day', min(observed_at), max(observed_at)) >= 7) e ON e.source = f.source AND e.scope_id = f.scope_id WHERE grain = 'day' AND active_postings IS NOT NULL GROUP BY 1, 2)", FLOWS),
-    "gap_densified_axis": with_ctes("SELECT a.source, a.scope_id, a.day, f.openings, f.closures FROM (SELECT source, scope_id, CAST(unnest(range(min(bucket_start), max(bucket_start) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS day FROM flows WHERE grain = 'day' GROUP BY 1, 2) a LEFT JOIN flows f ON f.grain = 'day' AND f.source = a.source AND f.scope_id = a.scope_id AND CAST(f.bucket_start AS DATE) = a.day", FLOWS),
+    "gap_densified_axis": with_ctes("""SELECT a.source, a.scope_id, a.grain, a.bucket, f.openings, f.closures, f.active_postings FROM (SELECT source, scope_id, grain, CAST(unnest(CASE grain WHEN 'day' THEN range(min(bucket_start), max(bucket_start) + INTERVAL 1 DAY, INTERVAL 1 DAY) WHEN 'week' THEN range(min(bucket_start), max(bucket_start) + INTERVAL 1 DAY, INTERVAL 7 DAY) ELSE range(min(bucket_start), max(bucket_start) + INTERVAL 1 DAY, INTERVAL 1 MONTH) END) AS DATE) AS bucket FROM flows GROUP BY 1, 2, 3) a LEFT JOIN flows f ON f.grain = a.grain AND f.source = a.source AND f.scope_id = a.scope_id AND CAST(f.bucket_start AS DATE) = a.bucket""", FLOWS),
     "gap_markers": with_ctes("SELECT * FROM (SELECT source, scope_id, bucket_start, date_diff('day', lag(bucket_start) OVER (PARTITION BY source, scope_id ORDER BY bucket_start), bucket_start) AS gap_days FROM flows WHERE grain = 'day') WHERE gap_days > 1", FLOWS),
     "crosswalk_summary": f"SELECT concept, count(*) AS n, count(*) FILTER (WHERE relation = 'exact-match') AS n_exact, CASE WHEN bool_or(relation = 'exact-match') THEN max(CASE WHEN relation = 'exact-match' THEN target_uri END) ELSE max(target_uri) END AS uri FROM ({CANDIDATES_SQL}) GROUP BY 1",
     "postcode_regions": f"SELECT postcode, CASE WHEN count(DISTINCT region) = 1 THEN min(region) END AS nuts_code, CASE WHEN count(DISTINCT region) = 1 THEN 'mapped' ELSE 'ambiguous' END AS mapping_status FROM ({PLACES_SQL}) GROUP BY 1",
     "snapshot_reconcile": "SELECT coalesce(a.user_id, b.user_id) AS user_id, CASE WHEN b.user_id IS NULL THEN 'closed' WHEN a.user_id IS NULL THEN 'added' ELSE 'unchanged' END AS state FROM (SELECT DISTINCT user_id FROM events WHERE day(ts) = 5) a FULL JOIN (SELECT DISTINCT user_id FROM events WHERE day(ts) = 6) b ON a.user_id = b.user_id",
     "log_fold_latest": "SELECT user_id, event_id, event_type, ts, entries FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n, count(*) OVER (PARTITION BY user_id) AS entries FROM events) WHERE n = 1",
     "keep_first_dedupe": "SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS n FROM events) WHERE n = 1",
-    "orphan_anti_join": "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)",
     "symmetric_difference": "SELECT user_id, 'left' AS side FROM (SELECT user_id FROM events WHERE day(ts) = 5 EXCEPT SELECT user_id FROM events WHERE day(ts) = 6) UNION ALL SELECT user_id, 'right' FROM (SELECT user_id FROM events WHERE day(ts) = 6 EXCEPT SELECT user_id FROM events WHERE day(ts) = 5)",
     "duplicate_grain": "SELECT user_id, event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2, 3 HAVING count(*) > 1",
     "label_conflicts": f"SELECT postcode AS nuts_code, count(DISTINCT region) AS n_labels FROM ({PLACES_SQL}) GROUP BY 1 HAVING count(DISTINCT region) > 1",
     "cadence_abandoned": with_ctes("SELECT * FROM (SELECT source, scope_id, date_diff('hour', observed_at, TIMESTAMP '2024-02-20 00:00:00') AS age_hours, freshness_threshold_hours FROM latest) WHERE age_hours > 4 * freshness_threshold_hours"),
-    "precision_recall": """SELECT *, strict_hits / produced AS strict_precision, strict_hits / expected AS strict_recall, lenient_hits / produced AS lenient_precision, lenient_hits / expected AS lenient_recall FROM (SELECT count(*) FILTER (WHERE p = e) AS strict_hits, count(*) FILTER (WHERE p = e OR (p IS NOT NULL AND v)) AS lenient_hits, count(p) AS produced, count(e) AS expected
-FROM (SELECT CASE WHEN l_quantity > 10 THEN l_returnflag END AS p, CASE WHEN l_tax > 0.02 THEN CASE WHEN l_linestatus = 'F' THEN 'A' ELSE 'N' END END AS e, l_discount > 0.05 AS v FROM lineitem))""",
-    "collision_census": "SELECT p_brand || p_size AS target_uri, count(*) AS concepts FROM part GROUP BY 1 HAVING count(*) > 1",
     "panel_candidates": f"SELECT * FROM (SELECT region, place, postcodes, row_number() OVER (PARTITION BY region ORDER BY postcodes DESC, place) AS rank FROM (SELECT region, place, count(DISTINCT postcode) AS postcodes FROM ({PLACES_SQL}) GROUP BY 1, 2)) WHERE rank <= 3",
     "unique_places": "SELECT CAST(floor(c_acctbal) AS BIGINT) AS postcode, min(c_nationkey) AS region FROM customer GROUP BY 1 HAVING count(DISTINCT c_nationkey) = 1",
     "round_robin_breadth": "SELECT c_custkey, c_nationkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS turn FROM customer",
@@ -253,7 +211,7 @@ FROM (SELECT CASE WHEN l_quantity > 10 THEN l_returnflag END AS p, CASE WHEN l_t
     "stream_fold": "SELECT user_id, event_id, event_type, ts, entries FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n, count(*) OVER (PARTITION BY user_id) AS entries FROM events) WHERE n = 1",
     "stream_dedupe": "SELECT DISTINCT user_id, event_type FROM events",
 }
-ROWS_ONLY = ("insight_evidence", "hmac_pseudonym")
+ROWS_ONLY = ("hmac_pseudonym",)
 
 
 def queries() -> dict:

@@ -23,11 +23,11 @@ QUERIES = {
     "posting_lifecycle": (lambda m: m.lifecycle(), "SELECT * FROM lifecycle"),
     "closure_direct": (lambda m: E.closures_direct(m.postings, m.sweeps), "SELECT * FROM closures"),
     "closure_calendar": (lambda m: E.closures(m.postings, m.sweeps), "SELECT * FROM closures"),
-    "latest_sweeps": (lambda m: m.latest.select(*SWEEP_COLUMNS), f"SELECT {SWEEPS} FROM latest"),
+    "latest_sweeps": (lambda m: m.latest, f"SELECT {', '.join(M.LATEST_COLUMNS)} FROM latest"),
     "source_coverage": (lambda m: m.coverage(), "SELECT * FROM coverage"),
     "labour_demand_latest": (
         lambda m: M.labour_demand(m.latest, m.coverage()),
-        "SELECT l.source, l.scope_id, l.sweep_id, l.expected_country AS country, l.observed_at, l.hmac_key_version, c.freshness_age_hours, c.freshness_status, c.coverage_status, c.observed_rows AS active_postings FROM latest l JOIN coverage c ON c.source = l.source AND c.scope_id = l.scope_id AND c.sweep_id = l.sweep_id WHERE c.coverage_status = 'covered'",
+        "SELECT l.source, l.scope_id, l.partition_id, l.sweep_id, l.run_id, l.expected_country AS country, l.observed_at, l.started_at, l.completed_at, l.status, l.hmac_key_version, l.source_version, l.licence_reference, l.access_method, l.approval_status, l.coverage_limitations, c.freshness_age_hours, c.freshness_status, c.coverage_status, c.observed_rows AS active_postings FROM latest l JOIN coverage c ON c.source = l.source AND c.scope_id = l.scope_id AND c.sweep_id = l.sweep_id WHERE c.coverage_status = 'covered'",
     ),
     "dimension_demand": (lambda m: M.dimension_demand(m.postings, m.latest), "SELECT * FROM dimension_demand"),
     "skill_demand": (
