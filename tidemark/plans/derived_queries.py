@@ -105,10 +105,6 @@ def cadence_abandoned(spark, sf_dir):
     return checks.abandoned(m.latest, F.lit("2024-02-20 00:00:00").cast("timestamp_ntz"))
 
 
-def panel_candidates(spark, sf_dir):
-    return panel.panel_candidates(_places(spark, sf_dir), 3)
-
-
 def unique_places(spark, sf_dir):
     c = read(spark, sf_dir, "customer").select(F.floor("c_acctbal").cast("long").alias("postcode"), F.col("c_nationkey").alias("region"))
     return panel.unique_places(c, "postcode")
@@ -119,10 +115,6 @@ def round_robin_breadth(spark, sf_dir):
     return panel.round_robin(c, "c_nationkey", [F.asc("c_custkey")])
 
 
-def stratified_sample(spark, sf_dir):
-    return panel.stratified(read(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey"), "s_nationkey", [F.asc("s_suppkey")])
-
-
 def date_diff_boundaries(spark, sf_dir):
     o = read(spark, sf_dir, "events")
     later = F.lit(REFERENCE_TIME).cast("timestamp_ntz")
@@ -198,10 +190,8 @@ ORACLES = {
     "duplicate_grain": "SELECT user_id, event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2, 3 HAVING count(*) > 1",
     "label_conflicts": f"SELECT postcode AS nuts_code, count(DISTINCT region) AS n_labels FROM ({PLACES_SQL}) GROUP BY 1 HAVING count(DISTINCT region) > 1",
     "cadence_abandoned": with_ctes("SELECT * FROM (SELECT source, scope_id, date_diff('hour', observed_at, TIMESTAMP '2024-02-20 00:00:00') AS age_hours, freshness_threshold_hours FROM latest) WHERE age_hours > 4 * freshness_threshold_hours"),
-    "panel_candidates": f"SELECT * FROM (SELECT region, place, postcodes, row_number() OVER (PARTITION BY region ORDER BY postcodes DESC, place) AS rank FROM (SELECT region, place, count(DISTINCT postcode) AS postcodes FROM ({PLACES_SQL}) GROUP BY 1, 2)) WHERE rank <= 3",
     "unique_places": "SELECT CAST(floor(c_acctbal) AS BIGINT) AS postcode, min(c_nationkey) AS region FROM customer GROUP BY 1 HAVING count(DISTINCT c_nationkey) = 1",
     "round_robin_breadth": "SELECT c_custkey, c_nationkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS turn FROM customer",
-    "stratified_sample": "SELECT s_nationkey, s_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS nth, count(*) OVER (PARTITION BY s_nationkey) AS n FROM supplier) WHERE nth = n // 2 + 1",
     "date_diff_boundaries": f"SELECT event_id, date_diff('hour', ts, TIMESTAMP '{REFERENCE_TIME}') AS hours, date_diff('day', ts, TIMESTAMP '{REFERENCE_TIME}') AS days, date_diff('second', ts, TIMESTAMP '{REFERENCE_TIME}') AS seconds FROM events",
     "pii_scan": r"""SELECT 'text' AS field, pattern, hits FROM (SELECT unnest([{'pattern': 'email', 'hits': count(*) FILTER (WHERE regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}'))}, {'pattern': 'url', 'hits': count(*) FILTER (WHERE regexp_matches(text, 'https?://'))}, {'pattern': 'phone', 'hits': count(*) FILTER (WHERE regexp_matches(text, '\+[0-9][0-9 ()-]{7,}[0-9]'))}, {'pattern': 'card', 'hits': count(*) FILTER (WHERE regexp_matches(text, '\b[0-9]{16}\b'))}], recursive := true) FROM documents) WHERE hits > 0""",
     "suppression_leaks": with_ctes("SELECT source, scope_id, dimension, value_uri, posting_count FROM dimension_demand WHERE posting_count BETWEEN 1 AND 4"),
