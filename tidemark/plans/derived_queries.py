@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import dataclasses
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,9 @@ from ..functions import columns as C
 from ..operators import checks, mapping, panel, reconcile, serving
 from ..operators import events as E
 from ..operators import marts as M
+from ..sources.storage import new_path
 from ..streaming import fold
+from . import posting_queries
 from .adapter import FLOW_PARTS, REFERENCE_TIME, model, read, stock_cte, with_ctes
 
 FLOWS = FLOW_PARTS | {"stock": stock_cte("stock_of_sweep")}
@@ -136,14 +138,42 @@ def suppression_leaks(spark, sf_dir):
     return checks.suppression_leaks(M.dimension_demand(m.postings, m.latest), ["posting_count"]).select("source", "scope_id", "dimension", "value_uri", "posting_count")
 
 
+def _broken(m):
+    """The model with faults: a posting twice, one of a failed sweep, one without a manifest, two labels of one code, a skill twice, and a sweep that promises a row more."""
+    one = m.postings.orderBy("scope_id", "sweep_id", "source_id").limit(1)
+    failed = m.manifests.where("status = 'failed'").orderBy("sweep_id").limit(1)
+    strayed = one.drop("source", "scope_id", "sweep_id").join(failed.select("source", "scope_id", "sweep_id")).select(*m.postings.columns)
+    orphan = m.observations.orderBy("scope_id", "sweep_id", "source_id").limit(1).withColumn("sweep_id", F.lit("nowhere"))
+    labels = m.labels.unionByName(m.labels.orderBy("nuts_code").limit(1).withColumn("nuts_label", F.lit("another")))
+    skill = m.skills.orderBy("scope_id", "sweep_id", "source_id", "skill_ordinal").limit(1)
+    promised = m.sweeps.where("row_count > 0").orderBy("sweep_id").limit(1).withColumn("row_count", F.col("row_count") + 1)
+    sweeps = m.sweeps.join(promised.select("sweep_id"), "sweep_id", "left_anti").select(*m.sweeps.columns).unionByName(promised)
+    return dataclasses.replace(m, postings=m.postings.unionByName(one).unionByName(strayed), observations=m.observations.unionByName(orphan), labels=labels, skills=m.skills.unionByName(skill), sweeps=sweeps, lifecycles=m.lifecycles.unionByName(m.lifecycles.orderBy(*m.lifecycles.columns[:4]).limit(1)))
+
+
+def _counted(found: dict[str, DataFrame]) -> DataFrame:
+    ones = [rows.agg(F.count(F.lit(1)).alias("offending")).select(F.lit(name).alias("assertion"), "offending") for name, rows in found.items()]
+    return reduce(DataFrame.unionByName, ones)
+
+
 def assertions(spark, sf_dir):
-    """Offending rows of every check of the suite."""
+    """Offending rows of every assertion over the written model."""
     m = model(spark, sf_dir)
-    found = None
-    for name, check in checks.suite(m, E.closures(m.postings, m.sweeps), m.lifecycle()).items():
-        one = check().agg(F.count(F.lit(1)).alias("offending")).select(F.lit(name).alias("assertion"), "offending")
-        found = one if found is None else found.unionByName(one)
-    return found
+    coverage, closures = m.coverage(), E.closures(m.postings, m.sweeps)
+    marts = {
+        "coverage": coverage, "demand": M.dimension_demand(m.postings, m.latest), "skills": M.skill_demand(m.postings, m.skills, m.latest), "requirements": M.requirement_demand(m.postings, m.latest), "quality": M.mapping_quality(m.postings, m.skills, m.latest),
+        "mapped": M.mapping_coverage(m.postings, m.skills, m.latest), "labour": M.labour_demand(m.latest, coverage), "survival": M.posting_survival(m.lifecycle()), "flows": _flows(m),
+    }
+    return _counted(checks.suite(m, closures, marts, F.lit("2024-02-20 00:00:00").cast("timestamp_ntz"), E.closures_direct(m.postings, m.sweeps)))
+
+
+def assertions_on_faults(spark, sf_dir):
+    """The same kinds of checks over a model with one fault of each kind: all of them find it."""
+    m = _broken(model(spark, sf_dir))
+    return _counted({
+        "postings_grain_unique": checks.repeated(m.postings, checks.POSTING_KEYS), "skill_grain_unique": checks.repeated(m.skills, [*checks.POSTING_KEYS, "skill_ordinal"]), "posting_lifecycle_grain_unique": checks.repeated(m.lifecycle(), checks.IDENTITY),
+        "nuts_label_unambiguous": checks.label_conflicts(m.labels), "no_orphan_observations": checks.orphan_observations(m.observations, m.manifests), "incomplete_observations_excluded": checks.excluded_but_staged(m.postings, m.manifests), "manifest_row_counts": checks.row_count_mismatch(m.sweeps, m.observations),
+    })
 
 
 def negative_durations(spark, sf_dir):
@@ -155,26 +185,23 @@ def page_truncation(spark, sf_dir):
     return checks.truncated(li.select(F.col("l_suppkey").alias("scope"), "page", "n_ids"), 50)
 
 
-def _shared(spark: SparkSession) -> str:
-    return spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
-
-
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold.table_stream(spark, sf_dir, "events", read(spark, sf_dir, "events").schema)
 
 
 def stream_fold(spark, sf_dir):
-    path = f"{_shared(spark)}/stream-{uuid.uuid4().hex}"
+    path = new_path(spark, "stream")
     fold.run_to(fold.fold(_events_stream(spark, sf_dir), ["user_id"], F.struct("ts", "event_id"), ["event_id", "event_type", "ts"]), f"{path}/table", "complete", f"{path}/state")
     return spark.read.parquet(f"{path}/table")
 
 
 def stream_dedupe(spark, sf_dir):
-    path = f"{_shared(spark)}/stream-{uuid.uuid4().hex}"
+    path = new_path(spark, "stream")
     fold.run_to(fold.keep_first_ever(_events_stream(spark, sf_dir), ["user_id", "event_type"]).select("user_id", "event_type"), f"{path}/table", "append", f"{path}/state")
     return spark.read.parquet(f"{path}/table").select("user_id", "event_type")
 
 
+REQUIREMENTS, SURVIVAL = (posting_queries.QUERIES[name][1] for name in ("requirement_demand", "posting_survival"))
 ORACLES = {
     "top25_per_scope": with_ctes("SELECT * FROM (SELECT source, scope_id, dimension, value_uri, value_label, posting_count, row_number() OVER (PARTITION BY source, scope_id, dimension ORDER BY posting_count DESC, value_label NULLS LAST, value_uri NULLS LAST) AS place FROM dimension_demand) WHERE place <= 25"),
     "serving_orders": with_ctes("SELECT source, scope_id, grain, bucket_start, row_number() OVER (PARTITION BY source, scope_id ORDER BY CASE grain WHEN 'day' THEN 0 WHEN 'week' THEN 1 ELSE 2 END, bucket_start) AS place FROM flows", FLOWS),
@@ -189,13 +216,21 @@ ORACLES = {
     "symmetric_difference": "SELECT user_id, 'left' AS side FROM (SELECT user_id FROM events WHERE day(ts) = 5 EXCEPT SELECT user_id FROM events WHERE day(ts) = 6) UNION ALL SELECT user_id, 'right' FROM (SELECT user_id FROM events WHERE day(ts) = 6 EXCEPT SELECT user_id FROM events WHERE day(ts) = 5)",
     "duplicate_grain": "SELECT user_id, event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2, 3 HAVING count(*) > 1",
     "label_conflicts": f"SELECT postcode AS nuts_code, count(DISTINCT region) AS n_labels FROM ({PLACES_SQL}) GROUP BY 1 HAVING count(DISTINCT region) > 1",
-    "cadence_abandoned": with_ctes("SELECT * FROM (SELECT source, scope_id, date_diff('hour', observed_at, TIMESTAMP '2024-02-20 00:00:00') AS age_hours, freshness_threshold_hours FROM latest) WHERE age_hours > 4 * freshness_threshold_hours"),
+    "cadence_abandoned": with_ctes("SELECT * FROM (SELECT source, scope_id, date_diff('second', observed_at, TIMESTAMP '2024-02-20 00:00:00') / 3600.0 AS age_hours, freshness_threshold_hours FROM latest) WHERE age_hours > 4 * freshness_threshold_hours"),
     "unique_places": "SELECT CAST(floor(c_acctbal) AS BIGINT) AS postcode, min(c_nationkey) AS region FROM customer GROUP BY 1 HAVING count(DISTINCT c_nationkey) = 1",
     "round_robin_breadth": "SELECT c_custkey, c_nationkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS turn FROM customer",
     "date_diff_boundaries": f"SELECT event_id, date_diff('hour', ts, TIMESTAMP '{REFERENCE_TIME}') AS hours, date_diff('day', ts, TIMESTAMP '{REFERENCE_TIME}') AS days, date_diff('second', ts, TIMESTAMP '{REFERENCE_TIME}') AS seconds FROM events",
     "pii_scan": r"""SELECT 'text' AS field, pattern, hits FROM (SELECT unnest([{'pattern': 'email', 'hits': count(*) FILTER (WHERE regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}'))}, {'pattern': 'url', 'hits': count(*) FILTER (WHERE regexp_matches(text, 'https?://'))}, {'pattern': 'phone', 'hits': count(*) FILTER (WHERE regexp_matches(text, '\+[0-9][0-9 ()-]{7,}[0-9]'))}, {'pattern': 'card', 'hits': count(*) FILTER (WHERE regexp_matches(text, '\b[0-9]{16}\b'))}], recursive := true) FROM documents) WHERE hits > 0""",
     "suppression_leaks": with_ctes("SELECT source, scope_id, dimension, value_uri, posting_count FROM dimension_demand WHERE posting_count BETWEEN 1 AND 4"),
-    "assertions": "SELECT unnest(['postings_grain', 'skills_grain', 'lifecycle_grain', 'labels_unambiguous', 'closure_vocabulary', 'row_counts', 'incomplete_excluded', 'no_orphans', 'inferred_have_sweeps', 'no_cross_key', 'latest_present', 'mapped_have_codes']) AS assertion, CAST(0 AS BIGINT) AS offending",
+    "assertions": with_ctes(f"""SELECT name AS assertion, CAST(n AS BIGINT) AS offending FROM (SELECT 'cadence_not_abandoned' AS name, (SELECT count(*) FROM latest WHERE date_diff('second', observed_at, TIMESTAMP '2024-02-20 00:00:00') / 3600.0 > 4 * freshness_threshold_hours) AS n
+UNION ALL SELECT 'nuts_frame_counts', (SELECT CASE WHEN count(DISTINCT nuts_code) = 21 THEN 0 ELSE 1 END FROM labels WHERE nuts_code LIKE 'SE___')
+UNION ALL SELECT 'source_coverage', (SELECT count(*) FROM coverage WHERE coverage_status <> 'covered')
+UNION ALL SELECT 'requirement_totals', (SELECT count(*) FROM (SELECT r.sweep_id, r.dimension FROM (SELECT sweep_id, dimension, sum(posting_count) AS c FROM ({REQUIREMENTS}) GROUP BY 1, 2) r JOIN (SELECT sweep_id, count(DISTINCT source_id) AS t FROM of_latest GROUP BY 1) s ON s.sweep_id = r.sweep_id WHERE c <> t UNION ALL SELECT sweep_id, dimension FROM ({REQUIREMENTS}) GROUP BY sweep_id, dimension, value_code, value_label HAVING count(*) > 1 UNION ALL SELECT sweep_id, dimension FROM ({REQUIREMENTS}) WHERE (mapping_status <> 'not_present' AND value_code IS NULL) OR (mapping_status = 'not_present' AND value_code IS NOT NULL) UNION ALL SELECT sweep_id, 'i' FROM ({REQUIREMENTS}) GROUP BY 1 HAVING count(DISTINCT dimension) <> 3))
+UNION ALL SELECT 'sample_coverage_fixtures', (SELECT CASE WHEN bool_or(observed_rows = 0 AND coverage_status = 'covered') THEN 0 ELSE 1 END + CASE WHEN bool_or(freshness_status = 'fresh') THEN 0 ELSE 1 END + CASE WHEN bool_or(freshness_status = 'stale') THEN 0 ELSE 1 END FROM coverage)
+UNION ALL SELECT 'vacancies_distinct_from_postings', (SELECT CASE WHEN bool_or(advertised_vacancies > posting_count) THEN 0 ELSE 1 END FROM ({SURVIVAL}))
+UNION ALL SELECT 'posting_survival_suppression', (SELECT count(*) FROM ({SURVIVAL}) WHERE (is_suppressed AND coalesce(posting_count, advertised_vacancies, median_duration_days, p25_duration_days, p75_duration_days, max_duration_days) IS NOT NULL) OR (NOT is_suppressed AND posting_count BETWEEN 1 AND 4) OR max_duration_days < 0)
+UNION ALL SELECT unnest(['closure_basis_vocabulary', 'incomplete_observations_excluded', 'inferred_closures_complete', 'key_rotation_does_not_close', 'latest_sweeps_include_empty', 'manifest_row_counts', 'mapping_coverage', 'mapping_outputs', 'no_cross_key_closures', 'no_orphan_observations', 'nuts_label_unambiguous', 'posting_flows_suppression', 'posting_lifecycle_grain_unique', 'postings_grain_unique', 'skill_grain_unique', 'survival_logic', 'zero_sweep_published']), 0)"""),
+    "assertions_on_faults": "SELECT unnest(['postings_grain_unique', 'skill_grain_unique', 'posting_lifecycle_grain_unique', 'nuts_label_unambiguous', 'no_orphan_observations', 'incomplete_observations_excluded', 'manifest_row_counts']) AS assertion, CAST(1 AS BIGINT) AS offending",
     "negative_durations": with_ctes("SELECT source, scope_id, hmac_key_version, source_id, posting_duration_days FROM lifecycle WHERE posting_duration_days < 0"),
     "page_truncation": "SELECT l_suppkey AS scope, arg_max(n, page) AS last_rows FROM (SELECT l_suppkey, month(l_shipdate) AS page, count(*) AS n FROM lineitem GROUP BY 1, 2) GROUP BY 1 HAVING arg_max(n, page) = 50",
     "stream_fold": "SELECT user_id, event_id, event_type, ts, entries FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n, count(*) OVER (PARTITION BY user_id) AS entries FROM events) WHERE n = 1",
