@@ -54,3 +54,15 @@ def test_recall_at_the_threshold(spark):
         rows += [(2 * i, base.tolist(), 0), (2 * i + 1, (0.9805 * base + math.sqrt(1 - 0.9805**2) * off).tolist(), 0)]
     found = embedding_dedup.dedup(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
     assert found.where("n_links = 1").count() == 600
+
+
+def test_sizes_of_doubles_do_not_matter(spark):
+    """Vectors near the ends of the range of doubles link by their directions alone."""
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal(16)
+    near, far = base + 0.01 * rng.standard_normal(16), base + 0.3 * rng.standard_normal(16)
+    assert base @ far / math.sqrt((base @ base) * (far @ far)) < 0.98
+    for size in (1e-300, 1e300):
+        rows = [(i, (v * size).tolist(), 0) for i, v in enumerate((base, near, far))]
+        found = embedding_dedup.dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).orderBy("vec_id").collect()
+        assert [tuple(r) for r in found] == [(0, 1, 0, True), (1, 1, 0, False), (2, 0, 2, True)]

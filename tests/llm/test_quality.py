@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 
 from tidemark.llm import quality
@@ -47,3 +49,37 @@ def test_held_out_rows_teach_nothing(spark):
     labels = spark.range(50).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
     known = labels.where((quality.fold_remainder("doc_id", 5)) != 0)
     assert len(quality.train(docs, labels).labels) == known.count() < 50
+
+
+def test_query_matches_a_plain_version(spark):
+    """Every row of the query, at its own threshold, with votes counted one by one."""
+    small = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    model = quality.train(spark.read.parquet(f"{small}/documents.parquet"), spark.read.parquet(f"{small}/labels.parquet"))
+    found = op3_quality_classifier(spark, small).collect()
+    assert {r.doc_id for r in found} == set(docs)
+    for r in found:
+        unit = (quality.terms(docs[r.doc_id]) * model.weights) @ model.axes
+        unit /= max(np.linalg.norm(unit), 1e-12)
+        votes = sorted(((float(v @ unit), label) for v, label in zip(model.vectors, model.labels, strict=True)), reverse=True)[: quality.NEIGHBOURS]
+        weights = [(max(0.0, c) ** quality.SHARPNESS * model.shares[int(label)], label) for c, label in votes]
+        total = sum(w for w, _ in weights)
+        want = sum(w * label for w, label in weights) / total if total > 1e-12 else model.prior
+        assert abs(r.score - want) < 1e-6 and r.predicted == int(r.score >= 0.3)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+
+
+def test_the_bound_does_not_move_the_prior(spark):
+    docs = documents(spark, [(i, f"text number {i} " * 5) for i in range(400)])
+    labels = spark.range(400).selectExpr("id AS doc_id", "CAST(id % 5 > 0 AS INT) AS quality")
+    whole, bounded = quality.train(docs, labels), quality.train(docs, labels, sample_per_label=20)
+    assert len(bounded.labels) == 40 and abs(whole.prior - bounded.prior) < 1e-9
+    assert abs(bounded.shares[1] / bounded.shares[0] - whole.prior / (1 - whole.prior)) < 0.05
+
+
+def test_words_tell_in_ordinary_prose():
+    """Texts of the same letters' classes but of other words are told apart."""
+    one, other = "the calm river ran past the mill " * 20, "vex quiz jump waltz nymph fjord glyph " * 20
+    model = quality.fit(np.array([quality.terms(t) for t in (one, other)] * 10), np.array([1, 0] * 10), 4)
+    good, bad = quality.vote(np.array([quality.terms(one + "by the calm mill"), quality.terms(other + "waltz quiz")]), model)
+    assert good > 0.8 and bad < 0.2

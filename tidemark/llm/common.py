@@ -19,11 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (single-machine tests) a local folder is made.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local master may
+    go without (tests): then a temporary folder is made. On a cluster a
+    machine's own folder would lose data silently, so it is refused.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         named = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")

@@ -66,6 +66,25 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def scaled(vector: Column) -> Column:
+    """``vector`` as doubles times the power of two that brings its largest component near 1: exact, and its norm is neither 0 nor infinite."""
+    largest = F.array_max(F.transform(vector, lambda x: F.abs(x.cast("double"))))
+    # Two steps, since one factor could itself be out of range.
+    half = F.floor(-F.floor(F.log2(largest)) / 2)
+    rest = -F.floor(F.log2(largest)) - half
+    return F.transform(vector, lambda x: x.cast("double") * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), rest))
+
+
+def _without_collisions(rows: DataFrame) -> DataFrame:
+    """``rows`` (label, raw, fit) with a hash of label and vector in a column ``node`` under which no two of those that fit share one."""
+    for seed in range(8):
+        hashed = rows.withColumn("node", F.xxhash64(F.lit(seed), "label", "raw"))
+        shared = hashed.where("fit").select("node", "label", "raw").distinct().groupBy("node").count().where("count > 1")
+        if shared.isEmpty():
+            return hashed
+    raise ValueError("vectors share their hashes under every seed")
+
+
 def near_pairs(nodes: DataFrame, count: int, threshold: float = THRESHOLD, miss: float = MISS) -> DataFrame:
     """Pairs (a, b, n_a, n_b), a < b, of the written table ``nodes`` (node, block, vector, norm, n) with a cosine of at least ``threshold``."""
     bits, tables = table_plan(count, threshold, miss)
@@ -92,8 +111,9 @@ def dedup(rows: DataFrame, threshold: float = THRESHOLD, miss: float = MISS, id_
     """
     named = rows.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).alias("vector"), F.col(label_column).alias("label"))
     fit = usable(F.col("vector")) & F.col("label").isNotNull()
-    marked = materialize(named.select("vec_id", F.when(fit, F.xxhash64("label", "vector")).alias("node")), "vectors")
-    single = named.where(fit).select(F.xxhash64("label", "vector").alias("node"), F.xxhash64("label", F.size("vector")).alias("block"), "vector", "vec_id")
+    hashed = _without_collisions(named.select("vec_id", "label", F.col("vector").alias("raw"), fit.alias("fit")))
+    marked = materialize(hashed.select("vec_id", F.when(F.col("fit"), F.col("node")).alias("node")), "vectors")
+    single = hashed.where("fit").select("node", F.xxhash64("label", F.size("raw")).alias("block"), F.when(F.col("fit"), scaled(F.col("raw"))).alias("vector"), "vec_id")
     nodes = single.groupBy("node").agg(F.first("block").alias("block"), F.first("vector").alias("vector"), F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("least"))
     nodes = materialize(nodes.withColumn("norm", F.sqrt(dot(F.col("vector"), F.col("vector")))), "nodes")
     pairs = materialize(near_pairs(nodes, nodes.count(), threshold, miss), "pairs")

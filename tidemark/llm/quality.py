@@ -1,11 +1,13 @@
 """Quality classifier: nearest-neighbour voting in a latent-semantic space.
 
-Terms of a document are pairs of adjacent character classes and a few marks of
-repetition. A bounded sample of labelled documents gives the term weights and
-the latent space (a truncated singular value decomposition), and stays as the
-labelled vectors. They are broadcast; every document is compared with all of
-them by exact cosines, block by block, and its nearest neighbours vote with
-weights that follow their similarity.
+Terms of a document are three-letter parts of its words by hash, pairs of
+adjacent character classes and a few marks of repetition. A bounded sample of
+labelled documents gives the term weights and the latent space (a truncated
+singular value decomposition), and stays as the labelled vectors. They are
+broadcast; every document is compared with all of them by exact cosines, block
+by block, and its nearest neighbours vote with weights that follow their
+similarity, and the share of their label among all labelled documents, so that
+the bound of the sample does not move the scores.
 """
 
 from __future__ import annotations
@@ -22,12 +24,15 @@ from .common import fold_remainder
 
 #: At most this many labelled documents of each label are used, chosen by hash of the id.
 SAMPLE_PER_LABEL = 2000
-DIMENSIONS = 24
+DIMENSIONS = 32
 NEIGHBOURS = 25
 SHARPNESS = 16
 FOLDS = 5
 KEEP_SCORE = 0.3
 BLOCK = 512
+SLICE = 1 << 20
+#: Weight of the parts of words beside the classes.
+PART_SHARE = 0.25
 
 
 def _classes() -> tuple[bytes, int]:
@@ -43,7 +48,10 @@ def _classes() -> tuple[bytes, int]:
 
 TABLE, N_CLASSES = _classes()
 MARKS = 6
-N_TERMS = N_CLASSES * N_CLASSES + MARKS
+#: Three bytes, letters small, are told apart by so many hashes.
+PARTS = 1024
+N_PAIRS = N_CLASSES * N_CLASSES
+N_TERMS = N_PAIRS + PARTS + MARKS
 
 
 def terms(text: str | None) -> np.ndarray:
@@ -52,9 +60,17 @@ def terms(text: str | None) -> np.ndarray:
     raw = (text or "").encode("utf-8", "surrogatepass")
     if not raw:
         return out
-    codes = np.frombuffer(raw.translate(TABLE), dtype=np.uint8).astype(np.int16)
-    out[:-MARKS] = np.bincount(codes[:-1] * N_CLASSES + codes[1:], minlength=N_TERMS - MARKS)
-    out /= max(1, len(raw) - 1)
+    codes = np.frombuffer(raw.translate(TABLE), dtype=np.uint8)
+    letters = np.frombuffer(raw.lower(), dtype=np.uint8)
+    # In slices, so that a long text takes no more memory than its own size.
+    for start in range(0, len(raw), SLICE):
+        some = codes[start : start + SLICE + 1].astype(np.int16)
+        out[:N_PAIRS] += np.bincount(some[:-1] * N_CLASSES + some[1:], minlength=N_PAIRS)
+        part = letters[start : start + SLICE + 2].astype(np.int32)
+        if len(part) > 2:
+            out[N_PAIRS:-MARKS] += np.bincount((part[:-2] * 961 + part[1:-1] * 31 + part[2:]) % PARTS, minlength=PARTS)
+    out[:N_PAIRS] /= max(1, len(raw) - 1)
+    out[N_PAIRS:-MARKS] *= PART_SHARE / max(1, len(raw) - 2)
     words, lines = raw.split(), raw.splitlines()
     n = max(1, len(words))
     again = sum(map(bytes.__eq__, words, words[1:])) / n
@@ -71,6 +87,7 @@ class Model:
     vectors: np.ndarray
     labels: np.ndarray
     prior: float
+    shares: tuple[float, float] = (1.0, 1.0)  # what a vote for label 0 and 1 counts
 
 
 def latent(matrix: np.ndarray, weights: np.ndarray, axes: np.ndarray) -> np.ndarray:
@@ -79,15 +96,18 @@ def latent(matrix: np.ndarray, weights: np.ndarray, axes: np.ndarray) -> np.ndar
     return found / np.maximum(np.linalg.norm(found, axis=1, keepdims=True), 1e-12)
 
 
-def fit(matrix: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS) -> Model:
-    """Term weights by spread over the sample, then the leading singular axes."""
+def fit(matrix: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS, totals: tuple[int, int] | None = None) -> Model:
+    """Term weights by spread over the sample, then the leading singular axes; ``totals`` are the labelled documents of each label, in the sample or not."""
     if not len(labels):
         return Model(np.ones(N_TERMS), np.zeros((N_TERMS, 1)), np.zeros((0, 1)), np.zeros(0), 0.5)
     present = (matrix > 0).sum(axis=0)
     weights = np.log((1 + len(matrix)) / (1 + present)) + 1
     _, _, right = np.linalg.svd(matrix * weights, full_matrices=False)
     axes = right[:dimensions].T
-    return Model(weights, axes, latent(matrix, weights, axes), labels.astype(np.float64), float(labels.mean()))
+    held = [int((labels == label).sum()) for label in (0, 1)]
+    every = totals or tuple(held)
+    shares = tuple(t / h if h else 0.0 for t, h in zip(every, held, strict=True))
+    return Model(weights, axes, latent(matrix, weights, axes), labels.astype(np.float64), every[1] / max(1, sum(every)), (shares[0], shares[1]))
 
 
 def vote(matrix: np.ndarray, model: Model, neighbours: int = NEIGHBOURS) -> np.ndarray:
@@ -98,7 +118,7 @@ def vote(matrix: np.ndarray, model: Model, neighbours: int = NEIGHBOURS) -> np.n
         unit = latent(matrix[start : start + BLOCK], model.weights, model.axes)
         cosines = unit @ model.vectors.T
         nearest = np.argpartition(cosines, -k, axis=1)[:, -k:]
-        weight = np.clip(np.take_along_axis(cosines, nearest, axis=1), 0, 1) ** SHARPNESS
+        weight = np.clip(np.take_along_axis(cosines, nearest, axis=1), 0, 1) ** SHARPNESS * np.take(model.shares, model.labels[nearest].astype(np.int64))
         total = weight.sum(axis=1)
         found = (weight * model.labels[nearest]).sum(axis=1) / np.maximum(total, 1e-12)
         scores[start : start + BLOCK] = np.where(total > 1e-12, found, model.prior)
@@ -114,11 +134,13 @@ def _term_rows(batches):
 def train(docs: DataFrame, labels: DataFrame, sample_per_label: int = SAMPLE_PER_LABEL, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality") -> Model:
     """Fit on at most ``sample_per_label`` labelled documents of each label.
 
-    Labels come from rows outside the held-out fold (crc32 of the id as text,
+    A vote counts by the share of its label among all usable labels, so scores
+    don't move when the bound changes the mix. Labels come from rows outside the held-out fold (crc32 of the id as text,
     modulo 5, not 0) that are not null; an id labelled both ways is left out.
     """
     usable = labels.select(F.col(id_column).cast("long").alias("id"), F.col(label_column).cast("int").alias("label")).where(F.col("label").isin(0, 1) & F.col("id").isNotNull()).where(fold_remainder("id", FOLDS) != 0)
     agreed = usable.groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other")).where("label = other").select("id", "label", F.xxhash64("id").alias("order"))
+    counted = {r["label"]: r["count"] for r in agreed.groupBy("label").count().collect()}
     picked = None
     for label in (0, 1):
         part = agreed.where(F.col("label") == label).orderBy("order", "id").limit(sample_per_label)
@@ -130,7 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_per_label: int = SAMPLE_PER
     if not rows.num_rows:
         return fit(np.zeros((0, N_TERMS)), np.zeros(0))
     matrix = rows.column("terms").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, N_TERMS)
-    return fit(matrix.astype(np.float64), rows.column("label").to_numpy())
+    return fit(matrix.astype(np.float64), rows.column("label").to_numpy(), totals=(counted.get(0, 0), counted.get(1, 0)))
 
 
 def scorer(model: Model):
