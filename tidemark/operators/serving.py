@@ -51,8 +51,8 @@ ORDERS = {
     "demand": ("-active_postings", "source", "country"),
     "coverage": ("source", "scope_id", "country", "-observed_at"),
     "breadth": ("source", "scope_id"),
-    "dimension": ("source", "scope_id", "-posting_count", "dimension", "value_label"),
-    "skill": ("source", "scope_id", "-posting_count", "value_label"),
+    "dimension": ("source", "scope_id", "-posting_count", "dimension", "value_label", "value_uri"),
+    "skill": ("source", "scope_id", "-posting_count", "value_label", "value_uri"),
     "mapping": ("source", "scope_id", "dimension", "mapping_status"),
     "requirement": ("source", "scope_id", "dimension", "-posting_count", "value_label", "value_code"),
     "frequency": ("source", "scope_id"),

@@ -157,7 +157,7 @@ QUERIES = {
     "findings": (findings, FINDINGS_SQL),
     "newest_pair": (newest_pair, with_ctes(f"SELECT source, scope_id, bucket_start, openings, closures, active_postings, older, before, apart AS days_apart FROM {PAIR}", FLOWS)),
     "stock_direction": (stock_direction, with_ctes("SELECT source, scope_id, a AS first_stock, b AS last_stock, CASE WHEN b > a THEN 'rising' WHEN b < a THEN 'falling' ELSE 'flat' END AS direction FROM (SELECT source, scope_id, count(*) AS n, arg_min(active_postings, bucket_start) AS a, arg_max(active_postings, bucket_start) AS b FROM flows WHERE grain = 'day' AND active_postings IS NOT NULL GROUP BY 1, 2) WHERE n >= 2", FLOWS)),
-    "demand_places": (demand_places, with_ctes("SELECT source, scope_id, dimension, value_uri, row_number() OVER (PARTITION BY source, scope_id ORDER BY posting_count DESC, dimension, value_label NULLS LAST) AS place FROM dimension_demand")),
+    "demand_places": (demand_places, with_ctes("SELECT source, scope_id, dimension, value_uri, row_number() OVER (PARTITION BY source, scope_id ORDER BY posting_count DESC, dimension, value_label NULLS LAST, value_uri NULLS LAST) AS place FROM dimension_demand")),
     "requirement_places": (requirement_places, with_ctes(f"SELECT source, scope_id, dimension, value_code, value_label, row_number() OVER (PARTITION BY source, scope_id, dimension ORDER BY posting_count DESC, value_label NULLS LAST, value_code NULLS LAST) AS place FROM {mart('requirement_demand')}")),
     "labour_demand_places": (labour_demand_places, with_ctes(f"SELECT source, scope_id, country, active_postings FROM {mart('labour_demand_latest')} ORDER BY active_postings DESC, source, country")),
     "newest_coverage": (newest_coverage, with_ctes("SELECT source, scope_id, sweep_id, observed_at, coverage_status FROM coverage QUALIFY row_number() OVER (PARTITION BY source, scope_id ORDER BY observed_at DESC, sweep_id DESC) = 1")),
