@@ -49,7 +49,7 @@ def _classes() -> tuple[bytes, int]:
 TABLE, N_CLASSES = _classes()
 MARKS = 6
 #: Three bytes, letters small, are told apart by so many hashes.
-PARTS = 1024
+PARTS = 512
 N_PAIRS = N_CLASSES * N_CLASSES
 N_TERMS = N_PAIRS + PARTS + MARKS
 
@@ -102,8 +102,10 @@ def fit(matrix: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS, to
         return Model(np.ones(N_TERMS), np.zeros((N_TERMS, 1)), np.zeros((0, 1)), np.zeros(0), 0.5)
     present = (matrix > 0).sum(axis=0)
     weights = np.log((1 + len(matrix)) / (1 + present)) + 1
-    _, _, right = np.linalg.svd(matrix * weights, full_matrices=False)
-    axes = right[:dimensions].T
+    # The right singular axes, from the products of terms: as large as the terms squared, however many documents there are.
+    weighted = matrix * weights
+    axes = np.ascontiguousarray(np.linalg.eigh(weighted.T @ weighted)[1][:, ::-1][:, :dimensions])
+    del weighted
     held = [int((labels == label).sum()) for label in (0, 1)]
     every = totals or tuple(held)
     shares = tuple(t / h if h else 0.0 for t, h in zip(every, held, strict=True))
