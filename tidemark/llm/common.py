@@ -32,6 +32,10 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def new_path(spark: SparkSession, tag: str) -> str:
+    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -39,7 +43,7 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     stages before the written table.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = new_path(spark, tag)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ctw, decontaminate, embedding_dedup, pieces, pii, quality, simhash, token_counts, token_files, url_filter
-from .common import fold_remainder, table
+from . import ctw, decontaminate, divergence, embedding_dedup, periodic_runs, pieces, pii, quality, simhash, stream_dedup, token_counts, token_files, url_filter
+from .common import fold_remainder, new_path, table
 
 
 #: Sites whose pages make up the list of op1.
@@ -90,10 +90,71 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+#: The same by listing every kept term for every pair of sources.
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+w AS (SELECT doc_id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT doc_id) >= 30),
+v AS (SELECT lang, count(*) AS kept, sum(total) AS total FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY ALL),
+cells AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.total AS lang_n FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT lang, source, term, n,
+        1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * kept) AS p,
+        1 + (1000000000::HUGEINT * (lang_n + 5)) // (v.total + 5 * kept) AS q
+      FROM cells JOIN v USING (lang)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+parts AS (SELECT * FROM pairs UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+r AS (SELECT lang, source, part, item, value::BIGINT AS value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM parts)
+SELECT * FROM r WHERE part = 'pair' OR rank <= 50
+"""
+
+
+def op12_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as a stream into a new store; the pattern stands for a folder of files as well as for one file."""
+    found = stream_dedup.Dedup(spark, f"{sf_dir}/documents.parque[t]", new_path(spark, "dedup")).run().decisions()
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS letters, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS body FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY body) AS group_size, row_number() OVER w = 1 AS kept, sha256(body) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY body ORDER BY letters DESC, doc_id)
+"""
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) where a tenth of the texts go round in a period from some word on."""
+    words = F.array_remove(F.split(F.coalesce("text", F.lit("")), periodic_runs.WHITE), "")
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    chosen = docs.select("doc_id", "text", h.alias("h")).withColumns({"g": F.floor(F.col("h") / 10), "words": F.when(F.col("h") % 10 == 0, words)})
+    n = F.size("words")
+    spread = chosen.withColumn("a", F.when(n > 0, F.col("g") % n).cast("int")).withColumn("p", F.when(n > 0, 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    rest = n - F.col("a")
+    round_ = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int")))
+    turned = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(round_, F.lit(1), rest))
+    return spread.select("doc_id", F.when(F.col("a").isNull(), F.col("text")).otherwise(F.array_join(turned, " ")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(planted(table(spark, sf_dir, "documents")))
+    first = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    best = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), first.alias("best"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    length, period = F.col("best.length"), -F.col("best.period")
+    return best.select("doc_id", "n_runs", (-F.col("best.start")).alias("start"), length.alias("length"), period.alias("period"), F.floor(1000 * length / period).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_url_filter, op2_benchmark_decontamination, op3_quality_classifier, op4_pii, op5_token_files, op6_sentencepiece, op7_simhash_near_dedup, op8_ctw_scores, op9_embedding_near_dedup, op10_token_counts)
+    found = (op1_url_filter, op2_benchmark_decontamination, op3_quality_classifier, op4_pii, op5_token_files, op6_sentencepiece, op7_simhash_near_dedup, op8_ctw_scores, op9_embedding_near_dedup, op10_token_counts, op11_source_divergence, op12_stream_dedup, op13_periodic_runs)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL, "op2_benchmark_decontamination": OP2_SQL}
+    return {"op1_url_filter": OP1_SQL, "op2_benchmark_decontamination": OP2_SQL, "op11_source_divergence": OP11_SQL, "op12_stream_dedup": OP12_SQL}
