@@ -163,6 +163,11 @@ def posting_flows(lifecycle: DataFrame, sweeps: DataFrame, postings: DataFrame,
     order = F.struct("observed_at") if compat else F.struct("observed_at", "completed_at", "sweep_id")
     last = at(sweep_stock(sweeps, postings, compat), "observed_at").groupBy(*keys).agg(F.max_by("active_postings", order).alias("stock"), F.max_by("active_vacancies", order).alias("vacancies")).withColumns({"opened": nothing, "closed": nothing})
     both = opened.unionByName(closed).unionByName(last).groupBy(*keys).agg(F.coalesce(F.sum("opened"), F.lit(0)).alias("o"), F.coalesce(F.sum("closed"), F.lit(0)).alias("c"), F.max("stock").alias("s"), F.max("vacancies").alias("v"))
+    return masked_flows(both, keys)
+
+
+def masked_flows(both: DataFrame, keys: list[str]) -> DataFrame:
+    """Openings o, closures c, stock s and vacancies v of each bucket, small counts masked."""
     o, c, s = F.col("o"), F.col("c"), F.col("s")
     return both.select(
         *keys, (is_suppressed(o) | is_suppressed(c) | is_suppressed(F.coalesce(s, F.lit(0)))).alias("is_suppressed"),

@@ -41,8 +41,3 @@ def orphans(observations: DataFrame, manifests: DataFrame, keys: list[str]) -> D
 def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     """Distinct rows of one side only, with the side."""
     return a.subtract(b).withColumn("side", F.lit("left")).unionByName(b.subtract(a).withColumn("side", F.lit("right")))
-
-
-def high_water_mark(rows: DataFrame, column: str) -> DataFrame:
-    """Greatest value as text, the order that the feeds promise."""
-    return rows.agg(F.max(F.col(column).cast("string")).alias("mark"))

@@ -1,4 +1,4 @@
-"""Streams: last-wins folds, keep-first deduplication, high-water marks and incremental closures.
+"""Streams: last-wins folds and keep-first deduplication.
 
 All run on ``availableNow`` triggers as well as continuously; the results equal
 the batch operators' over the same input.
@@ -6,8 +6,6 @@ the batch operators' over the same input.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,34 +31,15 @@ def keep_first_ever(stream: DataFrame, key: list[str]) -> DataFrame:
     return stream.dropDuplicates(key)
 
 
-def tumbling(stream: DataFrame, time: str, width: str, delay: str, keys: list[str], start: str | None = None) -> DataFrame:
-    """Counts per window; Monday weeks are ``7 days`` from ``4 days``."""
-    window = F.window(time, width, width, start) if start else F.window(time, width)
-    return stream.withWatermark(time, delay).groupBy(window.alias("window"), *keys).agg(F.count(F.lit(1)).alias("n")).select(F.col("window.start").alias("bucket_start"), *keys, "n")
-
-
 def run_to(stream: DataFrame, path: str, mode: str, checkpoint: str) -> None:
     """Run what is there into a Parquet table at ``path``.
 
-    Append mode adds files; complete and update mode rewrite the table, each
-    batch before the next, so a repeated batch does no harm.
+    Complete mode rewrites the table; append and update mode write batch n, or
+    write it again, as ``batch=n``, so after updates the last batch that has a
+    key holds its values.
     """
 
     def put(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(path if mode == "complete" else f"{path}/batch={number}")
 
     stream.writeStream.outputMode(mode).foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-
-
-def closures_on_arrival(manifests: DataFrame, closures: Callable[[], DataFrame], path: str, checkpoint: str) -> None:
-    """Recompute closures whenever sweeps arrive: what can close a posting is a later manifest, not a watermark.
-
-    Sweeps that arrive late change earlier closures, so the table is replaced
-    as a whole, by the batch that brought them.
-    """
-
-    def put(batch: DataFrame, number: int) -> None:
-        if not batch.isEmpty():
-            closures().write.mode("overwrite").parquet(path)
-
-    manifests.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
