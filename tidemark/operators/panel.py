@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import locality_holds, membership_hash, place_query, seat_labels
 from ..functions.windows import top_n
+from ..sources.storage import numbered
 from .mapping import first_of
 
 PER_PAGE = 25
@@ -140,8 +141,9 @@ def stratified(rows: DataFrame, stratum: str, order: list[Column], size: int | N
     turned = placed.withColumn("_turn", F.pmod(F.col("_at") - F.floor(F.col("_n") / 2), F.col("_n")))
     if size is None:
         return turned.where("_turn = 0").drop("_at", "_n", "_turn")
-    ranked = turned.withColumn("_rank", F.row_number().over(Window.orderBy("_turn", F.desc("_n"), stratum)))
-    return ranked.where((F.col("_turn") == 0) | (F.col("_rank") <= size)).drop("_at", "_n", "_turn", "_rank")
+    middle = turned.where("_turn = 0")
+    more = max(0, size - middle.count())  # a sample is a bounded number of rows, so Spark keeps that many a task and no task sorts all
+    return middle.unionByName(turned.where("_turn > 0").orderBy("_turn", F.desc("_n"), stratum).limit(more)).drop("_at", "_n", "_turn")
 
 
 def spread_sample(rows: DataFrame, pseudonym: str, n: int) -> DataFrame:
@@ -158,8 +160,9 @@ def frontier_order(segments: DataFrame) -> DataFrame:
     """Segments to do, failed ones again, with their place: by level, region and key."""
     rank = F.create_map(*(F.lit(x) for pair in LEVEL_ORDER.items() for x in pair))
     waiting = segments.where(F.col("status").isin("pending", "failed"))
-    order = Window.orderBy(F.element_at(rank, F.col("level")), F.coalesce("nuts_code", F.lit("")), "key")
-    return waiting.withColumn("place", F.row_number().over(order).cast("long"))
+    ordered = waiting.withColumns({"_rank": F.element_at(rank, F.col("level")), "_region": F.coalesce("nuts_code", F.lit(""))})
+    placed, _ = numbered(ordered, ["_rank", "_region", "key"])
+    return placed.withColumn("place", F.col("place") + 1).drop("_rank", "_region")
 
 
 def insert_absent(frontier: DataFrame, more: DataFrame, keys: list[str]) -> DataFrame:
@@ -195,23 +198,31 @@ def initial_frontier(reference: DataFrame, states: DataFrame, radius: int = 0) -
     return whole.unionByName(level_1).unionByName(sole).unionByName(shared).dropDuplicates(["level", "key"])
 
 
-def subdivide(frontier: DataFrame, states: DataFrame, postcodes: DataFrame, radius: int = 0) -> DataFrame:
-    """Children of truncated segments join the frontier, and these are marked subdivided; failed ones stay as they are.
+def children(cut: DataFrame, states: DataFrame, postcodes: DataFrame, radius: int = 0) -> DataFrame:
+    """What truncated segments fall into, each child once, with the least of its parents.
 
     The country falls into ``states`` (name, nuts1), a municipality into the
     ``postcodes`` (source_code, nuts_code) of its region, a postcode into
     windows of recency; a state's municipalities are in the frontier already.
     """
-    cut, pending = frontier.where("status = 'truncated'"), F.lit("pending")
+    pending = F.lit("pending")
     parent = F.col("parent_key")
     of_level = lambda level: cut.where(F.col("level") == level).select(F.col("key").alias("parent_key"), "nuts_code", "nuts1")
-    of_country = _segments(of_level(0).drop("nuts1", "nuts_code").join(F.broadcast(states)), place_query(F.col("name"), radius), 1, F.lit(None), F.col("nuts1"), pending, parent)
+    # The country is one segment, so this join pairs one row with the states.
+    of_country = _segments(of_level(0).drop("nuts1", "nuts_code").limit(1).crossJoin(states), place_query(F.col("name"), radius), 1, F.lit(None), F.col("nuts1"), pending, parent)
     of_town = of_level(2).join(postcodes.select("source_code", F.col("nuts_code").alias("_nuts")).distinct(), F.col("nuts_code") == F.col("_nuts"))
     of_town = _segments(of_town, place_query(F.col("source_code"), radius), 3, F.col("nuts_code"), F.col("nuts1"), pending, parent)
     windows = of_level(3).withColumn("days", F.explode(F.array(*map(F.lit, RECENCY_DAYS))))
     of_code = _segments(windows, F.concat(parent, F.lit("&veroeffentlichtseit="), F.col("days").cast("string")), 4, F.col("nuts_code"), F.col("nuts1"), pending, parent, F.col("days"))
+    every = of_country.unionByName(of_town).unionByName(of_code)
+    return every.groupBy("level", "key").agg(F.min_by(F.struct(*(c for c in SEGMENT if c not in ("level", "key"))), "parent").alias("s")).select("level", "key", "s.*").select(*SEGMENT)
+
+
+def subdivide(frontier: DataFrame, states: DataFrame, postcodes: DataFrame, radius: int = 0) -> DataFrame:
+    """Children of truncated segments join the frontier, and these are marked subdivided; failed ones stay as they are."""
+    cut = frontier.where("status = 'truncated'")
     moved = frontier.withColumn("status", F.when(F.col("status") == "truncated", "subdivided").otherwise(F.col("status")))
-    return insert_absent(moved, of_country.unionByName(of_town).unionByName(of_code), ["level", "key"])
+    return insert_absent(moved, children(cut, states, postcodes, radius), ["level", "key"])
 
 
 def stock_lower_bound(frontier: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import crosswalk, panel
+from ..operators import crosswalk, frontier, panel
 from .adapter import model, read, with_ctes
 from .cases import dealt, dealt_sql
 
@@ -152,6 +152,44 @@ def frontier_subdivision(spark, sf_dir):
     return panel.subdivide(_worked(spark, sf_dir), _states(spark, sf_dir), codes).select("key", "level", "nuts_code", "nuts1", "status")
 
 
+def frontier_to_its_end(spark, sf_dir):
+    """The first frontier asked until nothing waits; what a query holds is told by the customer that its key's hash points to, and some fail once or always."""
+    customers = read(spark, sf_dir, "customer")
+    n = customers.count()
+    held = customers.select(F.col("c_custkey").alias("slot"), (F.abs(F.floor("c_acctbal")) * 2 + 1).cast("long").alias("items"))
+
+    def ask(due, number):
+        slots = due.select("key", "level", (F.conv(F.substring(F.md5("key"), 1, 6), 16, 10).cast("long") % n).alias("slot"))
+        fails = (F.col("level") > 1) & ((F.col("slot") % 29 == 0) | ((F.col("slot") % 7 == 0) & (F.lit(number) == 1)))
+        return slots.join(held, "slot", "left").select("key", F.coalesce("items", F.lit(1)).alias("items"), fails.alias("failed")).distinct()
+
+    codes = _unambiguous(spark, sf_dir).where("source_type = 'plz'").select("source_code", "nuts_code")
+    first = panel.initial_frontier(_unambiguous(spark, sf_dir), _states(spark, sf_dir))
+    return frontier.run_to_end(first, ask, _states(spark, sf_dir), codes).select("key", "level", "nuts_code", "nuts1", "status", "rows_yielded", "truncated", "round")
+
+
+#: The same by recursion: a segment is asked in the round after its parent's, or one later if it fails in the first.
+TO_ITS_END = """WITH RECURSIVE {ctes},
+size AS (SELECT count(*) AS n FROM customer),
+asked(key, level, nuts_code, nuts1, status, since) AS (
+  SELECT key, level, nuts_code, nuts1, status, 1 FROM frontier0
+  UNION
+  SELECT child.key, child.level, child.nuts_code, child.nuts1, 'pending', child.since FROM (
+    SELECT 'wo=' || s.code || '&umkreis=0' AS key, 3 AS level, a.nuts_code, a.nuts1, a.done + 1 AS since FROM ({told}) a JOIN sole s ON s.nuts_code = a.nuts_code WHERE a.level = 2 AND a.cut
+    UNION ALL
+    SELECT a.key || '&veroeffentlichtseit=' || d, 4, a.nuts_code, a.nuts1, a.done + 1 FROM ({told}) a, (SELECT unnest([1, 7, 30]) AS d) WHERE a.level = 3 AND a.cut) child),
+first AS (SELECT key, level, min(nuts_code) AS nuts_code, min(nuts1) AS nuts1, min(status) AS status, min(since) AS since FROM asked GROUP BY key, level)
+SELECT key, level, nuts_code, nuts1, CASE WHEN status = 'subdivided' THEN status WHEN failing THEN 'failed' WHEN level = 1 OR cut THEN 'subdivided' ELSE 'complete' END AS status,
+CASE WHEN status = 'subdivided' THEN NULL WHEN failing OR level = 1 THEN 0 ELSE least(items, 10000) END AS rows_yielded, status <> 'subdivided' AND cut AS truncated, CASE WHEN status <> 'subdivided' AND NOT failing THEN done END AS round FROM ({last})"""
+TOLD = """SELECT b.*, level > 1 AND slot % 29 = 0 AS failing, items >= 10000 AND status = 'pending' AND NOT (level > 1 AND slot % 29 = 0) AS cut, CAST(since + CASE WHEN level > 1 AND slot % 7 = 0 AND since = 1 THEN 1 ELSE 0 END AS INTEGER) AS done
+FROM (SELECT s.*, coalesce(CAST(abs(CAST(floor(c.c_acctbal) AS BIGINT)) * 2 + 1 AS BIGINT), 1) AS items FROM (SELECT f.*, CAST('0x' || substr(md5(key), 1, 6) AS BIGINT) % n AS slot FROM {source} f, size) s LEFT JOIN customer c ON c.c_custkey = s.slot) b"""
+
+
+def to_its_end_sql() -> str:
+    ctes = ",\n".join(f"{k} AS ({v})" for k, v in CTES.items())
+    return TO_ITS_END.format(ctes=ctes, told=TOLD.format(source="asked"), last=TOLD.format(source="first"))
+
+
 def stock_lower_bound(spark, sf_dir):
     return panel.stock_lower_bound(_worked(spark, sf_dir).withColumn("rows_yielded", F.length("key").cast("long")))
 
@@ -260,6 +298,7 @@ QUERIES = {
     "initial_frontier": (initial_frontier, sql("SELECT * FROM frontier0")),
     "frontier_order": (frontier_order, sql(f"SELECT key, level, row_number() OVER (ORDER BY CASE level WHEN 2 THEN 0 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE level END, coalesce(nuts_code, ''), key) AS place FROM {WORKED} WHERE status IN ('pending', 'failed')")),
     "frontier_subdivision": (frontier_subdivision, sql(f"SELECT key, level, nuts_code, nuts1, CASE WHEN status = 'truncated' THEN 'subdivided' ELSE status END AS status FROM {WORKED} UNION ALL SELECT DISTINCT 'wo=' || s.code || '&umkreis=0', 3, w.nuts_code, w.nuts1, 'pending' FROM {WORKED} w JOIN sole s ON s.nuts_code = w.nuts_code WHERE w.level = 2 AND w.status = 'truncated' AND 'wo=' || s.code || '&umkreis=0' NOT IN (SELECT key FROM {WORKED} WHERE level = 3) UNION ALL SELECT key || '&veroeffentlichtseit=' || d, 4, nuts_code, nuts1, 'pending' FROM {WORKED} CROSS JOIN (SELECT unnest([1, 7, 30]) AS d) WHERE level = 3 AND status = 'truncated'")),
+    "frontier_to_its_end": (frontier_to_its_end, to_its_end_sql()),
     "stock_lower_bound": (stock_lower_bound, sql(f"SELECT CAST(coalesce(sum(length(key)) FILTER (WHERE status = 'complete'), 0) AS BIGINT) AS measured_stock FROM {WORKED}")),
     "segment_states": (segment_states, "SELECT l_suppkey AS segment, CASE WHEN bool_or(bad) THEN 'failed' WHEN max(page) >= 12 AND arg_max(items, page) >= 50 THEN 'truncated' ELSE 'complete' END AS status, CAST(sum(items) AS BIGINT) AS rows_yielded, arg_max(items, page) >= 50 AS last_page_full FROM (SELECT l_suppkey, month(l_shipdate) AS page, count(*) AS items, min(l_orderkey) % 50 = 0 AS bad FROM lineitem GROUP BY 1, 2) GROUP BY 1"),
     "page_plan": (page_plan, f"SELECT c_custkey, {dealt_sql('c_custkey', [p[-1] for p in PLANS])} AS found FROM customer"),

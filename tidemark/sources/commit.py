@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from .storage import numbered
+
 PAGE_FILE = "page-{:06d}.ndjson"
 
 
@@ -150,21 +152,8 @@ def write_sweep(rows: DataFrame, manifest: dict, path: str, page_size: int, id_c
     bad = lined.groupBy("id").count().where("id IS NULL OR id = '' OR count > 1")
     if not bad.isEmpty():
         raise ValueError("ids are missing or repeated")
-    placed, total = numbered(lined, "id", f"{path}-lines")
+    placed, total = numbered(lined, ["id"], f"{path}-lines")
     paged = placed.withColumn("page", F.floor(F.col("place") / page_size).cast("long"))
     whole = paged.repartition("page").sortWithinPartitions("page", "place").select("page", "place", "id", "line")
     whole.write.format("sweep").mode("append").options(path=path, manifest=json.dumps(manifest), page_size=str(page_size), total=str(total)).save()
     return _existing(spark, path)
-
-
-def numbered(rows: DataFrame, by: str, path: str) -> tuple[DataFrame, int]:
-    """``rows`` with their place in the order of ``by``, and their number: a range sort written to ``path``, and one offset a partition."""
-    ranged = rows.repartitionByRange(by).sortWithinPartitions(by).withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
-    ranged.write.mode("overwrite").parquet(path)
-    held = rows.sparkSession.read.parquet(path)
-    total, shifts = 0, []
-    for part in sorted(held.groupBy("_part").agg(F.min("_at").alias("first"), F.count(F.lit(1)).alias("n")).collect()):
-        shifts.append((part._part, total - part.first))
-        total += part.n
-    shift = rows.sparkSession.createDataFrame(shifts, "_part int, _shift bigint")
-    return held.join(F.broadcast(shift), "_part").withColumn("place", F.col("_at") + F.col("_shift")).drop("_part", "_at", "_shift"), total

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
-from .commit import numbered
+from .storage import numbered
 
 ITEM = "page string, place int, item string"
 START = {"page": "", "tag": "", "items": 0}
@@ -31,7 +31,7 @@ def record_pages(items: DataFrame, order: list[Column], per_page: int, folder: s
     sees more than its own.
     """
     by = F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order)))
-    placed, total = numbered(items.select("item", by.alias("by")), "by", f"{folder}-ranged")
+    placed, total = numbered(items.select("item", by.alias("by")), ["by"], f"{folder}-ranged")
     number = F.floor(F.col("place") / per_page).cast("long")
     pages = placed.groupBy(number.alias("page")).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "item"))), lambda x: x["item"]).alias("items"))
     last = max(0, -(-total // per_page) - 1)

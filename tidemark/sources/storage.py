@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,8 +35,32 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def file_state(spark: SparkSession, path: str) -> tuple[int, int]:
-    """Length and time of change of a file or folder."""
+def file_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Number of the files at or below a path, their length together, and the newest time of change."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    status = target.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(target)
-    return status.getLen(), status.getModificationTime()
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(target, True)
+    count = length = newest = 0
+    while files.hasNext():
+        status = files.next()
+        count, length, newest = count + 1, length + status.getLen(), max(newest, status.getModificationTime())
+    return count, length, newest
+
+
+def numbered(rows: DataFrame, by: list[str], path: str | None = None) -> tuple[DataFrame, int]:
+    """``rows`` with their ``place`` from 0 in the order of ``by``, and how many they are.
+
+    A window over all rows would sort them in one task. Here they are sorted
+    by ranges and written to ``path``, and each range's places begin where the
+    range before ends: one offset a range is all that the driver sees.
+    """
+    spark = rows.sparkSession
+    path = path or new_path(spark, "numbered")
+    ranged = rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    ranged.write.mode("overwrite").parquet(path)
+    held = spark.read.schema(ranged.schema).parquet(path)
+    total, shifts = 0, []
+    for part in sorted(held.groupBy("_part").agg(F.min("_at").alias("first"), F.count(F.lit(1)).alias("n")).collect()):
+        shifts.append((part._part, total - part.first))
+        total += part.n
+    shift = spark.createDataFrame(shifts, "_part int, _shift bigint")
+    return held.join(F.broadcast(shift), "_part").withColumn("place", F.col("_at") + F.col("_shift")).drop("_part", "_at", "_shift"), total

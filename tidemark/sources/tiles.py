@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # What a German tile's link, date and place, and a Flemish tile's link look like.
-REF_ID = r"/jobsuche/jobdetail/([^/\s\"']+)"
+REF_ID = r"/jobsuche/jobdetail/([^/\s\"'>]+)"
 DATE_TITLE = "Veröffentlichungsdatum"
 GERMAN_DATE = r"(\d{2})\.(\d{2})\.(\d{4})"
 PLACE_ID = "-arbeitsort"
@@ -24,7 +24,7 @@ ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'"
 
 def _attribute(name: str, value: str) -> str:
     """Pattern, inside an opening tag, of an attribute whose value matches ``value`` (which must not hold quotes)."""
-    return rf"(?=[^>]*\s{name}\s*=\s*(?:\"{value}\"|'{value}'))"
+    return rf"(?=[^>]*\s{name}\s*=\s*(?-i:\"{value}\"|'{value}'))"
 
 
 def _of_class(css: str) -> str:
@@ -48,7 +48,7 @@ def _closed(piece: Column, tag: str) -> Column:
         return F.when(state["done"], state).otherwise(F.struct(depth.alias("depth"), closes.alias("closes"), (depth <= 0).alias("done")))
 
     end = F.aggregate(steps, start, step)
-    return F.when(end["done"], F.substring_index(low, F.lit(f"</{tag}"), end["closes"])).otherwise(low)
+    return F.when(end["done"], F.call_function("substring_index", low, F.lit(f"</{tag}"), end["closes"])).otherwise(low)
 
 
 def elements(html: Column, tag: str, css: str = "") -> Column:
@@ -106,7 +106,7 @@ def german_tiles(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     title = attribute(_first(tile, "span", "title", rf"[^\"'>]*{DATE_TITLE}[^\"'>]*"), "title")
     day = [F.regexp_extract(title, GERMAN_DATE, k) for k in (3, 2, 1)]
     city = _found(text_of(_first(tile, "span", "id", rf"[^\"'>]*{PLACE_ID}")), PLACE)
-    told = tiles.select(key, "place", _linked(tile, REF_ID).alias("native_id"), F.try_to_date(F.concat_ws("-", *day), F.lit("yyyy-MM-dd")).alias("first_published"), F.nullif(F.trim(city), F.lit("")).alias("location_city"))
+    told = tiles.select(key, "place", _linked(tile, REF_ID).alias("native_id"), F.concat_ws("-", *day).try_cast("date").alias("first_published"), F.nullif(F.trim(city), F.lit("")).alias("location_city"))
     return told.where("native_id IS NOT NULL")
 
 
