@@ -34,10 +34,6 @@ def keep_first(log: DataFrame, key: list[str], order: Column, values: list[str])
     return log.groupBy(*key).agg(F.min_by(F.struct(*values), order).alias("first")).select(*key, "first.*")
 
 
-def orphans(observations: DataFrame, manifests: DataFrame, keys: list[str]) -> DataFrame:
-    return observations.join(manifests, keys, "left_anti")
-
-
 def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     """Distinct rows of one side only, with the side."""
     return a.subtract(b).withColumn("side", F.lit("left")).unionByName(b.subtract(a).withColumn("side", F.lit("right")))

@@ -12,7 +12,7 @@ are written once a session for each state of the tables, and read by all.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,10 +49,22 @@ class Model:
     skills: DataFrame
     latest: DataFrame
     lifecycles: DataFrame
+    written_marts: dict[str, DataFrame] = field(default_factory=dict)
 
     def lifecycle(self) -> DataFrame:
         return self.lifecycles
 
+    def marts(self) -> dict[str, DataFrame]:
+        """The nine marts that checks and findings read, written once."""
+        if not self.written_marts:
+            coverage = written(self.coverage(), "coverage")
+            made = {
+                "demand": M.dimension_demand(self.postings, self.latest), "skills": M.skill_demand(self.postings, self.skills, self.latest), "requirements": M.requirement_demand(self.postings, self.latest), "quality": M.mapping_quality(self.postings, self.skills, self.latest),
+                "mapped": M.mapping_coverage(self.postings, self.skills, self.latest), "labour": M.labour_demand(self.latest, coverage), "survival": M.posting_survival(self.lifecycle()), "flows": M.posting_flows(self.lifecycle(), self.sweeps, self.postings),
+            }
+            self.written_marts |= {"coverage": coverage} | {name: written(mart, name) for name, mart in made.items()}
+        return self.written_marts
+
     def coverage(self) -> DataFrame:
         return M.source_coverage(self.sweeps, self.postings, F.lit(REFERENCE_TIME).cast("timestamp_ntz"))
 
@@ -126,7 +138,7 @@ def model(spark: SparkSession, sf_dir: str) -> Model:
         sweeps = S.admitted(told)
         postings = written(S.staged_postings(observed.drop("key_version"), sweeps, labels), "postings")
         lifecycle = written(E.posting_lifecycle(postings, sweeps), "lifecycle")
-        _written[key] = Model(observed, told, labels, sweeps, postings, S.skill_mappings(postings), M.latest_sweeps(sweeps), lifecycle)
+        _written[key] = Model(observed, told, labels, sweeps, postings, S.skill_mappings(postings), written(M.latest_sweeps(sweeps), "latest"), lifecycle)
     return _written[key]
 
 

@@ -159,12 +159,51 @@ def _counted(found: dict[str, DataFrame]) -> DataFrame:
 def assertions(spark, sf_dir):
     """Offending rows of every assertion over the written model."""
     m = model(spark, sf_dir)
-    coverage, closures = m.coverage(), E.closures(m.postings, m.sweeps)
-    marts = {
-        "coverage": coverage, "demand": M.dimension_demand(m.postings, m.latest), "skills": M.skill_demand(m.postings, m.skills, m.latest), "requirements": M.requirement_demand(m.postings, m.latest), "quality": M.mapping_quality(m.postings, m.skills, m.latest),
-        "mapped": M.mapping_coverage(m.postings, m.skills, m.latest), "labour": M.labour_demand(m.latest, coverage), "survival": M.posting_survival(m.lifecycle()), "flows": _flows(m),
+    return _counted(checks.suite(m, E.closures(m.postings, m.sweeps), m.marts(), F.lit("2024-02-20 00:00:00").cast("timestamp_ntz"), E.closures_direct(m.postings, m.sweeps)))
+
+
+def assertions_on_broken_marts(spark, sf_dir):
+    """The assertions over closures, latest sweeps and marts that are wrong by rules: how many rows each of them finds."""
+    m = model(spark, sf_dir)
+    u, inferred, marts = F.col("source_id").cast("long") % 10, F.col("event_basis") == "inferred_absence", m.marts()
+    good = E.closures(m.postings, m.sweeps)
+    closures = good.withColumns({
+        "hmac_key_version": F.when((u == 3) & inferred, F.when(F.col("hmac_key_version") == "v1", "v2").otherwise("v1")).otherwise(F.col("hmac_key_version")),
+        "event_at": F.when((u == 2) & inferred, F.col("event_at") + F.expr("interval 1 hour")).otherwise(F.col("event_at")),
+        "event_basis": F.when(u == 1, "guessed").otherwise(F.col("event_basis")),
+    })
+    broken = marts | {
+        "mapped": marts["mapped"].withColumn("postings_mapped", F.col("postings_mapped") + F.when(F.col("dimension") == "region", 10**6).otherwise(0)), "demand": marts["demand"].withColumn("value_uri", F.when(F.col("posting_count") % 2 == 1, F.col("value_uri"))),
+        "flows": marts["flows"].withColumn("openings", F.coalesce("openings", F.when(F.col("grain") == "day", 3))), "survival": marts["survival"].withColumn("max_duration_days", F.when(F.col("lifecycle_status") == "active", -1).otherwise(F.col("max_duration_days"))),
+        "labour": marts["labour"].where("active_postings > 0"), "quality": marts["quality"].withColumn("mapping_status", F.when(F.col("outcome_count") % 2 == 0, F.col("mapping_status")).otherwise("perhaps")),
     }
-    return _counted(checks.suite(m, closures, marts, F.lit("2024-02-20 00:00:00").cast("timestamp_ntz"), E.closures_direct(m.postings, m.sweeps)))
+    latest = m.latest.where("scope_id NOT LIKE 'empty-A%'")
+    found = checks.suite(dataclasses.replace(m, latest=latest), closures, broken, F.lit("2024-02-20 00:00:00").cast("timestamp_ntz"), good) | {"zero_sweep_published": checks.zero_sweeps_unpublished(m.latest, broken["labour"])}
+    return _counted({name: found[name] for name in BROKEN})
+
+
+#: What breaks, in SQL: each assertion's number of findings over the same wrong rows.
+BROKEN = {
+    "closure_basis_vocabulary": "SELECT DISTINCT event_basis FROM bad WHERE event_basis NOT IN ('observed', 'source_reported', 'inferred_absence')",
+    "inferred_closures_complete": "SELECT 1 FROM bad b WHERE event_basis = 'inferred_absence' AND NOT EXISTS (SELECT 1 FROM sweeps s WHERE s.scope_id = b.scope_id AND s.sweep_id = b.sweep_id AND s.hmac_key_version = b.hmac_key_version AND s.observed_at = b.event_at)",
+    "key_rotation_does_not_close": "SELECT 1 FROM bad b WHERE event_basis = 'inferred_absence' AND NOT EXISTS (SELECT 1 FROM sweeps s WHERE s.scope_id = b.scope_id AND s.hmac_key_version = b.hmac_key_version AND s.observed_at = b.event_at)",
+    "latest_sweeps_include_empty": "SELECT DISTINCT scope_id FROM sweeps WHERE scope_id LIKE 'empty-A%'",
+    "mapping_coverage": "SELECT 1 FROM ({mapped}) WHERE dimension = 'region'",
+    "mapping_outputs": "SELECT 1 FROM dimension_demand WHERE posting_count % 2 = 0 UNION ALL SELECT 1 FROM ({quality}) WHERE outcome_count % 2 = 1",
+    "no_cross_key_closures": "SELECT 1 FROM bad b JOIN manifests s ON s.scope_id = b.scope_id AND s.sweep_id = b.sweep_id AND s.hmac_key_version <> b.hmac_key_version",
+    "posting_flows_suppression": "SELECT 1 FROM flows WHERE grain = 'day' AND openings IS NULL",
+    "posting_survival_suppression": "SELECT 1 FROM ({survival}) WHERE lifecycle_status = 'active'",
+    "survival_logic": "SELECT * FROM (SELECT * FROM bad EXCEPT SELECT * FROM closures) UNION ALL SELECT * FROM (SELECT * FROM closures EXCEPT SELECT * FROM bad)",
+    "zero_sweep_published": "SELECT 1 FROM latest WHERE row_count = 0",
+}
+BAD = """SELECT source, scope_id, CASE WHEN u = 3 AND event_basis = 'inferred_absence' THEN CASE hmac_key_version WHEN 'v1' THEN 'v2' ELSE 'v1' END ELSE hmac_key_version END AS hmac_key_version, source_id, sweep_id,
+CASE WHEN u = 2 AND event_basis = 'inferred_absence' THEN event_at + INTERVAL 1 HOUR ELSE event_at END AS event_at, event_type, CASE WHEN u = 1 THEN 'guessed' ELSE event_basis END AS event_basis FROM (SELECT *, CAST(source_id AS BIGINT) % 10 AS u FROM closures)"""
+
+
+def _broken_sql() -> str:
+    texts = {"mapped": posting_queries.QUERIES["mapping_coverage"][1], "quality": posting_queries.QUERIES["mapping_quality"][1], "survival": posting_queries.QUERIES["posting_survival"][1]}
+    each = " UNION ALL ".join(f"SELECT '{name}' AS assertion, (SELECT count(*) FROM ({sql.format(**texts)})) AS offending" for name, sql in BROKEN.items())
+    return with_ctes(each, FLOW_PARTS | {"stock": stock_cte("stock_of_sweep"), "bad": BAD})
 
 
 def assertions_on_faults(spark, sf_dir):
@@ -230,6 +269,7 @@ UNION ALL SELECT 'sample_coverage_fixtures', (SELECT CASE WHEN bool_or(observed_
 UNION ALL SELECT 'vacancies_distinct_from_postings', (SELECT CASE WHEN bool_or(advertised_vacancies > posting_count) THEN 0 ELSE 1 END FROM ({SURVIVAL}))
 UNION ALL SELECT 'posting_survival_suppression', (SELECT count(*) FROM ({SURVIVAL}) WHERE (is_suppressed AND coalesce(posting_count, advertised_vacancies, median_duration_days, p25_duration_days, p75_duration_days, max_duration_days) IS NOT NULL) OR (NOT is_suppressed AND posting_count BETWEEN 1 AND 4) OR max_duration_days < 0)
 UNION ALL SELECT unnest(['closure_basis_vocabulary', 'incomplete_observations_excluded', 'inferred_closures_complete', 'key_rotation_does_not_close', 'latest_sweeps_include_empty', 'manifest_row_counts', 'mapping_coverage', 'mapping_outputs', 'no_cross_key_closures', 'no_orphan_observations', 'nuts_label_unambiguous', 'posting_flows_suppression', 'posting_lifecycle_grain_unique', 'postings_grain_unique', 'skill_grain_unique', 'survival_logic', 'zero_sweep_published']), 0)"""),
+    "assertions_on_broken_marts": _broken_sql(),
     "assertions_on_faults": "SELECT unnest(['postings_grain_unique', 'skill_grain_unique', 'posting_lifecycle_grain_unique', 'nuts_label_unambiguous', 'no_orphan_observations', 'incomplete_observations_excluded', 'manifest_row_counts']) AS assertion, CAST(1 AS BIGINT) AS offending",
     "negative_durations": with_ctes("SELECT source, scope_id, hmac_key_version, source_id, posting_duration_days FROM lifecycle WHERE posting_duration_days < 0"),
     "page_truncation": "SELECT l_suppkey AS scope, arg_max(n, page) AS last_rows FROM (SELECT l_suppkey, month(l_shipdate) AS page, count(*) AS n FROM lineitem GROUP BY 1, 2) GROUP BY 1 HAVING arg_max(n, page) = 50",

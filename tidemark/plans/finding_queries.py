@@ -20,11 +20,10 @@ def mart(name: str) -> str:
 def findings(spark, sf_dir):
     """Every sentence that the rules generate over the marts."""
     m = model(spark, sf_dir)
-    demand, skills = M.dimension_demand(m.postings, m.latest), M.skill_demand(m.postings, m.skills, m.latest)
-    mapped, coverage, flows = M.mapping_coverage(m.postings, m.skills, m.latest), m.coverage(), M.posting_flows(m.lifecycle(), m.sweeps, m.postings)
-    needs = M.requirement_demand(m.postings, m.latest)
+    marts = m.marts()
+    demand, skills, mapped, coverage, flows, needs = (marts[k] for k in ("demand", "skills", "mapped", "coverage", "flows", "requirements"))
     found = insights.every([
-        insights.latest_count(M.labour_demand(m.latest, coverage)), insights.most_requested(demand, mapped, "occupation"), insights.most_requested(skills, mapped, "skill"), insights.region_concentration(demand, mapped),
+        insights.latest_count(marts["labour"]), insights.most_requested(demand, mapped, "occupation"), insights.most_requested(skills, mapped, "skill"), insights.region_concentration(demand, mapped),
         insights.requirement_shares(needs, "employment_type", ("0", "1")), insights.requirement_shares(needs, "working_hours_type", ("0", "1")), insights.median_duration(M.posting_survival(m.lifecycle())),
         insights.freshness_warning(coverage, m.latest), insights.sweep_churn(flows), insights.stock_trend(flows, M.collection_frequency(m.sweeps)), insights.run_state(coverage),
         insights.ranking_shortfall(demand, mapped, "occupation"), insights.empty_by_construction(mapped),

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import derived_queries, finding_queries, mapping_queries, panel_queries, posting_queries, rule_queries, source_queries, stream_queries
+from . import check_queries, derived_queries, finding_queries, mapping_queries, panel_queries, posting_queries, rule_queries, source_queries, stream_queries
 
-MODULES = (posting_queries, derived_queries, rule_queries, mapping_queries, finding_queries, panel_queries, stream_queries, source_queries)
+MODULES = (posting_queries, derived_queries, rule_queries, mapping_queries, finding_queries, panel_queries, stream_queries, source_queries, check_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
