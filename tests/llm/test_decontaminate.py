@@ -7,17 +7,20 @@ from tidemark.llm import decontaminate
 from .helpers import BODY, LONG, documents
 
 
-def shingles(text, size=5):
-    words = [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if w]
-    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+def split(text):
+    return [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if w]
+
+
+def shingles(words, size):
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
 
 
 def plain(docs, items):
     found = set()
     for d, text in docs:
-        have = shingles(text)
         for i, item in items:
-            want = shingles(item)
+            size = min(5, len(split(item)))
+            want, have = (shingles(split(t), size) if size else set() for t in (item, text))
             if want and len(want & have) >= math.ceil(len(want) * 0.8):
                 found.add((d, i, len(want), len(want & have)))
     return found
@@ -50,6 +53,13 @@ def test_finds_what_brute_force_finds(spark):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted((x for x in docs if x not in leaky), key=repr)
 
 
+def test_short_items_are_found_inside_documents(spark):
+    docs = documents(spark, [(1, "The quick brown fox jumps over the lazy dog and runs away"), (2, "brown fox"), (3, "fox brown jumps"), (4, "dog"), (5, None)])
+    items = spark.createDataFrame([(1, "Brown fox jumps"), (2, "dog"), (3, "lazy dog"), (4, "brown fox leaps")], "item_id long, text string")
+    found = decontaminate.contained_items(docs, items).collect()
+    assert sorted((r.doc_id, r.item_id, r.n_item, r.n_found) for r in found) == [(1, 1, 1, 1), (1, 2, 1, 1), (1, 3, 1, 1), (4, 2, 1, 1)]
+
+
 def test_empty_tables(spark):
     none, some = spark.createDataFrame([], "item_id long, text string"), documents(spark)
     assert decontaminate.decontaminate(some, none).count() == some.count()

@@ -1,6 +1,6 @@
 import re
 
-from tidemark.llm import url_filter
+from tidemark.llm import registry, url_filter
 
 from .helpers import by_id
 
@@ -50,3 +50,11 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     assert url_filter.judge(none, none.select("url")).count() == 0
     assert url_filter.judge(spark.createDataFrame([(1, "http://a/b")], "page_id long, url string"), none.select("url")).first().verdict == "allow"
+
+
+def test_the_list_is_made_of_spam_hosts_only(spark):
+    urls = ["http://CASINO-WIN.com/q", "https://a.free-bets.org", "http://clean.org/a?u=http://casino-win.x/", "http://clean.org/casino-win.x/", "casino-win.com/x", None, "http://not-casino-win.com/"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    assert sorted(r.url for r in registry.spam_pages(pages).collect()) == sorted(urls[:2])
+    verdicts = {r.page_id: r.verdict for r in url_filter.judge(pages, registry.spam_pages(pages)).collect()}
+    assert verdicts[0] == verdicts[1] == "block" and verdicts[2] == verdicts[3] == "allow"

@@ -7,7 +7,9 @@ upper size bound of its partition calls for: a document that contains at least
 one more than that many sketch values cannot all be missing. Sketches of fixed
 size, as used between sets of like sizes, would see next to nothing of a short
 item in a long document; these find every one. Candidates are verified by
-exact shingle containment. All of it is DataFrame operations.
+exact shingle containment. An item of fewer words than a shingle is one
+shingle of its own length, so documents are also cut into shingles of those
+lengths that occur among the items. All of it is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -56,6 +58,30 @@ def shingle_texts(text: Column, shingle: int = SHINGLE_WORDS) -> Column:
     return _with(words(text), of)
 
 
+def _each(parts: Column, k: int, use) -> Column:
+    """``use(place, k)`` for all places where ``k`` of ``parts`` begin; none if there are fewer."""
+    return F.when(F.size(parts) >= k, F.transform(F.sequence(F.lit(0), F.size(parts) - k), lambda i: use(i, k))).otherwise(F.array())
+
+
+def document_hashes(text: Column, shingle: int = SHINGLE_WORDS, shorter: tuple[int, ...] = ()) -> Column:
+    """Hashes of the shingles of a document: of ``shingle`` words, and of the lengths ``shorter`` as ``shingle_hashes`` has them for items of just these."""
+
+    def of(hashes: Column) -> Column:
+        long_ones = _each(hashes, shingle, lambda i, n: F.xxhash64(*(F.get(hashes, i + k) for k in range(n))))
+        return F.concat(long_ones, *(_each(hashes, k, lambda i, n: F.xxhash64(F.slice(hashes, i + 1, n))) for k in shorter))
+
+    return _with(F.transform(words(text), lambda w: F.xxhash64(w)), of)
+
+
+def document_texts(text: Column, shingle: int = SHINGLE_WORDS, shorter: tuple[int, ...] = ()) -> Column:
+    """The distinct shingles of a document, of ``shingle`` words and of the lengths ``shorter``."""
+
+    def of(parts: Column) -> Column:
+        return F.array_distinct(F.concat(*(_each(parts, k, lambda i, n: F.array_join(F.slice(parts, i + 1, n), " ")) for k in (shingle, *shorter))))
+
+    return _with(words(text), of)
+
+
 def item_sketches(items: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE_WORDS) -> DataFrame:
     """Rows (item_key, n_item, need, h): the sketch values of each item.
 
@@ -74,8 +100,8 @@ def contained_items(
     """Pairs (doc_id, text_hash, item_id, n_item, n_found, containment) with containment of at least ``threshold``.
 
     Containment is the share of an item's distinct shingles that the document
-    has. An item of fewer words than a shingle is one shingle, found in
-    documents that consist of just its words. Null and empty texts and items
+    has. An item of fewer words than a shingle is one shingle, found wherever
+    these words follow each other. Null and empty texts and items
     contain nothing and are in nothing. Repeated rows give one pair; rows that
     share an id but not a text are told apart by ``text_hash``. Null ids stay
     null. Other columns are ignored.
@@ -86,14 +112,17 @@ def contained_items(
     sketches = materialize(item_sketches(wanted, threshold, shingle), "sketches")
     probes = bounded_broadcast(sketches, sketches.count(), broadcast_rows)
 
-    shingled = named.select("doc_id", "text_hash", F.explode(shingle_hashes(F.col("text"), shingle)).alias("h"))
+    lengths = wanted.select(F.size(words(F.col("text"))).alias("n")).where((F.col("n") > 0) & (F.col("n") < shingle)).distinct()
+    shorter = tuple(sorted(r.n for r in lengths.collect()))  # fewer than the words of a shingle
+
+    shingled = named.select("doc_id", "text_hash", F.explode(document_hashes(F.col("text"), shingle, shorter)).alias("h"))
     candidates = materialize(shingled.join(probes, "h").select("doc_id", "text_hash", "item_key", "n_item", "need").distinct(), "candidates")
 
     exact_items = wanted.select("item_key", "item_id", F.explode(shingle_texts(F.col("text"), shingle)).alias("shingle"))
     exact_items = materialize(exact_items, "item-shingles")
     of_items = bounded_broadcast(exact_items, exact_items.count(), broadcast_rows)
     texts = named.join(candidates.select(F.col("doc_id").alias("c_id"), F.col("text_hash").alias("c_hash")).distinct(), F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("text_hash") == F.col("c_hash")), "left_semi").distinct()
-    theirs = texts.select("doc_id", "text_hash", F.explode(shingle_texts(F.col("text"), shingle)).alias("shingle"))
+    theirs = texts.select("doc_id", "text_hash", F.explode(document_texts(F.col("text"), shingle, shorter)).alias("shingle"))
     found = theirs.join(of_items, "shingle").groupBy("doc_id", "text_hash", "item_key", "item_id").agg(F.count(F.lit(1)).alias("n_found"))
     c = candidates.select(F.col("doc_id").alias("c_id"), F.col("text_hash").alias("c_hash"), F.col("item_key").alias("c_item"), "n_item", "need")
     verified = found.join(c, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("text_hash") == F.col("c_hash")) & (F.col("item_key") == F.col("c_item"))).where("n_found >= need")

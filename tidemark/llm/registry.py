@@ -11,14 +11,19 @@ from . import ctw, decontaminate, divergence, embedding_dedup, periodic_runs, pi
 from .common import fold_remainder, new_path, table
 
 
-#: Sites whose pages make up the list of op1.
-SPAM_SITES = r"://([^/?#]*\.)?(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\."
+#: Hosts, lower-cased, whose pages make up the list of op1.
+SPAM_HOSTS = r"^([^/]*\.)?(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\."
+
+
+def spam_pages(pages: DataFrame) -> DataFrame:
+    """The addresses whose host is that of a spam site, whatever else they mention."""
+    return pages.where(url_filter.host_and_path(F.col("url"))[0].rlike(SPAM_HOSTS)).select("url")
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The list holds the pages of the spam sites, which are then found under whatever address they are met."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return url_filter.judge(pages, pages.where(F.col("url").rlike(SPAM_SITES)).select("url"))
+    return url_filter.judge(pages, spam_pages(pages))
 
 
 OP1_SQL = r"""
@@ -28,7 +33,7 @@ c AS (SELECT *, regexp_replace(host, '^www\.', '') || regexp_replace(path, '(\.h
 rules(verdict, rule_host, rule_path) AS (VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('allow', 'net', '/de/'), ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')),
 fit AS (SELECT DISTINCT c.host, c.path, rule_host || rule_path AS rule, verdict FROM c JOIN rules ON (c.host = rule_host OR ends_with(c.host, '.' || rule_host)) AND starts_with(c.path, rule_path)),
 won AS (SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict FROM fit GROUP BY host, path),
-listed AS (SELECT DISTINCT canon FROM c WHERE regexp_matches(url, '://([^/?#]*\.)?(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.') AND canon <> '')
+listed AS (SELECT DISTINCT canon FROM c WHERE regexp_matches(host, '^([^/]*\.)?(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.') AND canon <> '')
 SELECT page_id, c.host, c.path, won.rule, coalesce(won.verdict, CASE WHEN l.canon IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, won.rule IS NULL AND l.canon IS NOT NULL AS listed
 FROM c LEFT JOIN won ON c.host = won.host AND c.path = won.path LEFT JOIN listed l ON c.canon = l.canon
 """
@@ -43,7 +48,8 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 OP2_SQL = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
 b AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM benchmark),
-ds AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(list_transform(range(1, greatest(1, len(w) - 4) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM d WHERE len(w) > 0)),
+k AS (SELECT DISTINCT least(5, len(w)) AS k FROM b WHERE len(w) > 0),
+ds AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s FROM d, k WHERE len(w) >= k)),
 bs AS (SELECT DISTINCT item_id, s FROM (SELECT item_id, unnest(list_transform(range(1, greatest(1, len(w) - 4) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM b WHERE len(w) > 0)),
 n AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY item_id),
 f AS (SELECT doc_id, item_id, count(*) AS n_found FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id)
