@@ -141,12 +141,25 @@ def digits_as_number(text: Column) -> Column:
     return F.regexp_replace(text, r"[^0-9]", "").try_cast("long")
 
 
+# Fixed value: date, hour, minute, second, fraction and zone of an ISO time, from the hour on optional.
+ISO_TIME = r"^(\d{4}-?\d{2}-?\d{2})(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?(Z|[+-]\d{2}(?::?\d{2})?)?)?$"
+
+
 def iso_time(text: Column) -> Column:
-    """ISO time in UTC, zone-less ones taken as UTC; null where unreadable. Whatever the session's zone is."""
+    """ISO time in UTC, zone-less ones taken as UTC; null where unreadable. Whatever the session's zone is.
+
+    Minutes, seconds and a fraction may be missing, and the separators of date,
+    time and zone; beyond microseconds a fraction is cut off.
+    """
     bare = F.trim(text)
-    zoned = bare.rlike(r"[T ][0-9:.]+\s*(Z|[+-][0-9]{2}:?[0-9]{2})$")
-    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.try_to_timestamp(bare).cast("timestamp_ntz"))
-    return F.when(zoned, utc).otherwise(bare.try_cast("timestamp_ntz"))
+    part = lambda k: F.regexp_extract(bare, ISO_TIME, k)
+    day = F.regexp_replace(part(1), r"^(\d{4})-?(\d{2})-?(\d{2})$", "$1-$2-$3")
+    clock = F.concat_ws(":", *(F.coalesce(F.nullif(part(k), F.lit("")), F.lit("00")) for k in (2, 3, 4)))
+    naive = F.concat(day, F.lit(" "), clock, F.lit("."), F.rpad(part(5), 6, "0")).try_cast("timestamp_ntz")
+    zone = F.regexp_replace(part(6), ":", "")
+    minutes = F.coalesce(F.substring(zone, 2, 2).try_cast("int"), F.lit(0)) * 60 + F.coalesce(F.substring(zone, 4, 2).try_cast("int"), F.lit(0))
+    offset = F.when(zone.startswith("-"), -minutes).otherwise(minutes)
+    return F.when((part(1) != "") & (F.abs(offset) < 24 * 60), F.timestamp_add("MINUTE", -offset, naive))
 
 
 def day_of(text: Column, pattern: str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import department_of_commune, department_of_label, department_of_postcode, folded_name, is_corsican_postcode, score_bucket, uri_class, zero_padded
@@ -149,10 +149,13 @@ def refused_hits(hits: DataFrame) -> DataFrame:
 
 
 def hits_of(rows: DataFrame, key: str, codes: Column, table: DataFrame, name: str) -> DataFrame:
-    """``rows`` with what an array of codes finds in ``table`` (code, nuts_code, nuts_label): ``name``_n regions, ``name``_first by place, ``name``_least by code."""
+    """``rows`` with what an array of codes finds in ``table`` (code, nuts_code, nuts_label): ``name``_n regions, ``name``_first by place, the least of several there, ``name``_least by code.
+
+    ``key`` has to tell the rows apart: rows that share one share what they find.
+    """
     opened = rows.select(F.col(key).alias("_key"), F.posexplode(codes).alias("_place", "_code"))
     region = F.struct("nuts_code", "nuts_label")
-    found = opened.join(table.select(F.col("code").alias("_code"), "nuts_code", "nuts_label"), "_code").where("nuts_code <> ''").groupBy("_key").agg(F.countDistinct("nuts_code").alias(f"{name}_n"), F.min_by(region, "_place").alias(f"{name}_first"), F.min(region).alias(f"{name}_least"))
+    found = opened.join(table.select(F.col("code").alias("_code"), "nuts_code", "nuts_label"), "_code").where("nuts_code <> ''").groupBy("_key").agg(F.countDistinct("nuts_code").alias(f"{name}_n"), F.min_by(region, F.struct("_place", region)).alias(f"{name}_first"), F.min(region).alias(f"{name}_least"))
     return rows.join(found, F.col(key) == F.col("_key"), "left").drop("_key").withColumn(f"{name}_n", F.coalesce(f"{name}_n", F.lit(0)))
 
 
@@ -357,8 +360,6 @@ def german_location(rows: DataFrame, key: str, towns: DataFrame) -> DataFrame:
 
 
 def _by_key():
-    from pyspark.sql import Window
-
     return Window.partitionBy("_key")
 
 
