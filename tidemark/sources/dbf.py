@@ -52,7 +52,8 @@ class DbfReader(DataSourceReader):
 
     def partitions(self) -> list[Range]:
         system, paths = _files(self.folder)
-        return [Range(p, k, min(k + self.records, n)) for p in paths for n in [Header(system, p).records] for k in range(0, n, self.records)]
+        # Of no records there is one range as well: a source without any is asked for the range None.
+        return [Range(p, k, min(k + self.records, n)) for p in paths for n in [Header(system, p).records] for k in range(0, max(n, 1), self.records)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         """The records of a range; a file that ends early ends the range, as a short record has no fields."""
