@@ -36,7 +36,7 @@ LABELS = ("O", *KINDS)
 K = len(LABELS)
 #: Labelled tokens come from the whole texts of at most this many different documents with candidates, chosen by hash.
 TRAINING_DOCS = 4000
-#: And from at most this many different cases (features, surroundings, label), the most frequent ones.
+#: And from at most this many different cases (features, surroundings, label), chosen by hash, each with how often it occurs.
 TRAINING_CASES = 6000
 #: Tokens on either side of a candidate that training sees, so that it knows how rare personal data is.
 TRAINING_AROUND = 12
@@ -368,8 +368,8 @@ CASE = ("bits", "before", "after", "chain_left", "chain_right", "votes", "label"
 def train(docs: DataFrame, text: str = "text", sample: int = TRAINING_DOCS, most: int = TRAINING_CASES) -> Model:
     """Fit on the whole texts of at most ``sample`` different documents, chosen by hash among those that have candidates.
 
-    Their cases are counted where the texts lie; the ``most`` frequent ones
-    travel to the driver. Null and empty texts have no candidates.
+    Their cases are counted where the texts lie; ``most`` of them, chosen by
+    hash so that rare ones teach as well, travel to the driver. Null and empty texts have no candidates.
     """
     hashed = docs.where(F.col(text).rlike("[0-9@+]")).select(F.xxhash64(text).alias("order"), F.col(text).alias("text"))
     last = hashed.select("order").distinct().orderBy("order").limit(sample).agg(F.max("order")).first()[0]
@@ -383,7 +383,7 @@ def train(docs: DataFrame, text: str = "text", sample: int = TRAINING_DOCS, most
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in found.T], names=CASE)
 
     counted = chosen.select("text").mapInArrow(rows, ", ".join(f"{c} long" for c in CASE)).groupBy(*CASE).agg(F.count(F.lit(1)).alias("times"))
-    found = counted.orderBy(F.desc("times"), *CASE).limit(most).collect()
+    found = counted.orderBy(F.xxhash64(*CASE), *CASE).limit(most).collect()
     return fit([tuple(r)[:-1] for r in found], [r["times"] for r in found])
 
 
