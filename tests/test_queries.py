@@ -9,7 +9,7 @@ import pytest
 from tidemark.plans import registry
 
 SF = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events documents".split()
+TABLES = "region nation customer supplier part orders lineitem events documents pages".split()
 QUERIES, ORACLE = registry.queries(), registry.oracle_sql()
 
 

@@ -56,6 +56,8 @@ ORDERS = {
     "mapping": ("source", "scope_id", "dimension", "mapping_status"),
     "requirement": ("source", "scope_id", "dimension", "-posting_count", "value_label", "value_code"),
     "frequency": ("source", "scope_id"),
+    "mapping_coverage": ("source", "scope_id", "dimension"),
+    "provenance": ("source", "scope_id"),
 }
 
 

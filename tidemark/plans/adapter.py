@@ -80,7 +80,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = band(k, ((60, "mapped"), (70, "unmapped"), (80, "not_present"), (90, "ambiguous")), "low_confidence")
     region = F.concat(F.lit("SE"), F.lpad((k % 30 + 100).cast("string"), 3, "0"))
     skills = F.when(k % 7 == 0, F.lit(None)).when(k % 7 == 1, F.array()).otherwise(F.array(k % 10, k % 13 + 10))
-    skill = F.transform(skills, lambda s: F.struct(F.concat(F.lit("urn:skill:"), s).alias("uri"), F.concat(F.lit("skill "), s).alias("label"), F.when(s % 3 == 0, "unmapped").when(s % 5 == 0, "not_present").otherwise("mapped").alias("status"), F.when(s % 2 == 0, "high").otherwise("low").alias("confidence"), F.lit("crosswalk").alias("method")))
+    skill = F.transform(skills, lambda s: F.struct(F.concat(F.lit("urn:skill:"), s).alias("uri"), F.concat(F.lit("skill "), s).alias("label"), F.when(s % 3 == 0, "unmapped").when(s % 5 == 0, "not_present").otherwise("mapped").alias("status"), F.when(s % 2 == 0, "high").otherwise("low").alias("confidence"), F.lit("crosswalk").alias("method"), F.lit("30").alias("jobtech_taxonomy_version"), F.lit("1.2.1").alias("esco_version")))
     return cells.select(
         F.lit("events").alias("source"), scope.alias("scope_id"), version.alias("key_version"),
         _sweep_id(scope, version, F.date_format("observed_at", "yyyy-MM-dd")).alias("sweep_id"), "observed_at", user.cast("string").alias("source_id"), "k", "number_of_vacancies", "removed_at",
@@ -162,8 +162,8 @@ CASE WHEN day(observed_at) <> 18 THEN observed_at + INTERVAL 1 HOUR END AS compl
     "sweeps": "SELECT * FROM manifests WHERE status = 'complete' AND completed_at IS NOT NULL AND completed_pages = expected_pages AND row_count = expected_rows",
     "labels": "SELECT nuts_code, min(nuts_label) AS nuts_label FROM (SELECT 'SE' || (n_nationkey + 100) AS nuts_code, n_name AS nuts_label FROM nation UNION ALL SELECT 'SE' || (n_nationkey + 100), 'A ' || n_name FROM nation) GROUP BY 1",
     "postings": "SELECT o.* EXCLUDE (nuts_label, key_version), coalesce(o.nuts_label, l.nuts_label) AS nuts_label, s.hmac_key_version FROM observed o JOIN sweeps s ON o.source = s.source AND o.scope_id = s.scope_id AND o.sweep_id = s.sweep_id AND o.observed_at = s.observed_at LEFT JOIN labels l ON o.nuts_code = l.nuts_code",
-    "skill_rows": "SELECT source, scope_id, sweep_id, source_id, esco_version, skill_ordinal, n FROM (SELECT *, k % 10 AS n, CAST(1 AS BIGINT) AS skill_ordinal FROM postings WHERE k % 7 > 1 UNION ALL SELECT *, k % 13 + 10, 2 FROM postings WHERE k % 7 > 1)",
-    "skills": "SELECT source, scope_id, sweep_id, source_id, skill_ordinal, 'urn:skill:' || n AS esco_skill_uri, 'skill ' || n AS esco_skill_label, CASE WHEN n % 3 = 0 THEN 'unmapped' WHEN n % 5 = 0 THEN 'not_present' ELSE 'mapped' END AS mapping_status, CASE WHEN n % 2 = 0 THEN 'high' ELSE 'low' END AS mapping_confidence, 'crosswalk' AS mapping_method, esco_version FROM skill_rows",
+    "skill_rows": "SELECT source, scope_id, sweep_id, source_id, hmac_key_version, observed_at, esco_version, skill_ordinal, n FROM (SELECT *, k % 10 AS n, CAST(1 AS BIGINT) AS skill_ordinal FROM postings WHERE k % 7 > 1 UNION ALL SELECT *, k % 13 + 10, 2 FROM postings WHERE k % 7 > 1)",
+    "skills": "SELECT source, scope_id, sweep_id, source_id, hmac_key_version, observed_at, '30' AS jobtech_taxonomy_version, skill_ordinal, 'urn:skill:' || n AS esco_skill_uri, 'skill ' || n AS esco_skill_label, CASE WHEN n % 3 = 0 THEN 'unmapped' WHEN n % 5 = 0 THEN 'not_present' ELSE 'mapped' END AS mapping_status, CASE WHEN n % 2 = 0 THEN 'high' ELSE 'low' END AS mapping_confidence, 'crosswalk' AS mapping_method, esco_version FROM skill_rows",
     "latest": "SELECT * FROM sweeps QUALIFY row_number() OVER (PARTITION BY source, scope_id ORDER BY observed_at DESC, completed_at DESC, sweep_id DESC) = 1",
     "seen": "SELECT source, scope_id, hmac_key_version, source_id, max(observed_at) AS last_seen_at, arg_max(sweep_id, observed_at) AS last_seen_sweep_id, min(removed_at) AS removed_at FROM postings GROUP BY 1, 2, 3, 4",
     "closures": """SELECT p.source, p.scope_id, p.hmac_key_version, p.source_id, CASE WHEN p.removed_at IS NOT NULL THEN p.last_seen_sweep_id ELSE arg_min(s.sweep_id, s.observed_at) END AS sweep_id, coalesce(p.removed_at, min(s.observed_at)) AS event_at, 'closure' AS event_type, CASE WHEN p.removed_at IS NOT NULL THEN 'source_reported' ELSE 'inferred_absence' END AS event_basis

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import evaluate, insights, serving
@@ -152,7 +155,27 @@ def collision_census(spark, sf_dir):
     return evaluate.collision_census(candidates, candidates.where("concept LIKE '%STEEL%' OR concept LIKE '%a%'").select("concept"))
 
 
+def served_orders(spark, sf_dir):
+    """The place of each row of six served tables, counted by source."""
+    m = model(spark, sf_dir)
+    marts = m.marts()
+    tables = {
+        "coverage": (serving.latest_coverage(marts["coverage"]), "sweep_id"), "breadth": (M.region_breadth(marts["demand"], m.latest, m.labels), "country"), "frequency": (M.collection_frequency(m.sweeps), "scope_id"),
+        "mapping": (serving.outcomes_by_status(marts["quality"]), "mapping_status"), "mapping_coverage": (marts["mapped"], "dimension"), "provenance": (m.latest, "sweep_id"),
+    }
+    placed = [serving.places(table, name, ["source"]).select(F.lit(name).alias("table_name"), *SCOPE, F.col(detail).alias("detail"), "place") for name, (table, detail) in tables.items()]
+    return reduce(DataFrame.unionByName, placed)
+
+
+#: Table, detail and order, as the SQL has them.
+SERVED = (
+    ("coverage", "sweep_id", "(SELECT * FROM coverage QUALIFY row_number() OVER (PARTITION BY source, scope_id ORDER BY observed_at DESC, sweep_id DESC) = 1)", "scope_id, country, observed_at DESC"), ("breadth", "country", mart("region_breadth"), "scope_id"), ("frequency", "scope_id", mart("collection_frequency"), "scope_id"),
+    ("mapping", "mapping_status", f"(SELECT source, scope_id, dimension, mapping_status FROM {mart('mapping_quality')} GROUP BY ALL)", "scope_id, dimension, mapping_status"), ("mapping_coverage", "dimension", mart("mapping_coverage"), "scope_id, dimension"), ("provenance", "sweep_id", "latest", "scope_id"),
+)
+SERVED_SQL = with_ctes(" UNION ALL ".join(f"SELECT '{name}' AS table_name, source, scope_id, {detail} AS detail, row_number() OVER (PARTITION BY source ORDER BY {order}) AS place FROM {table} x" for name, detail, table, order in SERVED))
+
 QUERIES = {
+    "served_orders": (served_orders, SERVED_SQL),
     "findings": (findings, FINDINGS_SQL),
     "newest_pair": (newest_pair, with_ctes(f"SELECT source, scope_id, bucket_start, openings, closures, active_postings, older, before, apart AS days_apart FROM {PAIR}", FLOWS)),
     "stock_direction": (stock_direction, with_ctes("SELECT source, scope_id, a AS first_stock, b AS last_stock, CASE WHEN b > a THEN 'rising' WHEN b < a THEN 'falling' ELSE 'flat' END AS direction FROM (SELECT source, scope_id, count(*) AS n, arg_min(active_postings, bucket_start) AS a, arg_max(active_postings, bucket_start) AS b FROM flows WHERE grain = 'day' AND active_postings IS NOT NULL GROUP BY 1, 2) WHERE n >= 2", FLOWS)),

@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 
+from pyspark.sql import functions as F
+
 from ..operators import events as E
 from ..operators import marts as M
+from ..operators import staging as S
 from .adapter import flows_sql, model, with_ctes
 
 SWEEP_COLUMNS = ["source", "scope_id", "sweep_id", "hmac_key_version", "observed_at", "completed_at", "row_count", "status", "expected_country", "freshness_threshold_hours", "coverage_limitations"]
 SWEEPS = ", ".join(SWEEP_COLUMNS)
 POSTING_COLUMNS = ["source", "scope_id", "sweep_id", "hmac_key_version", "source_id", "observed_at", "number_of_vacancies", "removed_at", "country", "nuts_code", "nuts_label", "region_mapping_status", "esco_occupation_uri", "duration_label"]
 
-
-
+SKILLS_SQL = "SELECT source, scope_id, sweep_id, source_id, hmac_key_version, observed_at, skill_ordinal, esco_skill_uri, esco_skill_label, mapping_status, mapping_confidence, mapping_method, jobtech_taxonomy_version, esco_version FROM skills"
 
 QUERIES = {
     "admitted_sweeps": (lambda m: m.sweeps.select(*SWEEP_COLUMNS), f"SELECT {SWEEPS} FROM sweeps"),
     "postings_staged": (lambda m: m.postings.select(*POSTING_COLUMNS), f"SELECT {', '.join(POSTING_COLUMNS)} FROM postings"),
     "nuts_labels_min": (lambda m: m.labels, "SELECT nuts_code, nuts_label FROM labels"),
-    "skill_unnest": (lambda m: m.skills, "SELECT source, scope_id, sweep_id, source_id, skill_ordinal, esco_skill_uri, esco_skill_label, mapping_status, mapping_confidence, mapping_method, esco_version FROM skills"),
+    "skill_unnest": (lambda m: m.skills, SKILLS_SQL),
+    "skill_unnest_text": (lambda m: S.skill_mappings(m.postings.withColumn("skill_mappings", F.to_json("skill_mappings"))), SKILLS_SQL),
     "posting_events": (lambda m: E.posting_events(m.postings, m.sweeps), "SELECT * FROM posting_events"),
     "posting_lifecycle": (lambda m: m.lifecycle(), "SELECT * FROM lifecycle"),
     "closure_direct": (lambda m: E.closures_direct(m.postings, m.sweeps), "SELECT * FROM closures"),

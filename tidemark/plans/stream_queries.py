@@ -15,6 +15,8 @@ from .adapter import FLOW_PARTS, model, read, stock_cte, with_ctes
 #: Days of the month that part the arrivals of streams and polls.
 CUTS = (11, 21)
 DELAY_DAYS = 2
+#: Partitions of the streams' state; the tables here have few scopes.
+STATES = 8
 
 
 def _arrivals(rows: DataFrame, part, path: str) -> None:
@@ -32,7 +34,7 @@ def closures_as_sweeps_arrive(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name in ("postings", "sweeps"):
             spark.read.parquet(f"{path}/{name}").where(F.col("part") == part).drop("part").write.mode("append").parquet(f"{path}/arrived/{name}")
         stream = [spark.readStream.schema(spark.read.parquet(f"{path}/{n}").drop("part").schema).parquet(f"{path}/arrived/{n}") for n in ("postings", "sweeps")]
-        closures.run(closures.closure_changes(*stream, buckets=4), f"{path}/store")
+        closures.run(closures.closure_changes(*stream, buckets=4), f"{path}/store", STATES)
     return closures.closures(spark, f"{path}/store")
 
 
@@ -44,7 +46,7 @@ def flows_as_time_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrivals = [events.where(day < CUTS[0]), events.where((day >= CUTS[0]) & (day < CUTS[1])), events.where(day >= CUTS[1]), events.where(day < 5)]
     for arrival in arrivals:
         arrival.write.mode("append").parquet(f"{path}/arrived")
-        buckets.run(buckets.flows(spark.readStream.schema(events.schema).parquet(f"{path}/arrived"), f"{DELAY_DAYS} days"), f"{path}/store")
+        buckets.run(buckets.flows(spark.readStream.schema(events.schema).parquet(f"{path}/arrived"), f"{DELAY_DAYS} days"), f"{path}/store", STATES)
     return buckets.finished_flows(spark, f"{path}/store")
 
 

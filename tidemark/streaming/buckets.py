@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.marts import GRAINS, SCOPE, masked_flows
-from .closures import NEVER, ROCKSDB
+from .closures import NEVER
+from .state import state_on_disk
 
 KEYS = [*SCOPE, "grain", "bucket_start", "bucket_end"]
 FLOWS = "source string, scope_id string, grain string, bucket_start timestamp, bucket_end timestamp, o bigint, c bigint, s bigint, v bigint"
@@ -85,15 +86,10 @@ def flows(events: DataFrame, delay: str) -> DataFrame:
     return told.groupBy(*KEYS).transformWithStateInPandas(Bucket(), FLOWS, "Append", "EventTime")
 
 
-def run(finished: DataFrame, store: str) -> None:
+def run(finished: DataFrame, store: str, partitions: int | None = None) -> None:
     """Add the buckets that what is there finishes to ``store``."""
-    spark = finished.sparkSession
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    try:
+    with state_on_disk(finished.sparkSession, partitions):
         query = finished.writeStream.format("parquet").option("path", f"{store}/flows").option("checkpointLocation", f"{store}/checkpoint").trigger(availableNow=True).start()
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before) if before else spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     query.awaitTermination()
 
 

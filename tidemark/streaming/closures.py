@@ -21,12 +21,12 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.events import CALENDAR
 from ..operators.staging import IDENTITY
+from .state import state_on_disk
 
 #: Buckets of postings of a scope; each keeps the scope's calendar.
 BUCKETS = 16
 #: Stands for a time that is not there.
 NEVER = -(1 << 63)
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 CHANGES = "source string, scope_id string, hmac_key_version string, source_id string, closed boolean, sweep_id string, event_at bigint, event_basis string"
 
 
@@ -144,19 +144,14 @@ def closure_changes(postings: DataFrame, sweeps: DataFrame, buckets: int = BUCKE
     return seen.unionByName(held).groupBy(*CALENDAR, "bucket").transformWithStateInPandas(Closing(), CHANGES, "Update", "None")
 
 
-def run(changes: DataFrame, store: str) -> None:
+def run(changes: DataFrame, store: str, partitions: int | None = None) -> None:
     """Take in what is there: the changes of batch n are written, or written again, as batch=n under ``store``."""
-    spark = changes.sparkSession
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
 
     def put(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{store}/changes/batch={number}")
 
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    try:
+    with state_on_disk(changes.sparkSession, partitions):
         query = changes.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", f"{store}/checkpoint").trigger(availableNow=True).start()
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before) if before else spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     query.awaitTermination()
 
 
