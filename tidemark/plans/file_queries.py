@@ -147,12 +147,13 @@ PAYLOAD_SQL = with_ctes(
 
 
 def csv_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts as quoted CSV, with quotes, commas and line ends inside, read again."""
+    """Parts as quoted CSV, with quotes and commas inside, read again, and the lines that do not end in CRLF."""
     path = new_path(spark, "csv")
-    rows = read(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit('a "quoted", '), "p_name", F.lit("\nline")).alias("name"))
-    writers.write_csv(rows, path)
-    found = spark.read.option("header", True).option("multiLine", True).option("escape", "\\").csv(path)
-    return found.select(F.col("p_partkey").cast("long").alias("p_partkey"), F.col("name"))
+    rows = read(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit('a "quoted", '), "p_name", F.lit(" ")).alias("name"))
+    path = writers.write_csv(rows, path, "survey-2024")
+    found = spark.read.option("header", True).option("escape", "\\").option("ignoreTrailingWhiteSpace", False).csv(path.removesuffix("survey-2024") + "*2024")
+    lines = spark.read.option("lineSep", "\n").text(path).agg(F.count_if(~F.col("value").endswith("\r")).alias("unended"))
+    return found.select(F.col("p_partkey").cast("long").alias("p_partkey"), F.col("name")).crossJoin(lines)
 
 
 QUERIES = {
@@ -167,7 +168,7 @@ QUERIES = {
     "search_states": (search_states, "SELECT c_custkey, CASE WHEN c_custkey % 3 > 0 THEN c_custkey * 7 END AS total, CASE WHEN c_custkey % 4 > 0 THEN c_mktsegment END AS place, 'UMKREIS' AS mode FROM customer"),
     "streamed_lines": (streamed_lines, "SELECT event_type, count(*) AS n FROM events WHERE event_id % 13 > 0 AND event_id % 17 > 0 GROUP BY 1 UNION ALL SELECT 'malformed', count(*) FROM events WHERE event_id % 13 = 0"),
     "exported_payload": (exported_payload, PAYLOAD_SQL),
-    "csv_copy": (csv_copy, "SELECT p_partkey, 'a \"quoted\", ' || p_name || chr(10) || 'line' AS name FROM part"),
+    "csv_copy": (csv_copy, "SELECT p_partkey, 'a \"quoted\", ' || p_name || ' ' AS name, 0 AS unended FROM part"),
 }
 
 

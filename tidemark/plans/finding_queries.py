@@ -155,6 +155,22 @@ def collision_census(spark, sf_dir):
     return evaluate.collision_census(candidates, candidates.where("concept LIKE '%STEEL%' OR concept LIKE '%a%'").select("concept"))
 
 
+def quiet_findings(spark, sf_dir):
+    """The two findings that the model itself gives no cause for: scopes with one basis of closure, and sources that tell nothing on skills."""
+    m = model(spark, sf_dir)
+    silent = (F.col("dimension") == "skill") & F.col("scope_id").isin("click", "view")
+    mapped = m.marts()["mapped"].withColumn("postings_with_source_value", F.when(silent, 0).otherwise(F.col("postings_with_source_value")))
+    closed = M.posting_survival(m.lifecycle().where("lifecycle_status = 'inferred_absence'"))
+    return insights.every([insights.median_duration(closed), insights.empty_by_construction(mapped)]).select("source", "scope_id", "section", "rule", "text")
+
+
+QUIET_SQL = with_ctes(
+    f"""SELECT source, scope_id, 'survival' AS section, 'median_duration' AS rule, format('The median observed duration is {{:.1f}} days across the {{:,}} closed posting(s); postings still open are right-censored and are excluded.', q, n) AS text
+FROM (SELECT source, scope_id, count(*) AS n, CAST(quantile_cont(posting_duration_days, 0.5) AS DOUBLE) AS q FROM lifecycle WHERE lifecycle_status = 'inferred_absence' GROUP BY 1, 2) WHERE n >= 5
+UNION ALL SELECT source, scope_id, 'coverage', 'empty_by_construction', 'The source tells nothing on skill.' FROM {mart("mapping_coverage")} WHERE dimension = 'skill' AND scope_id IN ('click', 'view') AND postings_total > 0"""
+)
+
+
 def served_orders(spark, sf_dir):
     """The place of each row of six served tables, counted by source."""
     m = model(spark, sf_dir)
@@ -175,6 +191,7 @@ SERVED = (
 SERVED_SQL = with_ctes(" UNION ALL ".join(f"SELECT '{name}' AS table_name, source, scope_id, {detail} AS detail, row_number() OVER (PARTITION BY source ORDER BY {order}) AS place FROM {table} x" for name, detail, table, order in SERVED))
 
 QUERIES = {
+    "quiet_findings": (quiet_findings, QUIET_SQL),
     "served_orders": (served_orders, SERVED_SQL),
     "findings": (findings, FINDINGS_SQL),
     "newest_pair": (newest_pair, with_ctes(f"SELECT source, scope_id, bucket_start, openings, closures, active_postings, older, before, apart AS days_apart FROM {PAIR}", FLOWS)),

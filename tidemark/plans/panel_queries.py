@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import crosswalk, frontier, panel
+from ..sources.storage import file_state, written
 from .adapter import model, read, with_ctes
 from .cases import dealt, dealt_sql
 
@@ -61,13 +63,20 @@ def sql(query: str) -> str:
     return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in CTES.items()) + "\n" + query
 
 
+_candidates: dict[tuple, DataFrame] = {}
+
+
 def panel_candidates(spark, sf_dir):
-    return panel.panel_candidates(reference(spark, sf_dir))
+    """Written once for each state of the tables: panels, hashes and evidence all start from them."""
+    key = (spark.sparkContext.applicationId, sf_dir, *(file_state(spark, f"{sf_dir}/{t}.parquet") for t in ("customer", "nation")))
+    if key not in _candidates:
+        _candidates[key] = written(panel.panel_candidates(reference(spark, sf_dir)), "candidates")
+    return _candidates[key]
 
 
 def rule_panel(spark, sf_dir):
     ref = reference(spark, sf_dir)
-    return panel.rule_panel(panel.panel_candidates(ref), ref.where("source_type = 'kreis'").select("nuts_code", "nuts_label", "kreis_name"))
+    return panel.rule_panel(panel_candidates(spark, sf_dir), ref.where("source_type = 'kreis'").select("nuts_code", "nuts_label", "kreis_name"))
 
 
 def panel_hash(spark, sf_dir):

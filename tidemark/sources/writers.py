@@ -66,8 +66,11 @@ def write_sorted(rows: DataFrame, path: str, by: str = "source_id") -> None:
     rows.repartitionByRange(1, by).sortWithinPartitions(by).write.mode("overwrite").json(path)
 
 
-def write_csv(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").option("header", True).option("quoteAll", True).csv(path)
+def write_csv(rows: DataFrame, path: str, methodology: str | None = None) -> str:
+    """Quoted CSV with a header and lines that end in CRLF; the folder, whose name tells the ``methodology``."""
+    path = path if methodology is None else f"{path}-{methodology}"
+    rows.write.mode("overwrite").option("header", True).option("quoteAll", True).option("lineSep", "\r\n").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return path
 
 
 def region_stats(rows: DataFrame) -> DataFrame:
