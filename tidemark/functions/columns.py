@@ -205,11 +205,6 @@ def department_of_label(label: Column) -> Column:
     return F.upper(F.nullif(F.regexp_extract(label, r"^\s*(9[0-9]{2}|2[AB]|[0-9]{2})\s*-", 1), F.lit("")))
 
 
-def department(commune: Column, postcode: Column, label: Column) -> Column:
-    """French département from a commune code, else a postcode, else the label."""
-    return F.coalesce(department_of_commune(commune), department_of_postcode(postcode), department_of_label(label))
-
-
 def content_range_total(header: Column) -> Column:
     """The total that a ``Content-Range`` of offers states; null where it is malformed."""
     return F.regexp_extract(header, r"^\s*offres\s+(\d+)-(\d+)/(\d+)\s*$", 3).try_cast("long")

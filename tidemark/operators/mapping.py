@@ -378,13 +378,6 @@ def segment_provenance(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.select(*(F.when(taken, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in rows.columns))
 
 
-def one_of_many(codes: Column) -> tuple[Column, Column]:
-    """(code, status) of an array of region codes: one is mapped, several are ambiguous with the least code, none is unmapped."""
-    kept = F.array_sort(F.array_distinct(F.array_compact(codes)))
-    n = F.coalesce(F.size(kept), F.lit(0))
-    return F.when(n > 0, F.get(kept, F.lit(0))), F.when(n == 1, "mapped").when(n > 1, "ambiguous").otherwise("unmapped")
-
-
 def postcode_regions(crosswalk: DataFrame) -> DataFrame:
     """Status of each postcode: one region is mapped, several are ambiguous."""
     found = crosswalk.groupBy("postcode").agg(F.countDistinct("nuts_code").alias("n"), F.min("nuts_code").alias("first"))
