@@ -77,3 +77,19 @@ def test_allowlist_pseudonyms_and_exports(spark, tmp_path):
     assert spark.read.option("header", True).csv(f"{tmp_path}/csv").count() == spark.read.parquet(f"{tmp_path}/table").count() == 2
     told = writers.payload({"demand": rows.select("source", "source_id"), "names": rows.select("source", "employer")}, ["source"]).first()
     assert json.loads(told.payload)["demand"] == ['{"source_id":"a"}', '{"source_id":"b"}']
+
+
+@pytest.mark.parametrize("split", ["4k", "1m"])
+def test_places_of_lines_in_files_that_are_split(spark, tmp_path, split):
+    rows = spark.range(3000).select(F.format_string("%05d", 2999 - F.col("id")).alias("source_id"))
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        writers.write_sorted(rows, f"{tmp_path}/sorted")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        found = sorted((r.place, json.loads(r.value)["source_id"]) for r in readers.numbered_lines(spark, f"{tmp_path}/sorted").collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert found == [(k, f"{k:05d}") for k in range(3000)]
+    assert len(list((tmp_path / "sorted").glob("part-*"))) == 4

@@ -73,11 +73,11 @@ PARQUET_SQL = with_ctes("SELECT scope_id, sweep_id, source_id, CASE WHEN k % 7 =
 
 
 def closure_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Closures as a side file sorted by posting, with the place of each line."""
+    """Closures as side files sorted by posting, with the place of each line."""
     m, path = model(spark, sf_dir), new_path(spark, "closed")
     closed = events.closures(m.postings, m.sweeps).select(F.concat_ws("/", "scope_id", "hmac_key_version", "source_id").alias("source_id"), F.date_format("event_at", "yyyy-MM-dd HH:mm:ss").alias("event_at"))
     writers.write_sorted(closed, path)
-    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("place"), F.from_json("value", "source_id string, event_at string").alias("r"))
+    lines = readers.numbered_lines(spark, path).select("place", F.from_json("value", "source_id string, event_at string").alias("r"))
     return lines.select("place", "r.*")
 
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .storage import placed, written
+
 TIMES = ("observed_at", "started_at", "completed_at")
 #: Columns of a sweep's manifest; times are text until they are cast.
 MANIFEST = (
@@ -66,6 +68,14 @@ def lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataF
     return good, held.agg(F.count_if(F.col(f"row.{CORRUPT}").isNotNull()).alias("malformed"))
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value, place) of the lines below ``path``: numbered from 0 in the order of the files' names, however the files are split and dealt to tasks."""
+    told = F.col("_metadata")
+    split = [told["file_path"].alias("_file"), told["file_block_start"].alias("_start")]
+    held = written(spark.read.text(path).select("value", *split, F.monotonically_increasing_id().alias("_at")), "lines")
+    return placed(held, ["_file", "_start"])[0]
+
+
 def dump_items(spark: SparkSession, path: str, field: str, item: str) -> DataFrame:
     """Items of the array ``field`` of one JSON document a file."""
     return spark.read.schema(f"{field} array<{item}>").option("multiLine", True).json(path).select(F.explode(field).alias("item")).select("item.*")

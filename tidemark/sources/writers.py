@@ -62,8 +62,8 @@ def write_parquet(rows: DataFrame, path: str) -> None:
 
 
 def write_sorted(rows: DataFrame, path: str, by: str = "source_id") -> None:
-    """A side file (expiry dates, closures) in one file, sorted by id; it has one short row a posting that changed."""
-    rows.repartitionByRange(1, by).sortWithinPartitions(by).write.mode("overwrite").json(path)
+    """A side table (expiry dates, closures) sorted by id: a file a range of ids, their names in the order of the ranges."""
+    rows.repartitionByRange(by).sortWithinPartitions(by).write.mode("overwrite").json(path)
 
 
 def write_csv(rows: DataFrame, path: str, methodology: str | None = None) -> str:
