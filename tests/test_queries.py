@@ -48,3 +48,15 @@ def test_matches_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_runs_without_sql(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
+
+
+def test_postcodes_longer_than_five_digits_stay_whole(spark, tmp_path):
+    """More customers than a postcode of five digits has numbers."""
+    customers = [(k, k % 25) for k in (0, 7, 12345, 99999, 100000, 1234567)]
+    spark.createDataFrame(customers, "c_custkey long, c_nationkey int").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.read.parquet(f"{SF}/nation.parquet").write.parquet(f"{tmp_path}/nation.parquet")
+    connection = duckdb.connect()
+    for name in ("customer", "nation"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    found, wanted = QUERIES["three_way_crosswalk"](spark, str(tmp_path)), connection.execute(ORACLE["three_way_crosswalk"])
+    assert rows(found.columns, found.collect()) == rows([c[0] for c in wanted.description], wanted.fetchall())

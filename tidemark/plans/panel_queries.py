@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import zero_padded
 from ..operators import crosswalk, frontier, panel
 from ..sources.storage import file_state, written
 from .adapter import model, read, with_ctes
@@ -267,7 +268,7 @@ def three_way_crosswalk(spark, sf_dir):
     c, n = read(spark, sf_dir, "customer"), read(spark, sf_dir, "nation")
     key = F.concat(F.lpad(F.col("c_nationkey").cast("string"), 5, "0"), F.lpad((F.col("c_custkey") % 7).cast("string"), 3, "0"))
     towns = c.select(key.alias("key"), F.concat(F.lit("t"), key).alias("name")).distinct()
-    codes = c.select(F.lpad(F.col("c_custkey").cast("string"), 5, "0").alias("postcode"), key.alias("key"))
+    codes = c.select(zero_padded(F.col("c_custkey").cast("string"), 5).alias("postcode"), key.alias("key"))
     return crosswalk.three_way(towns, codes, n.where("n_nationkey <> 4").select(F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("district"), _nuts("n_nationkey").alias("nuts_code"), F.col("n_name").alias("name")))
 
 
