@@ -119,6 +119,23 @@ def test_positions_of_a_feed(spark):
     assert feed.Pages(f"{path}-none").get("/feed/0") is None
 
 
+def test_tasks_of_a_long_feed_take_many_pages(spark, monkeypatch):
+    """1,500 pages in six files: as many tasks as there are shelves and shares of them, and what they read is every item once."""
+    path = new_path(spark, "feed").removeprefix("file://")
+    feed.record_pages(items(spark, 2999), [F.col("id")], 2, f"file://{path}")
+    reader, opened = feed.FeedReader(path, "/feed/0"), []
+    read = feed.Pages._read
+    monkeypatch.setattr(feed.Pages, "_read", lambda self, shelf, columns, **more: opened.append(shelf) or read(self, shelf, columns, **more))
+    end = reader.latestOffset()
+    assert (end["page"], end["items"]) == ("/feed/1499", 1) and len(opened) == 6
+    tasks = reader.partitions({**feed.START, "page": "/feed/9", "tag": "changed", "items": 1}, end)
+    assert len(tasks) <= feed.TASKS + 6 and [p for t in tasks for p in t.pages] == [("/feed/9", 1, 2), *((f"/feed/{k}", 0, 2) for k in range(10, 1499)), ("/feed/1499", 0, 1)]
+    found = [row for t in tasks for batch in reader.read(t) for row in zip(*batch.to_pydict().values(), strict=True)]
+    assert found == [(f"/feed/{k // 2}", k % 2, f"item {k}") for k in range(19, 2999)]
+    with pytest.raises(OSError, match="/feed/3 was there"):
+        list(reader.read(feed.PageRange([("/feed/2", 0, 2), ("/feed/3", 0, 9)])))
+
+
 MANIFEST = {"source": "s", "scope_id": "a", "sweep_id": "1"}
 
 
