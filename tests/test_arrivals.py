@@ -6,6 +6,7 @@ import json
 import os
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -180,3 +181,40 @@ def test_sweeps_without_rows_or_with_bad_ids(spark):
         with pytest.raises(ValueError, match="missing or repeated"):
             commit.write_sweep(bad, MANIFEST, f"{path}-bad", 10)
         assert not os.path.exists(f"{path}-bad/pages")
+
+
+class Kept:
+    """A value of the state that counts how often it is asked."""
+
+    def __init__(self):
+        self.value, self.calls = None, 0
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+
+def test_what_closures_ask_of_the_state_does_not_grow_with_postings():
+    states = {}
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return states.setdefault(name, Kept())
+
+    closing = closures.Closing()
+    closing.init(Handle())
+    batch = lambda ids, at: pd.DataFrame({"source_id": pd.Series([*ids, None], dtype=object), "at": at, "sweep_id": f"s{at}", "removed_at": closures.NEVER})
+    told = []
+    for at, n in ((1, 5000), (2, 4000), (3, 4500)):
+        told.append(pd.concat(closing.handleInputRows(("s", "a", "v1", 0), iter([batch([f"p{k}" for k in range(n)], at)]), None)))
+    assert sum(s.calls for s in states.values()) <= 4 * 3
+    assert [(len(t), int(t["closed"].sum())) for t in told] == [(0, 0), (1000, 1000), (500, 0)]
+    again = told[2].set_index("source_id")
+    assert tuple(again.loc["p4200", ["closed", "sweep_id", "event_at", "event_basis"]]) == (False, None, closures.NEVER, None)

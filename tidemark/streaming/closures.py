@@ -3,18 +3,20 @@
 What can close a posting is the next complete sweep of its scope, not the
 passing of time, so no watermark applies. The state is keyed by the sweeps'
 calendar (source, scope, key version) and a bucket of postings, so that a scope
-with most postings is spread; it holds the calendar, the last sighting of every
-posting and its closure, and which postings are open. A sweep that comes in
-order looks at the open ones only; one that comes late also at the closed ones.
+with most postings is spread; it holds the calendar and, as one table, the last
+sighting and closure of the bucket's postings. A batch reads and writes each
+bucket that it touches once and works on its columns, so what it asks of the
+state grows with buckets and not with postings; a task holds one bucket.
 Changes are written batch by batch; the last change of a posting holds.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -38,97 +40,95 @@ def _time(micros: Column) -> Column:
     return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
+SEEN = pa.schema([("source_id", pa.string()), ("last_at", pa.int64()), ("last_sweep", pa.string()), ("removed_at", pa.int64()), ("next_at", pa.int64()), ("next_sweep", pa.string())])
+
+
 class Closing(StatefulProcessor):
     """One bucket of a scope: rows (source_id, at, sweep_id, removed_at) are sightings, those without a source_id are sweeps."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.calendar = handle.getValueState("calendar", "times array<bigint>, sweeps array<string>")
-        self.seen = handle.getMapState("seen", "source_id string", "last_at bigint, last_sweep string, removed_at bigint, next_at bigint, next_sweep string")
-        self.open = handle.getMapState("open", "source_id string", "last_at bigint")
+        self.seen = handle.getValueState("seen", "held binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        sighted, told = self._gathered(rows)
-        times, sweeps, fresh, until = self._noted(told)
-
-        def following(last_at: int) -> tuple:
-            k = bisect_right(times, last_at)
-            return (times[k], sweeps[k]) if k < len(times) else (NEVER, None)
-
-        changed = {}
-        for name, (last, removed) in sighted.items():
-            old = self.seen.getValue((name,)) if self.seen.containsKey((name,)) else None
-            if old is not None:
-                last, removed = max(last, (old[0], old[1])), _earlier(removed, old[2])
-            changed[name] = (old, (*last, removed, *following(last[0])))
-        if fresh:
-            waiting = [k[0] for k, v in self.open.iterator() if v[0] < fresh[-1] and k[0] not in sighted]
-            for name in waiting:
-                old = self.seen.getValue((name,))
-                changed[name] = (old, (*old[:3], *following(old[0])))
-            late = [t for t in fresh if t <= until]
-            if late:
-                for (name,), old in list(self.seen.iterator()):
-                    if name not in changed and any(old[0] < t <= old[3] for t in late):
-                        changed[name] = (old, (*old[:3], *following(old[0])))
-        out = []
-        for name, (old, new) in changed.items():
-            if old is not None and tuple(old) == new:
-                continue
-            self.seen.updateValue((name,), new)
-            if new[3] == NEVER:
-                self.open.updateValue((name,), (new[0],))
-            elif old is not None and old[3] == NEVER:
-                self.open.removeKey((name,))
-            before, after = _closure(old), _closure(new)
-            if before != after:
-                out.append((*key[:3], name, after is not None, *(after or (None, NEVER, None))))
-        yield pd.DataFrame(out, columns=[*CALENDAR, "source_id", "closed", "sweep_id", "event_at", "event_basis"])
-
-    def _gathered(self, rows: Iterator[pd.DataFrame]) -> tuple[dict, dict]:
-        """Last sighting and first removal of each posting, and the sweeps of each time, the least id first."""
-        sighted: dict[str, tuple] = {}
-        told: dict[int, str] = {}
-        for part in rows:
-            for name, at, sweep, removed in zip(part["source_id"], part["at"].tolist(), part["sweep_id"], part["removed_at"].tolist(), strict=True):
-                if name is None or name != name:
-                    told[at] = min(sweep, told.get(at, sweep))
-                elif name in sighted:
-                    last, gone = sighted[name]
-                    sighted[name] = (max(last, (at, sweep)), _earlier(gone, removed))
-                else:
-                    sighted[name] = ((at, sweep), removed)
-        return sighted, told
-
-    def _noted(self, told: dict[int, str]) -> tuple[list, list, list, int]:
-        """The calendar with the sweeps of ``told``, the times that are new in it or have a lesser id, and its end before."""
+        arrived = pd.concat(list(rows), ignore_index=True)
+        is_sweep = arrived["source_id"].isna()
+        times, sweeps = self._noted(arrived[is_sweep].groupby("at")["sweep_id"].min().to_dict())
+        old = self._seen()
+        new = _following(_sighted(old, arrived[~is_sweep]), times, sweeps)
+        if not new.equals(old):
+            self._keep(new)
+        yield _changes(key, _closures(old), _closures(new))
+
+    def _seen(self) -> pd.DataFrame:
+        if not self.seen.exists():
+            return SEEN.empty_table().to_pandas()
+        return pa.ipc.open_stream(bytes(self.seen.get()[0])).read_all().cast(SEEN).to_pandas()
+
+    def _keep(self, seen: pd.DataFrame) -> None:
+        table = pa.Table.from_pandas(seen, SEEN, preserve_index=False)
+        for k, name in ((2, "last_sweep"), (5, "next_sweep")):
+            table = table.set_column(k, name, table[name].dictionary_encode())
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, table.schema) as stream:
+            stream.write_table(table.combine_chunks())
+        self.seen.update((out.getvalue().to_pybytes(),))
+
+    def _noted(self, told: dict[int, str]) -> tuple[list, list]:
+        """The calendar with the sweeps of ``told``; of those at one time the least id counts."""
         known = self.calendar.get() if self.calendar.exists() else ([], [])
         calendar = dict(zip(known[0], known[1], strict=True))
-        until = max(calendar, default=NEVER)
-        fresh = sorted(t for t, s in told.items() if t not in calendar or s < calendar[t])
-        if fresh:
-            calendar.update((t, told[t]) for t in fresh)
+        fresh = {int(t): s for t, s in told.items() if t not in calendar or s < calendar[t]}
+        calendar |= fresh
         times = sorted(calendar)
         sweeps = [calendar[t] for t in times]
         if fresh:
             self.calendar.update((times, sweeps))
-        return times, sweeps, fresh, until
+        return times, sweeps
 
     def close(self) -> None:
         pass
 
 
-def _earlier(a: int, b: int) -> int:
-    return b if a == NEVER else a if b == NEVER else min(a, b)
-
-
-def _closure(row) -> tuple | None:
-    """(sweep, time, basis) of a posting's row: by the source's word, else by the next sweep."""
-    if row is None:
-        return None
-    _, last_sweep, removed, next_at, next_sweep = row
-    if removed != NEVER:
-        return last_sweep, removed, "source_reported"
-    return (next_sweep, next_at, "inferred_absence") if next_at != NEVER else None
+def _sighted(old: pd.DataFrame, sightings: pd.DataFrame) -> pd.DataFrame:
+    """Last sighting and first removal of each posting, the known ones in their places and the new ones behind them."""
+    names, ids = pd.factorize(pd.concat([old["source_id"], sightings["source_id"]], ignore_index=True))
+    at = np.concatenate([old["last_at"].to_numpy("int64"), sightings["at"].to_numpy("int64")])
+    sweep, sweep_ids = pd.factorize(pd.concat([old["last_sweep"], sightings["sweep_id"]], ignore_index=True), sort=True)
+    gone = np.concatenate([old["removed_at"].to_numpy("int64"), sightings["removed_at"].to_numpy("int64")])
+    order = np.lexsort((sweep, at, names))
+    last = order[np.append(np.flatnonzero(np.diff(names[order])), len(order) - 1)] if len(order) else order
+    first = np.full(len(ids), np.iinfo("int64").max)
+    told = gone != NEVER
+    np.minimum.at(first, names[told], gone[told])
+    known = np.zeros(len(ids), bool)
+    known[names[told]] = True
+    return pd.DataFrame({"source_id": np.asarray(ids, object), "last_at": at[last], "last_sweep": np.asarray(sweep_ids, object)[sweep[last]], "removed_at": np.where(known, first, NEVER)})
+
+
+def _following(seen: pd.DataFrame, times: list, sweeps: list) -> pd.DataFrame:
+    """``seen`` with the first sweep of the calendar after each last sighting."""
+    k = np.searchsorted(np.array(times, "int64"), seen["last_at"].to_numpy("int64"), "right")
+    return seen.assign(next_at=np.array([*times, NEVER], "int64")[k], next_sweep=np.array([*sweeps, None], object)[k])
+
+
+def _closures(seen: pd.DataFrame) -> pd.DataFrame:
+    """Whether each posting is closed, by which sweep, when and on what basis: by the source's word, else by the next sweep."""
+    reported, inferred = (seen["removed_at"] != NEVER).to_numpy(), (seen["next_at"] != NEVER).to_numpy()
+    return pd.DataFrame({
+        "source_id": seen["source_id"], "closed": reported | inferred, "sweep_id": np.where(reported, seen["last_sweep"], seen["next_sweep"]), "event_at": np.where(reported, seen["removed_at"], seen["next_at"]),
+        "event_basis": np.where(reported, "source_reported", np.where(inferred, np.array("inferred_absence", object), None)),
+    })
+
+
+def _changes(key: tuple, before: pd.DataFrame, after: pd.DataFrame) -> pd.DataFrame:
+    """Postings whose closure is another than before; those of ``before`` come first in ``after``, in the same places."""
+    changed = after["closed"].to_numpy(copy=True)
+    n = len(before)
+    differs = [before[c].fillna("").to_numpy() != after[c][:n].fillna("").to_numpy() for c in ("closed", "sweep_id", "event_at", "event_basis")]
+    changed[:n] = np.logical_or.reduce([np.asarray(d, bool) for d in differs])
+    told = after[changed]
+    return pd.DataFrame(dict(zip(CALENDAR, key, strict=False)), index=told.index).join(told)
 
 
 def closure_changes(postings: DataFrame, sweeps: DataFrame, buckets: int = BUCKETS) -> DataFrame:
