@@ -152,12 +152,21 @@ def iso_time(text: Column) -> Column:
     time and zone; beyond microseconds a fraction is cut off.
     """
     bare = F.trim(text)
-    part = lambda k: F.regexp_extract(bare, ISO_TIME, k)
-    day = F.regexp_replace(part(1), r"^(\d{4})-?(\d{2})-?(\d{2})$", "$1-$2-$3")
+    # Matched once and split: each regexp_extract would match anew, in code too long to be compiled.
+    told = F.when(bare.rlike(ISO_TIME), F.split(F.regexp_replace(bare, rf"{ISO_TIME}\R?", "$1|$2|$3|$4|$5|$6"), "[|]"))
+    return F.get(F.transform(F.array(told), _time_of_parts), F.lit(0))
+
+
+def _time_of_parts(parts: Column) -> Column:
+    """Of date, hour, minute, second, fraction and zone, as ``ISO_TIME`` parts them."""
+    part = lambda k: F.get(parts, F.lit(k - 1))
+    date = F.replace(part(1), F.lit("-"), F.lit(""))
+    day = F.concat_ws("-", F.substring(date, 1, 4), F.substring(date, 5, 2), F.substring(date, 7, 2))
     clock = F.concat_ws(":", *(F.coalesce(F.nullif(part(k), F.lit("")), F.lit("00")) for k in (2, 3, 4)))
     naive = F.concat(day, F.lit(" "), clock, F.lit("."), F.rpad(part(5), 6, "0")).try_cast("timestamp_ntz")
-    zone = F.regexp_replace(part(6), ":", "")
-    minutes = F.coalesce(F.substring(zone, 2, 2).try_cast("int"), F.lit(0)) * 60 + F.coalesce(F.substring(zone, 4, 2).try_cast("int"), F.lit(0))
+    zone = F.replace(part(6), F.lit(":"), F.lit(""))
+    number = lambda k: F.coalesce(F.nullif(F.substring(zone, k, 2), F.lit("")).try_cast("int"), F.lit(0))  # noqa: E731  (a cast that fails is dear)
+    minutes = number(2) * 60 + number(4)
     offset = F.when(zone.startswith("-"), -minutes).otherwise(minutes)
     return F.when((part(1) != "") & (F.abs(offset) < 24 * 60), F.timestamp_add("MINUTE", -offset, naive))
 
