@@ -90,3 +90,9 @@ def test_places_of_rows_across_ranges(spark):
     assert total == 1000 and all(r.v == r.place for r in placed.collect())
     none, total = storage.numbered(spark.range(0).select(F.col("id").alias("v")), ["v"])
     assert total == 0 and none.count() == 0
+
+
+def test_a_member_named_like_an_empty_array_is_walked(spark):
+    rows = spark.createDataFrame([(1, '{"[]":{"a":1},"b":[],"c":null}')], "id int, doc string")
+    found = {(r.path, r.value, r.kind) for r in documents.walk(rows, "id", "doc").collect()}
+    assert found == {("[]", '{"a":1}', "OBJECT"), ("[].a", "1", "BIGINT"), ("b", "[]", "ARRAY"), ("c", "null", "VOID")}
