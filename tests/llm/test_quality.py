@@ -1,3 +1,4 @@
+import os
 import zlib
 
 import numpy as np
@@ -83,3 +84,23 @@ def test_words_tell_in_ordinary_prose():
     model = quality.fit(np.array([quality.terms(t) for t in (one, other)] * 10), np.array([1, 0] * 10), 4)
     good, bad = quality.vote(np.array([quality.terms(one + "by the calm mill"), quality.terms(other + "waltz quiz")]), model)
     assert good > 0.8 and bad < 0.2
+
+
+def test_the_driver_does_not_fit(spark, monkeypatch):
+    """The sample and the fit's scratch space are an executor's; the driver gets the model alone."""
+    driver, real = os.getpid(), quality.fit
+
+    def fit(*given, **named):
+        assert os.getpid() != driver
+        return real(*given, **named)
+
+    docs = documents(spark, [(i, f"text number {i} " * (1 + i % 7)) for i in range(60)])
+    labels = spark.range(60).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    known = sorted((r.h, r.doc_id, r.quality) for r in labels.where(quality.fold_remainder("doc_id", 5) != 0).selectExpr("xxhash64(doc_id) AS h", "doc_id", "quality").collect())
+    want = quality.fit(np.array([quality.terms(rows[i]) for _, i, _ in known], dtype=np.float32), np.array([label for _, _, label in known]))
+    monkeypatch.setattr(quality, "fit", fit)
+    found = quality.train(docs, labels)
+    assert found.labels.tolist() == want.labels.tolist() and (found.prior, found.shares) == (want.prior, want.shares)
+    asked = np.array([quality.terms(t) for t in rows.values()])
+    assert np.allclose(quality.vote(asked, found), quality.vote(asked, want), atol=1e-6)

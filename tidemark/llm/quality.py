@@ -103,13 +103,16 @@ def fit(matrix: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS, to
     present = (matrix > 0).sum(axis=0)
     weights = np.log((1 + len(matrix)) / (1 + present)) + 1
     # The right singular axes, from the products of terms: as large as the terms squared, however many documents there are.
-    weighted = matrix * weights
-    axes = np.ascontiguousarray(np.linalg.eigh(weighted.T @ weighted)[1][:, ::-1][:, :dimensions])
-    del weighted
+    products = np.zeros((len(weights), len(weights)))
+    for start in range(0, len(matrix), BLOCK):
+        weighted = matrix[start : start + BLOCK] * weights
+        products += weighted.T @ weighted
+    axes = np.ascontiguousarray(np.linalg.eigh(products)[1][:, ::-1][:, :dimensions])
+    vectors = np.concatenate([latent(matrix[start : start + BLOCK], weights, axes) for start in range(0, len(matrix), BLOCK)])
     held = [int((labels == label).sum()) for label in (0, 1)]
     every = totals or tuple(held)
     shares = tuple(t / h if h else 0.0 for t, h in zip(every, held, strict=True))
-    return Model(weights, axes, latent(matrix, weights, axes), labels.astype(np.float64), every[1] / max(1, sum(every)), (shares[0], shares[1]))
+    return Model(weights, axes, vectors, labels.astype(np.float64), every[1] / max(1, sum(every)), (shares[0], shares[1]))
 
 
 def vote(matrix: np.ndarray, model: Model, neighbours: int = NEIGHBOURS) -> np.ndarray:
@@ -133,6 +136,23 @@ def _term_rows(batches):
         yield pa.RecordBatch.from_arrays([pa.array(rows, type=pa.list_(pa.float32())), *batch.columns[1:]], ["terms", "label", "order", "text_order"])
 
 
+def _fit_rows(totals: tuple[int, int]):
+    """One row, the model, of the bounded sample's rows (terms, label), which lie in one partition; none of none."""
+
+    def rows(batches):
+        sample = pa.Table.from_batches(batches, schema=pa.schema([("terms", pa.list_(pa.float32())), ("label", pa.int32())]))
+        if not sample.num_rows:
+            return
+        labels = sample.column("label").to_numpy()
+        matrix = sample.column("terms").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, N_TERMS)
+        del sample
+        model = fit(matrix, labels, totals=totals)
+        lists = [model.weights, model.axes.ravel(), model.vectors.ravel(), model.labels]
+        yield pa.RecordBatch.from_arrays([*(pa.array([x]) for x in lists), pa.array([model.prior]), pa.array([model.shares])], ["weights", "axes", "vectors", "labels", "prior", "shares"])
+
+    return rows
+
+
 def train(docs: DataFrame, labels: DataFrame, sample_per_label: int = SAMPLE_PER_LABEL, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality") -> Model:
     """Fit on at most ``sample_per_label`` labelled documents of each label.
 
@@ -150,11 +170,14 @@ def train(docs: DataFrame, labels: DataFrame, sample_per_label: int = SAMPLE_PER
     # Bounded by the sample size, so it may be broadcast; an id that two rows share gives two examples.
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text")).join(F.broadcast(picked), "id")
     vectors = texts.select("text", "label", "order", F.xxhash64("text").alias("text_order")).mapInArrow(_term_rows, "terms array<float>, label int, order long, text_order long")
-    rows = vectors.orderBy("order", "text_order").limit(2 * sample_per_label).toArrow()
-    if not rows.num_rows:
+    bounded = vectors.orderBy("order", "text_order").limit(2 * sample_per_label).select("terms", "label")
+    # An executor fits, so that the driver holds neither the sample nor the fit's scratch space.
+    fitted = bounded.mapInArrow(_fit_rows((counted.get(0, 0), counted.get(1, 0))), "weights array<double>, axes array<double>, vectors array<double>, labels array<double>, prior double, shares array<double>").toArrow()
+    if not fitted.num_rows:
         return fit(np.zeros((0, N_TERMS)), np.zeros(0))
-    matrix = rows.column("terms").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, N_TERMS)
-    return fit(matrix.astype(np.float64), rows.column("label").to_numpy(), totals=(counted.get(0, 0), counted.get(1, 0)))
+    found = {name: fitted.column(name).combine_chunks() for name in fitted.column_names}
+    weights, axes, points, known, shares = (found[name].flatten().to_numpy() for name in ("weights", "axes", "vectors", "labels", "shares"))
+    return Model(weights, axes.reshape(N_TERMS, -1), points.reshape(len(known), -1), known, found["prior"][0].as_py(), (float(shares[0]), float(shares[1])))
 
 
 def scorer(model: Model):
