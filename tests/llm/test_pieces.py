@@ -1,3 +1,5 @@
+from array import array
+
 import public_tokenizers
 import sentencepiece
 from hypothesis import given, settings
@@ -49,3 +51,13 @@ def test_counts_are_the_library_s(spark):
             wanted = [(r.doc_id, len((r.text or "").encode()), n := len(LIBRARY.encode(r.text or "")), n > 4096) for r in docs.collect()]
             assert sorted(map(tuple, found), key=repr) == sorted(wanted, key=repr)
     assert token_counts.count_tokens(documents(spark, [])).count() == 0
+
+
+def test_a_part_that_many_words_share_is_encoded_once(monkeypatch):
+    vocabulary = pieces.Pieces(public_tokenizers.path(pieces.MODEL))
+    seen, forward = [], vocabulary.forward
+    monkeypatch.setattr(vocabulary, "forward", lambda words: forward(seen.extend(words) or words))
+    for words in (["thing\x01a", "thing\x01b"], ["thing", "thing\x01c", "thing\x02"]):
+        for word, ids in vocabulary.encode_words(words).items():
+            assert array("i", LIBRARY.encode(word)).tobytes() == ids
+    assert seen.count("\u2581thing") == 1

@@ -14,7 +14,6 @@ from __future__ import annotations
 import re
 from array import array
 from functools import lru_cache
-from os.path import commonprefix
 
 import numpy as np
 import public_tokenizers
@@ -31,8 +30,11 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: A run of marks and what follows it up to the next mark: no piece reaches across.
 MARKED_WORD = re.compile(f"{MARK}+[^{MARK}]*|^[^{MARK}]+")
-#: Words that a worker remembers between batches: at most twice as many.
+#: Words that a worker remembers between batches, and parts of words: at most twice as many.
 MEMORY = 200_000
+PARTS_MEMORY = 100_000
+#: Words that are cut into parts together, by their total letters.
+LETTERS_TOGETHER = 1_000_000
 
 
 class Pieces:
@@ -56,18 +58,29 @@ class Pieces:
                 self.rank[name] = -model.get_score(number)
         self.is_byte = np.zeros(len(self.names), dtype=bool)
         self.is_byte[list(self.byte_of)] = True
+        self.texts = [name.replace(MARK, " ") for name in self.names]
         self.letters = {c for c in self.ids if len(c) == 1}
-        #: Lengths of the pieces that end in two given letters, the longest first.
+        #: Lengths of the pieces that end in three given letters, or in two if no longer one does, the longest first.
         self.lengths: dict[str, list[int]] = {}
         #: Neighbouring letters of some piece. No merge joins any others, so words can be cut there.
         self.joined: set[str] = set()
         for name in self.ids:
             self.joined.update(map("".join, zip(name, name[1:], strict=False)))
             if len(name) > 1:
-                self.lengths.setdefault(name[-2:], []).append(len(name))
-        self.lengths = {end: sorted(set(n), reverse=True) for end, n in self.lengths.items()}
+                self.lengths.setdefault(name[-3:], []).append(len(name))
+        self.lengths = {end: sorted({*n, *([2] if end[-2:] in self.ids else [])}, reverse=True) for end, n in self.lengths.items()}
         self.run = max(len(name) for name in self.ids if not name.strip(MARK))
+        #: Two ids beside each other are one number; the left one is shifted by this.
+        self.shift = len(self.names).bit_length()
         self._meets: dict[int, bool] = {}
+        self._recent = Recent(PARTS_MEMORY)
+        #: Numbers of the joined letters, 0 for all others, and which of two numbers are joined.
+        joined = sorted({c for pair in self.joined for c in pair})
+        self.numbers = np.zeros(max(map(ord, joined)) + 2, dtype=np.int32)
+        self.numbers[list(map(ord, joined))] = np.arange(1, len(joined) + 1)
+        self.side = len(joined) + 1
+        self.beside = np.zeros(self.side * self.side, dtype=bool)
+        self.beside[[int(self.numbers[ord(a)]) * self.side + int(self.numbers[ord(b)]) for a, b in self.joined]] = True
 
     def merged(self, symbols: list[str]) -> list[str]:
         """Merge the best ranked neighbours, the leftmost of equals, until none is left."""
@@ -79,7 +92,7 @@ class Pieces:
 
     def meets(self, left: int, right: int) -> bool:
         """Whether merging the letters of two pieces gives these two pieces again."""
-        key = left << 32 | right
+        key = left << self.shift | right
         found = self._meets.get(key)
         if found is None:
             a, b = self.names[left], self.names[right]
@@ -95,19 +108,26 @@ class Pieces:
     def forward(self, words: list[str]):
         """Yield (word, ids) for ``words``, which must be sorted; each holds known letters only."""
         previous, last, start = "", [0], [0]
-        ids, meets, known, lengths = self.ids, self.meets, self._meets, self.lengths
+        ids, meets, known, lengths, shift = self.ids, self.meets, self._meets, self.lengths, self.shift
         for word in words:
-            shared = len(commonprefix((previous, word)))
+            shared = 0
+            for a, b in zip(previous, word, strict=False):
+                if a != b:
+                    break
+                shared += 1
             del last[shared + 1 :], start[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for n in lengths.get(word[end - 2 : end], ()) if end > 1 else ():
+                found = lengths.get(word[end - 3 : end]) if end > 2 else None
+                if found is None:
+                    found = lengths.get(word[end - 2 : end], ()) if end > 1 else ()
+                for n in found:
                     begin = end - n
                     if begin < 0:
                         continue
                     piece = ids.get(word[begin:end])
                     if piece is not None:
                         if begin:
-                            fits = known.get(last[begin] << 32 | piece)
+                            fits = known.get(last[begin] << shift | piece)
                             if fits is None:
                                 fits = meets(last[begin], piece)
                             if not fits:
@@ -138,21 +158,49 @@ class Pieces:
 
     def encode_words(self, words: list[str]) -> dict[str, bytes]:
         """Ids of each distinct word, given without its first mark, as the bytes of their 32-bit integers."""
-        parts = {w: self._parts(MARK + w) for w in words}
-        states = dict(self.forward(sorted({p for found in parts.values() for kind, p in found if kind == "word"})))
-        out = {}
-        for word, found in parts.items():
-            ids: list[int] = []
-            for kind, part in found:
-                if kind == "word":
-                    ids += states[part]
-                elif kind == "blanks":
-                    ids += [self.ids[p] for p in self.blanks(len(part))]
-                else:
-                    ids += [self.bytes[b] for b in part.encode("utf-8", "surrogatepass")]
-            out[word] = array("i", ids).tobytes()
+        plain = [w for w in words if w and MARK not in w]
+        out: dict[str, bytes] = {}
+        for start, end in chunks(list(map(len, plain)), LETTERS_TOGETHER):
+            out.update(self._encode_plain(plain[start:end]))
+        for word in words if len(plain) < len(words) else ():
+            if word not in out:
+                out[word] = self._encode_marked(word)
+        return out
+
+    def _encode_plain(self, words: list[str]) -> dict[str, bytes]:
+        """``encode_words`` for words that hold no marks: all of them are cut into parts at once, and each distinct part is encoded once."""
+        stream = MARK + MARK.join(words)
+        letters = np.frombuffer(stream.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        number = self.numbers[np.minimum(letters, len(self.numbers) - 1)]
+        is_word = letters == ord(MARK)
+        cut = is_word.copy()
+        cut[1:] |= ~self.beside[number[:-1] * self.side + number[1:]]
+        starts = np.flatnonzero(cut)
+        at = starts.tolist()
+        parts = list(map(stream.__getitem__, map(slice, at, [*at[1:], len(stream)])))
+        coded = list(map(self._recent.table(set(parts), self._encode_parts).__getitem__, parts))
+        first = np.flatnonzero(is_word[starts]).tolist()
+        return {word: coded[i] if j - i == 1 else b"".join(coded[i:j]) for word, i, j in zip(words, first, [*first[1:], len(coded)], strict=True)}
+
+    def _encode_parts(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of parts that ``split`` cuts no more; a letter that is no piece is its bytes."""
+        known = sorted(p for p in parts if p[0] in self.letters)
+        out = {part: array("i", ids).tobytes() for part, ids in self.forward(known)}
+        out.update((p, array("i", [self.bytes[b] for b in p.encode("utf-8", "surrogatepass")]).tobytes()) for p in parts if p[0] not in self.letters)
         return out
 
+    def _encode_marked(self, word: str) -> bytes:
+        """``encode_words`` for a word that is empty or holds further marks."""
+        ids: list[int] = []
+        for kind, part in self._parts(MARK + word):
+            if kind == "word":
+                ids += next(self.forward([part]))[1]
+            elif kind == "blanks":
+                ids += [self.ids[p] for p in self.blanks(len(part))]
+            else:
+                ids += [self.bytes[b] for b in part.encode("utf-8", "surrogatepass")]
+        return array("i", ids).tobytes()
+
     def _parts(self, word: str) -> list[tuple[str, str]]:
         """Marks beyond the one that the word's first piece takes, known parts, unknown letters."""
         out = []
@@ -174,7 +222,7 @@ class Pieces:
     def decode(self, ids: np.ndarray) -> str:
         """The text that ids stand for, without the mark put before it."""
         if not self.is_byte[ids].any():
-            return "".join(map(self.names.__getitem__, ids.tolist()))[1:].replace(MARK, " ")
+            return "".join(map(self.texts.__getitem__, ids.tolist()))[1:]
         out, raw = [], bytearray()
         for number in ids.tolist():
             byte = self.byte_of.get(number)
