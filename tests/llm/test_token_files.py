@@ -3,6 +3,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -60,6 +61,34 @@ def test_words_that_hold_the_mark():
         assert {w: np.frombuffer(c, "<u4").tolist() for w, c in found.items()} == {w: library.encode(w, add_special_tokens=False).ids for w in part}
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*"aZéÉßÿÀ÷×ªº 'stI.=,<|>!-_\t\n\x01µſ1²中ΣςİŠ\u0338\u0307\u0301", "<|endoftext|>", "<|ENDOFTEXT|>", "don't", "h\u0331", "H\u0331"]), max_size=25).map("".join) | st.just("Word, WORD. wörd% word's"), max_size=5))
+def test_plain_words_have_the_library_s_ids(texts):
+    library = token_files.library(token_files.MODEL)
+    found = token_files.token_ids(texts) if texts else []
+    assert [f.tolist() for f in found] == [[*library.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+
+
+def test_letters_are_encoded_once_however_written(monkeypatch):
+    seen = []
+    real = token_files._of_letters
+    monkeypatch.setattr(token_files, "_of_letters", lambda strings, model: seen.extend(strings) or real(strings, model))
+    token_files.token_ids(["Word word, WORD. Éa éa!", "word; word% éA"])
+    assert sorted(seen) == ["word", "éa"]
+
+
+def test_last_blocks_are_decoded_with_the_others(monkeypatch):
+    monkeypatch.setattr(token_files, "LANES", 4)
+    sizes = []
+    real = token_files.decode_blocks
+    monkeypatch.setattr(token_files, "decode_blocks", lambda payloads, lengths: sizes.append(len(payloads)) or real(payloads, lengths))
+    ids = np.arange(5, dtype="<u4")
+    row = {"shard": 0, "first_doc": 0, "doc_ids": [1], "doc_ends": [5], "starts": True, "n_ids": 5, "checksum": zlib.crc32(ids.tobytes()), "payload": range_coder.encode_blocks([ids])[0]}
+    batch = pa.RecordBatch.from_pylist([row | {"block": b} for b in range(5)])
+    assert sum(b.num_rows for b in token_files._decode({0: 0})([batch])) == 5
+    assert sizes == [3, 2]  # not 4, and 1 that takes as many steps
+
+
 def expected(rows):
     library, start, out = Tokenizer.from_file(public_tokenizers.path(token_files.MODEL)), 0, []
     for doc, text in rows:

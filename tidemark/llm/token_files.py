@@ -11,7 +11,9 @@ documents that cross blocks give parts, which are put together by their key.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from functools import lru_cache
 
@@ -23,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Recent, materialize
+from .common import materialize
 from .pieces import chunks
 from .range_coder import decode_blocks, encode_blocks
 
@@ -31,20 +33,29 @@ MODEL = "word_bpe_49k.json"
 END_ID = 2
 BLOCK_IDS = 2048
 #: Blocks that are coded in step, so a task holds this many blocks of ids at most.
-LANES = 2048
+LANES = 4096
 #: Stands between words that are encoded together; words that hold it are encoded on their own.
 MARK = "\x01"
 #: Words that are encoded together.
 TOGETHER = 2000
 #: Texts that are cut into words together, by their total bytes.
-CHUNK_BYTES = 1_000_000
-#: Words that a worker remembers: at most twice as many.
-MEMORY = 200_000
+CHUNK_BYTES = 16_000_000
+#: Letters that ``STEPS`` leave as they are but for their case, and marks before which they are cut and which none of its special tokens holds.
+LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+PLAIN = f"^[{LETTERS}]+[{re.escape(MARKS)}]*$"
+#: What a tokenizer does before its model, if plain words may go to the model at once.
+STEPS = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+)
 FILE = "shard int, block long, first_doc long, doc_ids array<long>, doc_ends array<int>, starts boolean, n_ids int, checksum long, payload binary"
 
-_recent = Recent(MEMORY)
-
-
 @lru_cache(maxsize=2)
 def library(model: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
@@ -53,9 +64,78 @@ def library(model: str):
     return Tokenizer.from_file(public_tokenizers.path(model))
 
 
-def words(text: str) -> list[str]:
-    """Parts between blanks and line feeds, which the normaliser takes for white space and no token spans."""
-    return text.replace("\n", " ").split(" ")
+@lru_cache(maxsize=2)
+def letters_model(model: str):
+    """(the tokenizer without its ``STEPS``, the letters from U+00C0 on as its model spells them, whether an id ends a word), or None if it has others."""
+    found = json.loads(library(model).to_str())
+    suffix = found["model"].get("end_of_word_suffix")
+    if (found["normalizer"], found["pre_tokenizer"]) != STEPS or not suffix:
+        return None
+    from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
+
+    spelling = ByteLevel(add_prefix_space=False, use_regex=False)
+    spelt = {at: spelling.pre_tokenize_str(chr(at))[0][0] for at in range(0xC0, 0x100)}
+    alone = Tokenizer.from_str(json.dumps(found | {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}))
+    alone.pre_tokenizer = WhitespaceSplit()
+    vocabulary = found["model"]["vocab"]
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[at for name, at in vocabulary.items() if name.endswith(suffix)]] = True
+    return alone, spelt, ends
+
+
+def _strung(flat: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the strings of ids that lie in ``flat``, in the given order; where each of them ends)."""
+    lengths = sizes[order]
+    ends = np.cumsum(lengths)
+    at = np.repeat((np.cumsum(sizes) - sizes)[order] - ends + lengths, lengths)
+    at += np.arange(len(at))
+    return flat[at], ends
+
+
+def _joined(codes: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(b"".join(codes), dtype="<u4"), np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+
+
+def _of_letters(strings: list[str], model: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of small letters, end to end, and the number of each string's; the library gets many at once and every last id ends a word."""
+    alone, spelt, is_end = letters_model(model)
+    flat, sizes = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+    for start in range(0, len(strings), TOGETHER):
+        text = " ".join(strings[start : start + TOGETHER])
+        ids = np.array(alone.encode_batch_fast([text if text.isascii() else text.translate(spelt)], add_special_tokens=False)[0].ids, dtype="<u4")
+        flat.append(ids)
+        sizes.append(np.diff(np.flatnonzero(is_end[ids]), prepend=-1))
+    return np.concatenate(flat), np.concatenate(sizes)
+
+
+def _of_words(words: pa.Array, model: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of distinct words, end to end, and the number of each word's.
+
+    A plain word is its letters and the marks after them, each of which is
+    encoded once however it is written and put together; others go to the
+    library whole.
+    """
+    if not letters_model(model):
+        return _joined([*map(_encoded(spelt := words.to_pylist(), model).__getitem__, spelt)])
+    is_plain = pc.match_substring_regex(words, PLAIN)
+    plain, other = words.filter(is_plain), words.filter(pc.invert(is_plain)).to_pylist()
+    letters = pc.utf8_lower(pc.ascii_rtrim(plain, MARKS))
+    in_ascii = pc.string_is_ascii(letters)
+    by_kind = [letters.filter(kind).dictionary_encode() for kind in (in_ascii, pc.invert(in_ascii))]
+    marks = pc.replace_substring_regex(plain, f"^[{LETTERS}]+", "").dictionary_encode()
+    coded = [_of_letters(x.dictionary.to_pylist(), model) for x in by_kind]
+    coded += [_joined([*map(_encoded(spelt, model).__getitem__, spelt)]) for spelt in (["", *marks.dictionary.to_pylist()], other)]
+    first = np.cumsum([0, *(len(sizes) for _, sizes in coded)])
+    pairs = np.full((len(words), 2), first[2])  # nothing
+    is_plain, in_ascii = (x.to_numpy(zero_copy_only=False) for x in (is_plain, in_ascii))
+    at = np.flatnonzero(is_plain)
+    pairs[at[in_ascii], 0] = first[0] + by_kind[0].indices.to_numpy()
+    pairs[at[~in_ascii], 0] = first[1] + by_kind[1].indices.to_numpy()
+    pairs[at, 1] = first[2] + 1 + marks.indices.to_numpy()
+    pairs[~is_plain, 0] = first[3] + np.arange(len(other))
+    flat, ends = _strung(*map(np.concatenate, zip(*coded, strict=True)), pairs.ravel())
+    return flat, np.diff(ends[1::2], prepend=0)
 
 
 def _encoded(new: list[str], model: str) -> dict[str, bytes]:
@@ -75,12 +155,27 @@ def _encoded(new: list[str], model: str) -> dict[str, bytes]:
     return out
 
 
+def column_ids(texts: pa.Array, model: str = MODEL) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts, each with the end id; where each text ends in them); null texts count as empty.
+
+    Words are the parts between blanks and line feeds, which the normaliser
+    takes for white space and no token spans. Every distinct word is encoded
+    once.
+    """
+    split = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
+    found = split.flatten().dictionary_encode()
+    flat, sizes = _of_words(found.dictionary, model)
+    after = np.cumsum(pc.list_value_length(split).to_numpy())
+    # The end id is a last word of each text.
+    every = np.insert(found.indices.to_numpy(), after, len(sizes))
+    ids, ends = _strung(np.append(flat, np.array([END_ID], "<u4")), np.append(sizes, 1), every)
+    return ids, ends[after + np.arange(len(after))]
+
+
 def token_ids(texts: list[str], model: str = MODEL) -> list[np.ndarray]:
-    """Ids of each text and the end id; every distinct word is encoded once, and remembered while it is frequent."""
-    split = [words(t) for t in texts]
-    table = _recent.table(set().union(*split), lambda new: _encoded(new, model))
-    end = END_ID.to_bytes(4, "little")
-    return [np.frombuffer(b"".join(map(table.__getitem__, parts)) + end, dtype="<u4") for parts in split]
+    """Ids of each text and the end id."""
+    ids, ends = column_ids(pa.array(texts, pa.string()), model)
+    return np.split(ids, ends[:-1])
 
 
 def _encode(model: str):
@@ -115,10 +210,12 @@ def _encode(model: str):
         for batch in batches:
             names = batch.column(0).to_pylist()
             for start, end in chunks(pc.binary_length(batch.column(1)).to_pylist(), CHUNK_BYTES):
-                texts = [t or "" for t in batch.column(1).slice(start, end - start).to_pylist()]
-                for doc, ids in zip(names[start:end], token_ids(texts, model), strict=True):
-                    parts.append(ids)
-                    held += len(ids)
+                ids, after = column_ids(batch.column(1).slice(start, end - start), model)
+                done = 0
+                for doc, at in zip(names[start:end], after.tolist(), strict=True):
+                    parts.append(ids[done:at])
+                    held += at - done
+                    done = at
                     ends.append((doc, held))
                     if held >= LANES * BLOCK_IDS:
                         yield cut(False)
@@ -149,8 +246,9 @@ def _decode(offsets: dict[int, int]):
     def parts(batches):
         for batch in batches:
             rows = batch.to_pylist()
-            for first in range(0, len(rows), LANES):
-                some = rows[first : first + LANES]
+            lanes = -(-len(rows) // -(-len(rows) // LANES)) if rows else 1  # a last few would take as long as many
+            for first in range(0, len(rows), lanes):
+                some = rows[first : first + lanes]
                 out: list[tuple] = []
                 for row, ids in zip(some, decode_blocks([r["payload"] for r in some], [r["n_ids"] for r in some]), strict=True):
                     raw = ids.astype("<u4").tobytes()
