@@ -277,16 +277,22 @@ def _product(a: int, b: int) -> int:
     return out
 
 
+@lru_cache(maxsize=64)
+def _power(bit: int) -> int:
+    """x to the power of 8 * 2^``bit``: what that many bytes more multiply a CRC-32 by."""
+    return _product(_power(bit - 1), _power(bit - 1)) if bit else 1 << 23
+
+
 def joined_crc(parts: list[tuple[int, int]]) -> int:
     """CRC-32 of byte strings put together, from the length and CRC-32 of each."""
     out = 0
     for size, crc in parts:
-        power, factor = 1 << 23, 1 << 31  # x^8, and 1
-        while size:
+        bit = 0
+        while size and out:
             if size & 1:
-                factor = _product(power, factor)
-            power, size = _product(power, power), size >> 1
-        out = _product(factor, out) ^ crc
+                out = _product(_power(bit), out)
+            bit, size = bit + 1, size >> 1
+        out ^= crc
     return out
 
 
