@@ -2,6 +2,8 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+
 from tidemark.llm import ctw
 
 from .helpers import ROWS, documents
@@ -102,8 +104,6 @@ def test_word_order_changes_the_score_of_the_query(spark, tmp_path):
 
 
 def test_counts_are_the_same_however_many_are_held(spark, monkeypatch):
-    import pyarrow as pa
-
     texts = [f"word{i % 5} and more{i % 3} of it" for i in range(50)]
     batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([i % 4 > 0 for i in range(50)])], ["text", "trains"])
     sums = []
@@ -119,5 +119,22 @@ def test_counts_are_the_same_however_many_are_held(spark, monkeypatch):
     assert sums[0] == sums[1] and sum(sums[0][1].values()) == sum(len(t) + 2 for t in texts)
 
 
+def test_words_are_counted_before_they_leave_a_task():
+    texts, trains = ["A b\x0b a\x1cA É É", "", " \r\n ", "b a c É"], [True, True, False, False]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(trains)], ["text", "trains"])
+    found = [tuple(r.values()) for b in ctw._word_counts([batch]) for r in b.to_pylist()]
+    want = Counter(w for t in texts for w in ctw.tokens(t))
+    train = Counter(w for t, use in zip(texts, trains, strict=True) if use for w in ctw.tokens(t))
+    assert sorted(found) == sorted((w, n, train[w]) for w, n in want.items())  # one row a word, not one a text
+
+
+def test_sorted_grams_are_added_up_across_batches():
+    grams = [3, 3, 5, 5, 5, 8, 9, 9]
+    for size in (1, 2, 3, 8):
+        batches = [pa.RecordBatch.from_arrays([pa.array(grams[i : i + size]), pa.array([1] * len(grams[i : i + size])), pa.array([2] * len(grams[i : i + size]))], ["gram", "n", "total"]) for i in range(0, 8, size)]
+        assert [tuple(r.values()) for b in ctw._added_up(batches) for r in b.to_pylist()] == [(3, 2, 4), (5, 3, 6), (8, 1, 2), (9, 2, 4)]
+    assert not sum(b.num_rows for b in ctw._added_up([]))
+
+
 def test_empty_table(spark):
     assert ctw.score_texts(documents(spark, [])).count() == 0

@@ -24,11 +24,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold_remainder, materialize
-from .wordbag import HEAD_WORDS, KEY, NO_ID, frequencies, head_of, keyed, sums_by_row, with_sums, written_totals
+from .pieces import chunks
+from .wordbag import HEAD_WORDS, KEY, NO_ID, TEXT_BYTES, head_of, keyed, sums_by_row, with_sums
 
 DEPTH = 6
 #: Nearest bytes by which the tree is partitioned, at least; more where a branch is larger than the bound.
@@ -56,24 +58,26 @@ def tokens(text: str) -> list[bytes]:
 
 def text_grams(texts: list[str], depth: int = DEPTH):
     """Arrays (number of the text, gram) for the coded bytes of each text, its words' blanks and its end included; about ``BYTES_AT_ONCE`` together."""
-    before = bytes(depth - 1) + bytes([BLANK])
+    before, blank = bytes(depth - 1) + bytes([BLANK]), bytes([BLANK])
     group, first, size = [], 0, 0
     for at, text in enumerate(texts):
-        group.append(before + b"".join(w + bytes([BLANK]) for w in tokens(text)) + END)
+        words = tokens(text)
+        group.append(before + blank.join(words) + (blank if words else b"") + END)
         size += len(group[-1])
         if size >= BYTES_AT_ONCE or at == len(texts) - 1:
             lengths = np.fromiter(map(len, group), dtype=np.int64, count=len(group))
-            flat, owner = np.frombuffer(b"".join(group), dtype=np.uint8), np.repeat(np.arange(first, at + 1, dtype=np.int32), lengths)
-            is_coded = np.ones(len(flat), dtype=bool)
+            flat, owner = bytes(7 - depth) + b"".join(group), np.repeat(np.arange(first, at + 1, dtype=np.int32), lengths)
+            # The eight bytes that end with each byte after the first context.
+            eights = np.ndarray(len(owner) - depth, dtype=">u8", buffer=flat, strides=(1,))
+            is_coded = np.ones(len(owner), dtype=bool)
             is_coded[((np.cumsum(lengths) - lengths)[:, None] + np.arange(depth)).ravel()] = False
-            for start in range(depth, len(flat), BYTES_AT_ONCE):
-                end = min(start + BYTES_AT_ONCE, len(flat))
-                bytes_ = flat[start - depth : end].astype(np.int64)
-                gram = np.zeros(end - start, dtype=np.int64)
-                for back in range(depth, -1, -1):
-                    gram = gram << 8 | bytes_[depth - back : len(bytes_) - back]
+            for start in range(depth, len(owner), BYTES_AT_ONCE):
+                end = min(start + BYTES_AT_ONCE, len(owner))
+                coded = is_coded[start:end]
                 # The context's nearest byte is lowest, and the coded byte below it.
-                yield owner[start:end][is_coded[start:end]], gram[is_coded[start:end]]
+                gram = eights[start - depth : end - depth].astype(np.int64)
+                gram &= (1 << 8 * depth + 8) - 1
+                yield owner[start:end][coded], gram[coded]
             group, first, size = [], at + 1, 0
 
 
@@ -109,6 +113,38 @@ def _text_gram_counts(depth: int):
     return rows
 
 
+def _added_up(batches):
+    """One row for each gram of rows (gram, n, total) that are sorted by gram."""
+    held = [np.zeros(0, np.int64)] * 3  # the last gram, of which more may follow
+    for batch in batches:
+        grams, n, total = (np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns, strict=True))
+        if len(grams):
+            starts = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
+            sums = [grams[starts], np.add.reduceat(n, starts), np.add.reduceat(total, starts)]
+            held = [x[-1:] for x in sums]
+            yield pa.RecordBatch.from_arrays([pa.array(x[:-1]) for x in sums], ["gram", "n", "total"])
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], ["gram", "n", "total"])
+
+
+def token_lists(texts: pa.Array) -> pa.ListArray:
+    """``tokens`` of each text, among which there may be empty ones."""
+    return pc.ascii_split_whitespace(pc.ascii_lower(texts))
+
+
+def _word_counts(batches):
+    """(word, total, train) of the texts of a partition, added up in groups of about ``TEXT_BYTES``."""
+    for batch in batches:
+        for start, end in chunks(pc.binary_length(batch.column(0)).to_pylist(), TEXT_BYTES):
+            some = batch.slice(start, end - start)
+            split = token_lists(some.column(0))
+            found = split.flatten().dictionary_encode()
+            at, lengths = found.indices.to_numpy(), pc.list_value_length(split).to_numpy()
+            total = np.bincount(at, minlength=len(found.dictionary))
+            train = np.bincount(at, weights=np.repeat(some.column(1).to_numpy(zero_copy_only=False), lengths), minlength=len(total)).astype(np.int64)
+            rows = pa.RecordBatch.from_arrays([found.dictionary.cast(pa.binary()), pa.array(total), pa.array(train)], ["word", "total", "train"])
+            yield rows.filter(pc.not_equal(pc.binary_length(rows.column(0)), 0))
+
+
 class GramTable:
     """Scores of grams by a table with one slot a hash; those that lost their slot are found by bisection.
 
@@ -166,7 +202,9 @@ def _text_sums(depth: int, head):
 def sums_across_words(rows: DataFrame, trains: Column, depth: int, head_grams: int) -> DataFrame:
     """(own_id, text_hash, score, coded) by contexts that run through the whole text; one row or more for each row of ``rows``."""
     counted = rows.select("text", trains.alias("trains")).mapInArrow(_text_gram_counts(depth), "gram long, n long, total long")
-    grams = materialize(counted.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("total").alias("total")), "grams")
+    # Tasks have added up their grams, so sorting is cheaper than to hash them all again.
+    together = counted.repartition("gram").sortWithinPartitions("gram")
+    grams = materialize(together.mapInArrow(_added_up, "gram long, n long, total long"), "grams")
     scores = materialize(gram_scores(grams, depth), "gram-scores")
     head = head_of(grams, bound=head_grams, steps=8).select("gram", "total").join(scores, "gram").toArrow()
     order = np.argsort(head.column("total").to_numpy(), kind="stable")
@@ -309,8 +347,8 @@ def _with_parent(here: DataFrame, level: int, above: DataFrame) -> DataFrame:
 
 def gram_scores(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(gram, log10p) of every gram of the written table ``grams`` (gram, n); grams with n = 0 were never trained on."""
-    if depth <= CUT:
-        raise ValueError(f"depth must be over {CUT}")
+    if not CUT < depth <= 6:  # a gram and its kind share 64 bits
+        raise ValueError(f"depth must be over {CUT} and at most 6")
     every, cut = _cut_of(grams, depth)
     parts = max(1, -(-every // GRAMS_AT_ONCE))
     branch = _branch_column(cut)
@@ -347,7 +385,8 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     """
     rows = keyed(docs, id_column, text_column)
     trains = F.when(F.col("own_id") != NO_ID, fold_remainder("own_id", folds) != 0).otherwise(F.lit(False))
-    words = written_totals(frequencies(rows, tokens, "binary"), "words", {"train": F.when(trains, F.col("n")).otherwise(0)})
+    counted = rows.select("text", trains.alias("trains")).mapInArrow(_word_counts, "word binary, total long, train long")
+    words = materialize(counted.groupBy("word").agg(F.sum("total").alias("total"), F.sum("train").alias("train")), "words")
     ends = rows.agg(F.count(F.lit(1)).alias("total"), F.coalesce(F.sum(trains.cast("long")), F.lit(0)).alias("train")).select(F.lit(END).alias("word"), "total", "train")
     sums = words.unionByName(ends).agg(F.sum("train").alias("tokens"), F.sum((F.col("train") > 0).cast("long")).alias("distinct")).first()
     n, below = sums["tokens"] or 0, (sums["tokens"] or 0) + SMOOTHING * ((sums["distinct"] or 0) + 1)
@@ -356,7 +395,7 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     values = ["n_tokens", "n_known", "base_score"]
     end = ends.select(base.alias("base"), known.alias("known")).first()
     each_word = words.select("word", "total", F.lit(1).alias("n_tokens"), known.alias("n_known"), base.alias("base_score"))
-    of_words = sums_by_row(rows, tokens, each_word, values, "binary", head_words)
+    of_words = sums_by_row(rows, tokens, each_word, values, "binary", head_words, token_lists)
     of_words = of_words.withColumns({"score": F.lit(0.0), "coded": F.lit(0).cast("long")})
     nothing = F.lit(0.0)
     of_texts = sums_across_words(rows, trains, depth, head_grams).withColumns({c: nothing for c in values})

@@ -14,10 +14,12 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
+from .pieces import chunks
 
 #: Most words that the broadcast head of a word table may have.
 HEAD_WORDS = 200_000
@@ -29,6 +31,8 @@ OWN = " "
 ROWS_AT_ONCE = 200_000
 #: Texts that are cut together.
 TEXTS_AT_ONCE = 256
+#: And those that Arrow cuts together, by their total bytes.
+TEXT_BYTES = 8_000_000
 
 
 #: A document is known by its id and the hash of its text, which any re-read of the input gives again.
@@ -102,11 +106,13 @@ def head_of(words: DataFrame, weight: str = "total", bound: int = HEAD_WORDS, st
     return words.where(power >= least) if least is not None else words.limit(0)
 
 
-def sums_by_row(rows: DataFrame, split: Callable[[str], list], words: DataFrame, columns: list[str], kind: str = "string", bound: int = HEAD_WORDS) -> DataFrame:
+def sums_by_row(rows: DataFrame, split: Callable[[str], list], words: DataFrame, columns: list[str], kind: str = "string", bound: int = HEAD_WORDS, lists: Callable[[pa.Array], pa.ListArray] | None = None) -> DataFrame:
     """Per key the sums over its words of n times each of ``columns`` (double), looked up in the written table ``words``.
 
     ``words`` is (word, total, columns...). Words must all be in the table, and
     none may start with a blank. Texts without words have sums of zero.
+    ``lists`` may give the words of a whole column as ``split`` does, empty
+    ones besides.
     """
     value = pa.string() if kind == "string" else pa.binary()
     length = F.octet_length("word")
@@ -120,6 +126,10 @@ def sums_by_row(rows: DataFrame, split: Callable[[str], list], words: DataFrame,
             if place is None:
                 known, values = head.value
                 place = {w: i for i, w in enumerate(known)}
+            if lists:
+                for start, end in chunks(pc.binary_length(batch.column(2)).to_pylist(), TEXT_BYTES):
+                    yield from of_column(batch.slice(start, end - start), place, values)
+                continue
             for first in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 some = batch.slice(first, TEXTS_AT_ONCE)
                 owners, rare, counts, sums = [], [], [], np.zeros((some.num_rows, len(columns)))
@@ -135,12 +145,32 @@ def sums_by_row(rows: DataFrame, split: Callable[[str], list], words: DataFrame,
                         owners += [at] * len(missing)
                         rare += [spelt[i] for i in missing]
                         counts += each[missing].tolist()
-                own = [f"{OWN}{k}" if kind == "string" else f"{OWN}{k}".encode() for k in some.column(1).to_pylist()]
-                yield packed(some, range(some.num_rows), own, [1] * some.num_rows, sums.T)
+                yield packed(some, range(some.num_rows), own_words(some), [1] * some.num_rows, sums.T)
                 for start in range(0, len(owners), ROWS_AT_ONCE):
                     end = start + ROWS_AT_ONCE
                     yield packed(some, owners[start:end], rare[start:end], counts[start:end], [None] * len(columns))
 
+    def own_words(some):
+        return [f"{OWN}{k}" if kind == "string" else f"{OWN}{k}".encode() for k in some.column(1).to_pylist()]
+
+    def of_column(some, place, values):
+        split = lists(some.column(2))
+        found = split.flatten().dictionary_encode()
+        spelt = found.dictionary.cast(value)
+        names = spelt.to_pylist()
+        held = np.fromiter((place.get(w, -1) for w in names), np.int64, len(names))
+        at, owner = found.indices.to_numpy(), np.repeat(np.arange(some.num_rows), pc.list_value_length(split).to_numpy())
+        is_word = pc.not_equal(pc.binary_length(spelt), 0).to_numpy(zero_copy_only=False)[at]
+        where = held[at]
+        known = is_word & (where >= 0)
+        sums = [np.bincount(owner[known], weights=values[where[known], c], minlength=some.num_rows) for c in range(len(columns))]
+        yield packed(some, range(some.num_rows), own_words(some), [1] * some.num_rows, sums)
+        rare = is_word & (where < 0)
+        pairs, counts = np.unique(owner[rare] * max(1, len(names)) + at[rare], return_counts=True)
+        for start in range(0, len(pairs), ROWS_AT_ONCE):
+            some_pairs = pairs[start : start + ROWS_AT_ONCE]
+            yield packed(some, some_pairs // len(names), spelt.take(pa.array(some_pairs % len(names))), counts[start : start + ROWS_AT_ONCE], [None] * len(columns))
+
     def packed(batch, owners, spelt, counts, sums):
         at = pa.array(owners, pa.int32())
         own = [pa.nulls(len(at), pa.float64()) if c is None else pa.array(c) for c in sums]
