@@ -1,14 +1,16 @@
-"""Adaptive context-mixing range coder for token ids, many blocks in step.
-
-Every block starts from a fresh model and is coded on its own. Three
-predictions of the next id share the range. Order 2 holds the last two ids
-that followed the last two ids, order 1 the last four that followed the last
-id; each gives an id the share of its places among them. Order 0 gives every
-id of the block so far a share by its count, and the rest to new ids. How much
-of the range each order has is learnt, by how many and how different ids the
-orders hold. All counts, weights and candidates are renewed after every id.
-
-Inside a block ids are numbered by first appearance, from 1. The same model
+"""Context-mixing range coder for token ids, many blocks in step.
+
+Every block is coded on its own. Its payload starts with the block's distinct
+ids and how often each occurs; its ids follow in their order, range coded.
+Three predictions of the next id are added up: order 0 gives every id a share
+by its count in the block, order 1 gives one to the id that followed the last
+id before, order 2 to the id that followed the last two. An id that several of
+them foretell has the sum of its shares. How much orders 1 and 2 get is learnt,
+by how often each has held of late and whether they agree. The predictions of
+both and all their weights are renewed after every id.
+
+Inside a block an id goes by its place: the sum of the counts of all smaller
+ids. So the places are the lower ends of order 0's shares, too. The same model
 code drives encoder and decoder. Blocks are columns of numpy arrays, so one
 step handles one id of each of a thousand blocks.
 """
@@ -20,38 +22,35 @@ import numpy as np
 #: Shares of a prediction are out of this.
 TOTAL_BITS = 20
 TOTAL = 1 << TOTAL_BITS
-#: Ids are below this; new ones are written as they are.
+#: Ids are below this.
 ID_BITS = 16
-WORD = np.int64(0xFFFF)
-#: The range stays above the floor, so that one word a step is enough to widen it.
-FLOOR, CEILING = np.int64(1 << 32), np.int64(1 << 48)
+#: The range stays above the floor, so that one word a step is enough to widen it. Numbers up to the ceiling are whole and exact in doubles.
+FLOOR, CEILING, WORD = 2.0**32, 2.0**48, 2.0**16
 #: Ids of a block at most.
-LONGEST = 2048
-#: What order 0 always keeps: 16 for every count and every new id, which the widening needs.
-LEAST = 17 * (2 * LONGEST + 1)
-#: Slots of order 2; each knows the two ids that it is for.
-SLOTS = 2048
-#: Four numbers below 2^15 share an integer: one in each, their top bits, all bits but those.
-EACH, HIGH, REST = np.uint64(0x0001000100010001), np.uint64(0x8000800080008000), np.uint64(0x7FFF7FFF7FFF7FFF)
-LOW16, ONE, B4, B15, B16 = np.uint64(0xFFFF), np.uint64(1), np.uint64(4), np.uint64(15), np.uint64(16)
-STEPS = np.arange(LONGEST // 16, dtype=np.int16)[:, None]
+LONGEST_BITS = 12
+LONGEST = 1 << LONGEST_BITS
+PLACE = LONGEST - 1
+#: Blocks whose headings are made together, so that they stay in the processor's memory; numbers of ids counted together there.
+GROUP, COUNTED = 64, 1 << 18
+#: Slots of order 2.
+SLOTS, FACTOR = 1024, 2377
+#: A prediction is an integer of the id that it foretells, how many times in a row it has held, up to three, and the last id; with a slot that fixes the one before it. None yet is 0.
+ONCE, SURE, LAST_BITS = np.int32(1 << LONGEST_BITS), np.int32(3 << LONGEST_BITS), LONGEST_BITS + 2
+CAP = SURE - ONCE
+#: Two weights share an integer, order 2's above order 1's. Each is out of 32,768 and counts ``WEIGHT`` times in ``TOTAL``; every id takes a 32nd of both and adds ``HIT`` to the one that foretold it.
+#: Both together stay so low that order 0 keeps a sixteenth of the range, and each id at least 16 shares, which the widening needs.
+WEIGHT, RATE, HIT_1 = np.int32(30), 5, 1022
+HIT_2, FALL, LOW15 = HIT_1 << 16, 0x03FF03FF, 0x7FFF
 
 
 def _priors() -> np.ndarray:
-    """Counts of order 0, order 1, order 2 and all before anything is learnt.
-
-    A context is ((state of order 2) * 2 + agreement) * 10 + (state of order 1).
-    The state of order 2 is its ids, 3 for two different ones; that of order 1
-    its ids, and 5 more if the last two are the same; they agree if the last
-    id that either holds is the same.
-    """
-    found = np.zeros((80, 4), np.float32)
-    for context in range(80):
-        state_2, agree, state_1 = context // 20, context // 10 % 2, context % 10
-        two = (0, 2.0, 3.0, 2.0)[state_2] + (agree and state_2 > 0)
-        one = 0 if state_1 % 5 == 0 else (0.5 if state_1 < 5 else 2.0) * (6 - two) / 8
-        found[context] = (6 - two - one, one, two, 6)
-    return found
+    """Weights before anything is learnt, by how sure order 2 is, how sure order 1 is, and whether they agree."""
+    found = np.zeros((4, 4, 2), np.int32)
+    for sure_2, sure_1, agree in np.ndindex(found.shape):
+        two = (0, (0.06, 0.10)[agree] if sure_1 < 2 else (0.16, 0.6)[agree], 0.6, 0.95)[sure_2]
+        one = 0 if agree else (0, 0.04, 0.2, 0.6)[sure_1] * (1 - two)
+        found[sure_2, sure_1, agree] = int(32000 * two) << 16 | int(32000 * one)
+    return found.ravel()
 
 
 PRIORS = _priors()
@@ -60,238 +59,201 @@ CONTEXTS = len(PRIORS)
 
 class Encoder:
     def __init__(self, lanes: int, longest: int):
-        self.low, self.range = np.zeros(lanes, np.int64), np.full(lanes, CEILING)
-        self.width = 2 * longest + 3
-        self.out, self.at = np.zeros(lanes * self.width, np.int32), np.arange(lanes) * self.width
+        self.low, self.range = np.zeros(lanes), np.full(lanes, CEILING)
+        #: The word of each step and lane, if the range is widened there.
+        self.words, self.wide = np.zeros((longest, lanes), np.int32), np.zeros((longest, lanes), bool)
 
-    def _widen(self, lanes):
-        # The word may hold a carry, which ``finish`` moves to the words before it.
-        low = self.low[lanes]
-        at = self.at[lanes]
-        self.out[at] = low >> 32
-        self.at[lanes] = at + 1
-        self.low[lanes] = (low & 0xFFFFFFFF) << 16
-        self.range[lanes] <<= 16
-
-    def code(self, n, unit, below, size):
+    def code(self, step, n, unit, below, size):
         """Code the share from ``below``, of ``size`` / TOTAL, in the first ``n`` lanes."""
-        self.low[:n] += below * unit
-        span = self.range[:n] = size * unit
-        self._widen(np.flatnonzero(span < FLOOR))
-
-    def raw(self, lanes, ids):
-        unit = self.range[lanes] >> ID_BITS
-        self.low[lanes] += ids * unit
-        self.range[lanes] = unit
-        self._widen(lanes[unit < FLOOR])
-        return ids
+        span = size * unit
+        wide = np.less(span, FLOOR, out=self.wide[step, :n])
+        low = self.low[:n]
+        low += below * unit
+        # The word may hold a carry, which ``finish`` moves to the words before it.
+        word = np.floor(low * (1 / FLOOR))
+        word *= wide
+        self.words[step, :n] = word
+        wider = np.where(wide, WORD, 1.0)
+        word *= FLOOR
+        low -= word
+        low *= wider
+        np.multiply(span, wider, out=self.range[:n])
 
     def finish(self) -> list[bytes]:
-        for shift in (32, 16, 0):
-            self.out[self.at] = (self.low >> shift) & (0x1FFFF if shift == 32 else 0xFFFF)
-            self.at += 1
-        words = self.out.reshape(len(self.at), -1)
-        while (carry := words >> 16).any():
-            words &= 0xFFFF
-            words[:, :-1] += carry[:, 1:]
-        ends = self.at - np.arange(len(self.at)) * self.width
-        return [row[:end].astype(">u2").tobytes() for row, end in zip(words, ends, strict=True)]
+        low, out = self.low.astype(np.int64).tolist(), []
+        for start in range(0, len(low), GROUP):
+            words, wide = (np.ascontiguousarray(x[:, start : start + GROUP].T) for x in (self.words, self.wide))
+            for row, kept, rest in zip(words, wide, low[start : start + GROUP], strict=True):
+                found = np.append(row[kept], np.array([rest >> 32, rest >> 16 & 0xFFFF, rest & 0xFFFF], np.int32))
+                while (carry := found >> 16).any():
+                    found &= 0xFFFF
+                    found[:-1] += carry[1:]
+                out.append(found.astype(">u2").tobytes())
+        return out
 
 
 class Decoder:
     def __init__(self, payloads: list[bytes]):
-        lanes, self.width = len(payloads), max(map(len, payloads)) // 2 + 1
-        data = np.zeros((lanes, self.width), np.uint16)
+        lanes, width = len(payloads), max(3, max(map(len, payloads)) // 2) + 1
+        data = np.zeros((lanes, width), np.uint16)
         for i, p in enumerate(payloads):
-            data[i, : len(p) // 2] = np.frombuffer(p, ">u2")
+            data[i, : len(p) // 2] = np.frombuffer(p, ">u2", len(p) // 2)
         self.range = np.full(lanes, CEILING)
-        start = data[:, :3].astype(np.int64)
         #: How far the written number lies above the range's lower end.
-        self.above = start[:, 0] << 32 | start[:, 1] << 16 | start[:, 2]
-        self.data, self.at, self.last = data.ravel(), np.arange(lanes) * self.width + 3, lanes * self.width - 1
-
-    def _widen(self, lanes):
-        at = self.at[lanes]
-        self.above[lanes] = self.above[lanes] << 16 | self.data[np.minimum(at, self.last)]
-        self.at[lanes] = at + 1
-        self.range[lanes] <<= 16
+        self.above = data[:, :3] @ np.array([FLOOR, WORD, 1.0])
+        self.data, self.at = data.ravel(), np.arange(lanes) * width + 3
 
     def place(self, n, unit):
-        # Exact: both are below 2^53 and the quotient's distance from a whole number is over its rounding.
-        return np.minimum((self.above[:n] / unit).astype(np.int64), TOTAL - 1)
-
-    def code(self, n, unit, below, size):
-        self.above[:n] -= below * unit
-        span = self.range[:n] = size * unit
-        self._widen(np.flatnonzero(span < FLOOR))
-
-    def raw(self, lanes, _):
-        unit = self.range[lanes] >> ID_BITS
-        ids = np.minimum(self.above[lanes] // unit, WORD)
-        self.above[lanes] -= ids * unit
-        self.range[lanes] = unit
-        self._widen(lanes[unit < FLOOR])
-        return ids
-
-
-class Counts:
-    """Order 0: how often each id of a block occurred, with the sums before it.
-
-    Sums before every 16 ids are kept as rows of lanes; inside, four counts of
-    four ids each share an integer, and so do the four ids' own counts.
-    """
-
-    def __init__(self, lanes: int):
-        self.width = (lanes + 7) & ~7
-        self.sums = np.zeros((LONGEST // 16, self.width), np.int16)
-        self.fours, self.ones = np.zeros(lanes * (LONGEST // 16), np.uint64), np.zeros(lanes * (LONGEST // 4), np.uint64)
-        self.lane = np.arange(lanes)
-        self.row_16, self.row_4 = self.lane * (LONGEST // 16), self.lane * (LONGEST // 4)
-        self.used = 1
-
-    def find(self, n: int, value: np.ndarray) -> np.ndarray:
-        """The id whose share of all counts holds ``value``."""
-        wide = np.zeros((n + 7) & ~7, np.int16)
-        wide[:n] = value
-        reached = self.sums[: self.used, : len(wide)] <= wide
-        # Eight lanes of bytes are added at once; there are at most 128 rows.
-        group = np.add.reduce(reached.view(np.uint64), axis=0).view(np.uint8)[:n].astype(np.int64) - 1
-        rest = value - self.sums.take(group * self.width + self.lane[:n])
-        x = group
-        for counts, row in ((self.fours, self.row_16), (self.ones, self.row_4)):
-            sums = counts.take(row[:n] + x) * EACH
-            place = np.bitwise_count((rest.view(np.uint64) * EACH | HIGH) - sums & HIGH)
-            x = (x << 2) + place
-            rest = rest - (((sums << B16) >> (place.astype(np.uint64) << B4)) & LOW16).view(np.int64)
-        return x + 1
-
-    def share(self, n: int, x: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
-        """(sum before, count) of id ``x`` of each lane, which holds ``total`` ids; then it counts once more."""
-        place = x - 1
-        group = place >> 4
-        if (used := int(group.max()) + 1) > self.used:
-            self.sums[self.used : used] = total
-            self.used = used
-        below = self.sums.take(group * self.width + self.lane[:n]).astype(np.int64)
-        for counts, row, inside in ((self.fours, self.row_16, place >> 2), (self.ones, self.row_4, place)):
-            at = row[:n] + (inside >> 2)
-            kept = counts.take(at)
-            shift = (inside & 3).view(np.uint64) << B4
-            below += (((kept * EACH << B16) >> shift) & LOW16).view(np.int64)
-            counts[at] = kept + (ONE << shift)
-        self.sums[: self.used, :n] += (STEPS[: self.used] > group.astype(np.int16)).view(np.int8)
-        return below, ((kept >> shift) & LOW16).view(np.int64)
-
-
-def _equal(packed: np.ndarray, each: np.ndarray) -> np.ndarray:
-    """The top bit of those of four packed numbers that equal the other's."""
-    return ~((packed ^ each) + REST) & HIGH
-
-
-def run(coder, lengths: np.ndarray, names: np.ndarray, ids: np.ndarray | None = None) -> np.ndarray:
+        # Exact: a quotient's distance from a whole number is over its rounding.
+        return np.minimum(self.above[:n] / unit, TOTAL - 1).astype(np.int32)
+
+    def code(self, step, n, unit, below, size):
+        span = size * unit
+        wide = span < FLOOR
+        wider = np.where(wide, WORD, 1.0)
+        above, at = self.above[:n], self.at[:n]
+        above -= below * unit
+        above *= wider
+        above += self.data.take(at, mode="clip") * wide
+        at += wide
+        np.multiply(span, wider, out=self.range[:n])
+
+
+def run(coder, lengths: np.ndarray, places: np.ndarray, counts: np.ndarray | None = None, shares: np.ndarray | None = None) -> None:
     """Code blocks in step; ``lengths`` fall.
 
-    ``ids`` is (longest, lanes) of ids numbered by first appearance when
-    encoding, and ``names`` (lanes, LONGEST + 1) the real ids of the numbers,
-    which a decoder fills. Returns the numbered ids.
+    ``places`` is (longest, lanes), which a decoder fills, and so is
+    ``counts``, which an encoder needs. A decoder needs ``shares``, (lanes,
+    longest): for every place of a block's ids in ascending order the id's own
+    place and, above it, its count.
     """
-    decoding = ids is None
-    lanes, longest = len(lengths), int(lengths[0])
-    out = np.zeros((longest, lanes), np.int16) if decoding else ids
-    counts = Counts(lanes)
-    first, second = np.zeros(lanes * (LONGEST + 1), np.uint64), np.zeros(lanes * SLOTS, np.int64)
-    learnt = np.tile(PRIORS, (lanes, 1))
-    tally = learnt.ravel()
-    row_1, row_2, row_c = (np.arange(lanes) * size for size in (LONGEST + 1, SLOTS, CONTEXTS))
-    distinct = np.zeros(lanes, np.int64)
-    one = two = np.zeros(lanes, np.int64)
-    live = np.searchsorted(-lengths, -np.arange(longest))
-    for step in range(longest):
-        n = int(live[step])
-        one, two = one[:n], two[:n]
-        # What the orders hold; order 1 leaves out what order 2 has.
-        slot_1 = row_1[:n] + one
-        kept_1 = first.take(slot_1)
-        pair = one << 16 | two
-        slot_2 = row_2[:n] + ((one * 1229 ^ two * 2377) & (SLOTS - 1))
-        kept_2 = second.take(slot_2)
-        kept_2 *= (kept_2 >> 32) == pair
-        a, b = kept_2 & 0xFFFF, (kept_2 >> 16) & 0xFFFF
-        out_of_1 = _equal(kept_1, a.view(np.uint64) * EACH) | _equal(kept_1, b.view(np.uint64) * EACH)
-        after = kept_1 & ~((out_of_1 >> B15) * LOW16)
-        n_1 = np.bitwise_count(after + REST & HIGH)
-        has_a, has_b = a > 0, b > 0
-        n_2 = has_a.view(np.uint8) + has_b.view(np.uint8)
-        latest = after & LOW16
-        repeats = (latest == (after >> B16 & LOW16)) & (latest > 0)
-        agree = (kept_1 & LOW16).view(np.int64) == a
-        at = row_c[:n] + ((n_2 + (has_b & (a != b))) * 20 + (agree & has_a) * np.uint8(10) + n_1 + repeats * np.uint8(5))
-        # How they share the range.
-        known = learnt.take(at, axis=0)
-        scale = (TOTAL - LEAST) / known[:, 3].astype(np.float64)
-        unit_2 = (known[:, 2] * scale / np.maximum(n_2, 1)).astype(np.int64)
-        unit_1 = (known[:, 1] * scale / np.maximum(n_1, 1)).astype(np.int64)
-        below_1 = unit_2 * n_2
-        below_0 = below_1 + unit_1 * n_1
-        known_ids = distinct[:n]
-        each = ((TOTAL - below_0) / (known_ids + (step + 1))).astype(np.int64)
-        unit = coder.range[:n] >> TOTAL_BITS
-        if decoding:
-            value = coder.place(n, unit)
-            count = (np.maximum(value - below_0, 0) / each).astype(np.int64)
-            x = known_ids + 1
-            if step:
-                x = np.where(count >= step, x, counts.find(n, np.minimum(count, step - 1)))
-            held = np.flatnonzero(value < below_0)
-            if len(held):
-                asked, start = value[held], below_1[held]
-                in_order = np.sort(after[held].view(np.uint16).reshape(-1, 4), axis=1).ravel()
-                place = 4 - n_1[held] + (np.maximum(asked - start, 0) / np.maximum(unit_1[held], 1)).astype(np.int64)
-                by_1 = in_order[4 * np.arange(len(held)) + np.minimum(place, 3)]
-                x[held] = np.where(asked >= start, by_1, np.where(asked < unit_2[held], a[held], b[held]))
-            out[step, :n] = x
-        else:
-            x = ids[step, :n].astype(np.int64)
-        # Where the id lies.
-        spread = x.view(np.uint64) * EACH
-        is_a = x == a
-        times_2, times_1 = is_a.view(np.uint8) + (x == b), np.bitwise_count(_equal(after, spread))
-        is_new = x > known_ids
-        below, size = counts.share(n, x, step)
-        below = below * each + below_0
-        size *= each
-        lane = np.flatnonzero(times_1)
-        fewer = np.bitwise_count((spread[lane] - EACH | HIGH) - after[lane] & HIGH) + n_1[lane] - np.uint8(4)
-        below[lane] = below_1[lane] + unit_1[lane] * fewer
-        size[lane] = unit_1[lane] * times_1[lane]
-        lane = np.flatnonzero(times_2)
-        below[lane] = np.where(is_a[lane], 0, unit_2[lane])
-        size[lane] = unit_2[lane] * times_2[lane]
-        new = np.flatnonzero(is_new)
-        below[new] = step * each[new] + below_0[new]
-        size[new] = TOTAL - below[new]
-        coder.code(n, unit, below, size)
-        if len(new):
-            names[new, x[new]] = coder.raw(new, names[new, x[new]])
-            distinct[new] += 1
-        # What is learnt from it.
-        at *= 4
-        tally[at + 3] += 1
-        at += (times_2 > 0) * np.uint8(2) + (times_1 > 0)
-        tally[at] += 1
-        first[slot_1] = kept_1 << B16 | x.view(np.uint64)
-        second[slot_2] = pair << 32 | a << 16 | x
-        two, one = one, x
-    return out
-
-
-def _numbered(block: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(ids numbered by first appearance, the real ids in that order); ``first`` is scratch space."""
-    place = np.arange(len(block))
-    first[block[::-1]] = place[::-1]
-    found = first[block]
-    starts = found == place
-    return np.cumsum(starts)[found], block[starts]
+    longest, lanes = places.shape
+    kept = np.zeros(lanes * (longest + SLOTS), np.int32)  # order 1's predictions, order 2's
+    weights = np.tile(PRIORS, lanes)
+    every = np.arange(lanes)
+    one, mixed = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+    done = 0
+    for last in np.unique(lengths):
+        n = int(np.searchsorted(-lengths, -last, side="right"))
+        row, row_2, row_c = every[:n] * longest, lanes * longest + every[:n] * SLOTS, every[:n] * CONTEXTS
+        part, full = 1 / np.maximum(lengths[:n], 1), lengths[n - 1] == LONGEST
+        one, mixed = one[:n], mixed[:n]
+        slots, by = np.zeros(2 * n, np.int64), np.zeros((2, n), np.int32)
+        slot_1, slot_2, by_1, by_2 = slots[:n], slots[n:], *by
+        for step in range(done, last):
+            # What the orders foretell.
+            np.add(row, one, out=slot_1)
+            np.add(row_2, one + mixed & SLOTS - 1, out=slot_2)
+            known = kept.take(slots).reshape(2, n)
+            known_1, known_2 = known
+            known_2 *= known_2 >> LAST_BITS == one
+            told = known & PLACE
+            b, a = told
+            context = row_c + ((known_2 >> LONGEST_BITS - 3 & 24) + (known_1 >> LONGEST_BITS - 1 & 6) + (a == b))
+            # How they share the range.
+            weight = weights.take(context)
+            np.multiply(weight >> 16, WEIGHT, out=by_2)
+            np.multiply(weight & LOW15, WEIGHT, out=by_1)
+            each = TOTAL - by_1 - by_2
+            each = each >> LONGEST_BITS if full else (each * part).astype(np.int32)
+            unit = np.floor(coder.range[:n] * (1 / TOTAL))
+            # An id's other shares lie before those of its count.
+            if shares is not None:
+                value = coder.place(n, unit)
+                value = np.maximum(np.minimum(value, b * each + by_2 * (a < b)), value - by_1)
+                value = np.maximum(np.minimum(value, a * each), value - by_2)
+                share = shares.take(row + (value / each).astype(np.int32), mode="clip")
+                x, count = share & PLACE, share >> LONGEST_BITS
+                places[step, :n] = x
+            else:
+                x, count = places[step, :n].astype(np.int32), counts[step, :n].astype(np.int32)
+            hit = (told == x).astype(np.int32)
+            low_1, low_2 = by * (told < x)
+            size_1, size_2 = by * hit
+            coder.code(step, n, unit, x * each + low_1 + low_2, count * each + size_1 + size_2)
+            # What is learnt from it.
+            hit_1, hit_2 = hit
+            weight -= weight >> RATE & FALL
+            weight += hit_2 * HIT_2 + (hit_1 & ~hit_2) * HIT_1
+            weights[context] = weight
+            now = np.minimum(known & SURE, CAP) * hit
+            now += (one << LAST_BITS) + x + ONCE
+            kept[slots] = now.ravel()
+            mixed, one = one * FACTOR, x
+        done = last
+
+
+#: The place of the top bit of each number.
+TOP = np.frexp(np.arange(1, (1 << ID_BITS) + 1))[1].astype(np.uint8) - np.uint8(1)
+
+
+def _low_bits(tops: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of all bits below the tops of numbers, the highest first; how far each has to be shifted); a number's bits begin at its start."""
+    ends = np.cumsum(tops)
+    left = np.repeat(ends, tops)
+    left -= np.arange(1, len(left) + 1)
+    return np.repeat(starts + tops - 1, tops) - left, left
+
+
+def _inside(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums before each value, anew in each run of ``sizes`` values."""
+    before = np.cumsum(values) - values
+    return before - np.repeat(before[np.minimum(np.cumsum(sizes) - sizes, len(values) - 1)], sizes) if len(values) else before
+
+
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    whole = np.append(0, np.cumsum(values))
+    ends = np.cumsum(sizes)
+    return whole[ends] - whole[ends - sizes]
+
+
+def _headings(distinct: np.ndarray, counts: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """For each block its number of ids and the first of them; the top bits of the gaps between them, from a gap of one on, in four bits each; those of the counts as that many zeros and a one; the bits below the tops of gaps and of counts.
+
+    The ascending ids and their counts are those of all blocks, end to end.
+    """
+    gaps, first = np.diff(distinct, prepend=-1), (np.cumsum(sizes) - sizes)[sizes > 0]
+    gaps[first] = 1
+    begin = sizes << 16
+    begin[sizes > 0] |= distinct[first]
+    tops = [TOP[x - 1].astype(np.int64) for x in (gaps, counts)]
+    parts = [np.full(len(sizes), 32), 4 * sizes, _sums(tops[1] + 1, sizes), *(_sums(t, sizes) for t in tops)]
+    length = (sum(parts) + 7) // 8
+    starts = 8 * (np.cumsum(length) - length) + np.cumsum([0 * sizes, *parts[:-1]], axis=0)
+    bits = np.zeros(8 * int(length.sum()), np.uint8)
+    bits[starts[0][:, None] + np.arange(32)] = begin[:, None] >> np.arange(31, -1, -1) & 1
+    bits[(np.repeat(starts[1], sizes) + _inside(np.full(len(gaps), 4), sizes))[:, None] + np.arange(4)] = tops[0][:, None] >> np.arange(3, -1, -1) & 1
+    bits[np.repeat(starts[2], sizes) + _inside(tops[1] + 1, sizes) + tops[1]] = 1
+    for numbers, top, start in zip((gaps, counts), tops, starts[3:], strict=True):
+        at, left = _low_bits(top, np.repeat(start, sizes) + _inside(top, sizes))
+        bits[at] = np.repeat(numbers, top) >> left & 1
+    raw = np.packbits(bits).tobytes()
+    return [raw[end - size : end] for end, size in zip(np.cumsum(length).tolist(), length.tolist(), strict=True)]
+
+
+def _headed(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """(ascending ids and their counts, of all blocks end to end; how many each block has; the rests of the payloads)."""
+    sizes = np.array([int.from_bytes(p[:2], "big") for p in payloads])
+    heads = [p[: 4 + n // 2 + (LONGEST + 24 * n) // 8 + 2] for p, n in zip(payloads, sizes.tolist(), strict=True)]
+    length = np.array([*map(len, heads)])
+    first = 8 * (np.cumsum(length) - length)
+    bits = np.unpackbits(np.frombuffer(b"".join(heads), np.uint8))
+    begin = np.repeat(first + 32, sizes) + 4 * _inside(np.ones(sizes.sum(), np.int64), sizes)
+    top_gaps = bits[begin[:, None] + np.arange(4)] @ np.array([8, 4, 2, 1])
+    ones, start = np.flatnonzero(bits.view(bool)), first + 32 + 4 * sizes
+    mark = ones[np.repeat(np.searchsorted(ones, start), sizes) + _inside(np.ones(len(begin), np.int64), sizes)]
+    top_counts = np.diff(mark, prepend=-1) - 1
+    at = (np.cumsum(sizes) - sizes)[sizes > 0]
+    top_counts[at] = mark[at] - start[sizes > 0]
+    start = start + _sums(top_counts + 1, sizes)
+    numbers = []
+    for top in (top_gaps, top_counts):
+        places, left = _low_bits(top, np.repeat(start, sizes) + _inside(top, sizes))
+        numbers.append((1 << top) + _sums(bits[places].astype(np.int64) << left, top))
+        start = start + _sums(top, sizes)
+    least = np.array([int.from_bytes(p[2:4], "big") for p in payloads])
+    distinct = np.repeat(least, sizes) + _inside(numbers[0], sizes) + numbers[0] - 1
+    return distinct, numbers[1], sizes, [p[end:] for p, end in zip(payloads, ((start - first + 7) // 8).tolist(), strict=True)]
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
@@ -302,18 +264,32 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         raise ValueError(f"a block has at most {LONGEST} ids, all below 65,536")
     order = np.argsort([-len(b) for b in blocks], kind="stable")
     lengths = np.array([len(blocks[i]) for i in order])
-    ids, names = np.zeros((lengths[0], len(blocks)), np.int16), np.zeros((len(blocks), LONGEST + 1), np.int64)
-    scratch = np.zeros(1 << ID_BITS, np.int64)
-    for lane, i in enumerate(order):
-        numbered, real = _numbered(blocks[i], scratch)
-        ids[: len(numbered), lane] = numbered
-        names[lane, 1 : len(real) + 1] = real
-    coder = Encoder(len(blocks), len(ids))
-    run(coder, lengths, names, ids)
-    done = coder.finish()
+    places, counts = np.zeros((2, lengths[0], len(blocks)), np.int16)
+    seen = np.zeros(1 << ID_BITS, bool)
+    for block in blocks:
+        seen[block] = True
+    ids = np.flatnonzero(seen)
+    rank = np.cumsum(seen) - 1
+    group, headings = min(GROUP, max(1, COUNTED // max(1, len(ids)))), []
+    for start in range(0, len(order), group):
+        some, size = order[start : start + group], lengths[start : start + group]
+        # Every block's ids are counted in a row of their own.
+        key = rank.take(np.concatenate([blocks[i] for i in some]))
+        key += np.repeat(np.arange(len(some)) * len(ids), size)
+        times = np.bincount(key, minlength=len(some) * len(ids)).reshape(len(some), -1)
+        before = (np.cumsum(times, axis=1) - times).astype(np.int16)
+        held = np.arange(lengths[0]) < size[:, None]
+        for out, of in ((places, before), (counts, times.astype(np.int16))):
+            rows = np.zeros(held.shape, np.int16)
+            rows[held] = of.take(key)
+            out[:, start : start + group] = rows.T
+        lane, at = np.nonzero(times)
+        headings += _headings(ids[at], times[lane, at], np.bincount(lane, minlength=len(some)))
+    coder = Encoder(len(blocks), int(lengths[0]))
+    run(coder, lengths, places, counts)
     out: list[bytes] = [b""] * len(blocks)
-    for lane, i in enumerate(order):
-        out[i] = done[lane]
+    for i, heading, body in zip(order, headings, coder.finish(), strict=True):
+        out[i] = heading + body
     return out
 
 
@@ -322,9 +298,22 @@ def decode_blocks(payloads: list[bytes], lengths: list[int]) -> list[np.ndarray]
     if not payloads:
         return []
     order = np.argsort([-n for n in lengths], kind="stable")
-    names = np.zeros((len(payloads), LONGEST + 1), np.int64)
-    found = run(Decoder([payloads[i] for i in order]), np.array([lengths[i] for i in order]), names).T
+    sizes = np.array([lengths[i] for i in order])
+    names, shares, bodies = np.zeros((len(payloads), sizes[0]), np.uint16), np.zeros((len(payloads), sizes[0]), np.int32), []
+    for start in range(0, len(order), GROUP):
+        group = slice(start, start + GROUP)
+        distinct, counts, kinds, rests = _headed([payloads[i] for i in order[group]])
+        if (_sums(counts, kinds) != sizes[group]).any():
+            raise ValueError("a payload is damaged")
+        held = np.arange(sizes[0]) < sizes[group, None]
+        names[group][held] = np.repeat(distinct.astype(np.uint16), counts)
+        shares[group][held] = np.repeat((_inside(counts, kinds) | counts << LONGEST_BITS).astype(np.int32), counts)
+        bodies += rests
+    places = np.zeros((sizes[0], len(payloads)), np.int16)
+    run(Decoder(bodies), sizes, places, shares=shares.ravel())
     out: list[np.ndarray] = [names[0]] * len(payloads)
-    for lane, i in enumerate(order):
-        out[i] = names[lane][found[lane, : lengths[i]]]
+    for start in range(0, len(order), GROUP):
+        found = np.ascontiguousarray(places[:, start : start + GROUP].T)
+        for row, name, i in zip(found, names[start : start + GROUP], order[start : start + GROUP], strict=True):
+            out[i] = name.take(row[: lengths[i]])
     return out

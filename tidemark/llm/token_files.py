@@ -25,19 +25,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import Recent, materialize
 from .pieces import chunks
 from .range_coder import decode_blocks, encode_blocks
 
 MODEL = "word_bpe_49k.json"
 END_ID = 2
-BLOCK_IDS = 2048
+BLOCK_IDS = 4096
 #: Blocks that are coded in step, so a task holds this many blocks of ids at most.
-LANES = 4096
+LANES = 2048
 #: Stands between words that are encoded together; words that hold it are encoded on their own.
 MARK = "\x01"
 #: Words that are encoded together.
 TOGETHER = 2000
+#: Words that are put together at once, so that their places stay in the processor's memory.
+AT_ONCE = 1 << 16
+#: Strings of letters whose ids are kept for the next texts; at most twice as many and those of the texts at hand.
+KNOWN = 150_000
 #: Texts that are cut into words together, by their total bytes.
 CHUNK_BYTES = 16_000_000
 #: Letters that ``STEPS`` leave as they are but for their case, and marks before which they are cut and which none of its special tokens holds.
@@ -86,27 +90,48 @@ def letters_model(model: str):
 
 def _strung(flat: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(the strings of ids that lie in ``flat``, in the given order; where each of them ends)."""
-    lengths = sizes[order]
+    lengths = sizes.take(order)
     ends = np.cumsum(lengths)
-    at = np.repeat((np.cumsum(sizes) - sizes)[order] - ends + lengths, lengths)
-    at += np.arange(len(at))
-    return flat[at], ends
+    shift = (np.cumsum(sizes) - sizes).take(order) - ends + lengths
+    out, done = np.zeros(int(ends[-1]) if len(ends) else 0, flat.dtype), 0
+    for start in range(0, len(order), AT_ONCE):
+        part = slice(start, start + AT_ONCE)
+        at = np.repeat(shift[part], lengths[part])
+        at += np.arange(done, done + len(at))
+        out[done : done + len(at)] = flat.take(at)
+        done += len(at)
+    return out, ends
+
+
+def _listed(strings: pa.Array) -> list[str]:
+    return strings.to_numpy(zero_copy_only=False).tolist()
 
 
 def _joined(codes: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(codes), dtype="<u4"), np.fromiter(map(len, codes), np.int64, len(codes)) // 4
 
 
+@lru_cache(maxsize=2)
+def known_letters(model: str) -> Recent:
+    return Recent(KNOWN)
+
+
 def _of_letters(strings: list[str], model: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of small letters, end to end, and the number of each string's; the library gets many at once and every last id ends a word."""
+    """Ids of distinct strings of small letters, end to end, and the number of each string's; those of the last texts are still known."""
+    return _joined([*known_letters(model).table(strings, lambda new: _of_new_letters(new, model)).values()])
+
+
+def _of_new_letters(strings: list[str], model: str) -> dict[str, bytes]:
+    """The library gets many at once and every last id ends a word."""
     alone, spelt, is_end = letters_model(model)
-    flat, sizes = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+    out: dict[str, bytes] = {}
     for start in range(0, len(strings), TOGETHER):
-        text = " ".join(strings[start : start + TOGETHER])
+        part = strings[start : start + TOGETHER]
+        text = " ".join(part)
         ids = np.array(alone.encode_batch_fast([text if text.isascii() else text.translate(spelt)], add_special_tokens=False)[0].ids, dtype="<u4")
-        flat.append(ids)
-        sizes.append(np.diff(np.flatnonzero(is_end[ids]), prepend=-1))
-    return np.concatenate(flat), np.concatenate(sizes)
+        ends, raw = (4 * np.flatnonzero(is_end[ids]) + 4).tolist(), ids.tobytes()
+        out.update(zip(part, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
+    return out
 
 
 def _of_words(words: pa.Array, model: str) -> tuple[np.ndarray, np.ndarray]:
@@ -117,15 +142,15 @@ def _of_words(words: pa.Array, model: str) -> tuple[np.ndarray, np.ndarray]:
     library whole.
     """
     if not letters_model(model):
-        return _joined([*map(_encoded(spelt := words.to_pylist(), model).__getitem__, spelt)])
+        return _joined([*map(_encoded(spelt := _listed(words), model).__getitem__, spelt)])
     is_plain = pc.match_substring_regex(words, PLAIN)
-    plain, other = words.filter(is_plain), words.filter(pc.invert(is_plain)).to_pylist()
+    plain, other = words.filter(is_plain), _listed(words.filter(pc.invert(is_plain)))
     letters = pc.utf8_lower(pc.ascii_rtrim(plain, MARKS))
     in_ascii = pc.string_is_ascii(letters)
     by_kind = [letters.filter(kind).dictionary_encode() for kind in (in_ascii, pc.invert(in_ascii))]
     marks = pc.replace_substring_regex(plain, f"^[{LETTERS}]+", "").dictionary_encode()
-    coded = [_of_letters(x.dictionary.to_pylist(), model) for x in by_kind]
-    coded += [_joined([*map(_encoded(spelt, model).__getitem__, spelt)]) for spelt in (["", *marks.dictionary.to_pylist()], other)]
+    coded = [_of_letters(_listed(x.dictionary), model) for x in by_kind]
+    coded += [_joined([*map(_encoded(spelt, model).__getitem__, spelt)]) for spelt in (["", *_listed(marks.dictionary)], other)]
     first = np.cumsum([0, *(len(sizes) for _, sizes in coded)])
     pairs = np.full((len(words), 2), first[2])  # nothing
     is_plain, in_ascii = (x.to_numpy(zero_copy_only=False) for x in (is_plain, in_ascii))
