@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Recent, materialize
+from .common import materialize
 from .pieces import chunks
 from .range_coder import decode_blocks, encode_blocks
 
@@ -40,8 +40,8 @@ MARK = "\x01"
 TOGETHER = 2000
 #: Words that are put together at once, so that their places stay in the processor's memory.
 AT_ONCE = 1 << 16
-#: Strings of letters whose ids are kept for the next texts; at most twice as many and those of the texts at hand.
-KNOWN = 150_000
+#: Strings of letters whose ids are kept for the next texts.
+KNOWN = 500_000
 #: Texts that are cut into words together, by their total bytes.
 CHUNK_BYTES = 16_000_000
 #: Letters that ``STEPS`` leave as they are but for their case, and marks before which they are cut and which none of its special tokens holds.
@@ -111,27 +111,50 @@ def _joined(codes: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(codes), dtype="<u4"), np.fromiter(map(len, codes), np.int64, len(codes)) // 4
 
 
-@lru_cache(maxsize=2)
-def known_letters(model: str) -> Recent:
-    return Recent(KNOWN)
+class Known:
+    """Strings with their ids, end to end, and the number of each one's; beyond ``KNOWN`` only those of the last texts stay."""
+
+    def __init__(self):
+        self.strings = pa.array([], pa.string())
+        self.flat, self.sizes = np.zeros(0, "<u4"), np.zeros(0, np.int64)
+
+    def ids(self, strings: pa.Array, make) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct ``strings``, end to end, and the number of each one's; ``make`` gives those that are not known."""
+        at = pc.index_in(strings, value_set=self.strings)
+        new = strings.filter(pc.is_null(at))
+        made = make(_listed(new))
+        place = pc.fill_null(at, -1).to_numpy().astype(np.int64)
+        place[place < 0] = len(self.strings) + np.arange(len(new))
+        flat, sizes = (np.concatenate(x) for x in zip((self.flat, self.sizes), made, strict=True))
+        found = _strung(flat, sizes, place)[0], sizes.take(place)
+        if len(sizes) > KNOWN:
+            self.strings, (self.flat, self.sizes) = strings, found
+        else:
+            self.strings, self.flat, self.sizes = pa.concat_arrays([self.strings, new]), flat, sizes
+        return found
+
+
+@lru_cache(maxsize=4)
+def known_letters(model: str, in_ascii: bool) -> Known:
+    return Known()
 
 
 def _of_letters(strings: list[str], model: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of distinct strings of small letters, end to end, and the number of each string's; those of the last texts are still known."""
-    return _joined([*known_letters(model).table(strings, lambda new: _of_new_letters(new, model)).values()])
+    """Ids of distinct strings of small letters, end to end, and the number of each string's; the first of them tells whether all are of ASCII."""
+    known = known_letters(model, not strings or strings[0].isascii())
+    return known.ids(pa.array(strings, pa.string()), lambda new: _of_new_letters(new, model))
 
 
-def _of_new_letters(strings: list[str], model: str) -> dict[str, bytes]:
+def _of_new_letters(strings: list[str], model: str) -> tuple[np.ndarray, np.ndarray]:
     """The library gets many at once and every last id ends a word."""
     alone, spelt, is_end = letters_model(model)
-    out: dict[str, bytes] = {}
+    flat, sizes = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
     for start in range(0, len(strings), TOGETHER):
-        part = strings[start : start + TOGETHER]
-        text = " ".join(part)
+        text = " ".join(strings[start : start + TOGETHER])
         ids = np.array(alone.encode_batch_fast([text if text.isascii() else text.translate(spelt)], add_special_tokens=False)[0].ids, dtype="<u4")
-        ends, raw = (4 * np.flatnonzero(is_end[ids]) + 4).tolist(), ids.tobytes()
-        out.update(zip(part, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
-    return out
+        flat.append(ids)
+        sizes.append(np.diff(np.flatnonzero(is_end[ids]), prepend=-1))
+    return np.concatenate(flat), np.concatenate(sizes)
 
 
 def _of_words(words: pa.Array, model: str) -> tuple[np.ndarray, np.ndarray]:
