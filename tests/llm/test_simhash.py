@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from tidemark.llm import simhash
 
@@ -60,6 +61,13 @@ def test_near_pairs_are_all_found(spark):
     assert found == [(a, b) for i, a in enumerate(listed) for b in listed[i + 1 :] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 4]
 
 
+def test_keyed_rows_are_never_broadcast(spark, tmp_path):
+    """A written table below Spark's threshold has far more keyed rows than Spark sizes."""
+    spark.range(1000).select(F.xxhash64("id").alias("fp")).write.parquet(f"{tmp_path}/fps")
+    plan = simhash.near_pairs(spark.read.parquet(f"{tmp_path}/fps"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_match_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for table in (docs, documents(spark)):

@@ -111,7 +111,9 @@ def near_pairs(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
     ``max_bits`` may be at most 4, the distance that the segments guarantee. A
     pair that shares several keys is taken from the first segment pair that
-    guarantees it and, for equal segments, from their nearest codeword.
+    guarantees it and, for equal segments, from their nearest codeword. Up to
+    108 keyed rows come from each fingerprint, which Spark doesn't foresee when
+    it sizes them, so their join is held to shuffles.
     """
     if max_bits > MAX_BITS:
         raise ValueError(f"the segments guarantee up to {MAX_BITS} bits")
@@ -128,7 +130,7 @@ def near_pairs(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         for at, segment in enumerate(pair):
             repeated = repeated | ((F.shiftright("key", 24) == number) & (errors[segment] == 0) & beyond[at])
     condition = (F.col("key") == F.col("key_b")) & (F.col("a") < F.col("b")) & (F.bit_count(apart) <= max_bits) & (F.shiftright("key", 24) == first) & ~repeated
-    return x.join(y, condition).select("a", "b")
+    return x.join(y.hint("merge"), condition).select("a", "b")
 
 
 def _signed(bits: int) -> int:
